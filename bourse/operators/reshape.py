@@ -39,12 +39,13 @@ def flatten_statements(df: DataFrame, keep: Sequence[str], data_col: str = "data
     """
     filings = df.select(*[F.col(q(c)) for c in keep],
                         F.explode(F.col(q(data_col))).alias("__f"))
+    def tag(name: str):
+        # one-argument lambda: a second parameter would receive the index
+        return lambda x: F.struct(F.lit(name).alias("statement"), x.alias("item"))
     tagged = []
     for s in statements:
         arr = F.col(f"__f.{report_field}.{s}")
-        tagged.append(F.coalesce(
-            F.transform(arr, lambda x, s=s: F.struct(F.lit(s).alias("statement"), x.alias("item"))),
-            F.array()))
+        tagged.append(F.coalesce(F.transform(arr, tag(s)), F.array()))
     items = filings.select(*[F.col(q(c)) for c in keep],
                            *[F.col(f"__f.{c}").alias(c) for c in filing_fields],
                            F.explode(F.concat(*tagged)).alias("__i"))

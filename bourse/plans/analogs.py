@@ -160,3 +160,65 @@ def trades(spark: SparkSession, d: str) -> DataFrame:
         cond.alias("conditions"),
         F.col("ts").alias("timestamp"),
         F.col("event_id"))
+
+
+def _concept_names() -> list[str]:
+    from bourse.plans.gold import FINANCIAL_CONCEPTS
+    return [c for names in FINANCIAL_CONCEPTS.values() for c in names]
+
+
+def filings(spark: SparkSession, d: str) -> DataFrame:
+    """Reported-financials bronze rows (nested): one filing per order whose
+    statements hold its line items -- bs for return flag A, ic for N, cf for
+    R (an empty statement is NULL).  The concept is one of the published
+    concept names picked by line number and flag; line 7 of flag R carries a
+    non-numeric value.  Lines per order are bounded, so the per-order
+    ``collect_list`` is a bounded group."""
+    li = read(spark, d, "lineitem")
+    names = F.array(*[F.lit(n) for n in _concept_names()])
+    rf = F.col("l_returnflag")
+    rf_idx = F.when(rf == "A", 0).when(rf == "N", 1).otherwise(2)
+    concept = F.element_at(names, ((F.col("l_linenumber") * 3 + rf_idx) % len(_concept_names())) + 1)
+    value = F.when((F.col("l_linenumber") == 7) & (rf == "R"), F.lit("n/a")) \
+             .otherwise(F.col("l_extendedprice").cast("string"))
+    item = F.struct(concept.alias("concept"), F.concat(F.lit("label "), concept).alias("label"),
+                    F.lit("USD").alias("unit"), value.alias("value"))
+
+    def stmt(flag):
+        arr = F.collect_list(F.when(rf == flag, item))
+        return arr
+    g = li.groupBy("l_orderkey").agg(stmt("A").alias("bs"), stmt("N").alias("ic"),
+                                     stmt("R").alias("cf"))
+    nz = {s: F.when(F.size(s) > 0, F.col(s)) for s in ("bs", "ic", "cf")}
+    k = F.col("l_orderkey")
+    filing = F.struct(
+        F.lit("2024-04-15").alias("acceptedDate"), k.cast("string").alias("accessNumber"),
+        F.concat(F.lit("CIK"), (k % 500).cast("string")).alias("cik"),
+        F.lit("2024-03-31").alias("endDate"), F.lit("2024-04-15").alias("filedDate"),
+        F.lit("10-Q").alias("form"), (k % 5).cast("bigint").alias("quarter"),
+        F.struct(nz["bs"].alias("bs"), nz["cf"].alias("cf"), nz["ic"].alias("ic")).alias("report"),
+        F.lit("2024-01-01").alias("startDate"), (k % 500).cast("string").alias("symbol"),
+        (F.lit(1995) + k % 30).cast("bigint").alias("year"))
+    return g.select(F.concat(F.lit("CIK"), (k % 500).cast("string")).alias("cik"),
+                    (k % 500).cast("string").alias("symbol"),
+                    F.array(filing).alias("data"),
+                    F.lit("2024-05-01 00:00:00").cast("timestamp_ntz").alias("ingest_timestamp"))
+
+
+def metric_bronze(spark: SparkSession, d: str) -> DataFrame:
+    """Metric bronze rows with annual series (nested): one per order; series
+    ``eps`` (extended price), ``pe`` (quantity) and ``roe`` (discount, NULL
+    when the order has only flag R lines), period = line number."""
+    li = read(spark, d, "lineitem")
+    period = F.concat(F.lit("P"), F.col("l_linenumber").cast("string"))
+
+    def pt(v):
+        return F.struct(period.alias("period"), F.col(v).cast("double").alias("v"))
+    g = li.groupBy("l_orderkey").agg(
+        F.collect_list(pt("l_extendedprice")).alias("eps"),
+        F.collect_list(pt("l_quantity")).alias("pe"),
+        F.collect_list(F.when(F.col("l_returnflag") != "R", pt("l_discount"))).alias("roe"))
+    roe = F.when(F.size("roe") > 0, F.col("roe"))
+    return g.select(F.col("l_orderkey").cast("string").alias("symbol"),
+                    F.struct(F.struct("eps", "pe", roe.alias("roe")).alias("annual")).alias("series"),
+                    F.lit("2024-05-01 00:00:00").cast("timestamp_ntz").alias("ingest_timestamp"))

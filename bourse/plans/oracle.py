@@ -504,3 +504,70 @@ from tc"""
 SQL["g10_stock_scorecard"] = with_(
     PROFILES, PROFILE_FLAGGED + "," + PROFILE_HIST, DIM, CANDLES, QUOTES, GOLD_CANDLES,
     SILVER_QUOTE, DAILY, RATINGS, ANALYST, SNAPSHOTS, METRICS, SCORECARD)
+
+
+_NAMES = "[" + ", ".join(f"'{c}'" for c in R.A._concept_names()) + "]"
+FLAT = f"""flat AS (
+  select cast(l_orderkey % 500 as varchar) as symbol,
+         concat('CIK', cast(l_orderkey % 500 as varchar)) as cik,
+         timestamp '2024-05-01 00:00:00' as ingest_timestamp,
+         cast(l_orderkey as varchar) as "accessNumber",
+         cast(1995 + l_orderkey % 30 as bigint) as year, cast(l_orderkey % 5 as bigint) as quarter,
+         '2024-01-01' as "startDate", '2024-03-31' as "endDate", '2024-04-15' as "filedDate",
+         case l_returnflag when 'A' then 'bs' when 'N' then 'ic' else 'cf' end as statement,
+         {_NAMES}[((l_linenumber * 3 + case l_returnflag when 'A' then 0 when 'N' then 1 else 2 end)
+                   % {len(R.A._concept_names())}) + 1] as concept,
+         'USD' as unit,
+         case when l_linenumber = 7 and l_returnflag = 'R' then NULL else l_extendedprice end as value,
+         case l_returnflag when 'A' then 3 when 'N' then 2 else 1 end as statement_priority
+  from lineitem)"""
+FL = f"(select *, concat('label ', concept) as label from flat)"
+FIN_RULES = R.quality.load_rules("financials_reported")
+
+SQL["e2_flatten_statements"] = with_(FLAT) + """
+select symbol, cik, "accessNumber", year, quarter, statement, concept, value from flat"""
+
+SILVER_FIN = f"""sfin AS (select * from {FL} fl where {flag_sql(FIN_RULES, 'fail')} = false
+  qualify row_number() over (partition by symbol, cik, "accessNumber", year, quarter, concept
+                             order by ingest_timestamp desc, statement_priority desc, value desc) = 1)"""
+
+SQL["s4_silver_financials"] = with_(FLAT, SILVER_FIN) + "select * from sfin"
+
+SQL["x3_quarantine_financials"] = with_(FLAT) + f"""
+select symbol, "accessNumber", statement, concept, value,
+       {flag_sql(FIN_RULES, 'fail')} as is_quarantined, {reason_sql(FIN_RULES, 'fail')} as quarantine_reason
+from {FL} fl where {flag_sql(FIN_RULES, 'fail')} = true"""
+
+
+def _pivot_cols_first(spec) -> str:
+    out = []
+    for name, concepts in spec.items():
+        parts = [f"max(value) filter (where concept = '{c}')" for c in concepts]
+        out.append(f"coalesce({', '.join(parts)}, {D(0)}) as {name}")
+    return ",\n       ".join(out)
+
+
+SQL["g4_financial_ratio_filings"] = with_(FLAT, SILVER_FIN) + f""",
+  pv AS (select symbol, year, quarter, "startDate", "endDate", "filedDate", cik, "accessNumber",
+       {_pivot_cols_first(R.G.FINANCIAL_CONCEPTS)}
+  from sfin group by symbol, year, quarter, "startDate", "endDate", "filedDate", cik, "accessNumber"),
+  {RATIO}
+select * from ratio"""
+
+SERIES = """series AS (
+  select cast(l_orderkey as varchar) as symbol, 'eps' as metric_type,
+         concat('P', cast(l_linenumber as varchar)) as period, l_extendedprice as v,
+         timestamp '2024-05-01 00:00:00' as ingest_timestamp from lineitem
+  union all
+  select cast(l_orderkey as varchar), 'pe', concat('P', cast(l_linenumber as varchar)), l_quantity,
+         timestamp '2024-05-01 00:00:00' from lineitem
+  union all
+  select cast(l_orderkey as varchar), 'roe', concat('P', cast(l_linenumber as varchar)), l_discount,
+         timestamp '2024-05-01 00:00:00' from lineitem where l_returnflag != 'R')"""
+
+MA_RULES = R.quality.load_rules("metric_annual")
+SQL["e4_unpivot_series"] = with_(SERIES) + "select * from series"
+SQL["s5_silver_metric_annual"] = with_(SERIES) + f"""
+select *, {flag_sql(MA_RULES, 'fail')} as is_critical, {reason_sql(MA_RULES, 'fail')} as critical_reason
+from series
+qualify row_number() over (partition by symbol, metric_type, period order by ingest_timestamp desc, v desc) = 1"""

@@ -401,3 +401,45 @@ def ag3(spark, d):
 def g10(spark, d):
     return G.stock_scorecard(gold_dim(spark, d), gold_daily_quote(spark, d),
                              gold_analyst(spark, d), gold_metrics(spark, d))
+
+
+# ------------------------------------------------ nested inputs
+from bourse.plans import silver as SV  # noqa: E402
+
+
+@query("e2_flatten_statements")
+def e2(spark, d):
+    items = SV.financial_items(A.filings(spark, d))
+    return items.select("symbol", "cik", "accessNumber", "year", "quarter", "statement",
+                        "concept", "value")
+
+
+def silver_financials(spark, d):
+    return SV.silver_financials(SV.financial_tables(A.filings(spark, d)).valid)
+
+
+@query("s4_silver_financials")
+def s4(spark, d):
+    return silver_financials(spark, d)
+
+
+@query("x3_quarantine_financials")
+def x3(spark, d):
+    q = SV.financial_tables(A.filings(spark, d)).quarantine
+    return q.select("symbol", "accessNumber", "statement", "concept", "value", "is_quarantined",
+                    "quarantine_reason")
+
+
+@query("g4_financial_ratio_filings")
+def g4f(spark, d):
+    return G.financial_ratio(silver_financials(spark, d))
+
+
+@query("e4_unpivot_series")
+def e4(spark, d):
+    return SV.metric_series(A.metric_bronze(spark, d), "annual")
+
+
+@query("s5_silver_metric_annual")
+def s5(spark, d):
+    return SV.silver_metric_series(SV.flagged_metric_series(A.metric_bronze(spark, d), "annual"))
