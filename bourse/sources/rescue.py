@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def rescued_column(text: Column, schema: T.StructType, case_sensitive: bool = False) -> Column:
+def rescued_column(text: Column, schema: T.StructType, case_sensitive: bool = True) -> Column:
+    """JSON text of the fields ``from_json`` does not bind.  ``from_json``
+    matches field names case-sensitively, so a key differing only in case is
+    rescued, never lost."""
     names = [f.name if case_sensitive else f.name.lower() for f in schema.fields]
     m = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
     known = F.array(*[F.lit(n) for n in names]) if names else F.array().cast("array<string>")
