@@ -222,3 +222,60 @@ def metric_bronze(spark: SparkSession, d: str) -> DataFrame:
     return g.select(F.col("l_orderkey").cast("string").alias("symbol"),
                     F.struct(F.struct("eps", "pe", roe.alias("roe")).alias("annual")).alias("series"),
                     F.lit("2024-05-01 00:00:00").cast("timestamp_ntz").alias("ingest_timestamp"))
+
+
+def bronze_quotes(spark: SparkSession, d: str) -> DataFrame:
+    """Raw quote records as the quote API sends them: every field text, epoch
+    seconds in ``t`` (spread over the day, so daylight-saving edges occur),
+    some symbols missing, some prices NULL or unparsable."""
+    o = read(spark, d, "orders")
+    k, p = F.col("o_orderkey"), F.col("o_totalprice")
+
+    def s(c):
+        return c.cast("string")
+    c = F.when(k % 50 == 0, F.lit(None)).when(k % 89 == 0, F.lit("bad")).otherwise(s(p))
+    t = F.unix_seconds(F.col("o_orderdate").cast("timestamp")) + (k * 7919) % 86400
+    return o.select(
+        F.when(k % 97 == 0, F.lit(None)).otherwise(s(F.col("o_custkey") % 100)).alias("symbol"),
+        c.alias("c"), s((k % 5) - 2).alias("d"), s((k % 21) - 10).alias("dp"),
+        s(p * 2).alias("h"), s(p * 0.5).alias("l"), s(p - ((k % 7) - 3) * F.lit(1000.0)).alias("o"),
+        s(p - ((k % 5) - 2) * F.lit(2000.0)).alias("pc"), s(t).alias("t"),
+        F.col("o_orderdate").alias("ingest_timestamp"))
+
+
+def bronze_candles(spark: SparkSession, d: str) -> DataFrame:
+    """Raw candle CSV rows (all text) from the candle analog; a few bad dates."""
+    c = candles(spark, d)
+    bad = (F.col("symbol") % 37 == 0) & (F.month("date") == 1)
+    return c.select(F.col("symbol").cast("string").alias("symbol"),
+                    F.when(bad, F.lit("bad-date")).otherwise(F.col("date").cast("string")).alias("date"),
+                    *[F.col(x).cast("string").alias(x) for x in ("open", "high", "low", "close", "volume")],
+                    "ingest_timestamp")
+
+
+def bronze_metric_snapshots(spark: SparkSession, d: str) -> DataFrame:
+    """Metric bronze rows with the ``metric`` struct (snapshot fields), UTC
+    load time at noon of the metric day, one load per part."""
+    s = snapshots(spark, d)
+    fields = [c for c in s.columns if c not in ("symbol", "metric_date", "load_id")]
+    ts = F.timestamp_seconds(F.unix_date("metric_date").cast("bigint") * 86400 + 43200)
+    ing = F.timestamp_seconds(F.lit(1706745600) + F.col("load_id"))
+    return s.select(F.struct(*[F.col(f"`{c}`") for c in fields]).alias("metric"),
+                    F.lit("all").alias("metricType"),
+                    F.col("symbol").cast("string").alias("symbol"), ts.alias("timestamp"),
+                    ing.cast("timestamp_ntz").alias("ingest_timestamp"))
+
+
+def bronze_recommendations(spark: SparkSession, d: str) -> DataFrame:
+    """Raw recommendation records: one per (symbol, month) with the counts as
+    text inside ``data``; every tenth symbol also sends an empty ``data``."""
+    r = ratings(spark, d)
+    item = F.struct(F.col("period"), *[F.col(c).cast("string").alias(c) for c in
+                                       ("buy", "hold", "sell", "strongBuy", "strongSell")],
+                    F.col("symbol").cast("string").alias("symbol"))
+    data = F.when((F.col("symbol") % 10 == 0) & (F.month(F.col("period").cast("date")) == 2),
+                  F.array().cast("array<struct<period:string,buy:string,hold:string,sell:string,"
+                                 "strongBuy:string,strongSell:string,symbol:string>>")) \
+        .otherwise(F.array(item))
+    return r.select(F.col("symbol").cast("string").alias("symbol"), data.alias("data"),
+                    "ingest_timestamp")

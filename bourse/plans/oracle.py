@@ -571,3 +571,75 @@ SQL["s5_silver_metric_annual"] = with_(SERIES) + f"""
 select *, {flag_sql(MA_RULES, 'fail')} as is_critical, {reason_sql(MA_RULES, 'fail')} as critical_reason
 from series
 qualify row_number() over (partition by symbol, metric_type, period order by ingest_timestamp desc, v desc) = 1"""
+
+
+# ------------------------------------------------ silver from bronze shapes
+QR_FAIL = f"{flag_sql(QR, 'fail')}"
+BRONZE_QUOTES = """bq AS (
+  select case when o_orderkey % 97 = 0 then NULL else cast(o_custkey % 100 as varchar) end as symbol,
+         case when o_orderkey % 50 = 0 or o_orderkey % 89 = 0 then NULL else o_totalprice end as close_price,
+         cast((o_orderkey % 5) - 2 as double) as change,
+         cast((o_orderkey % 21) - 10 as double) as percent_change,
+         o_totalprice * 2 as high_price, o_totalprice * 0.5 as low_price,
+         o_totalprice - ((o_orderkey % 7) - 3) * 1000.0 as open_price,
+         o_totalprice - ((o_orderkey % 5) - 2) * 2000.0 as previous_close_price,
+         timezone('America/New_York', to_timestamp(epoch(o_orderdate) + (o_orderkey * 7919) % 86400))
+           as event_timestamp,
+         o_orderdate as ingest_timestamp
+  from orders)"""
+
+SQL["s1_silver_quote"] = with_(BRONZE_QUOTES) + f"select * from bq where {QR_FAIL} = false"
+SQL["x1_quarantine_quote"] = with_(BRONZE_QUOTES) + f"""
+select *, {QR_FAIL} as is_quarantine, {reason_sql(QR, 'fail')} as quarantine_reason
+from bq where {QR_FAIL} = true"""
+
+BRONZE_CANDLES = f"""bc AS (
+  select cast(symbol as varchar) as symbol,
+         case when symbol % 37 = 0 and month(date) = 1 then NULL else date end as date,
+         open, high, close, low, volume, ingest_timestamp from candles)"""
+SQL["s3_silver_candles"] = with_(CANDLES, BRONZE_CANDLES) + f"""
+select * from bc where {flag_sql(CR, 'fail')} = false
+qualify row_number() over (partition by symbol, date order by ingest_timestamp desc) = 1"""
+SQL["x2_quarantine_candles"] = with_(CANDLES, BRONZE_CANDLES) + f"""
+select *, {flag_sql(CR, 'fail')} as is_quarantined, {reason_sql(CR, 'fail')} as quarantine_reason
+from bc where {flag_sql(CR, 'fail')} = true"""
+
+SNAP_FIELDS = ['"marketCapitalization"', '"enterpriseValue"', "beta", '"peTTM"', "pb", '"roeTTM"',
+               '"roaTTM"', '"netProfitMarginTTM"', '"grossMarginTTM"', '"psTTM"', '"evEbitdaTTM"',
+               '"52WeekHigh"', '"52WeekLow"', '"52WeekPriceReturnDaily"', '"13WeekPriceReturnDaily"',
+               '"26WeekPriceReturnDaily"', '"currentDividendYieldTTM"', '"operatingMarginTTM"']
+SQL["s7_silver_metric_snapshot"] = with_(SNAPSHOTS) + f""",
+  b AS (select {", ".join(SNAP_FIELDS)}, cast(symbol as varchar) as symbol,
+        cast(timezone('America/New_York', to_timestamp(epoch(metric_date) + 43200)) as date) as metric_date,
+        to_timestamp(1706745600 + load_id)::timestamp as ingest_timestamp
+        from snapshots
+        qualify row_number() over (partition by symbol, metric_date order by load_id) = 1)
+select *, {flag_sql(SR, 'fail')} as is_critical, {reason_sql(SR, 'fail')} as critical_reason from b"""
+
+SQL["s9_silver_recommendation"] = with_(RATINGS) + f""",
+  b AS (select cast(symbol as varchar) as symbol, period, buy, sell, hold, "strongBuy", "strongSell",
+        ingest_timestamp from ratings
+        where not (symbol % 10 = 0 and month(cast(period as date)) = 2))
+select *, {flag_sql(RR, 'fail')} as is_critical, {reason_sql(RR, 'fail')} as critical_reason,
+       ingest_timestamp as "__START_AT", cast(NULL as timestamp) as "__END_AT" from b"""
+
+SQL["k2_stream_bars"] = """
+with t AS (select user_id as symbol, value as price,
+           cast(json_extract_string(props, '$.k') as bigint) as volume,
+           [event_type] as conditions, ts as timestamp, event_id from events),
+  b AS (select symbol, time_bucket(interval '1 minute', timestamp) as window_start,
+       first(price order by timestamp, event_id) as open_price,
+       last(price order by timestamp, event_id) as close_price,
+       cast(sum(volume) as bigint) as volume,
+       min(case when not list_has_any(conditions, """ + EXCL + """) then price end) as low_price,
+       max(case when not list_has_any(conditions, """ + EXCL + """) then price end) as high_price,
+       count(symbol) as snapshot_count
+  from t group by symbol, time_bucket(interval '1 minute', timestamp))
+select symbol, cast(window_start as date) as session_date, window_start,
+       window_start + interval '1 minute' as window_end,
+       open_price, high_price, low_price, close_price, volume,
+       cast(NULL as double) as previous_close_price, snapshot_count,
+       cast(NULL as double) as change, cast(NULL as double) as percent_change,
+       high_price - low_price as intrawindow_spread, cast(NULL as double) as price_drift_pct,
+       false as price_anomaly_flag
+from b where window_start + interval '1 minute' <= (select max(ts) from events) - interval '30 seconds'"""

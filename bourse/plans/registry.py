@@ -443,3 +443,59 @@ def e4(spark, d):
 @query("s5_silver_metric_annual")
 def s5(spark, d):
     return SV.silver_metric_series(SV.flagged_metric_series(A.metric_bronze(spark, d), "annual"))
+
+
+# ------------------------------------------ silver from bronze shapes
+def _ntz(df, *cols):
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+
+
+@query("s1_silver_quote")
+def s1(spark, d):
+    return _ntz(SV.quote_tables(A.bronze_quotes(spark, d)).valid, "event_timestamp")
+
+
+@query("x1_quarantine_quote")
+def x1(spark, d):
+    return _ntz(SV.quote_tables(A.bronze_quotes(spark, d)).quarantine, "event_timestamp")
+
+
+@query("s3_silver_candles")
+def s3(spark, d):
+    return SV.silver_candles(SV.candle_tables(A.bronze_candles(spark, d)).valid)
+
+
+@query("x2_quarantine_candles")
+def x2(spark, d):
+    return SV.candle_tables(A.bronze_candles(spark, d)).quarantine
+
+
+@query("s7_silver_metric_snapshot")
+def s7(spark, d):
+    return SV.silver_metric_snapshot(A.bronze_metric_snapshots(spark, d))
+
+
+@query("s9_silver_recommendation")
+def s9(spark, d):
+    return SV.silver_recommendation(SV.flagged_recommendation(A.bronze_recommendations(spark, d)))
+
+
+@query("k2_stream_bars")
+def k2(spark, d):
+    """Streaming 1-minute bars over the trades table read as a file stream:
+    30 s watermark, append mode, drained with availableNow.  Returns the
+    emitted (closed) windows."""
+    from bourse.session import scratch_path
+    from bourse.streaming.runners import run_append
+    # the table is one file in the data folder: stream the folder, filtered to it
+    ev = (spark.readStream.schema(A.read(spark, d, "events").schema)
+          .option("pathGlobFilter", "events.parquet").parquet(d))
+    t = ev.select(F.col("user_id").alias("symbol"), F.col("value").alias("price"),
+                  F.get_json_object("props", "$.k").cast("bigint").alias("volume"),
+                  F.array(F.col("event_type")).alias("conditions"),
+                  F.col("ts").cast("timestamp").alias("timestamp"), "event_id",
+                  F.lit(None).cast("double").alias("previous_close_price"))
+    out = G.realtime_agg(t, "1 minute", tie_break="event_id")
+    path = scratch_path(spark, "k2_stream_bars")
+    run_append(out, f"{path}/out", f"{path}/ck")
+    return _ntz(spark.read.parquet(f"{path}/out"), "window_start", "window_end")
