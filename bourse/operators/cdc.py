@@ -76,7 +76,6 @@ def scd2(changes: DataFrame, keys: Sequence[str], seq: str,
     others = [c for c in cols if c not in keys]
     if tracked is None:
         tracked = [c for c in others if c != seq and c not in except_cols]
-    carried = [c for c in others if c not in tracked]
     segmented = segment is not None
     order_cols = [seq, *tie_break]
 
@@ -84,10 +83,12 @@ def scd2(changes: DataFrame, keys: Sequence[str], seq: str,
     for k in keys:
         df = df.filter(F.col(k).isNotNull())
     df = S.with_segment(df, segment(F.col(seq)) if segmented else None)
-    # one hash partitioning on (key, segment) serves every window below
-    df = df.repartition(*keys, S.SEG)
+    pcols = S.part_cols(keys, segmented)
+    # one hash partitioning on (key[, segment]) serves every window below and,
+    # unsegmented, the per-run aggregate and the final lead as well
+    df = df.repartition(*pcols)
     # equal (key, seq): keep the greatest tie-break, then a content hash
-    wd = Window.partitionBy(*keys, S.SEG, seq).orderBy(
+    wd = Window.partitionBy(*pcols, seq).orderBy(
         *[F.col(c).desc_nulls_last() for c in tie_break],
         F.xxhash64(*[F.col(c) for c in others]).desc())
     df = df.withColumn("__d", F.row_number().over(wd)).filter("__d = 1").drop("__d")

@@ -30,7 +30,15 @@ def _cols(xs) -> list[Column]:
 
 
 def with_segment(df: DataFrame, segment: Column | None) -> DataFrame:
-    return df.withColumn(SEG, segment if segment is not None else F.lit(0))
+    """Add the segment column (nothing when ``segment`` is None)."""
+    return df if segment is None else df.withColumn(SEG, segment)
+
+
+def part_cols(keys: Sequence[str], segmented: bool) -> list[str]:
+    """Window partition columns: (keys, segment), or the keys alone.  Keeping
+    a constant out of the partitioning lets every window, the dedup and the
+    per-run aggregate share one hash exchange on the keys."""
+    return [*keys, SEG] if segmented else list(keys)
 
 
 def _order_struct(order: Sequence[str]) -> Column:
@@ -45,11 +53,12 @@ def seg_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     a total order within a key (include a tie-break).
     """
     keys = list(keys)
-    w = Window.partitionBy(*keys, SEG).orderBy(*order)
+    w = Window.partitionBy(*part_cols(keys, segmented)).orderBy(*order)
+    if not segmented:
+        return (df.withColumn("__v", value).withColumn(out, F.lag("__v").over(w))
+                  .drop("__v"))
     local = df.withColumns({"__v": value, "__rn": F.row_number().over(w)}) \
               .withColumn("__prev_local", F.lag("__v").over(w))
-    if not segmented:
-        return local.withColumnRenamed("__prev_local", out).drop("__v", "__rn")
     # last value of each (key, segment); then the previous segment's last value
     last = (df.withColumn("__v", value)
               .groupBy(*keys, SEG)
@@ -66,8 +75,8 @@ def seg_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str],
              value: Column, out: str, segmented: bool) -> DataFrame:
     """``out`` = ``value`` of the next row within ``keys`` by ``order``."""
     keys = list(keys)
-    w = Window.partitionBy(*keys, SEG).orderBy(*order)
-    wr = Window.partitionBy(*keys, SEG).orderBy(*[F.col(c).desc() for c in order])
+    w = Window.partitionBy(*part_cols(keys, segmented)).orderBy(*order)
+    wr = Window.partitionBy(*part_cols(keys, segmented)).orderBy(*[F.col(c).desc() for c in order])
     local = df.withColumn("__v", value).withColumn("__next_local", F.lead("__v").over(w))
     if not segmented:
         return local.withColumnRenamed("__next_local", out).drop("__v")
@@ -91,7 +100,7 @@ def seg_running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     so it reads "the latest value seen so far".
     """
     keys = list(keys)
-    w = (Window.partitionBy(*keys, SEG).orderBy(*order)
+    w = (Window.partitionBy(*part_cols(keys, segmented)).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = df.withColumn("__v", value).withColumn("__run_local", F.max("__v").over(w))
     if not segmented:

@@ -30,8 +30,8 @@ def lag_default(df: DataFrame, col: str, part: Sequence[str], order: Sequence[st
     seg = segment(F.col(order[0])) if segment is not None else None
     d = S.with_segment(df, seg)
     d = S.seg_lag(d, part, order, F.col(col), "__lag", segment is not None)
-    return (d.withColumn(out, F.coalesce(F.col("__lag"), F.lit(default)))
-             .drop("__lag", S.SEG))
+    d = d.withColumn(out, F.coalesce(F.col("__lag"), F.lit(default))).drop("__lag")
+    return d.drop(S.SEG) if segment is not None else d
 
 
 def top1_per_key(df: DataFrame, keys: Sequence[str], order: Sequence, desc: bool) -> DataFrame:

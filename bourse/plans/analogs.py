@@ -183,13 +183,15 @@ def filings(spark: SparkSession, d: str) -> DataFrame:
              .otherwise(F.col("l_extendedprice").cast("string"))
     item = F.struct(concept.alias("concept"), F.concat(F.lit("label "), concept).alias("label"),
                     F.lit("USD").alias("unit"), value.alias("value"))
+    # one collect per order, split into statements with array filters
+    g = li.groupBy("l_orderkey").agg(
+        F.collect_list(F.struct(rf.alias("rf"), item.alias("it"))).alias("__items"))
 
     def stmt(flag):
-        arr = F.collect_list(F.when(rf == flag, item))
-        return arr
-    g = li.groupBy("l_orderkey").agg(stmt("A").alias("bs"), stmt("N").alias("ic"),
-                                     stmt("R").alias("cf"))
-    nz = {s: F.when(F.size(s) > 0, F.col(s)) for s in ("bs", "ic", "cf")}
+        kept = F.filter("__items", lambda x: x["rf"] == F.lit(flag))
+        arr = F.transform(kept, lambda x: x["it"])
+        return F.when(F.size(arr) > 0, arr)
+    nz = {"bs": stmt("A"), "ic": stmt("N"), "cf": stmt("R")}
     k = F.col("l_orderkey")
     filing = F.struct(
         F.lit("2024-04-15").alias("acceptedDate"), k.cast("string").alias("accessNumber"),
@@ -228,7 +230,11 @@ def bronze_quotes(spark: SparkSession, d: str) -> DataFrame:
     """Raw quote records as the quote API sends them: every field text, epoch
     seconds in ``t`` (spread over the day, so daylight-saving edges occur),
     some symbols missing, some prices NULL or unparsable."""
-    o = read(spark, d, "orders")
+    return bronze_quotes_from(read(spark, d, "orders"))
+
+
+def bronze_quotes_from(o: DataFrame) -> DataFrame:
+    """The bronze-quote projection of an orders DataFrame (batch or stream)."""
     k, p = F.col("o_orderkey"), F.col("o_totalprice")
 
     def s(c):

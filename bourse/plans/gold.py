@@ -243,6 +243,9 @@ def stock_scorecard(dim: DataFrame, daily_quote: DataFrame, analyst: DataFrame,
     part = ["metric_date"]
     pos = {"pe_ttm": "v_pe", "pb": "v_pb", "ev_ebitda_ttm": "v_ev"}
     t = t.withColumns({v: F.when(F.col(c) > 0, F.col(c)) for c, v in pos.items()})
+    # the ranks below sample their input for range bounds and read it more than
+    # once: materialise the joined base once in the shared checkpoint folder
+    t = t.checkpoint(eager=True)
     measures = ["return_52w", "percent_change", "profitability_score", "roe_ttm", *pos.values()]
     # all percent ranks in one distributed rank pass: long form, rank per
     # (snapshot date, measure), back to wide

@@ -643,3 +643,6 @@ select symbol, cast(window_start as date) as session_date, window_start,
        high_price - low_price as intrawindow_spread, cast(NULL as double) as price_drift_pct,
        false as price_anomaly_flag
 from b where window_start + interval '1 minute' <= (select max(ts) from events) - interval '30 seconds'"""
+
+SQL["k9_stream_scd2_change_log"] = SQL["d3_scd2_except_segmented"]
+SQL["k8_stream_quote_branches"] = SQL["s1_silver_quote"]

@@ -112,7 +112,7 @@ def d2(spark, d):
 def d3(spark, d):
     ch = A.changes(spark, d).select("symbol", "seq", "status", "amount")
     return cdc.scd2(ch, ["symbol"], "seq", except_cols=["amount"],
-                    segment=lambda s: F.floor(s / F.lit(4000)))
+                    segment=lambda s: F.floor(s / F.lit(50000)))
 
 
 @query("d4_dedup_first")
@@ -499,3 +499,41 @@ def k2(spark, d):
     path = scratch_path(spark, "k2_stream_bars")
     run_append(out, f"{path}/out", f"{path}/ck")
     return _ntz(spark.read.parquet(f"{path}/out"), "window_start", "window_end")
+
+
+def _table_stream(spark, d, name):
+    """A driver table read as a file stream (its folder, filtered to its file)."""
+    return (spark.readStream.schema(A.read(spark, d, name).schema)
+            .option("pathGlobFilter", f"{name}.parquet").parquet(d))
+
+
+@query("k9_stream_scd2_change_log")
+def k9(spark, d):
+    """Keyed changes streamed into the change log (one folder per micro-batch),
+    history derived from the log: equals the batch SCD2 of d3."""
+    from bourse.session import scratch_path
+    from bourse.streaming.cdc import scd2_stream
+    o = _table_stream(spark, d, "orders")
+    ch = o.select(F.col("o_custkey").alias("symbol"), F.col("o_orderkey").alias("seq"),
+                  F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("amount"))
+    path = scratch_path(spark, "k9_scd2")
+    history = scd2_stream(ch, ["symbol"], "seq", f"{path}/log", f"{path}/ck", except_cols=["amount"])
+    return history()
+
+
+@query("k8_stream_quote_branches")
+def k8(spark, d):
+    """Bronze quotes streamed once through the rules; valid and quarantine
+    branches written from the same persisted micro-batch; returns silver."""
+    from bourse.session import scratch_path
+    from bourse.streaming.runners import read_branch, run_branches
+    raw = A.bronze_quotes_from(_table_stream(spark, d, "orders"))
+    rules = quality.load_rules("quote")
+    flagged = quality.apply_rules(SV.typed_quote(raw), rules, "is_quarantine", "quarantine_reason",
+                                  "fail")
+    path = scratch_path(spark, "k8_quotes")
+    run_branches(flagged, {
+        "silver": lambda b: quality.split(b, "is_quarantine", "quarantine_reason").valid,
+        "quarantine": lambda b: quality.split(b, "is_quarantine", "quarantine_reason").quarantine,
+    }, path, f"{path}/_ck")
+    return _ntz(read_branch(spark, path, "silver").drop("batch_id"), "event_timestamp")
