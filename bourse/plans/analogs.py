@@ -150,7 +150,11 @@ def trades(spark: SparkSession, d: str) -> DataFrame:
     """Trades (the parsed live-trade shape) from events: user = symbol,
     value = price, props.k = volume, a condition code per trade (NULL for
     error events)."""
-    e = read(spark, d, "events")
+    return trades_from(read(spark, d, "events"))
+
+
+def trades_from(e: DataFrame) -> DataFrame:
+    """The trade projection of an events DataFrame (batch or stream)."""
     cond = F.when(F.col("event_type") == "error", F.lit(None)).otherwise(
         F.array((F.col("event_id") % 60).cast("string")))
     return e.select(

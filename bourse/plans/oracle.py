@@ -646,3 +646,6 @@ from b where window_start + interval '1 minute' <= (select max(ts) from events)
 
 SQL["k9_stream_scd2_change_log"] = SQL["d3_scd2_except_segmented"]
 SQL["k8_stream_quote_branches"] = SQL["s1_silver_quote"]
+
+SQL["k6_stream_enriched_bars"] = ("select * from (" + SQL["g7_realtime_agg"] + ") g "
+    "where window_end <= (select max(ts) from events) - interval '30 seconds'")

@@ -537,3 +537,19 @@ def k8(spark, d):
         "quarantine": lambda b: quality.split(b, "is_quarantine", "quarantine_reason").quarantine,
     }, path, f"{path}/_ck")
     return _ntz(read_branch(spark, path, "silver").drop("batch_id"), "event_timestamp")
+
+
+@query("k6_stream_enriched_bars")
+def k6(spark, d):
+    """Trades streamed from the events table, each joined stream-static to the
+    latest valid quote of its symbol (previous close), then 1-minute bars with
+    a 30 s watermark in append mode.  Returns the closed windows."""
+    from bourse.session import scratch_path
+    from bourse.streaming.runners import run_append
+    t = A.trades_from(_table_stream(spark, d, "events"))
+    t = t.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    enriched = enrich_latest(t, silver_quote(spark, d), "symbol", "symbol",
+                             ["event_timestamp", "seq"], ["previous_close_price"])
+    path = scratch_path(spark, "k6_bars")
+    run_append(G.realtime_agg(enriched, "1 minute", tie_break="event_id"), f"{path}/out", f"{path}/ck")
+    return _ntz(spark.read.parquet(f"{path}/out"), "window_start", "window_end")
