@@ -223,10 +223,12 @@ def metric_bronze(spark: SparkSession, d: str) -> DataFrame:
     g = li.groupBy("l_orderkey").agg(
         F.collect_list(pt("l_extendedprice")).alias("eps"),
         F.collect_list(pt("l_quantity")).alias("pe"),
-        F.collect_list(F.when(F.col("l_returnflag") != "R", pt("l_discount"))).alias("roe"))
+        F.collect_list(F.when(F.col("l_returnflag") != "R", pt("l_discount"))).alias("roe"),
+        F.collect_list(pt("l_tax")).alias("qeps"))
     roe = F.when(F.size("roe") > 0, F.col("roe"))
     return g.select(F.col("l_orderkey").cast("string").alias("symbol"),
-                    F.struct(F.struct("eps", "pe", roe.alias("roe")).alias("annual")).alias("series"),
+                    F.struct(F.struct("eps", "pe", roe.alias("roe")).alias("annual"),
+                             F.struct(F.col("qeps").alias("eps")).alias("quarterly")).alias("series"),
                     F.lit("2024-05-01 00:00:00").cast("timestamp_ntz").alias("ingest_timestamp"))
 
 

@@ -274,8 +274,20 @@ def stock_scorecard(dim: DataFrame, daily_quote: DataFrame, analyst: DataFrame,
     # cut the lineage before the two final ranks (each reads its input twice);
     # checkpoint() writes to the shared spark.checkpoint.dir
     t = t.drop(*[c for c in t.columns if c.startswith("__")]).checkpoint(eager=True)
-    t = rank_within(t, [*part, industry], "composite_score", out="sector_rank", desc=True)
-    t = rank_within(t, part, "composite_score", out="overall_rank", desc=True)
+    # both final ranks in one distributed pass: each row twice, once scoped to
+    # its industry and once to the whole snapshot date
+    scopes = F.explode(F.array(
+        F.struct(F.lit("sector").alias("scope"), F.col(industry).cast("string").alias("grp")),
+        F.struct(F.lit("overall").alias("scope"), F.lit(None).cast("string").alias("grp"))))
+    two = t.select("symbol", *part, "composite_score", scopes.alias("__s")) \
+        .select("symbol", *part, "composite_score", F.col("__s.scope").alias("__scope"),
+                F.col("__s.grp").alias("__grp"))
+    rk = rank_within(two, [*part, "__scope", "__grp"], "composite_score", out="__rk", desc=True)
+    ranks = rk.groupBy(F.col("symbol").alias("__sym"), F.col("metric_date").alias("__md")).agg(
+        F.max(F.when(F.col("__scope") == "sector", F.col("__rk"))).alias("sector_rank"),
+        F.max(F.when(F.col("__scope") == "overall", F.col("__rk"))).alias("overall_rank"))
+    t = t.join(ranks, (t["symbol"] == ranks["__sym"]) & t["metric_date"].eqNullSafe(ranks["__md"]),
+               "left").drop("__sym", "__md")
     t = t.withColumn("investment_tier",
                      bucketize([(F.col("composite_score") >= F.lit(x), lab) for x, lab in TIERS],
                                TIER_ELSE))

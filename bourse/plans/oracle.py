@@ -649,3 +649,20 @@ SQL["k8_stream_quote_branches"] = SQL["s1_silver_quote"]
 
 SQL["k6_stream_enriched_bars"] = ("select * from (" + SQL["g7_realtime_agg"] + ") g "
     "where window_end <= (select max(ts) from events) - interval '30 seconds'")
+
+SQL["s6_silver_metric_quarterly"] = f"""
+with series AS (select cast(l_orderkey as varchar) as symbol, 'eps' as metric_type,
+         concat('P', cast(l_linenumber as varchar)) as period, l_tax as v,
+         timestamp '2024-05-01 00:00:00' as ingest_timestamp from lineitem)
+select *, {flag_sql(R.quality.load_rules("metric_quarterly"), 'fail')} as is_critical,
+       {reason_sql(R.quality.load_rules("metric_quarterly"), 'fail')} as critical_reason
+from series
+qualify row_number() over (partition by symbol, metric_type, period order by ingest_timestamp desc, v desc) = 1"""
+
+SQL["a1_json_stream_rescue"] = """
+select event_id, user_id, event_type, value, ['props', 'ts'] as rescued_keys,
+       true as has_file_name, true as has_file_size
+from events"""
+
+SQL["a3_csv_stream_candles"] = with_(CANDLES) + """
+select cast(symbol as varchar) as symbol, date, open, high, close, low, volume from candles"""

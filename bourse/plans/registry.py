@@ -553,3 +553,51 @@ def k6(spark, d):
     path = scratch_path(spark, "k6_bars")
     run_append(G.realtime_agg(enriched, "1 minute", tie_break="event_id"), f"{path}/out", f"{path}/ck")
     return _ntz(spark.read.parquet(f"{path}/out"), "window_start", "window_end")
+
+
+@query("s6_silver_metric_quarterly")
+def s6(spark, d):
+    return SV.silver_metric_series(SV.flagged_metric_series(A.metric_bronze(spark, d), "quarterly"))
+
+
+@query("a1_json_stream_rescue")
+def a1(spark, d):
+    """Events written as JSON lines (several files) into the shared scratch
+    folder, loaded by the incremental JSON source with a schema that lacks
+    ``ts`` and ``props``: those land in ``_rescued_data``; lineage columns are
+    added; each file is read once (a second run adds nothing)."""
+    from bourse.session import scratch_path
+    from bourse.sources.files import read_files_stream
+    from bourse.streaming.runners import run_append
+    ev = A.read(spark, d, "events").withColumn(
+        "props", F.from_json("props", "map<string,bigint>"))
+    path = scratch_path(spark, "a1_json")
+    ev.repartition(4, "event_id").write.json(f"{path}/landing")
+    schema = T.StructType([T.StructField("event_id", T.LongType()),
+                           T.StructField("user_id", T.LongType()),
+                           T.StructField("event_type", T.StringType()),
+                           T.StructField("value", T.DoubleType())])
+    s = read_files_stream(spark, f"{path}/landing", "json", schema=schema, rescue=True,
+                          max_files_per_trigger=2)
+    for _ in range(2):
+        run_append(s, f"{path}/bronze", f"{path}/ck")
+    b = spark.read.parquet(f"{path}/bronze")
+    keys = F.array_sort(F.map_keys(F.from_json("_rescued_data", "map<string,string>")))
+    return b.select("event_id", "user_id", "event_type", "value", keys.alias("rescued_keys"),
+                    F.col("file_name").endswith(".json").alias("has_file_name"),
+                    (F.col("file_size") > 0).alias("has_file_size"))
+
+
+@query("a3_csv_stream_candles")
+def a3(spark, d):
+    """Candles written as CSV with a header, loaded by the incremental CSV
+    source as all-text columns, then typed (the silver-candle cast list)."""
+    from bourse.session import scratch_path
+    from bourse.sources.files import read_files_stream
+    from bourse.streaming.runners import run_append
+    c = A.candles(spark, d).drop("ingest_timestamp")
+    path = scratch_path(spark, "a3_csv")
+    c.write.option("header", "true").csv(f"{path}/landing")
+    s = read_files_stream(spark, f"{path}/landing", "csv")
+    run_append(s, f"{path}/bronze", f"{path}/ck")
+    return SV.typed_candles(spark.read.parquet(f"{path}/bronze")).drop("ingest_timestamp")
