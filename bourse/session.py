@@ -46,6 +46,24 @@ def build_session(master: str | None = None, app: str = "bourse",
     return spark
 
 
+def scale_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024,
+               min_partitions: int = 200, max_partitions: int = 100_000) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of input.
+
+    Scan splits and shuffle partitions both target ``partition_bytes`` so a
+    task's working set fits executor memory (sorts and aggregates spill beyond
+    it); AQE then coalesces small shuffle partitions and splits skewed ones.
+    At 100 TB and 256 MiB this asks for the 100,000-partition cap.
+    """
+    n = max(min_partitions, min(max_partitions, -(-input_bytes // partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 

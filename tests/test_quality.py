@@ -104,3 +104,10 @@ def test_rule_with_digit_leading_column(spark):
     got = df.select(F.expr("(52WeekHigh >= 52WeekLow)").alias("ok")).collect()[0].ok
     assert got is True
     assert any("52WeekHigh" in s for _, s in r.warn)
+
+
+def test_scale_conf_bounds():
+    from bourse.session import scale_conf
+    big = scale_conf(100 * 10**12)
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert scale_conf(10**9)["spark.sql.shuffle.partitions"] == "200"
