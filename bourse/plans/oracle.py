@@ -666,3 +666,11 @@ from events"""
 
 SQL["a3_csv_stream_candles"] = with_(CANDLES) + """
 select cast(symbol as varchar) as symbol, date, open, high, close, low, volume from candles"""
+
+SQL["s2_silver_trades"] = with_(QUOTES, TRADES, SILVER_QUOTE) + """,
+  lq AS (select symbol as ref_symbol, previous_close_price from sq
+         qualify row_number() over (partition by symbol order by event_timestamp desc, seq desc) = 1)
+select t.symbol, t.price, t.volume, t.conditions, t.timestamp, lq.previous_close_price
+from trades t left join lq on t.symbol = lq.ref_symbol"""
+SQL["a13_refresh_table"] = SQL["g5_fact_stock_metrics"]
+SQL["a14_sql_view_analyst_signal"] = SQL["g6_fact_analyst_signal"]

@@ -19,6 +19,7 @@ from bourse.operators.joins import enrich_latest
 from bourse.operators.ranking import rank_within
 from bourse.plans import analogs as A
 from bourse.plans import gold as G
+from bourse.plans import silver as SV
 from bourse.sources import kafka, rescue
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -404,8 +405,6 @@ def g10(spark, d):
 
 
 # ------------------------------------------------ nested inputs
-from bourse.plans import silver as SV  # noqa: E402
-
 
 @query("e2_flatten_statements")
 def e2(spark, d):
@@ -601,3 +600,52 @@ def a3(spark, d):
     s = read_files_stream(spark, f"{path}/landing", "csv")
     run_append(s, f"{path}/bronze", f"{path}/ck")
     return SV.typed_candles(spark.read.parquet(f"{path}/bronze")).drop("ingest_timestamp")
+
+
+@query("s2_silver_trades")
+def s2(spark, d):
+    """Trades with the previous close of their symbol's latest valid quote."""
+    return silver_trades(spark, d).drop("event_id")
+
+
+@query("a13_refresh_table")
+def a13(spark, d):
+    """The metric fact written as a fully recomputed table (overwrite) in the
+    shared folder, read back; a second refresh replaces, never appends."""
+    from bourse.session import scratch_path
+    from bourse.streaming.runners import run_refresh
+    path = scratch_path(spark, "a13_refresh")
+    for _ in range(2):
+        run_refresh(gold_metrics(spark, d), path)
+    return spark.read.parquet(path)
+
+
+# The analyst-signal view as SQL text over temp views.
+ANALYST_SIGNAL_SQL = """
+WITH scored AS (
+  SELECT symbol, period,
+         strongBuy + buy + hold + sell + strongSell AS total_analysts,
+         2 * strongBuy + buy - sell - 2 * strongSell AS raw_score,
+         strongBuy
+  FROM silver_recommendation
+  WHERE is_critical = false AND __END_AT IS NULL
+)
+SELECT symbol, period, total_analysts, raw_score,
+       round(3.0D + try_divide(CAST(raw_score AS DOUBLE), CAST(total_analysts AS DOUBLE)), 2)
+         AS bullish_score,
+       round(try_divide(CAST(strongBuy AS DOUBLE), CAST(total_analysts AS DOUBLE)) * 100, 2)
+         AS pct_strong_buy,
+       CASE WHEN bullish_score >= 4.5 THEN 'Strong buy'
+            WHEN bullish_score >= 3.5 THEN 'Buy'
+            WHEN bullish_score >= 2.5 THEN 'Hold'
+            WHEN bullish_score >= 1.5 THEN 'Sell'
+            ELSE 'Strong sell' END AS consensus_label
+FROM scored
+"""
+
+
+@query("a14_sql_view_analyst_signal")
+def a14(spark, d):
+    from bourse.streaming.runners import run_sql_view, temp_view
+    temp_view(silver_recommendation(spark, d), "silver_recommendation")
+    return run_sql_view(spark, ANALYST_SIGNAL_SQL)
