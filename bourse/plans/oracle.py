@@ -674,3 +674,8 @@ select t.symbol, t.price, t.volume, t.conditions, t.timestamp, lq.previous_close
 from trades t left join lq on t.symbol = lq.ref_symbol"""
 SQL["a13_refresh_table"] = SQL["g5_fact_stock_metrics"]
 SQL["a14_sql_view_analyst_signal"] = SQL["g6_fact_analyst_signal"]
+
+SQL["c6_stream_observed_counts"] = with_(BRONZE_QUOTES) + "\nunion all\n".join(
+    f"""select '{sev}' as severity, '{n}' as rule, cast(count_if(({s})) as bigint) as passed,
+       cast(count_if(NOT ({s})) as bigint) as failed, cast(count_if(({s}) IS NULL) as bigint) as unknown
+from bq""" for sev, n, s in QR.all_rules())

@@ -649,3 +649,25 @@ def a14(spark, d):
     from bourse.streaming.runners import run_sql_view, temp_view
     temp_view(silver_recommendation(spark, d), "silver_recommendation")
     return run_sql_view(spark, ANALYST_SIGNAL_SQL)
+
+
+@query("c6_stream_observed_counts")
+def c6s(spark, d):
+    """Expectation counts of a stream: the quote rules attached as observed
+    metrics (rows are not filtered), summed over the micro-batches' progress."""
+    from bourse.session import scratch_path
+    raw = A.bronze_quotes_from(_table_stream(spark, d, "orders"))
+    rules = quality.load_rules("quote")
+    typed = quality.observe_rules(SV.typed_quote(raw), rules, "quote_dq")
+    path = scratch_path(spark, "c6_stream")
+    q = (typed.writeStream.format("noop").option("checkpointLocation", f"{path}/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    totals: dict[str, int] = {}
+    for p in q.recentProgress:
+        for k, v in (p.observedMetrics.get("quote_dq") or {}).asDict().items():
+            totals[k] = totals.get(k, 0) + int(v or 0)
+    rows = [(r["severity"], r["rule"], r["passed"], r["failed"], r["unknown"])
+            for r in quality.observed_to_rows(rules, totals)]
+    return spark.createDataFrame(rows, "severity string, rule string, passed bigint, "
+                                       "failed bigint, unknown bigint")
