@@ -98,14 +98,13 @@ def scd2(changes: DataFrame, keys: Sequence[str], seq: str,
     df = df.withColumn("__new", ~tstruct.eqNullSafe(F.col("__prev"))).drop("__prev")
     df = S.seg_running_max(df, keys, order_cols,
                            F.when(F.col("__new"), F.col(seq)), "__run", segmented)
-    last = F.max_by(F.struct(*[F.col(c) for c in others]),
-                    F.struct(*[F.col(c) for c in order_cols]))
-    versions = (df.groupBy(*keys, "__run")
-                  .agg(last.alias("__last"))
-                  .select(*keys, "__last.*", F.col("__run").alias(start_col)))
-    versions = S.with_segment(versions, segment(F.col(start_col)) if segmented else None)
-    versions = S.seg_lead(versions, keys, [start_col], F.col(start_col), end_col, segmented)
-    return versions.select(*cols, start_col, end_col)
+    # a version is kept as the last row of its run: the next row opens the next
+    # version (or there is none), and its sequence is this version's end
+    df = S.seg_lead(df, keys, order_cols,
+                    F.struct(F.col("__new").alias("n"), F.col(seq).alias("s")), "__next", segmented)
+    versions = df.filter(F.col("__next").isNull() | F.col("__next.n"))
+    return versions.select(*cols, F.col("__run").alias(start_col),
+                           F.col("__next.s").alias(end_col))
 
 
 def current_versions(history: DataFrame, end_col: str = "__END_AT") -> DataFrame:
