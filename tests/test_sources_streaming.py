@@ -172,3 +172,16 @@ def test_streaming_dedup_first_arrival(spark, tmp):
     runners.run_append(cdc.dedup_first(s, ["symbol", "d"]), f"{tmp}/o", f"{tmp}/ck")
     got = sorted((r.d, r.v) for r in spark.read.parquet(f"{tmp}/o").collect())
     assert got == [("2024-01-01", 1), ("2024-01-02", 3)]
+
+
+def test_dedup_within_watermark_bounded_state(spark, tmp):
+    from bourse.operators import cdc
+    src = f"{tmp}/dups"
+    _write_lines(src, "a.json", [json.dumps({"id": "x", "ts": "2024-01-01T00:00:00", "v": 1}),
+                                 json.dumps({"id": "x", "ts": "2024-01-01T00:00:05", "v": 2})])
+    _write_lines(src, "b.json", [json.dumps({"id": "x", "ts": "2024-01-01T00:00:10", "v": 3}),
+                                 json.dumps({"id": "y", "ts": "2024-01-01T00:10:00", "v": 4})])
+    s = spark.readStream.schema("id string, ts timestamp, v int").option("maxFilesPerTrigger", 1).json(src)
+    runners.run_append(cdc.dedup_within_watermark(s, ["id"], "ts", "1 minute"), f"{tmp}/o", f"{tmp}/ck")
+    got = sorted((r.id, r.v) for r in spark.read.parquet(f"{tmp}/o").collect())
+    assert got == [("x", 1), ("y", 4)]
