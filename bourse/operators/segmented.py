@@ -25,10 +25,6 @@ from pyspark.sql import functions as F
 SEG = "__seg"
 
 
-def _cols(xs) -> list[Column]:
-    return [F.col(x) if isinstance(x, str) else x for x in xs]
-
-
 def with_segment(df: DataFrame, segment: Column | None) -> DataFrame:
     """Add the segment column (nothing when ``segment`` is None)."""
     return df if segment is None else df.withColumn(SEG, segment)
