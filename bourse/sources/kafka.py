@@ -97,6 +97,18 @@ def to_kafka_payload(df: DataFrame, key: str | None, cols: Sequence[str],
     return df.select(k.alias("key"), value.alias("value"))
 
 
+def kafka_sink(df: DataFrame, cfg: KafkaConfig, checkpoint: str, key: str | None,
+               cols: Sequence[str], trigger: str = "10 seconds"):
+    """Publish rows as JSON events (A9): ``to_kafka_payload`` then the Kafka
+    sink with the same security options as the source; at-least-once, so a
+    consumer dedups by key if it needs to."""
+    o = {k: v for k, v in kafka_options(cfg).items()
+         if k.startswith("kafka.") and k != "kafka.session.timeout.ms"}  # consumer-only
+    return (to_kafka_payload(df, key, cols).writeStream.format("kafka").options(**o)
+            .option("topic", cfg.topic).option("checkpointLocation", checkpoint)
+            .trigger(processingTime=trigger).start())
+
+
 TRADE_SCHEMA = T.StructType([
     T.StructField("symbol", T.StringType()), T.StructField("price", T.DoubleType()),
     T.StructField("volume", T.LongType()),

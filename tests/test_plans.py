@@ -57,3 +57,17 @@ def test_column_pruning_reaches_the_scan(spark):
     p = plan(windows.latest_per_key(li.select("l_orderkey", "l_linenumber", "l_quantity"),
                                     ["l_orderkey"], ["l_linenumber"]))
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double>" in p
+
+
+@needs_data
+def test_scd2_plans_one_exchange(spark):
+    o = spark.read.parquet(f"{SF}/orders.parquet").select(
+        F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("seq"),
+        F.col("o_orderstatus").alias("v"), F.col("o_totalprice").alias("x"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = plan(cdc.scd2(o, ["k"], "seq", except_cols=["x"]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert p.count("Exchange hashpartitioning") == 1
+    assert "SortAggregate" not in p and "HashAggregate" not in p
