@@ -29,7 +29,14 @@ def window_aggregate(df: DataFrame, key: str = "symbol", ts: str = "timestamp",
                      watermark: str | None = "30 seconds") -> DataFrame:
     """Group trades by (key, tumbling window) with open/close by time,
     high/low over valid trades, volume, first non-null reference close and a
-    count (AG3-AG7).  ``tie_break`` orders trades with equal timestamps."""
+    count (AG3-AG7).
+
+    ``tie_break`` orders trades with equal timestamps.  Without it the
+    ordering is the timestamp alone and every aggregation buffer is
+    fixed-width, so Spark plans a hash aggregate (partial and final); with it
+    the ordering is a struct and Spark falls back to a sort-based aggregate.
+    That is deterministic but slower; use it when equal-timestamp trades must
+    resolve the same way on every run (as the oracle comparison needs)."""
     if df.isStreaming and watermark:
         df = df.withWatermark(ts, watermark)
     order = F.struct(F.col(ts), F.col(tie_break)) if tie_break else F.col(ts)

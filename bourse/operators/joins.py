@@ -28,6 +28,12 @@ def enrich_latest(facts: DataFrame, ref: DataFrame, fact_key: str, ref_key: str,
     The latest-reference side has one row per key; it is broadcast only when the
     optimizer's size estimate is under the limit, else AQE picks the strategy
     at run time (streaming plans keep the shuffle join).
+
+    In a stream the static side is re-planned every micro-batch.  When the
+    reference table is large, materialise ``latest_reference`` (one row per
+    key) as its own refreshed table and pass that as ``ref`` with
+    ``order`` on the same columns: each micro-batch then reads one row per
+    key instead of rescanning the whole reference history.
     """
     latest = latest_reference(ref, ref_key, order, cols, "__ref_key")
     latest = broadcast_if_bounded(latest, broadcast_limit)
