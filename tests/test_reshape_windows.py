@@ -1,7 +1,6 @@
 """Reshape (E), windows (H), ranking, bars (K2/K3, AG), scalar helpers (J)."""
 
 import datetime as dt
-import random
 
 import pandas as pd
 from pyspark.sql import functions as F
