@@ -46,13 +46,12 @@ def quote_flow(spark: SparkSession, landing: str, lay: Layout,
     src = spark.readStream.schema(spark.read.parquet(lay.table("bronze", "quote")).schema) \
         .parquet(lay.table("bronze", "quote"))
 
-    def flagged(b: DataFrame) -> DataFrame:
-        return quality.apply_rules(S.typed_quote(b), quality.load_rules("quote"), "is_quarantine",
-                                   "quarantine_reason", null_policy)
-    runners.run_branches(src, {
-        "silver_quote": lambda b: quality.split(flagged(b), "is_quarantine", "quarantine_reason").valid,
-        "quarantine_quote": lambda b: quality.split(flagged(b), "is_quarantine",
-                                                    "quarantine_reason").quarantine,
+    # rules applied once on the stream; each persisted micro-batch feeds both tables
+    flagged = quality.apply_rules(S.typed_quote(src), quality.load_rules("quote"), "is_quarantine",
+                                  "quarantine_reason", null_policy)
+    runners.run_branches(flagged, {
+        "silver_quote": lambda b: quality.split(b, "is_quarantine", "quarantine_reason").valid,
+        "quarantine_quote": lambda b: quality.split(b, "is_quarantine", "quarantine_reason").quarantine,
     }, lay.table("silver", "quote_branches"), lay.ckpt("silver_quote"))
     base = lay.table("silver", "quote_branches")
     return {"silver_quote": runners.read_branch(spark, base, "silver_quote").drop("batch_id"),
@@ -67,15 +66,13 @@ def candle_flow(spark: SparkSession, landing: str, lay: Layout,
     runners.run_append(bronze, lay.table("bronze", "candles"), lay.ckpt("bronze_candles"))
     b = lay.table("bronze", "candles")
     src = spark.readStream.schema(spark.read.parquet(b).schema).parquet(b)
+    # CSV headers are capitalised; the typed columns are lower case
     lower = {c: c.lower() for c in spark.read.parquet(b).columns}
-
-    def flagged(x: DataFrame) -> DataFrame:
-        x = x.withColumnsRenamed(lower)
-        return quality.apply_rules(S.typed_candles(x), quality.load_rules("stock_candles"),
-                                   null_policy=null_policy)
-    runners.run_branches(src, {
-        "valid_log": lambda x: quality.split(flagged(x)).valid,
-        "quarantine_candles": lambda x: quality.split(flagged(x)).quarantine,
+    flagged = quality.apply_rules(S.typed_candles(src.withColumnsRenamed(lower)),
+                                  quality.load_rules("stock_candles"), null_policy=null_policy)
+    runners.run_branches(flagged, {
+        "valid_log": lambda x: quality.split(x).valid,
+        "quarantine_candles": lambda x: quality.split(x).quarantine,
     }, lay.table("silver", "candle_branches"), lay.ckpt("silver_candles"))
     base = lay.table("silver", "candle_branches")
     silver = S.silver_candles(read_change_log(spark, f"{base}/valid_log"))
