@@ -101,3 +101,100 @@ def profile_flow(spark: SparkSession, landing: str, lay: Layout) -> dict[str, Da
     runners.run_refresh(G.dim_company(history), lay.table("gold", "dim_company"))
     return {"silver_profile": history,
             "gold_dim_company": spark.read.parquet(lay.table("gold", "dim_company"))}
+
+
+def recommendation_flow(spark: SparkSession, landing: str, lay: Layout) -> dict[str, DataFrame]:
+    """Recommendation JSON -> flagged rows (kept) in a change log -> history
+    (SCD2 per symbol and period) -> analyst signal (refreshed)."""
+    bronze = read_files_stream(spark, landing, "json", rescue=False)
+    log = lay.table("silver", "recommendation_log")
+    append_change_log(S.flagged_recommendation(bronze), log, lay.ckpt("recommendation_log"))
+    history = S.silver_recommendation(read_change_log(spark, log))
+    runners.run_refresh(G.fact_analyst_signal(history), lay.table("gold", "fact_analyst_signal"))
+    return {"silver_recommendation": history,
+            "gold_fact_analyst_signal": spark.read.parquet(lay.table("gold", "fact_analyst_signal"))}
+
+
+_ITEM = T.StructType([T.StructField(c, T.StringType()) for c in ("concept", "label", "unit", "value")])
+FINANCIALS_SCHEMA = T.StructType([
+    T.StructField("cik", T.StringType()), T.StructField("symbol", T.StringType()),
+    T.StructField("data", T.ArrayType(T.StructType(
+        [T.StructField(c, T.StringType()) for c in ("acceptedDate", "accessNumber", "cik", "endDate",
+                                                     "filedDate", "form")]
+        + [T.StructField("quarter", T.LongType()),
+           T.StructField("report", T.StructType([T.StructField(s, T.ArrayType(_ITEM))
+                                                 for s in ("bs", "cf", "ic")])),
+           T.StructField("startDate", T.StringType()), T.StructField("symbol", T.StringType()),
+           T.StructField("year", T.LongType())]))),
+])
+
+
+def financials_flow(spark: SparkSession, landing: str, lay: Layout) -> dict[str, DataFrame]:
+    """Reported-financials JSON (explicit nested schema) -> one-pass flatten ->
+    valid change log + quarantine -> silver (SCD1 per filing and concept) ->
+    ratios, annual and quarterly growth (refreshed)."""
+    bronze = read_files_stream(spark, landing, "json", schema=FINANCIALS_SCHEMA)
+    flagged = quality.apply_rules(S.financial_items(bronze),
+                                  quality.load_rules("financials_reported"), null_policy="fail")
+    base = lay.table("silver", "financial_branches")
+    runners.run_branches(flagged, {
+        "valid_log": lambda x: quality.split(x).valid,
+        "quarantine_financials": lambda x: quality.split(x).quarantine,
+    }, base, lay.ckpt("silver_financials"))
+    silver = S.silver_financials(read_change_log(spark, f"{base}/valid_log"))
+    runners.run_refresh(G.financial_ratio(silver), lay.table("gold", "financial_ratio"))
+    ratio = spark.read.parquet(lay.table("gold", "financial_ratio"))
+    runners.run_refresh(G.financial_annual_yoy(ratio), lay.table("gold", "financial_annual_yoy"))
+    runners.run_refresh(G.financial_quarterly_qoq(ratio), lay.table("gold", "financial_quarterly_qoq"))
+    return {"silver_financials": silver, "gold_financial_ratio": ratio,
+            "quarantine_financials": runners.read_branch(spark, base, "quarantine_financials")
+            .drop("batch_id"),
+            "gold_financial_annual_yoy": spark.read.parquet(lay.table("gold", "financial_annual_yoy")),
+            "gold_financial_quarterly_qoq":
+                spark.read.parquet(lay.table("gold", "financial_quarterly_qoq"))}
+
+
+def metric_flow(spark: SparkSession, landing: str, lay: Layout,
+                schema: T.StructType | None = None) -> dict[str, DataFrame]:
+    """Metric JSON -> snapshot (first load per symbol and day, flagged) and
+    annual / quarterly series (change logs, SCD1) -> stock metrics fact.
+    ``schema`` is the metric record schema; inferred from the landed files
+    when not given."""
+    bronze = read_files_stream(spark, landing, "json", schema=schema)
+    runners.run_append(bronze, lay.table("bronze", "metric"), lay.ckpt("bronze_metric"))
+    b = lay.table("bronze", "metric")
+    src = spark.readStream.schema(spark.read.parquet(b).schema).parquet(b)
+    batch = spark.read.parquet(b)
+    # first load per (symbol, metric day) is a property of all loads: computed on the table
+    snap = S.silver_metric_snapshot(batch)
+    runners.run_refresh(snap, lay.table("silver", "metric_snapshot"))
+    out = {"silver_metric_snapshot": spark.read.parquet(lay.table("silver", "metric_snapshot"))}
+    for freq in ("annual", "quarterly"):
+        log = lay.table("silver", f"metric_{freq}_log")
+        append_change_log(S.flagged_metric_series(src, freq), log, lay.ckpt(f"metric_{freq}_log"))
+        out[f"silver_metric_{freq}"] = S.silver_metric_series(read_change_log(spark, log))
+    runners.run_refresh(G.fact_stock_metrics(out["silver_metric_snapshot"]),
+                        lay.table("gold", "fact_stock_metrics"))
+    out["gold_fact_stock_metrics"] = spark.read.parquet(lay.table("gold", "fact_stock_metrics"))
+    return out
+
+
+def trades_flow(spark: SparkSession, kafka_rows: DataFrame, lay: Layout,
+                silver_quote: DataFrame, width: str = "1 minute",
+                watermark: str = "30 seconds") -> dict[str, DataFrame]:
+    """Kafka rows (a ``kafka_source`` stream, or any stream with the Kafka row
+    schema) -> decoded bronze -> silver trades (stream-static previous close)
+    -> watermarked bars (append)."""
+    from bourse.sources.kafka import decode_kafka
+    runners.run_append(decode_kafka(kafka_rows), lay.table("bronze", "quote_eh"),
+                       lay.ckpt("bronze_quote_eh"))
+    b = lay.table("bronze", "quote_eh")
+    src = spark.readStream.schema(spark.read.parquet(b).schema).parquet(b)
+    trades = S.silver_trades(src, silver_quote)
+    runners.run_append(trades, lay.table("silver", "quote_eh"), lay.ckpt("silver_quote_eh"))
+    s = lay.table("silver", "quote_eh")
+    sstream = spark.readStream.schema(spark.read.parquet(s).schema).parquet(s)
+    runners.run_append(G.realtime_agg(sstream, width, watermark=watermark),
+                       lay.table("gold", "fact_realtime_agg"), lay.ckpt("gold_realtime_agg"))
+    return {"silver_quote_eh": spark.read.parquet(s),
+            "gold_fact_realtime_agg": spark.read.parquet(lay.table("gold", "fact_realtime_agg"))}

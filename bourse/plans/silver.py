@@ -129,12 +129,24 @@ def silver_metric_series(flagged_log: DataFrame,
 
 
 # ---------------------------------------------------------------------- S7
+# FIXED VALUES: metric record fields read by the snapshot rules and the
+# stock-metrics fact (names as the metric source spells them).
+SNAPSHOT_FIELDS = ("marketCapitalization", "enterpriseValue", "beta", "peTTM", "pb", "psTTM",
+                   "evEbitdaTTM", "roeTTM", "roaTTM", "netProfitMarginTTM", "grossMarginTTM",
+                   "operatingMarginTTM", "currentDividendYieldTTM", "52WeekHigh", "52WeekLow",
+                   "52WeekPriceReturnDaily", "13WeekPriceReturnDaily", "26WeekPriceReturnDaily")
+
+
 def silver_metric_snapshot(bronze_metric: DataFrame, zone: str = NEW_YORK,
                            null_policy: str = "fail") -> DataFrame:
-    """Flattened metric record, first load per (symbol, metric_date), flagged."""
+    """Flattened metric record, first load per (symbol, metric_date), flagged.
+    Fields the rules and the fact read but the record lacks are NULL, as an
+    explicit record schema would make them."""
     m = bronze_metric.select("metric.*", "symbol",
                              F.to_date(utc_to_zone(F.col("timestamp"), zone)).alias("metric_date"),
                              "ingest_timestamp")
+    m = m.withColumns({c: F.lit(None).cast("double") for c in SNAPSHOT_FIELDS
+                       if c not in m.columns})
     m = cdc.dedup_first(m, ["symbol", "metric_date"], None if m.isStreaming else ["ingest_timestamp"])
     return quality.apply_rules(m, quality.load_rules("metric_snapshot"), "is_critical",
                                "critical_reason", null_policy)

@@ -3,6 +3,8 @@
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from bourse.plans import flows
 
 
@@ -49,3 +51,72 @@ def test_profile_flow_history_and_dim(spark, tmp):
     dim = {r.symbol: r.market_cap_category for r in out["gold_dim_company"].collect()}
     assert dim == {"AAA": "Mega cap"}          # BBB is critical (negative market cap)
     assert out["silver_profile"].count() == 2
+
+
+def test_recommendation_and_financials_flows(spark, tmp):
+    lay = flows.Layout(f"{tmp}/lake")
+    recs = [{"symbol": "AAA", "data": [{"period": "2024-01-01", "buy": 2, "hold": 1, "sell": 0,
+                                        "strongBuy": 1, "strongSell": 0, "symbol": "AAA"}]},
+            {"symbol": "BBB", "data": []}]
+    _write(f"{tmp}/land/rec", "r1.json", "\n".join(json.dumps(r) for r in recs))
+    out = flows.recommendation_flow(spark, f"{tmp}/land/rec", lay)
+    sig = out["gold_fact_analyst_signal"].collect()
+    assert [(r.symbol, r.bullish_score, r.consensus_label) for r in sig] == [("AAA", 4.0, "Buy")]
+
+    def filing(year, q, rev):
+        return {"accessNumber": f"A{year}{q}", "cik": "1", "endDate": "e", "filedDate": "f",
+                "form": "10-K", "quarter": q, "startDate": "s", "symbol": "AAA", "year": year,
+                "report": {"ic": [{"concept": "us-gaap_Revenues", "label": "r", "unit": "USD",
+                                   "value": str(rev)}], "bs": None, "cf": []}}
+    fin = [{"cik": "1", "symbol": "AAA", "data": [filing(2022, 0, 100), filing(2023, 0, 150)]}]
+    _write(f"{tmp}/land/fin", "f1.json", "\n".join(json.dumps(r) for r in fin))
+    fo = flows.financials_flow(spark, f"{tmp}/land/fin", lay)
+    yoy = {r.year: r.yoy_growth for r in fo["gold_financial_annual_yoy"].collect()}
+    assert yoy == {2022: None, 2023: 50.0}
+
+
+def test_trades_flow_bars(spark, tmp):
+    import datetime as dt
+    from pyspark.sql import types as T
+    from bourse.sources.kafka import KAFKA_ROW
+    lay = flows.Layout(f"{tmp}/lake")
+    quote = spark.createDataFrame([("AAA", 10.0, dt.datetime(2024, 1, 1))],
+                                  "symbol string, previous_close_price double, event_timestamp timestamp")
+    base = 1704103200000  # 2024-01-01T10:00:00Z in ms
+    vals = [(base + i * 20000, p) for i, p in enumerate([10.0, 10.2, 10.4, 11.0, 11.5, 12.0])]
+    rows = [{"key": None, "value": json.dumps({"symbol": "AAA", "price": p, "volume": 1,
+                                               "conditions": ["1"], "timestamp": t}),
+             "topic": "t", "partition": 0, "offset": i, "timestamp": "2024-01-01T10:00:00",
+             "timestampType": 0} for i, (t, p) in enumerate(vals)]
+    _write(f"{tmp}/land/kafka", "k.json", "\n".join(json.dumps(r) for r in rows))
+    kschema = T.StructType([T.StructField(f.name, T.StringType() if f.name in ("key", "value")
+                                          else f.dataType) for f in KAFKA_ROW.fields])
+    k = spark.readStream.schema(kschema).json(f"{tmp}/land/kafka") \
+        .withColumn("key", F.col("key").cast("binary")).withColumn("value", F.col("value").cast("binary"))
+    out = flows.trades_flow(spark, k, lay, quote)
+    bars = {r.window_start.minute: (r.open_price, r.close_price, r.snapshot_count)
+            for r in out["gold_fact_realtime_agg"].collect()}
+    assert bars[0] == (10.0, 10.4, 3)   # 10:00 window closed by the 10:01:40 trade minus 30 s
+    assert out["silver_quote_eh"].filter("previous_close_price = 10.0").count() == 6
+
+
+def test_metric_flow_snapshot_and_series(spark, tmp):
+    lay = flows.Layout(f"{tmp}/lake")
+
+    def rec(ts, beta, eps):
+        return {"symbol": "AAA", "metricType": "all", "timestamp": ts,
+                "metric": {"beta": beta, "marketCapitalization": 10.0, "enterpriseValue": 5.0,
+                           "52WeekHigh": 2.0, "52WeekLow": 1.0, "longTermDebt/equityAnnual": 0.5,
+                           "peTTM": 20.0, "roeTTM": 0.1},
+                "series": {"annual": {"eps": [{"period": "2023-12-31", "v": eps}],
+                                      "pe": [{"period": "2023-12-31", "v": 15.0}]},
+                           "quarterly": {"eps": [{"period": "2023-12-31", "v": eps / 4}]}}}
+    lines = [rec("2024-01-02T15:00:00Z", 1.6, 4.0), rec("2024-01-02T18:00:00Z", 0.2, 5.0),
+             rec("2024-01-03T15:00:00Z", 0.7, 6.0)]
+    _write(f"{tmp}/land/metric", "m1.json", "\n".join(json.dumps(r) for r in lines))
+    out = flows.metric_flow(spark, f"{tmp}/land/metric", lay)
+    facts = {r.metric_date.day: r.risk_category for r in out["gold_fact_stock_metrics"].collect()}
+    assert facts == {2: "High volatility", 3: "Above Market"}   # first load of each day kept
+    ann = {(r.metric_type, r.period): r.v for r in out["silver_metric_annual"].collect()}
+    assert ann[("pe", "2023-12-31")] == 15.0 and ("eps", "2023-12-31") in ann
+    assert out["silver_metric_quarterly"].count() == 1
