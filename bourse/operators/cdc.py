@@ -64,8 +64,8 @@ def scd2(changes: DataFrame, keys: Sequence[str], seq: str,
     ``end_col`` the next version's start (NULL for the open version).  Columns
     not tracked (``except_cols`` and ``seq`` itself) carry the values of the
     last row of the version, so a change only in them opens nothing.  Rows with
-    a NULL key or sequence are not placed; equal (key, seq) rows keep one, the
-    greatest by ``tie_break``.
+    a NULL key or sequence are not placed (``unplaced`` returns them); equal
+    (key, seq) rows keep one, the greatest by ``tie_break``.
 
     ``segment`` maps the sequence column to a coarse monotone bucket (e.g.
     ``lambda s: F.date_trunc('month', s)``); with it, a key holding a large
@@ -107,6 +107,15 @@ def scd2(changes: DataFrame, keys: Sequence[str], seq: str,
                            F.col("__next.s").alias(end_col))
 
 
+def unplaced(changes: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
+    """Change rows that ``scd2`` cannot place (NULL key or NULL sequence), so
+    they can be quarantined instead of vanishing."""
+    cond = F.col(seq).isNull()
+    for k in keys:
+        cond = cond | F.col(k).isNull()
+    return changes.filter(cond)
+
+
 def current_versions(history: DataFrame, end_col: str = "__END_AT") -> DataFrame:
     """Open versions only."""
     return history.filter(F.col(end_col).isNull())

@@ -89,3 +89,9 @@ def test_current_versions(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     h = cdc.scd2(df, ["k"], "seq")
     assert [r.v for r in cdc.current_versions(h).collect()] == ["B"]
+
+
+def test_unplaced_rows_are_exposed(spark):
+    rows = [("a", 1, "A", 0), (None, 2, "B", 0), ("a", None, "C", 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert sorted(r.v for r in cdc.unplaced(df, ["k"], "seq").collect()) == ["B", "C"]

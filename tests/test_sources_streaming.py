@@ -185,3 +185,14 @@ def test_dedup_within_watermark_bounded_state(spark, tmp):
     runners.run_append(cdc.dedup_within_watermark(s, ["id"], "ts", "1 minute"), f"{tmp}/o", f"{tmp}/ck")
     got = sorted((r.id, r.v) for r in spark.read.parquet(f"{tmp}/o").collect())
     assert got == [("x", 1), ("y", 4)]
+
+
+def test_stream_scd1_equals_batch(spark, tmp):
+    from bourse.operators import cdc
+    src = f"{tmp}/c1"
+    rows = [("a", 3, "new"), ("a", 1, "old"), ("b", 2, "b1"), ("b", 5, "b2"), ("a", 2, "mid")]
+    for i, chunk in enumerate([rows[:2], rows[2:4], rows[4:]]):
+        _write_lines(src, f"f{i}.json", [json.dumps({"k": k, "seq": s, "v": v}) for k, s, v in chunk])
+    s = spark.readStream.schema("k string, seq int, v string").option("maxFilesPerTrigger", 1).json(src)
+    current = scdc.scd1_stream(s, ["k"], "seq", f"{tmp}/log", f"{tmp}/ck")
+    assert sorted((r.k, r.v) for r in current().collect()) == [("a", "new"), ("b", "b2")]
