@@ -64,6 +64,10 @@ def _local_rank(part: list[str], value: str, desc: bool):
     return fn
 
 
+# offset tables up to this many rows (a few dozen bytes each) are broadcast
+OFFSET_BROADCAST_ROWS = 1_000_000
+
+
 def rank_within(df: DataFrame, part: Sequence[str], value: str, out: str = "rank",
                 desc: bool = True, pct_out: str | None = None,
                 num_ranges: int | None = None, nulls: str = "last") -> DataFrame:
@@ -96,8 +100,13 @@ def rank_within(df: DataFrame, part: Sequence[str], value: str, out: str = "rank
                    F.lit(0)).alias("__off"),
         F.sum("__nn" if nulls == "exclude" else "__n").over(Window.partitionBy(*part))
         .alias("__tot"))
-    # one row per (range, part): at most ranges + distinct parts rows
-    if not part:
+    # one row per (range, part): at most ranges + distinct parts - 1 rows.
+    # Count it exactly (cached; if lost it is rebuilt from the checkpointed
+    # ranked rows) and broadcast it when that count is under the limit, so the
+    # ranked rows are joined map-side instead of being shuffled a second time;
+    # above the limit it stays a shuffle join.
+    offsets = offsets.persist()
+    if not part or offsets.count() <= OFFSET_BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
     # NULL is a partition value like any other: join null-safe on the parts
     o = offsets.select(F.col("__pid").alias("__opid"), *[F.col(p).alias(f"__o_{p}") for p in part],

@@ -71,3 +71,14 @@ def test_scd2_plans_one_exchange(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert p.count("Exchange hashpartitioning") == 1
     assert "SortAggregate" not in p and "HashAggregate" not in p
+
+
+def test_rank_within_joins_offsets_map_side(spark):
+    from bourse.operators.ranking import rank_within
+    df = spark.range(0, 5000).select((F.col("id") % 3).alias("p"), (F.col("id") * 7 % 101).alias("v"))
+    r = rank_within(df, ["p"], "v", "rk", num_ranges=4)
+    p = plan(r)
+    # the counted offset table is broadcast; the checkpointed ranked rows are
+    # not shuffled again for the join
+    assert "BroadcastHashJoin" in p
+    assert "SortMergeJoin" not in p and "ShuffledHashJoin" not in p
