@@ -17,20 +17,19 @@ from pyspark.sql import functions as F
 WORD_SQL = r"[^\x20\x09-\x0D]+"
 NULL_ID = (1 << 63) - 1  # sorts after every document id; stands for a NULL doc_id inside Python stages
 
-#: Rows in one Arrow batch handed to Python.  A batch of very long texts must fit a worker's memory.
-ARROW_ROWS = 256
+#: Bytes of one Arrow batch handed to Python, about (a batch holds one row at least): bounds a worker's memory.
+ARROW_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_arrow_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Bound the rows that one Arrow batch carries to Python in this session (lowers, never raises)."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key, "10000"))
-    if now <= 0 or now > rows:
-        spark.conf.set(key, str(rows))
+def small_arrow_batches(spark: SparkSession, size: int = ARROW_BYTES) -> None:
+    """Bound the bytes that one Arrow batch carries to Python in this session (lowers, never raises)."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key, str(1 << 30)).rstrip("bB")) > size:
+        spark.conf.set(key, str(size))
 
 
 def id_text(docs: DataFrame) -> DataFrame:
