@@ -177,7 +177,7 @@ def _anchor_hashes(n: int):
     return run
 
 
-def _repeated(key, t: pa.Table) -> pa.Table:
+def _repeated(key: tuple, t: pa.Table) -> pa.Table:
     """Of one bucket: each batch's hashes that occur in another batch or in several of its documents."""
     batch = t.column("batch").to_pylist()
     parts = [unpack(x) for x in t.column("hashes").to_pylist()]
@@ -215,7 +215,7 @@ def _strings(n: int):
     """Per batch: the distinct strings around repeated anchors by bucket, and (bucket -1) where they occur."""
     schema = pa.schema([("batch", pa.int64()), ("bucket", pa.int32()), ("data", pa.binary())])
 
-    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
+    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
         x = Batch(left.column("texts")[0].as_py(), left.column("info")[0].as_py())
@@ -303,7 +303,7 @@ def column_wise(data: np.ndarray, offset: np.ndarray, before: np.ndarray, size:
     return masks
 
 
-def _sorted_bucket(key, t: pa.Table) -> pa.Table:
+def _sorted_bucket(key: tuple, t: pa.Table) -> pa.Table:
     batch = t.column("batch").to_pylist()
     parts = [unpack(x) for x in t.column("data").to_pylist()]
     before, size, ids, data = (np.concatenate([p[i] for p in parts]) for i in range(4))
@@ -356,7 +356,7 @@ def remove(docs: DataFrame, carry: list[str] | None = None, texts: bool = False)
     ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text binary"
     ddl += "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in fields)
 
-    def finish(key, left: pa.Table, right: pa.Table) -> pa.Table:
+    def finish(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         x = Batch(left.column("texts")[0].as_py(), left.column("info")[0].as_py())
         nulls = np.frombuffer(left.column("nulls")[0].as_py(), bool)
         gone = _removed(x, list(zip(right.column("bucket").to_pylist(), right.column("data").to_pylist())))

@@ -43,7 +43,7 @@ def usable(vectors: DataFrame) -> DataFrame:
     return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").where(F.coalesce(good, F.lit(False)))
 
 
-def _pack(key, pdf: pd.DataFrame) -> pd.DataFrame:
+def _pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     """All rows of one block -> ids and a (dimensions, rows) matrix in the smallest integer type that holds it."""
     pdf = pdf.sort_values("vec_id")
     dims = max((len(e) for e in pdf["embedding"]), default=0)
