@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from bourse.llm import mixing, quality_rules, url_filter
+from bourse.llm import mixing, near_dedup, quality_rules, suffix_dedup, topk_search, toxicity, url_filter
 
 QUERIES = {
+    "op1_minhash_near_dedup": near_dedup.query,
     "op2_url_filter": url_filter.query,
+    "op3_suffix_array_dedup": suffix_dedup.query,
+    "op5_exact_topk": topk_search.query,
+    "op6_toxicity": toxicity.query,
     "op7_quality_rules": quality_rules.query,
     "op10_mixing": mixing.query,
 }
 SQL = {
+    "op5_exact_topk": topk_search.SQL,
     "op7_quality_rules": quality_rules.SQL,
 }

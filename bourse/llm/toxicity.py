@@ -38,7 +38,7 @@ from bourse.llm.common import crc_mod_col, id_text, rows_of, small_arrow_batches
 TRAIN_ROWS = 2_000   # labelled rows a class that the model is fitted on, at most
 LANDMARKS = 64
 GAP, DECAY = 2, 0.5
-FLOOR = 0.4          # similarities below count as none
+FLOOR = 0.5          # similarities below count as none
 PIECE = 32           # characters of a word read at once; longer words give pieces that overlap by half
 STEMS = range(4, 9)  # stem lengths that may become landmarks
 HELD_OUT_MOD = 5
