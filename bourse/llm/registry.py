@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bourse.llm import mixing, near_dedup, quality_rules, suffix_dedup, topk_search, toxicity, url_filter
+from bourse.llm import mixing, near_dedup, quality_rules, suffix_dedup, token_files, topk_search, toxicity, url_filter
 
 QUERIES = {
     "op1_minhash_near_dedup": near_dedup.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_exact_topk": topk_search.query,
     "op6_toxicity": toxicity.query,
     "op7_quality_rules": quality_rules.query,
+    "op8_token_files": token_files.query,
     "op10_mixing": mixing.query,
 }
 SQL = {
