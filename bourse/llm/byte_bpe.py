@@ -39,7 +39,7 @@ from bourse.llm.dictionary import (ANSWER_DDL, ANSWER_SCHEMA, REQUEST_DDL, REQUE
 from bourse.session import scratch_path
 
 LONG = 256                # bytes of a piece beyond which Python's heap merges it
-SLOTS = 1 << 16
+SLOTS = 1 << 14
 BUCKET = 32 << 20         # text bytes per bucket of words, about
 NO_RANK = 2 ** 31 - 1
 #: The pattern's white space, spelled out: the same characters whichever library reads it.
