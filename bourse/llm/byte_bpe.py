@@ -206,7 +206,11 @@ def _answer(key: tuple, coded: pa.Table, asked: pa.Table) -> pa.Table:
 
 
 def encode(docs: DataFrame, ranks_file: str, pattern: str, carry: list[str] | None = None, ids: bool = False) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 (and token_ids, carried columns) of every row."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row.
+
+    With ``ids``, ``token_ids``; ``carry`` names columns of docs that come back in
+    the struct ``carried``.
+    """
     spark = docs.sparkSession
     carry = carry or []
     path = scratch_path(spark, "bpe")
@@ -221,9 +225,9 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, carry: list[str] | No
     literal, pieces = rank_literal(ranks), piece_literal(ranks)
     coded = words.withColumn("ids", encode_word(F.col("word"), literal)).withColumn("decoded", decode_ids(F.col("ids"), pieces))
     answers = coded.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_answer, ANSWER_DDL)
-    fields = [docs.schema[c] for c in carry]
     ddl = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, token_ids array<int>"
-    ddl += "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in fields)
+    if carry:
+        ddl += f", carried {docs.select(*carry).schema.simpleString()}"
 
     def finish(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         r = {c: left.column(c)[0].as_py() for c in left.column_names}
@@ -274,8 +278,7 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, carry: list[str] | No
                "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string()),
                "token_ids": pa.array(listed, pa.list_(pa.int32()))}
         if carry:
-            rest = from_ipc(r["rest"])
-            out |= {c: rest.column(i) for i, c in enumerate(carry)}
+            out["carried"] = from_ipc(r["rest"]).to_struct_array()
         return pa.table(out)
 
     out = t.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(finish, ddl)

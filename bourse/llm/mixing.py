@@ -22,7 +22,7 @@ reruns agree.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bourse.llm.common import WORD_SQL, table
@@ -35,13 +35,16 @@ LEVEL_BITS = 10
 LEVELS = 4
 
 
+def doc_hash() -> Column:
+    return F.xxhash64(F.lit("mix"), "doc_id", "text").bitwiseAND(F.lit((1 << LEVEL_BITS * LEVELS) - 1).cast("long"))
+
+
 def sizes(docs: DataFrame) -> DataFrame:
     """doc_id, source, size and a 40-bit hash of each document."""
-    hash_bits = F.lit((1 << LEVEL_BITS * LEVELS) - 1).cast("long")
     return docs.select(
         "doc_id", "source",
         F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD_SQL)), F.lit(0)).cast("long").alias("size"),
-        F.xxhash64(F.lit("mix"), "doc_id", "text").bitwiseAND(hash_bits).alias("h"))
+        doc_hash().alias("h"))
 
 
 def targets(sized: DataFrame, weights=WEIGHTS, share_percent: int = SHARE_PERCENT, cap: int = CAP) -> DataFrame:
@@ -118,17 +121,33 @@ def _kept(side: DataFrame) -> DataFrame:
     return side.sparkSession.read.parquet(path)
 
 
-def mix(docs: DataFrame, **kw) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken (words the mix takes)."""
+def cuts(docs: DataFrame, **kw) -> tuple[DataFrame, DataFrame]:
+    """(sizes of all documents, thresholds of all sources), both as written tables."""
     spark = docs.sparkSession
     path = scratch_path(spark, "mix-sizes")
     sizes(docs).write.parquet(path)
     sized = spark.read.parquet(path)
-    side = thresholds(sized, targets(sized, **kw))
-    copies = F.col("base") + F.when(F.col("h") < F.col("cut"), 1).otherwise(0)
+    return sized, thresholds(sized, targets(sized, **kw))
+
+
+def copies() -> Column:
+    """How often the mix takes a document: of its hash h and its source's thresholds."""
+    return F.col("base") + F.when(F.col("h") < F.col("cut"), 1).otherwise(0)
+
+
+def mix(docs: DataFrame, **kw) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken (words the mix takes), copies."""
+    sized, side = cuts(docs, **kw)
     return sized.join(side, F.col("source").eqNullSafe(F.col("s"))).select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("size") * copies).alias("taken"),
-        copies.alias("copies"))
+        "doc_id", "source", "size", "source_size", "target", (F.col("size") * copies()).alias("taken"), copies().alias("copies"))
+
+
+def mixed(docs: DataFrame, **kw) -> DataFrame:
+    """The rows of docs, all columns as they are, each as often as the mix takes it."""
+    _, side = cuts(docs, **kw)
+    rows = docs.select(F.struct("*").alias("row"), F.col("source").alias("of"), doc_hash().alias("h"))
+    taken = rows.join(side, F.col("of").eqNullSafe(F.col("s"))).withColumn("n", copies()).where("n > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("n")))).select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from bourse.llm import mixing, near_dedup, quality_rules, suffix_dedup, token_files, topk_search, toxicity, url_filter
+from bourse.llm import byte_bpe, lm_scoring, mixing, near_dedup, quality_rules, suffix_dedup, token_files, topk_search, toxicity, url_filter
 
 QUERIES = {
     "op1_minhash_near_dedup": near_dedup.query,
     "op2_url_filter": url_filter.query,
     "op3_suffix_array_dedup": suffix_dedup.query,
+    "op4_lm_scoring": lm_scoring.query,
     "op5_exact_topk": topk_search.query,
     "op6_toxicity": toxicity.query,
     "op7_quality_rules": quality_rules.query,
     "op8_token_files": token_files.query,
+    "op9_byte_bpe": byte_bpe.query,
     "op10_mixing": mixing.query,
 }
 SQL = {

@@ -332,7 +332,12 @@ def _removed(x: Batch, rows: list[tuple[int, bytes]]) -> np.ndarray:
 
 
 def remove(docs: DataFrame, carry: list[str] | None = None, texts: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept text and carried columns) of every row."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row.
+
+    With ``texts``, ``kept_text``: the remaining bytes as text, where a character
+    that lost some of its bytes goes whole.  ``carry`` names columns of docs that
+    come back in the struct ``carried``.
+    """
     spark = docs.sparkSession
     small_arrow_batches(spark)
     carry = carry or []
@@ -352,9 +357,9 @@ def remove(docs: DataFrame, carry: list[str] | None = None, texts: bool = False)
     strings = spark.read.parquet(f"{path}/strings")
     masks = strings.where("bucket >= 0").groupBy("bucket").applyInArrow(_sorted_bucket, "batch long, bucket int, data binary")
     answers = masks.unionByName(strings.where("bucket < 0"))
-    fields = [docs.schema[c] for c in carry]
-    ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text binary"
-    ddl += "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in fields)
+    ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
+    if carry:
+        ddl += f", carried {docs.select(*carry).schema.simpleString()}"
 
     def finish(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         x = Batch(left.column("texts")[0].as_py(), left.column("info")[0].as_py())
@@ -368,13 +373,12 @@ def remove(docs: DataFrame, carry: list[str] | None = None, texts: bool = False)
             removed.append(k)
             spans.append(int(g[:1].sum()) + int(np.count_nonzero(g[1:] & ~g[:-1])) if k else 0)
             digest.append(hashlib.sha256(rest).hexdigest())
-            kept.append(rest if texts else None)
+            kept.append(rest.decode(errors="ignore") if texts else None)
         out = {"doc_id": pa.array(x.ids, pa.int64(), mask=nulls), "n_bytes": pa.array(x.ends - x.starts, pa.int64()),
                "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()),
-               "kept_sha256": pa.array(digest, pa.string()), "kept_text": pa.array(kept, pa.binary())}
+               "kept_sha256": pa.array(digest, pa.string()), "kept_text": pa.array(kept, pa.string())}
         if carry:
-            rest = from_ipc(left.column("rest")[0].as_py())
-            out |= {c: rest.column(i) for i, c in enumerate(carry)}
+            out["carried"] = from_ipc(left.column("rest")[0].as_py()).to_struct_array()
         return pa.table(out)
 
     out = t.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(finish, ddl)

@@ -269,25 +269,47 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> d
     return {"landmarks": chosen, "weights": project @ w[:-1], "bias": float(w[-1]), "slope": slope}
 
 
+def scorer(model: dict):
+    """Texts -> scores, for one task."""
+    if "landmarks" not in model:
+        return lambda texts: np.full(len(texts), model["constant"])
+    d = Describer(model["landmarks"])
+
+    def judge(texts: list[bytes]) -> np.ndarray:
+        margin = d(texts).astype(np.float64) @ model["weights"] + model["bias"]
+        return 1 / (1 + np.exp(-np.clip(model["slope"] * margin, -50, 50)))
+    return judge
+
+
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id, held_out, score, predicted for every row."""
     small_arrow_batches(docs.sparkSession)
 
     def run(batches):
-        d = Describer(model["landmarks"]) if "landmarks" in model else None
+        judge = scorer(model)
         for ids, texts in rows_of(batches):
-            if d:
-                margin = d(texts).astype(np.float64) @ model["weights"] + model["bias"]
-                s = 1 / (1 + np.exp(-np.clip(model["slope"] * margin, -50, 50)))
-            else:
-                s = np.full(len(ids), model["constant"])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(s, pa.float64())], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(judge(texts), pa.float64())], ["doc_id", "score"])
 
     out = id_text(docs).mapInArrow(run, "doc_id long, score double")
     return out.select("doc_id", (crc_mod_col("doc_id", HELD_OUT_MOD) == 0).alias("held_out"), "score",
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def keep_clean(docs: DataFrame, model: dict) -> DataFrame:
+    """The rows of docs, all columns as they are, whose text the model does not call toxic; no shuffle."""
+    small_arrow_batches(docs.sparkSession)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        judge = scorer(model)
+        for b in batches:
+            if b.num_rows:
+                texts = [(t or "").encode() for t in b.column(at).to_pylist()]
+                yield b.filter(pa.array(judge(texts) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score(docs, train(docs, table(spark, sf_dir, "labels")))
