@@ -2,7 +2,7 @@
 
 Each step joins edges with the least neighbour of each node; no node's
 neighbours are ever gathered, so a node with very many neighbours is only a
-skewed join key.  Every iteration is checkpointed.
+skewed join key.  Every iteration is written to the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -10,25 +10,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bourse.session import scratch_path
+
 MAX_ITERATIONS = 100
 
 
 def connected(edges: DataFrame) -> DataFrame:
     """edges (u, v) of longs -> (node, component): component is the least node reachable; only nodes with an edge."""
-    e = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct().checkpoint()
-    seen = None
-    for _ in range(MAX_ITERATIONS):
+    spark = edges.sparkSession
+    path = scratch_path(spark, "components")
+
+    def kept(df: DataFrame, i: int) -> DataFrame:
+        df.write.parquet(f"{path}/{i}")
+        return spark.read.parquet(f"{path}/{i}")
+
+    def state(df: DataFrame) -> tuple:
+        return tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum("v")).first())
+
+    e = kept(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), 0)
+    seen = state(e)
+    for i in range(1, MAX_ITERATIONS):
         both = e.union(e.select("v", "u")).toDF("n", "m")
         least = both.groupBy("n").agg(F.min("m").alias("low")).select(F.col("n").alias("k"), F.least("n", "low").alias("low"))
-        large = both.where("m > n").join(least, F.col("n") == F.col("k")).select(F.col("m").alias("u"), F.col("low").alias("v")) \
-            .distinct().checkpoint()
+        large = both.where("m > n").join(least, F.col("n") == F.col("k")).select(F.col("m").alias("u"), F.col("low").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("low"))
         hung = large.join(low.withColumnRenamed("u", "k"), F.col("u") == F.col("k")).where("v <> low") \
             .select(F.col("v").alias("u"), F.col("low").alias("v"))
-        e = hung.union(low.select("u", F.col("low").alias("v"))).distinct().checkpoint()
-        state = tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum("v")).first())
-        if state == seen:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("component")) \
-                .union(e.select("v", "v").distinct())
-        seen = state
+        e = kept(hung.union(low.select("u", F.col("low").alias("v"))).distinct(), i)
+        now = state(e)
+        if now == seen:
+            return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select("v", "v").distinct())
+        seen = now
     raise RuntimeError("components did not settle")

@@ -11,13 +11,17 @@ hash functions, in time n + t log t instead of n * t.
 Steps: (1) one pass sketches every text; documents with equal shingle sets (by
 a 128-bit digest) form a class, and only class representatives go on;
 (2) bands of coordinates put representatives into buckets; (3) each
-representative is verified against the least member of its buckets on the full
-shingle sets, and components are formed from confirmed links; (4) buckets that
-still hold several components go on in rounds: growing sets of pivots are
-verified against members of other components, until every bucket holds one
-component or all its cross-component pairs were verified.  So a group of
-thousands of near copies costs about one verification a member and no pair that
-could join two components is skipped.
+representative is verified on the full shingle sets against the hub among its
+buckets' members, the one whose buckets are fullest (of a text and its edited
+copies that is the text), and components are formed from confirmed links;
+(4) buckets that still hold several components go on in rounds: members outside
+the hub's component are verified against growing sets of pivots, until every
+bucket holds one component or all its pairs across components were looked at.
+So a group of thousands of near copies costs about one verification a member,
+and no pair that could join two components is skipped.  In step 4 two
+one-sided tests come before the full sets: the ratio of set sizes, and the
+Hamming distance of one bit per coordinate, which a pair at the threshold
+exceeds with probability below ``MISS``.
 
 Bands are chosen so that a pair at the threshold misses every bucket with
 probability below ``MISS``.  Shingles are compared as 64-bit hashes.
@@ -46,8 +50,9 @@ from bourse.session import scratch_path
 
 K, PERCENT = 5, 80          # words a shingle, least similarity in percent: the defaults of near-duplicate work
 MISS = 1e-8
+SKETCH = 512                # coordinates; bands use the first of them, the bit test all
 WORD_CACHE = 300_000
-PIVOT_GROWTH = 4
+PIVOTS, PIVOT_GROWTH = 8, 8  # pivots of a bucket in the first round, and the growth of their number
 SALTS = 16
 
 
@@ -57,6 +62,16 @@ def bands_for(percent: int) -> tuple[int, int]:
     return math.ceil(math.log(MISS) / math.log(1 - (percent / 100) ** rows)), rows
 
 
+def bit_limit(percent: int, t: int = SKETCH) -> int:
+    """Hamming distance of t bits that a pair at the threshold exceeds with probability below MISS."""
+    p = (1 - percent / 100) / 2
+    tail, k = 1.0, 0
+    while tail >= MISS:
+        tail -= math.comb(t, k) * p ** k * (1 - p) ** (t - k)
+        k += 1
+    return k
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit numbers."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -117,7 +132,7 @@ def band_keys(coordinates: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, band keys; one pass over all texts."""
+    """doc_id, n_shingles, digest of the set, band keys, one bit per coordinate; one pass over all texts."""
     bands, rows = bands_for(percent)
 
     def run(batches):
@@ -125,15 +140,18 @@ def sketches(docs: DataFrame, k: int, percent: int) -> DataFrame:
         for ids, texts in rows_of(batches):
             sets = [shingles(t, k, known) for t in texts]
             digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-            keys = band_keys(sketch(sets, bands * rows), bands, rows)
+            coordinates = sketch(sets, SKETCH)
+            keys = band_keys(coordinates[:, :bands * rows], bands, rows)
+            bits = np.packbits((mix(coordinates) & np.uint64(1)).astype(bool), axis=1).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([int.from_bytes(d[:8], "little", signed=True) for d in digest], pa.int64()),
                  pa.array([int.from_bytes(d[8:], "little", signed=True) for d in digest], pa.int64()),
-                 pa.array([x if len(s) else [] for x, s in zip(keys, sets)], pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "d1", "d2", "keys"])
+                 pa.array([x if len(s) else [] for x, s in zip(keys, sets)], pa.list_(pa.int64())),
+                 pa.array(list(bits), pa.list_(pa.int64()))],
+                ["doc_id", "n_shingles", "d1", "d2", "keys", "bits"])
 
-    return id_text(docs).mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, keys array<long>")
+    return id_text(docs).mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, keys array<long>, bits array<long>")
 
 
 def _sets(k: int):
@@ -181,34 +199,48 @@ def link(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     classes = kept(sk.where("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "classes")
     firsts = sk.where("n_shingles > 0").join(classes.select(F.col("d1").alias("c1"), F.col("d2").alias("c2"), "rep"),
                                              (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")) & (F.col("doc_id") == F.col("rep")))
-    rows = firsts.select("rep", F.explode("keys").alias("key"))
-    shared = rows.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("most"), F.count("*").alias("m")) \
-        .where("least < most").select(F.col("key").alias("k2"), "least", "m")
-    buckets = kept(rows.join(shared, F.col("key") == F.col("k2")).select("key", "rep", "least", "m").distinct(), "buckets")
-    members = buckets.select("rep").distinct()
-    small = docs.join(members, F.col("doc_id") == F.col("rep"), "left_semi")
+    rows = firsts.select("rep", F.explode("keys").alias("key")).distinct()
+    shared = rows.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select(F.col("key").alias("k2"), "m")
+    buckets = kept(rows.join(shared, F.col("key") == F.col("k2")).select("key", "rep", "m"), "buckets")
+    crowd = buckets.groupBy("rep").agg(F.sum("m").alias("crowd")).withColumnRenamed("rep", "r")
+    reps = kept(crowd.join(firsts.select("rep", F.col("n_shingles").alias("n"), "bits"), F.col("r") == F.col("rep")).drop("rep")
+                .dropDuplicates(["r"]), "reps")
+    small = docs.join(reps.select(F.col("r").alias("_r")), F.col("doc_id") == F.col("_r"), "left_semi")
     sets = kept(id_text(small).mapInArrow(_sets(k), "id long, n long, set binary"), "sets")
 
-    first = buckets.where("least < rep").groupBy(F.col("rep").alias("u")).agg(F.min("least").alias("v"))
+    members = kept(buckets.join(reps.select("r", "crowd"), F.col("rep") == F.col("r")).select("key", "rep", "m", "crowd"), "members")
+    hubs = members.groupBy(F.col("key").alias("k2")).agg(F.max(F.struct("crowd", -F.col("rep"))).alias("hub"))
+    first = members.join(hubs, F.col("key") == F.col("k2")).groupBy("rep").agg(F.max("hub").alias("hub")) \
+        .select(F.col("rep").alias("u"), (-F.col("hub.col2")).alias("v")).where("u <> v")
     links = kept(confirmed(first, sets, percent), "links-0")
-    done, width = 0, PIVOT_GROWTH
+    done, width, limit, tested = 0, PIVOTS, bit_limit(percent), None
     while True:
         comp = kept(connected(links), f"components-{done}")
-        now = buckets.where(F.col("m") > done + 1) \
-            .join(comp, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
-        open_keys = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi") \
-            .select(F.col("key").alias("k2"))
-        now = kept(now.join(open_keys, F.col("key") == F.col("k2"), "left_semi"), f"open-{done}")
+        now = members.where(F.col("m") > done) \
+            .join(comp, F.col("rep") == F.col("node"), "left").select("key", "rep", "crowd", F.coalesce("component", "rep").alias("comp"))
+        open_keys = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                           F.max(F.struct("crowd", -F.col("rep"), "comp")).alias("top")).where("lo < hi") \
+            .select(F.col("key").alias("k2"), F.col("top.comp").alias("hub_comp"))
+        now = kept(now.join(open_keys, F.col("key") == F.col("k2")).select("key", "rep", "crowd", "comp", "hub_comp"), f"open-{done}")
         if now.isEmpty():
             break
-        # the pivots of this round: members number done .. done + width of each bucket; ranked in salted parts first
-        rank = F.row_number().over(Window.partitionBy("key", "salt").orderBy("rep"))
-        some = now.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS))).withColumn("r", rank).where(F.col("r") <= done + width)
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("rep"))
-        pivots = some.withColumn("r", rank).where((F.col("r") > done) & (F.col("r") <= done + width)) \
-            .select(F.col("key").alias("k2"), F.col("rep").alias("pivot"), F.col("comp").alias("pivot_comp"))
-        pairs = now.join(pivots, F.col("key") == F.col("k2")).where("comp <> pivot_comp") \
-            .select(F.greatest("rep", "pivot").alias("u"), F.least("rep", "pivot").alias("v")).distinct()
+        # the pivots of this round: members number done .. done + width of each bucket, hubs first; ranked in salted parts first
+        order = [F.desc("crowd"), F.asc("rep")]
+        some = now.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS))) \
+            .withColumn("i", F.row_number().over(Window.partitionBy("key", "salt").orderBy(*order))).where(F.col("i") <= done + width)
+        pivots = some.withColumn("i", F.row_number().over(Window.partitionBy("key").orderBy(*order))) \
+            .where((F.col("i") > done) & (F.col("i") <= done + width)).select(F.col("key").alias("k2"), F.col("rep").alias("pivot"), F.col("comp").alias("pivot_comp"))
+        facts = reps.select("r", "n", "bits")
+        pivots = pivots.join(facts.toDF("p_r", "p_n", "p_bits"), F.col("pivot") == F.col("p_r"))
+        testers = now.where("comp <> hub_comp").select("key", "rep", "comp").join(facts, F.col("rep") == F.col("r"))
+        apart = sum((F.bit_count(F.get("bits", F.lit(i)).bitwiseXOR(F.get("p_bits", F.lit(i)))) for i in range(SKETCH // 64)), F.lit(0))
+        near = (F.col("key") == F.col("k2")) & (F.col("comp") != F.col("pivot_comp")) & (apart <= limit) \
+            & (100 * F.least("n", "p_n") >= percent * F.greatest("n", "p_n"))
+        pairs = testers.join(pivots, near).select(F.greatest("rep", "pivot").alias("u"), F.least("rep", "pivot").alias("v")).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested.toDF("tu", "tv"), (F.col("u") == F.col("tu")) & (F.col("v") == F.col("tv")), "left_anti")
+        pairs = kept(pairs, f"pairs-{done}")
+        tested = pairs if tested is None else tested.union(pairs)
         done, width = done + width, width * PIVOT_GROWTH
         links = kept(confirmed(pairs, sets, percent).union(comp.select("node", "component")), f"links-{done}")
     out = sk.join(classes.select(F.col("d1").alias("c1"), F.col("d2").alias("c2"), "rep"),
