@@ -18,10 +18,12 @@ copies that is the text), and components are formed from confirmed links;
 the hub's component are verified against growing sets of pivots, until every
 bucket holds one component or all its pairs across components were looked at.
 So a group of thousands of near copies costs about one verification a member,
-and no pair that could join two components is skipped.  In step 4 two
-one-sided tests come before the full sets: the ratio of set sizes, and the
-Hamming distance of one bit per coordinate, which a pair at the threshold
-exceeds with probability below ``MISS``.
+and no pair that could join two components is skipped.
+
+In step 4 a test that never refuses a true link comes before the full sets: each
+representative has a bitmap with the parity of its shingles by hash; two bitmaps
+differ in no more bits than the sets in shingles, so a pair whose bitmaps differ
+in more bits than the threshold leaves room for cannot link.
 
 Bands are chosen so that a pair at the threshold misses every bucket with
 probability below ``MISS``.  Shingles are compared as 64-bit hashes.
@@ -50,7 +52,7 @@ from bourse.session import scratch_path
 
 K, PERCENT = 5, 80          # words a shingle, least similarity in percent: the defaults of near-duplicate work
 MISS = 1e-8
-SKETCH = 512                # coordinates; bands use the first of them, the bit test all
+BITS = 1024                 # of a representative's parity bitmap
 WORD_CACHE = 300_000
 PIVOTS, PIVOT_GROWTH = 8, 8  # pivots of a bucket in the first round, and the growth of their number
 SALTS = 16
@@ -62,16 +64,6 @@ def bands_for(percent: int) -> tuple[int, int]:
     return math.ceil(math.log(MISS) / math.log(1 - (percent / 100) ** rows)), rows
 
 
-def bit_limit(percent: int, t: int = SKETCH) -> int:
-    """Hamming distance of t bits that a pair at the threshold exceeds with probability below MISS."""
-    p = (1 - percent / 100) / 2
-    tail, k = 1.0, 0
-    while tail >= MISS:
-        tail -= math.comb(t, k) * p ** k * (1 - p) ** (t - k)
-        k += 1
-    return k
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit numbers."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -131,8 +123,16 @@ def band_keys(coordinates: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return h.view(np.int64)
 
 
+def parity(sets: list[np.ndarray]) -> np.ndarray:
+    """(sets, BITS / 64) words: bit h is set when an odd number of a set's shingles hash to h."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    x = np.concatenate(sets) if len(sets) else np.zeros(0, np.uint64)
+    place = owner * BITS + (mix(x ^ np.uint64(0xA5A5A5A5)) % np.uint64(BITS)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=len(sets) * BITS) & 1).astype(bool).reshape(-1, BITS), axis=1).view(np.int64)
+
+
 def sketches(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, band keys, one bit per coordinate; one pass over all texts."""
+    """doc_id, n_shingles, digest of the set, band keys, parity bitmap; one pass over all texts."""
     bands, rows = bands_for(percent)
 
     def run(batches):
@@ -140,9 +140,8 @@ def sketches(docs: DataFrame, k: int, percent: int) -> DataFrame:
         for ids, texts in rows_of(batches):
             sets = [shingles(t, k, known) for t in texts]
             digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-            coordinates = sketch(sets, SKETCH)
-            keys = band_keys(coordinates[:, :bands * rows], bands, rows)
-            bits = np.packbits((mix(coordinates) & np.uint64(1)).astype(bool), axis=1).view(np.int64)
+            keys = band_keys(sketch(sets, bands * rows), bands, rows)
+            bits = parity(sets)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([int.from_bytes(d[:8], "little", signed=True) for d in digest], pa.int64()),
@@ -203,8 +202,10 @@ def link(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     shared = rows.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select(F.col("key").alias("k2"), "m")
     buckets = kept(rows.join(shared, F.col("key") == F.col("k2")).select("key", "rep", "m"), "buckets")
     crowd = buckets.groupBy("rep").agg(F.sum("m").alias("crowd")).withColumnRenamed("rep", "r")
-    reps = kept(crowd.join(firsts.select("rep", F.col("n_shingles").alias("n"), "bits"), F.col("r") == F.col("rep")).drop("rep")
-                .dropDuplicates(["r"]), "reps")
+    # an id that stands for several sets (a repeated doc_id with other texts) is only judged on full sets
+    facts = firsts.groupBy("rep").agg(F.max("n_shingles").alias("n"), F.first("bits").alias("bits"),
+                                      (F.min(F.struct("d1", "d2")) != F.max(F.struct("d1", "d2"))).alias("several"))
+    reps = kept(crowd.join(facts, F.col("r") == F.col("rep")).drop("rep"), "reps")
     small = docs.join(reps.select(F.col("r").alias("_r")), F.col("doc_id") == F.col("_r"), "left_semi")
     sets = kept(id_text(small).mapInArrow(_sets(k), "id long, n long, set binary"), "sets")
 
@@ -213,9 +214,10 @@ def link(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     first = members.join(hubs, F.col("key") == F.col("k2")).groupBy("rep").agg(F.max("hub").alias("hub")) \
         .select(F.col("rep").alias("u"), (-F.col("hub.col2")).alias("v")).where("u <> v")
     links = kept(confirmed(first, sets, percent), "links-0")
-    done, width, limit, tested = 0, PIVOTS, bit_limit(percent), None
+    done, width = 0, PIVOTS
+    tested = spark.createDataFrame([], "u long, v long")
+    comp = kept(connected(links), "components")
     while True:
-        comp = kept(connected(links), f"components-{done}")
         now = members.where(F.col("m") > done) \
             .join(comp, F.col("rep") == F.col("node"), "left").select("key", "rep", "crowd", F.coalesce("component", "rep").alias("comp"))
         open_keys = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
@@ -230,19 +232,21 @@ def link(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
             .withColumn("i", F.row_number().over(Window.partitionBy("key", "salt").orderBy(*order))).where(F.col("i") <= done + width)
         pivots = some.withColumn("i", F.row_number().over(Window.partitionBy("key").orderBy(*order))) \
             .where((F.col("i") > done) & (F.col("i") <= done + width)).select(F.col("key").alias("k2"), F.col("rep").alias("pivot"), F.col("comp").alias("pivot_comp"))
-        facts = reps.select("r", "n", "bits")
-        pivots = pivots.join(facts.toDF("p_r", "p_n", "p_bits"), F.col("pivot") == F.col("p_r"))
-        testers = now.where("comp <> hub_comp").select("key", "rep", "comp").join(facts, F.col("rep") == F.col("r"))
-        apart = sum((F.bit_count(F.get("bits", F.lit(i)).bitwiseXOR(F.get("p_bits", F.lit(i)))) for i in range(SKETCH // 64)), F.lit(0))
-        near = (F.col("key") == F.col("k2")) & (F.col("comp") != F.col("pivot_comp")) & (apart <= limit) \
-            & (100 * F.least("n", "p_n") >= percent * F.greatest("n", "p_n"))
-        pairs = testers.join(pivots, near).select(F.greatest("rep", "pivot").alias("u"), F.least("rep", "pivot").alias("v")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested.toDF("tu", "tv"), (F.col("u") == F.col("tu")) & (F.col("v") == F.col("tv")), "left_anti")
-        pairs = kept(pairs, f"pairs-{done}")
-        tested = pairs if tested is None else tested.union(pairs)
+        known = reps.select("r", "n", "several", "bits")
+        pivots = pivots.join(known.toDF("p_r", "p_n", "p_several", "p_bits"), F.col("pivot") == F.col("p_r"))
+        testers = now.where("comp <> hub_comp").select("key", "rep", "comp").join(known, F.col("rep") == F.col("r"))
+        apart = sum((F.bit_count(F.get("bits", F.lit(i)).bitwiseXOR(F.get("p_bits", F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
+        both = F.col("n") + F.col("p_n")
+        common = F.ceil(percent * both / (100 + percent))       # shingles that a linked pair shares at least
+        may = F.col("several") | F.col("p_several") | ((common <= F.least("n", "p_n")) & (apart <= both - 2 * common))
+        pairs = testers.join(pivots, (F.col("key") == F.col("k2")) & (F.col("comp") != F.col("pivot_comp")) & may) \
+            .select(F.greatest("rep", "pivot").alias("u"), F.least("rep", "pivot").alias("v")).distinct()
+        pairs = kept(pairs.join(tested.toDF("tu", "tv"), (F.col("u") == F.col("tu")) & (F.col("v") == F.col("tv")), "left_anti"), f"pairs-{done}")
+        tested = tested.union(pairs)
         done, width = done + width, width * PIVOT_GROWTH
-        links = kept(confirmed(pairs, sets, percent).union(comp.select("node", "component")), f"links-{done}")
+        new = kept(confirmed(pairs, sets, percent), f"links-{done}")
+        if not new.isEmpty():
+            comp = kept(connected(new.union(comp.select("node", "component"))), f"components-{done}")
     out = sk.join(classes.select(F.col("d1").alias("c1"), F.col("d2").alias("c2"), "rep"),
                   (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")) & (F.col("n_shingles") > 0), "left") \
         .join(comp, F.col("rep") == F.col("node"), "left")
