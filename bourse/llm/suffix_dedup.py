@@ -47,7 +47,7 @@ KMER = 24                    # bytes of an anchor
 SPAN = LENGTH - KMER + 1     # anchors a window chooses from
 WIDTH = SPAN - 1 + LENGTH    # bytes of an aligned string, at most
 BATCH = 8 << 20              # text bytes of a batch, about
-BUCKET = 32 << 20            # text bytes per bucket of anchors, about
+BUCKET = 16 << 20            # text bytes per bucket of anchors, about
 STEP = 1 << 20               # windows hashed at once
 
 _BYTE = np.random.default_rng(11).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -273,8 +273,9 @@ def column_wise(data: np.ndarray, offset: np.ndarray, before: np.ndarray, size:
     with its predecessor.
     """
     m = len(offset)
-    begin = SPAN - 1 - before                       # column of a string's first byte
-    order = np.arange(m)
+    offset, size = offset.astype(np.int64), size.astype(np.int32)
+    begin = (SPAN - 1 - before).astype(np.int32)    # column of a string's first byte
+    order = np.arange(m, dtype=np.int32)
     common = np.zeros(m, np.uint8)
     masks = np.zeros(m, np.uint32)
     far = np.int64(NULL_ID)
@@ -306,10 +307,11 @@ def column_wise(data: np.ndarray, offset: np.ndarray, before: np.ndarray, size:
 def _sorted_bucket(key: tuple, t: pa.Table) -> pa.Table:
     batch = t.column("batch").to_pylist()
     parts = [unpack(x) for x in t.column("data").to_pylist()]
-    before, size, ids, data = (np.concatenate([p[i] for p in parts]) for i in range(4))
-    before, size = before.astype(np.int64), size.astype(np.int64)
-    masks = column_wise(data, np.cumsum(size) - size, before, size, ids)
     cut = np.cumsum([len(p[0]) for p in parts])[:-1]
+    before, size, ids, data = (np.concatenate([p[i] for p in parts]) for i in range(4))
+    del parts
+    before, size = before.astype(np.int32), size.astype(np.int32)
+    masks = column_wise(data, np.cumsum(size, dtype=np.int64) - size, before, size, ids)
     return pa.table({"batch": pa.array(batch, pa.int64()), "bucket": pa.array([key[0].as_py()] * len(batch), pa.int32()),
                      "data": pa.array([pack(x) for x in np.split(masks, cut)], pa.binary())})
 
