@@ -110,7 +110,7 @@ def ablations(led: DataFrame, version: str = "v1") -> DataFrame:
     x = hist.select("bits", "n", each.alias("r")).select("bits", "n", "r.*")
     rest = F.col("bits").bitwiseAND(F.bitwise_not("bit"))
     return x.groupBy("rule").agg(
-        F.sum(F.when(F.col("bits").bitwiseAND("bit") != 0, F.col("n")).otherwise(0)).alias("n_fail"),
+        F.sum(F.when(F.col("bits").bitwiseAND(F.col("bit")) != 0, F.col("n")).otherwise(0)).alias("n_fail"),
         F.sum(F.when(F.col("bits") == F.col("bit"), F.col("n")).otherwise(0)).alias("n_fail_alone"),
         F.sum(F.when(rest == 0, F.col("n")).otherwise(0)).alias("kept_without"))
 
