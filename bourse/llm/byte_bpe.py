@@ -42,6 +42,7 @@ LONG = 256                # bytes of a piece beyond which Python's heap merges i
 SLOTS = 1 << 14
 BUCKET = 32 << 20         # text bytes per bucket of words, about
 NO_RANK = 2 ** 31 - 1
+PLAN_TEXT = 20_000
 #: The pattern's white space, spelled out: the same characters whichever library reads it.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
@@ -222,6 +223,9 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, carry: list[str] | No
     t.select("batch", "words").mapInArrow(_ask(lambda: Splitter(pattern), n), REQUEST_DDL).write.parquet(f"{path}/requests")
     asked = spark.read.parquet(f"{path}/requests").repartition(n, "bucket")
     words = asked.groupBy("bucket").applyInArrow(_distinct, "bucket int, word binary")
+    # the literals are megabytes of text in every printed plan: keep printed plans short in this session
+    if int(spark.conf.get("spark.sql.maxPlanStringLength", str(2 ** 31 - 16)).rstrip("bB")) > PLAN_TEXT:
+        spark.conf.set("spark.sql.maxPlanStringLength", str(PLAN_TEXT))
     literal, pieces = rank_literal(ranks), piece_literal(ranks)
     coded = words.withColumn("ids", encode_word(F.col("word"), literal)).withColumn("decoded", decode_ids(F.col("ids"), pieces))
     answers = coded.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_answer, ANSWER_DDL)

@@ -54,7 +54,7 @@ K, PERCENT = 5, 80          # words a shingle, least similarity in percent: the
 MISS = 1e-8
 BITS = 1024                 # of a representative's parity bitmap
 WORD_CACHE = 300_000
-PIVOTS, PIVOT_GROWTH = 8, 8  # pivots of a bucket in the first round, and the growth of their number
+PIVOTS, PIVOT_GROWTH = 64, 64  # pivots of a bucket in the first round, and the growth of their number
 SALTS = 16
 
 
