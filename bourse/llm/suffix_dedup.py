@@ -48,7 +48,7 @@ SPAN = LENGTH - KMER + 1     # anchors a window chooses from
 WIDTH = SPAN - 1 + LENGTH    # bytes of an aligned string, at most
 BATCH = 8 << 20              # text bytes of a batch, about
 BUCKET = 16 << 20            # text bytes per bucket of anchors, about
-STEP = 1 << 20               # windows hashed at once
+STEP = 1 << 18               # windows hashed at once
 
 _BYTE = np.random.default_rng(11).integers(0, 1 << 64, 256, dtype=np.uint64)
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
@@ -93,7 +93,8 @@ def anchors(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray):
         p = j + (v[j] & np.uint64(31)).astype(np.int64)
         first = np.flatnonzero(np.r_[True, (p[1:] != p[:-1]) | (j[1:] != j[:-1] + 1)])
         last = np.r_[first[1:], len(j)] - 1
-        found.append((v[j[first]] >> np.uint64(16), p[first] + at, j[first] + at, j[last] + at))
+        # least hashes are small numbers: scrambled once more, ranges of them are even buckets
+        found.append((_scramble(v[j[first]] & ~np.uint64(31)) >> np.uint64(16), p[first] + at, j[first] + at, j[last] + at))
     if not found:
         z = np.zeros(0, np.int64)
         return np.zeros(0, np.uint64), z, z, z, z
@@ -229,8 +230,8 @@ def _strings(n: int):
         raw = np.r_[x.buf, np.zeros(_PAD, np.uint8)]
         number = np.empty(len(h), np.uint64)
         span = np.arange(_PAD)
-        for a in range(0, len(h), 1 << 15):
-            s = slice(a, a + (1 << 15))
+        for a in range(0, len(h), 1 << 13):
+            s = slice(a, a + (1 << 13))
             rows = raw[lo[s, None] + span]
             rows[span >= size[s, None]] = 0
             number[s] = _row_ids(rows, before[s] * 128 + size[s])
@@ -239,8 +240,8 @@ def _strings(n: int):
         h, p, lo, size, before, ids, number = (a[order] for a in (h, p, lo, size, before, ids, number))
         new = np.r_[True, (h[1:] != h[:-1]) | (number[1:] != number[:-1])]
         # the 64-bit numbers only propose: a string that differs from its neighbour starts a group of its own
-        for a in range(1, len(h), 1 << 15):
-            s, t = slice(a, min(len(h), a + (1 << 15))), slice(a - 1, min(len(h), a + (1 << 15)) - 1)
+        for a in range(1, len(h), 1 << 13):
+            s, t = slice(a, min(len(h), a + (1 << 13))), slice(a - 1, min(len(h), a + (1 << 13)) - 1)
             inside = span < size[s, None]
             differ = ((raw[lo[s, None] + span] != raw[lo[t, None] + span]) & inside).any(axis=1)
             new[s] |= differ | (size[s] != size[t]) | (before[s] != before[t])
