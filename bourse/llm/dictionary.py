@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from bourse.llm.blobs import bucketed, numbered, pack, to_ipc, unpack
 from bourse.llm.common import NULL_ID, small_arrow_batches
 
-BATCH = 16 << 20     # text bytes of a batch, about
+BATCH = 8 << 20      # text bytes of a batch, about
 
 SCHEMA = pa.schema([("batch", pa.int64()), ("ids", pa.binary()), ("nulls", pa.binary()), ("counts", pa.binary()),
                     ("tokens", pa.binary()), ("words", pa.binary()), ("rest", pa.binary())])

@@ -181,18 +181,22 @@ class Tokens:
             out[word] = values[tokens]
             return out
 
-        self.hash = _mix(spread(h.astype(np.uint64), END_HASH, np.uint64))
-        self.c = spread(c.astype(np.int64), classes.end_count, np.int64)
-        self.k = spread(k, END_CLASS if classes.end_count else UNKNOWN, np.int64)
-        self.share = spread(share, 0.0, np.float64)
+        self.c = spread(c, classes.end_count, np.int64)
+        self.k = spread(k, END_CLASS if classes.end_count else UNKNOWN, np.uint8)
+        self.share = spread(share, 0.0, np.float32)
         stand = (c == 1) & (h & 1 == 0)                        # half of the words seen once
-        self.target = spread(np.where(stand, UNKNOWN, k), END_CLASS, np.int64)
-        before = np.r_[_mix(np.array([END_HASH])), self.hash[:-1]]
-        second = np.r_[_mix(np.array([END_HASH])), before[:-1]]
-        second[self.starts] = _mix(np.array([END_HASH]))       # a text's first word has no history
-        both = _mix(before * np.uint64(0x9E3779B97F4A7C15) + second)
-        rows_of = lambda x, i: (x % np.uint64(ROWS[i])).astype(np.int64) + sum(ROWS[:i])
-        self.features = np.stack([rows_of(before, 0), rows_of(second, 1), rows_of(both, 2)])
+        self.target = spread(np.where(stand, np.uint8(UNKNOWN), k), END_CLASS, np.uint8)
+        first = _mix(np.array([END_HASH]))
+        before = np.r_[first, _mix(spread(h, END_HASH, np.uint64))[:-1]]
+        second = np.r_[first, before[:-1]]
+        second[self.starts] = first                            # a text's first word has no history
+        self.features = np.empty((3, n), np.int32)
+        for i, x in enumerate((before, second, None)):
+            if x is None:
+                before *= np.uint64(0x9E3779B97F4A7C15)
+                before += second
+                x = _mix(before)
+            self.features[i] = (x % np.uint64(ROWS[i])).astype(np.int32) + sum(ROWS[:i])
 
 
 def log_softmax(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
