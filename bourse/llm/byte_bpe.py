@@ -1,14 +1,12 @@
 r"""Operator 9: byte-level BPE encoding and decoding with Spark's higher-order functions.
 
 Texts are cut by the public pattern into pieces; each distinct piece of the
-corpus is encoded once, in SQL expressions: its bytes become an array, and
+corpus is encoded once, in SQL expressions: its bytes become an array of ids, and
 ``aggregate`` folds one merge a step over it, always the lowest-ranked neighbour
-pair, leftmost first, until no pair has a rank.  Ranks come from a literal map
-in the expression, dealt over slots by crc32 so that a look-up reads one slot.
-Decoding looks up each id's bytes in a literal array and concatenates them.
-
-Bytes are held as hexadecimal text inside the expression, two characters a byte,
-because JSON, through which the literals pass, has no binary keys.
+pair, leftmost first, until no pair has a rank.  Ranks come from a literal map in
+the expression, from each pair of ids to the rank of their bytes together, dealt
+over slots so that a look-up reads one slot.  Decoding looks up each id's bytes
+in a literal array and concatenates them.
 
 Encodings reach the texts through ``dictionary``: a batch asks once for each of
 its distinct pieces.  Pieces over ``LONG`` bytes, for which a fold of array copies
@@ -39,7 +37,7 @@ from bourse.llm.dictionary import (ANSWER_DDL, ANSWER_SCHEMA, REQUEST_DDL, REQUE
 from bourse.session import scratch_path
 
 LONG = 256                # bytes of a piece beyond which Python's heap merges it
-SLOTS = 1 << 14
+SLOTS = 1 << 16
 BUCKET = 32 << 20         # text bytes per bucket of words, about
 NO_RANK = 2 ** 31 - 1
 PLAN_TEXT = 20_000
@@ -73,65 +71,85 @@ class Splitter:
 
 # --- merges in SQL expressions ----------------------------------------------
 
-def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """array<map<hex, rank>>: slot crc32(hex) mod SLOTS of the array holds the pieces of that slot."""
-    slots: list[dict] = [{} for _ in range(SLOTS)]
-    for piece, rank in ranks.items():
-        h = piece.hex()
-        slots[zlib.crc32(h.encode()) % SLOTS][h] = rank
-    return F.from_json(F.lit(json.dumps(slots, separators=(",", ":"))), "array<map<string,int>>")
+def _json(value, ddl: str) -> Column:
+    """A constant: folded once when the plan is optimised."""
+    return F.from_json(F.lit(json.dumps(value, separators=(",", ":"))), ddl)
 
 
-def piece_literal(ranks: dict[bytes, int]) -> Column:
-    """array<hex>: element id + 1 is the id's bytes."""
-    by_id = [""] * (max(ranks.values(), default=-1) + 1)
+def literals(ranks: dict[bytes, int]) -> dict[str, Column]:
+    """The rank map as constants of the expression.
+
+    pairs: slot (31 a + b) mod SLOTS holds, for each two ids a, b whose bytes
+    together have a rank, b and that rank (a follows from slot and b).
+    whole: slot crc32(hex) mod SLOTS holds pieces in hexadecimal and their ranks.
+    bytes: id of each byte; text: bytes of each id.
+    """
+    pairs = [{"k": [], "v": []} for _ in range(SLOTS)]
+    whole: list[dict] = [{} for _ in range(SLOTS)]
+    text: list = [""] * (max(ranks.values(), default=-1) + 1)
     for piece, rank in ranks.items():
-        by_id[rank] = piece.hex()
-    return F.from_json(F.lit(json.dumps(by_id)), "array<string>")
+        h = piece.hex()
+        whole[zlib.crc32(h.encode()) % SLOTS][h] = rank
+        text[rank] = base64.b64encode(piece).decode()
+        for i in range(1, len(piece)):
+            a, b = ranks.get(piece[:i]), ranks.get(piece[i:])
+            if a is not None and b is not None:
+                slot = pairs[(31 * a + b) % SLOTS]
+                slot["k"].append(b)
+                slot["v"].append(rank)
+    return {"pairs": _json(pairs, "array<struct<k:array<int>,v:array<int>>>"), "whole": _json(whole, "array<map<string,int>>"),
+            "bytes": _json([ranks.get(bytes([i]), -1) for i in range(256)], "array<int>"), "text": _json(text, "array<binary>")}
 
 
-def rank_of(ranks: Column, piece: Column) -> Column:
-    slot = F.element_at(ranks, (F.pmod(F.crc32(piece.cast("binary")), F.lit(SLOTS)) + 1).cast("int"))
-    return F.coalesce(F.try_element_at(slot, piece), F.lit(NO_RANK))
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def encode_word(word: Column, ranks: Column) -> Column:
-    """array<int>: the ids of one piece (binary, not empty)."""
-    text = F.hex(word)
-    lower = F.lower(text)
+def encode_word(word: Column, lit: dict[str, Column]) -> Column:
+    """array<int>: the ids of one piece (binary, not empty).
+
+    State of the fold: p, the ids of the parts, and r, the rank of each
+    neighbour pair (an id is its rank) between two entries that stand for the ends.
+    """
     count = F.length(word)
-    letters = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.substring(lower, i * 2 + 1, 2))
-    pairs = F.when(count > 1, F.transform(F.sequence(F.lit(0), count - 2), lambda i: rank_of(ranks, F.substring(lower, i * 2 + 1, 4)))) \
-        .otherwise(F.array().cast("array<int>"))
-    start = F.struct(letters.alias("p"), pairs.alias("r"))
+
+    def rank_of(pair: Column) -> Column:
+        slot = F.get(lit["pairs"], (pair["a"] * 31 + pair["b"]).bitwiseAND(F.lit(SLOTS - 1)))
+        return let(slot, lambda s: F.coalesce(F.get(s["v"], (F.array_position(s["k"], pair["b"]) - 1).cast("int")), F.lit(NO_RANK)))
+
+    def pair_of(a: Column, b: Column) -> Column:
+        return F.struct(a.alias("a"), b.alias("b"))
+
+    letters = let(F.decode(word, "ISO-8859-1"), lambda s: F.transform(
+        F.sequence(F.lit(1), count), lambda i: F.get(lit["bytes"], F.ascii(F.substring(s, i, 1)))))
+    start = let(letters, lambda p: F.struct(p.alias("p"), F.transform(
+        F.sequence(F.lit(0), F.size(p)), lambda i: rank_of(pair_of(F.get(p, i - 1), F.get(p, i)))).alias("r")))
 
     def step(acc, _):
-        """One merge: the leftmost pair of the lowest rank becomes one part, its two neighbours' ranks are looked up."""
+        """One merge: the leftmost pair of the least rank becomes one part; the ranks beside it are looked up."""
         p, r = acc["p"], acc["r"]
 
-        def merge(at):  # 1-based place of the pair
-            n = F.size(p)
-            one = F.concat(F.get(p, at - 1), F.get(p, at))
-            before = F.when(at > 1, F.array(rank_of(ranks, F.concat(F.get(p, at - 2), one)))).otherwise(F.array().cast("array<int>"))
-            after = F.when(at + 1 < n, F.array(rank_of(ranks, F.concat(one, F.get(p, at + 1))))).otherwise(F.array().cast("array<int>"))
+        def merge(at):  # place of the pair in r, from 1; it joins p[at - 2] and p[at - 1]
+            one = F.get(r, at - 1)
+            beside = F.array(pair_of(F.get(p, at - 3), one), pair_of(one, F.get(p, at)))
             return F.struct(
-                F.concat(F.slice(p, F.lit(1), at - 1), F.array(one), F.slice(p, at + 2, F.greatest(n - at - 1, F.lit(0)))).alias("p"),
-                F.concat(F.slice(r, F.lit(1), F.greatest(at - 2, F.lit(0))), before, after,
-                         F.slice(r, at + 2, F.greatest(F.size(r) - at - 1, F.lit(0)))).alias("r"))
+                F.concat(F.slice(p, F.lit(1), at - 2), F.array(one), F.slice(p, at + 1, F.size(p))).alias("p"),
+                F.concat(F.slice(r, F.lit(1), at - 2), F.transform(beside, rank_of), F.slice(r, at + 2, F.size(r))).alias("r"))
 
-        best = F.array_min(r)
-        place = F.array(F.array_position(r, best).cast("int"))
-        return F.when(F.coalesce(best, F.lit(NO_RANK)) == NO_RANK, acc).otherwise(F.get(F.transform(place, merge), F.lit(0)))
+        return let(F.array_min(r), lambda best: F.when(best == NO_RANK, acc).otherwise(
+            let(F.array_position(r, best).cast("int"), merge)))
 
     steps = F.when(count > 1, F.sequence(F.lit(1), count - 1)).otherwise(F.array().cast("array<int>"))
-    folded = F.aggregate(steps, start, step, lambda acc: F.transform(acc["p"], lambda x: rank_of(ranks, x)))
-    whole = rank_of(ranks, lower)
-    return F.when(whole != NO_RANK, F.array(whole)).otherwise(folded)
+    folded = F.aggregate(steps, start, step, lambda acc: acc["p"])
+    whole = let(F.lower(F.hex(word)), lambda h: F.try_element_at(
+        F.get(lit["whole"], F.pmod(F.crc32(h.cast("binary")), F.lit(SLOTS)).cast("int")), h))
+    return let(whole, lambda w: F.when(w.isNotNull(), F.array(w)).otherwise(folded))
 
 
-def decode_ids(ids: Column, pieces: Column) -> Column:
+def decode_ids(ids: Column, lit: dict[str, Column]) -> Column:
     """binary: the concatenated bytes of an array of ids."""
-    return F.aggregate(ids, F.lit(b""), lambda acc, i: F.concat(acc, F.unhex(F.element_at(pieces, i + 1))))
+    return F.aggregate(ids, F.lit(b""), lambda acc, i: F.concat(acc, F.get(lit["text"], i)))
 
 
 def heap_merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -226,8 +244,8 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, carry: list[str] | No
     # the literals are megabytes of text in every printed plan: keep printed plans short in this session
     if int(spark.conf.get("spark.sql.maxPlanStringLength", str(2 ** 31 - 16)).rstrip("bB")) > PLAN_TEXT:
         spark.conf.set("spark.sql.maxPlanStringLength", str(PLAN_TEXT))
-    literal, pieces = rank_literal(ranks), piece_literal(ranks)
-    coded = words.withColumn("ids", encode_word(F.col("word"), literal)).withColumn("decoded", decode_ids(F.col("ids"), pieces))
+    lit = literals(ranks)
+    coded = words.withColumn("ids", encode_word(F.col("word"), lit)).withColumn("decoded", decode_ids(F.col("ids"), lit))
     answers = coded.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_answer, ANSWER_DDL)
     ddl = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, token_ids array<int>"
     if carry:
