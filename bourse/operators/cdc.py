@@ -23,27 +23,49 @@ def _order(seq: str, tie_break: Sequence[str], desc: bool) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in cols]
 
 
+def content_hash(df: DataFrame) -> Column:
+    """A hash of a row's content: the last tie-break, so that results do not depend on arrival order."""
+    def plain(f) -> Column:
+        c = F.col(f"`{f.name}`")
+        return F.to_json(F.struct(c)) if "map<" in f.dataType.simpleString() else c
+    return F.xxhash64(*[plain(f) for f in df.schema.fields])
+
+
+def _any_null(keys: Sequence[str]) -> Column:
+    cond = F.lit(False)
+    for k in keys:
+        cond = cond | F.col(k).isNull()
+    return cond
+
+
 def scd1(changes: DataFrame, keys: Sequence[str], seq: str,
-         tie_break: Sequence[str] = ()) -> DataFrame:
-    """Latest row per key by ``seq`` (D1).  A late row with a lower sequence never
-    replaces a newer one.  ``row_number() = 1`` is planned as a partial
+         tie_break: Sequence[str] = (), keep_null_keys: bool = False) -> DataFrame:
+    """Latest row per key by ``seq`` (D1).  Ties go to the greatest ``tie_break``,
+    then to the greatest content hash.  ``keep_null_keys`` passes rows with a NULL
+    key on as they are (flag-and-keep tables) instead of treating NULL as one key.
+    A late row with a lower sequence never replaces a newer one.  ``row_number() = 1`` is planned as a partial
     ``WindowGroupLimit`` before the shuffle, so a hot key is cut to one row per
     map task before it moves."""
-    w = Window.partitionBy(*keys).orderBy(*_order(seq, tie_break, desc=True))
-    return (changes.withColumn("__rn", F.row_number().over(w))
-                   .filter(F.col("__rn") == 1).drop("__rn"))
+    w = Window.partitionBy(*keys).orderBy(*_order(seq, tie_break, desc=True), content_hash(changes).desc())
+    keyed = changes.filter(~_any_null(keys)) if keep_null_keys else changes
+    out = (keyed.withColumn("__rn", F.row_number().over(w))
+                .filter(F.col("__rn") == 1).drop("__rn"))
+    return out.unionByName(changes.filter(_any_null(keys))) if keep_null_keys else out
 
 
-def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
-    """First row per key (D4).  Batch: earliest by ``order`` (deterministic).
+def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None,
+                keep_null_keys: bool = False) -> DataFrame:
+    """First row per key (D4).  Batch: earliest by ``order``, ties by content hash.
     Streaming: ``dropDuplicates`` (first arrival wins; state per key)."""
     if df.isStreaming:
         return df.dropDuplicates(list(keys))
     if not order:
         raise ValueError("batch dedup_first needs an order for a deterministic result")
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    return (df.withColumn("__rn", F.row_number().over(w))
-              .filter(F.col("__rn") == 1).drop("__rn"))
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order], content_hash(df))
+    keyed = df.filter(~_any_null(keys)) if keep_null_keys else df
+    out = (keyed.withColumn("__rn", F.row_number().over(w))
+                .filter(F.col("__rn") == 1).drop("__rn"))
+    return out.unionByName(df.filter(_any_null(keys))) if keep_null_keys else out
 
 
 def dedup_within_watermark(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:

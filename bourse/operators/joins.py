@@ -23,14 +23,15 @@ def enrich_latest(facts: DataFrame, ref: DataFrame, fact_key: str, ref_key: str,
                   broadcast_limit: int | None = None) -> DataFrame:
     """Left join every fact row to the latest reference row of its key (F1).
 
-    Works for a batch or a streaming ``facts`` side (a stream-static join: the
-    static side is re-planned each micro-batch, so it sees new reference rows).
+    Works for a batch or a streaming ``facts`` side.  In a stream-static join a
+    reference read from files keeps the file list it had when the stream
+    started; where reference rows arrive meanwhile, join in
+    ``streaming.runners.run_each``, which reads the reference for each batch.
     The latest-reference side has one row per key; it is broadcast only when the
     optimizer's size estimate is under the limit, else AQE picks the strategy
     at run time (streaming plans keep the shuffle join).
 
-    In a stream the static side is re-planned every micro-batch.  When the
-    reference table is large, materialise ``latest_reference`` (one row per
+    When the reference table is large, materialise ``latest_reference`` (one row per
     key) as its own refreshed table and pass that as ``ref`` with
     ``order`` on the same columns: each micro-batch then reads one row per
     key instead of rescanning the whole reference history.

@@ -1,126 +1,95 @@
 """Rank and percent rank without one task per partition key (H8).
 
 ``Window.partitionBy(part).orderBy(v)`` sends a whole partition key (or, with
-no key, the whole table) to one task.  Here the rows are range-partitioned on
-(part, v) -- equal (part, v) always land in the same range -- and sorted
-within each range; a vectorised pass over each range gives the local rank,
-and a tiny table of row counts per (range, part) gives each range its offset.
-The ranked rows are checkpointed once so the counts and the local ranks come
-from one range shuffle.
-Result: ``rank`` with SQL semantics (ties share the lowest rank) and
-``percent_rank`` = (rank - 1) / (n - 1), 0 for a single row.
+no key, the whole table) to one task.  A rank only depends on how many rows
+have each value, so here rows are first counted by (part, value), combined
+map-side: a value that very many rows share is one row from then on.  The
+distinct values are dealt into buckets by a fixed monotone function of the
+value; a running count within each bucket plus the counts of the buckets before
+it gives each value's rank, which joins back on (part, value).  Values keep
+their own types, nothing is sampled, materialised or run while the plan is
+built, and a hot value is only a skewed join key (split by AQE).
+
+Result: ``rank`` with SQL semantics (ties share the lowest rank; NaN is the
+greatest value) and ``percent_rank`` = (rank - 1) / (n - 1), 0 for a single row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# buckets per factor e of a value's size: values of one magnitude spread over this many
+BUCKETS_PER_E = 64
+_FAR = 1 << 20
 
-def _local_rank(part: list[str], value: str, desc: bool):
-    def fn(batches):
-        carry = None  # (part tuple, value, pos, rank)
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            idx = np.arange(n)
-            g_chg = np.zeros(n, dtype=bool)
-            for c in part:
-                s = pdf[c]
-                prev = s.shift(1)
-                same = (s == prev) | (s.isna() & prev.isna())
-                g_chg |= ~same.to_numpy(dtype=bool)
-            v = pdf[value]
-            pv = v.shift(1)
-            v_chg = ~((v == pv) | (v.isna() & pv.isna())).to_numpy(dtype=bool)
-            if carry is None:
-                g_chg[0] = True
-            else:
-                first_part = tuple(pdf[c].iloc[0] for c in part)
-                same_g = all((a == b) or (pd.isna(a) and pd.isna(b))
-                             for a, b in zip(first_part, carry[0]))
-                g_chg[0] = not same_g
-                fv = v.iloc[0]
-                v_chg[0] = g_chg[0] or not ((fv == carry[1]) or (pd.isna(fv) and pd.isna(carry[1])))
-            v_chg |= g_chg
-            gstart = np.maximum.accumulate(np.where(g_chg, idx, -1))
-            base = 0 if carry is None else carry[2]
-            pos = np.where(gstart >= 0, idx - gstart + 1, base + idx + 1)
-            vstart = np.maximum.accumulate(np.where(v_chg, idx, -1))
-            carry_rank = 0 if carry is None else carry[3]
-            rank = np.where(vstart >= 0, pos[np.maximum(vstart, 0)], carry_rank)
-            out = pdf.copy()
-            out["__lrank"] = rank.astype("int64")
-            last = n - 1
-            carry = (tuple(pdf[c].iloc[last] for c in part), v.iloc[last],
-                     int(pos[last]), int(rank[last]))
-            yield out
-    return fn
 
+def order_bucket(value: Column, kind: T.DataType) -> Column:
+    """A whole number that never falls as the value grows; NULL for NULL.
 
-# offset tables up to this many rows (a few dozen bytes each) are broadcast
-OFFSET_BROADCAST_ROWS = 1_000_000
+    Numbers, dates and timestamps: sign(v) * log(1 + |v|), scaled.  Other types
+    share one bucket, where the running count is a plain sorted scan of the
+    distinct values.
+    """
+    if isinstance(kind, T.TimestampNTZType):
+        value = value.cast("timestamp")
+    if isinstance(kind, T.DateType):
+        v = F.unix_date(value).cast("double")
+    elif isinstance(kind, (T.NumericType, T.TimestampType, T.TimestampNTZType)):
+        v = value.cast("double")
+    else:
+        return F.when(value.isNotNull(), F.lit(0).cast("long"))
+    spread = F.floor(F.signum(v) * F.log1p(F.abs(v)) * BUCKETS_PER_E)
+    return (F.when(F.isnan(v) | (v == float("inf")), F.lit(_FAR).cast("long"))
+            .when(v == float("-inf"), F.lit(-_FAR).cast("long")).otherwise(spread.cast("long")))
 
 
 def rank_within(df: DataFrame, part: Sequence[str], value: str, out: str = "rank",
-                desc: bool = True, pct_out: str | None = None,
-                num_ranges: int | None = None, nulls: str = "last") -> DataFrame:
-    """Add ``out`` = rank of ``value`` within ``part`` (desc by default, NULLs
-    last) and optionally ``pct_out`` = percent rank.
+                desc: bool = True, pct_out: str | None = None, nulls: str = "last") -> DataFrame:
+    """Add ``out`` = rank of ``value`` within ``part`` (bigint; desc by default,
+    NULLs last) and optionally ``pct_out`` = percent rank.
 
     ``nulls="exclude"``: NULL values get NULL ranks and do not count in the
     percent-rank denominator (NULLs sort last, so other ranks are unchanged).
     """
     part = list(part)
-    spark = df.sparkSession
-    n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vord = F.col(value).desc_nulls_last() if desc else F.col(value).asc_nulls_last()
-    sort_cols = [F.col(p).asc_nulls_first() for p in part] + [vord]
-    r = (df.repartitionByRange(n, *sort_cols)
-           .sortWithinPartitions(*sort_cols)
-           .withColumn("__pid", F.spark_partition_id()))
-    schema = T.StructType(r.schema.fields + [T.StructField("__lrank", T.LongType())])
-    # Range bounds are sampled per shuffle, so two plans reading ``r`` could
-    # disagree on a row's range.  Materialise the ranked rows once (reliable
-    # checkpoint in the shared checkpoint folder, survives executor loss) and
-    # take the counts from that same data.
-    ranked = r.mapInPandas(_local_rank(part, value, desc), schema).checkpoint(eager=True)
-    counts = ranked.groupBy("__pid", *part).agg(F.count(F.lit(1)).alias("__n"),
-                                           F.count(F.col(value)).alias("__nn"))
-    wp = Window.partitionBy(*part).orderBy("__pid")
-    offsets = counts.select(
-        "__pid", *part,
-        F.coalesce(F.sum("__n").over(wp.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("__off"),
-        F.sum("__nn" if nulls == "exclude" else "__n").over(Window.partitionBy(*part))
-        .alias("__tot"))
-    # one row per (range, part): at most ranges + distinct parts - 1 rows.
-    # Count it exactly (cached; if lost it is rebuilt from the checkpointed
-    # ranked rows) and broadcast it when that count is under the limit, so the
-    # ranked rows are joined map-side instead of being shuffled a second time;
-    # above the limit it stays a shuffle join.
-    offsets = offsets.persist()
-    if not part or offsets.count() <= OFFSET_BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
-    # NULL is a partition value like any other: join null-safe on the parts
-    o = offsets.select(F.col("__pid").alias("__opid"), *[F.col(p).alias(f"__o_{p}") for p in part],
-                       "__off", "__tot")
-    cond = ranked["__pid"] == o["__opid"]
-    for p in part:
-        cond = cond & ranked[p].eqNullSafe(o[f"__o_{p}"])
-    j = ranked.join(o, cond, "left").drop("__opid", *[f"__o_{p}" for p in part])
-    res = j.withColumn(out, (F.col("__lrank") + F.col("__off")).cast("int"))
+    names = [f"__rk_p{i}" for i in range(len(part))]
+    v = F.col("__rk_v")
+
+    def ordered(c: str) -> Column:
+        return F.col(c).desc_nulls_last() if desc else F.col(c).asc_nulls_last()
+
+    keys = [F.col(p).alias(n) for p, n in zip(part, names)]
+    counts = df.select(*keys, F.col(value).alias("__rk_v")).groupBy(*names, "__rk_v").agg(F.count(F.lit(1)).alias("__rk_n"))
+    counts = counts.withColumn("__rk_b", order_bucket(v, df.schema[value].dataType))
+    before = Window.unboundedPreceding, -1
+    inside = counts.withColumn("__rk_in", F.sum("__rk_n").over(
+        Window.partitionBy(*names, "__rk_b").orderBy(ordered("__rk_v")).rowsBetween(*before)))
+    # one row per part and bucket: a few thousand per part at most
+    sums = counts.groupBy(*names, "__rk_b").agg(
+        F.sum("__rk_n").alias("__rk_s"),
+        F.sum(F.when(v.isNotNull(), F.col("__rk_n")).otherwise(0)).alias("__rk_sv"))
+    off = sums.select(
+        *[F.col(n).alias(f"{n}b") for n in names], F.col("__rk_b").alias("__rk_bb"),
+        F.sum("__rk_s").over(Window.partitionBy(*names).orderBy(ordered("__rk_b")).rowsBetween(*before)).alias("__rk_off"),
+        F.sum("__rk_sv" if nulls == "exclude" else "__rk_s").over(Window.partitionBy(*names)).alias("__rk_tot"))
+    same = F.col("__rk_b").eqNullSafe(F.col("__rk_bb"))
+    for n in names:  # NULL is a partition value like any other
+        same = same & F.col(n).eqNullSafe(F.col(f"{n}b"))
+    rank = F.lit(1) + F.coalesce("__rk_in", F.lit(0)) + F.coalesce("__rk_off", F.lit(0))
     if nulls == "exclude":
-        res = res.withColumn(out, F.when(F.col(value).isNotNull(), F.col(out)))
+        rank = F.when(v.isNotNull(), rank)
+    ranks = inside.join(off, same).select(*names, "__rk_v", rank.cast("long").alias("__rk_rank"), "__rk_tot")
+    back = F.col(value).eqNullSafe(F.col("__rk_v"))
+    for p, n in zip(part, names):
+        back = back & F.col(p).eqNullSafe(F.col(n))
+    res = df.join(ranks, back).withColumn(out, F.col("__rk_rank"))
     if pct_out:
         res = res.withColumn(
             pct_out, F.when(F.col(out).isNull(), F.lit(None))
-            .when(F.col("__tot") <= 1, F.lit(0.0))
-            .otherwise((F.col(out) - 1).cast("double") / (F.col("__tot") - 1).cast("double")))
-    return res.drop("__pid", "__lrank", "__off", "__tot")
+            .when(F.col("__rk_tot") <= 1, F.lit(0.0))
+            .otherwise((F.col(out) - 1).cast("double") / (F.col("__rk_tot") - 1).cast("double")))
+    return res.drop(*names, "__rk_v", "__rk_rank", "__rk_tot")

@@ -37,6 +37,15 @@ def part_cols(keys: Sequence[str], segmented: bool) -> list[str]:
     return [*keys, SEG] if segmented else list(keys)
 
 
+def _join_back(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of a per-(key, segment) summary; NULL is a key like any other."""
+    summary = summary.withColumnsRenamed({k: f"__on_{k}" for k in [*keys, SEG]})
+    on = F.lit(True)
+    for k in [*keys, SEG]:
+        on = on & F.col(k).eqNullSafe(F.col(f"__on_{k}"))
+    return rows.join(summary, on, "left").drop(*[f"__on_{k}" for k in [*keys, SEG]])
+
+
 def _order_struct(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
@@ -61,7 +70,7 @@ def seg_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str],
               .agg(F.max_by("__v", _order_struct(order)).alias("__last")))
     wb = Window.partitionBy(*keys).orderBy(SEG)
     carry = last.select(*keys, SEG, F.lag("__last").over(wb).alias("__carry"))
-    j = local.join(carry, on=[*keys, SEG], how="left")
+    j = _join_back(local, carry, keys)
     return (j.withColumn(out, F.when(F.col("__rn") == 1, F.col("__carry"))
                                 .otherwise(F.col("__prev_local")))
              .drop("__v", "__rn", "__prev_local", "__carry"))
@@ -82,7 +91,7 @@ def seg_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                .agg(F.min_by("__v", _order_struct(order)).alias("__first")))
     wb = Window.partitionBy(*keys).orderBy(SEG)
     carry = first.select(*keys, SEG, F.lead("__first").over(wb).alias("__carry"))
-    j = local.join(carry, on=[*keys, SEG], how="left")
+    j = _join_back(local, carry, keys)
     return (j.withColumn(out, F.when(F.col("__rn_rev") == 1, F.col("__carry"))
                                 .otherwise(F.col("__next_local")))
              .drop("__v", "__rn_rev", "__next_local", "__carry"))
@@ -105,6 +114,6 @@ def seg_running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     wb = (Window.partitionBy(*keys).orderBy(SEG)
           .rowsBetween(Window.unboundedPreceding, -1))
     carry = seg_max.select(*keys, SEG, F.max("__segmax").over(wb).alias("__carry"))
-    j = local.join(carry, on=[*keys, SEG], how="left")
+    j = _join_back(local, carry, keys)
     return (j.withColumn(out, F.greatest(F.col("__run_local"), F.col("__carry")))
              .drop("__v", "__run_local", "__carry"))

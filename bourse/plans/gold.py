@@ -243,8 +243,8 @@ def stock_scorecard(dim: DataFrame, daily_quote: DataFrame, analyst: DataFrame,
     part = ["metric_date"]
     pos = {"pe_ttm": "v_pe", "pb": "v_pb", "ev_ebitda_ttm": "v_ev"}
     t = t.withColumns({v: F.when(F.col(c) > 0, F.col(c)) for c, v in pos.items()})
-    # the ranks below sample their input for range bounds and read it more than
-    # once: materialise the joined base once in the shared checkpoint folder
+    # the ranks below read their input more than once: materialise the joined
+    # base once in the shared checkpoint folder
     t = t.checkpoint(eager=True)
     measures = ["return_52w", "percent_change", "profitability_score", "roe_ttm", *pos.values()]
     # all percent ranks in one distributed rank pass: long form, rank per
@@ -271,9 +271,7 @@ def stock_scorecard(dim: DataFrame, daily_quote: DataFrame, analyst: DataFrame,
     comp = sum((F.coalesce(F.col(s), F.lit(50.0)) for s in subs[1:]),
                F.coalesce(F.col(subs[0]), F.lit(50.0))) / F.lit(4.0)
     t = t.withColumn("composite_score", comp)
-    # cut the lineage before the two final ranks (each reads its input twice);
-    # checkpoint() writes to the shared spark.checkpoint.dir
-    t = t.drop(*[c for c in t.columns if c.startswith("__")]).checkpoint(eager=True)
+    t = t.drop(*[c for c in t.columns if c.startswith("__")])
     # both final ranks in one distributed pass: each row twice, once scoped to
     # its industry and once to the whole snapshot date
     scopes = F.explode(F.array(

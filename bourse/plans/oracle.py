@@ -7,6 +7,7 @@ the same catalog, so a rule edit reaches both sides.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from bourse.operators.quality import RuleSet
@@ -246,12 +247,12 @@ qualify row_number() over (partition by o_custkey order by o_totalprice desc, o_
 
 SQL["h8_rank_within"] = """
 select c_custkey, c_mktsegment, c_acctbal,
-       cast(rank() over (partition by c_mktsegment order by c_acctbal desc) as integer) as segment_rank,
+       rank() over (partition by c_mktsegment order by c_acctbal desc) as segment_rank,
        percent_rank() over (partition by c_mktsegment order by c_acctbal desc) as segment_pct_rank
 from customer"""
 
 SQL["h8_rank_overall"] = """
-select c_custkey, c_acctbal, cast(rank() over (order by c_acctbal desc) as integer) as overall_rank
+select c_custkey, c_acctbal, rank() over (order by c_acctbal desc) as overall_rank
 from customer"""
 
 SQL["h9_flag_latest"] = """
@@ -290,8 +291,8 @@ select cast(symbol as varchar) as symbol, price, volume, conditions,
 from trades"""
 
 SQL["j4_epoch_to_local"] = """
-select event_id, 1704067200 + event_id * 3517 as epoch_s,
-       timezone('America/New_York', to_timestamp(1704067200 + event_id * 3517)) as event_timestamp
+select event_id, cast(floor(epoch(ts)) as bigint) as epoch_s,
+       timezone('America/New_York', to_timestamp(floor(epoch(ts)))) as event_timestamp
 from events"""
 
 # -------------------------------------------------------------------- gold
@@ -679,3 +680,67 @@ SQL["c6_stream_observed_counts"] = with_(BRONZE_QUOTES) + "\nunion all\n".join(
     f"""select '{sev}' as severity, '{n}' as rule, cast(count_if(({s})) as bigint) as passed,
        cast(count_if(NOT ({s})) as bigint) as failed, cast(count_if(({s}) IS NULL) as bigint) as unknown
 from bq""" for sev, n, s in QR.all_rules())
+
+
+# ---------------------------------- rule counts of the other datasets, warn rules included
+def counts_sql(source: str, rules: RuleSet) -> str:
+    """Pass / fail / unknown counts of every rule over ``source`` (SQL text)."""
+    def quoted(s: str) -> str:  # names that start with a digit
+        return re.sub(r"\b(52Week\w+)", r'"\1"', s)
+    return f"with src AS ({source})\n" + "\nunion all\n".join(
+        f"""select '{sev}' as severity, '{n}' as rule, cast(count_if(({quoted(s)})) as bigint) as passed,
+       cast(count_if(NOT ({quoted(s)})) as bigint) as failed, cast(count_if(({quoted(s)}) IS NULL) as bigint) as unknown
+from src""" for sev, n, s in rules.all_rules())
+
+
+_DAY = "timestamp '2024-05-01 00:00:00'"
+SQL["c6_counts_profile"] = counts_sql(with_(PROFILES) + "select * from profile_changes", PR)
+SQL["c6_counts_metric_snapshot"] = counts_sql(SQL["s7_silver_metric_snapshot"], SR)
+SQL["c6_counts_recommendation"] = counts_sql(SQL["s9_silver_recommendation"], RR)
+SQL["c6_counts_metric_annual"] = counts_sql(with_(SERIES) + "select * from series", MA_RULES)
+SQL["c6_counts_metric_quarterly"] = counts_sql("""
+  select cast(l_orderkey as varchar) as symbol, 'eps' as metric_type, concat('P', cast(l_linenumber as varchar)) as period,
+         l_tax as v, timestamp '2024-05-01 00:00:00' as ingest_timestamp from lineitem""", R.quality.load_rules("metric_quarterly"))
+SQL["c6_counts_financials"] = counts_sql(
+    f"""select *, '2024-01-01' as "startDate", '2024-03-31' as "endDate", '2024-04-15' as "filedDate", {_DAY} as ingest_timestamp
+        from ({SQL["e2_flatten_statements"]}) e""", R.quality.load_rules("financials_reported"))
+
+_TRADE_ROWS = """
+  dt AS (select cast(symbol as varchar) as symbol, price, volume, conditions,
+                epoch_ms(epoch_us(timestamp) // 1000) as timestamp,
+                cast(epoch_ms(epoch_us(timestamp) // 1000) as date) as session_date from trades),
+  lq AS (select symbol as ref_symbol, previous_close_price from bq where """ + QR_FAIL + """ = false
+         qualify row_number() over (partition by symbol order by event_timestamp desc, ingest_timestamp desc,
+                                    previous_close_price desc) = 1),
+  st AS (select dt.*, lq.previous_close_price from dt left join lq on dt.symbol = lq.ref_symbol)"""
+ER = R.quality.load_rules("quote_eh")
+SQL["s2_silver_trades_decoded"] = with_(TRADES, BRONZE_QUOTES, _TRADE_ROWS) + f"""
+select *, {flag_sql(ER)} as is_critical, {reason_sql(ER)} as critical_reason from st"""
+SQL["c6_counts_trades"] = counts_sql(with_(TRADES, BRONZE_QUOTES, _TRADE_ROWS) + f"select *, {_DAY} as ingest_timestamp from st", ER)
+SQL["s8_silver_profile"] = with_(PROFILES, """
+  pd AS (select country, currency, exchange, "finnhubIndustry", ipo, "marketCapitalization", "shareOutstanding",
+                ticker, name, symbol, ingest_timestamp from profile_changes
+         qualify row_number() over (partition by symbol, ingest_timestamp order by load_id desc) = 1),
+  pf AS (select *, """ + flag_sql(PR, "fail") + " as is_critical, " + reason_sql(PR, "fail") + """ as critical_reason from pd),"""
+    + scd2_sql("pf", ["symbol"], "ingest_timestamp",
+               ["country", "currency", "exchange", '"finnhubIndustry"', "ipo", '"marketCapitalization"', '"shareOutstanding"',
+                "ticker", "name", "is_critical", "critical_reason"],
+               ["country", "currency", "exchange", '"finnhubIndustry"', "ipo", '"marketCapitalization"', '"shareOutstanding"',
+                "ticker", "name", "symbol", "ingest_timestamp", "is_critical", "critical_reason"])) + "select * from hist"
+
+SQL["a8_normalize_trades"] = with_(TRADES, """
+  m AS (select cast(symbol as varchar) as symbol, price, volume, conditions,
+               epoch_ms(epoch_us(timestamp) // 1000) as timestamp,
+               cast(epoch_ms(epoch_us(timestamp) // 1000) as date) as session_date from trades where event_id % 10 <> 0)""") + """
+select * from m union all select * from m"""
+SQL["a2_nested_json_stream"] = SQL["e2_flatten_statements"]
+SQL["a10_stream_table"] = with_(QUOTES) + "select seq, symbol, close_price, event_timestamp from quotes"
+SQL["a11_read_table"] = "select o_orderkey, o_custkey, o_totalprice from orders"
+SQL["k5_stream_dedup"] = "select distinct user_id, event_type from events"
+SQL["c4_quarantine_quotes"] = with_(QUOTES) + f"""
+select seq, symbol, close_price, {flag_sql(QR, 'fail')} as is_quarantined, {reason_sql(QR, 'fail')} as quarantine_reason
+from quotes where {flag_sql(QR, 'fail')} = true"""
+SQL["d1_scd1_tied"] = with_(CHANGES) + """
+select *, cast(floor(seq / 1000) as bigint) as day from changes
+qualify row_number() over (partition by symbol order by floor(seq / 1000) desc, amount desc, seq desc) = 1"""
+SQL["k6_enrich_each_batch"] = SQL["s2_silver_trades"]

@@ -259,8 +259,8 @@ def j16(spark, d):
 
 @query("j4_epoch_to_local")
 def j4(spark, d):
-    ev = A.read(spark, d, "events").select("event_id")
-    secs = F.lit(1704067200) + F.col("event_id") * F.lit(3517)
+    ev = A.read(spark, d, "events").select("event_id", "ts")
+    secs = F.unix_seconds(F.col("ts").cast("timestamp"))
     return ev.select("event_id", secs.alias("epoch_s"),
                      epoch_to_local(secs).cast("timestamp_ntz").alias("event_timestamp"))
 
@@ -653,21 +653,156 @@ def a14(spark, d):
 
 @query("c6_stream_observed_counts")
 def c6s(spark, d):
-    """Expectation counts of a stream: the quote rules attached as observed
-    metrics (rows are not filtered), summed over the micro-batches' progress."""
+    """Expectation counts of a stream: the quote rules counted in every
+    micro-batch (rows are not filtered) into a table keyed by batch, summed."""
     from bourse.session import scratch_path
+    from bourse.streaming.runners import read_expectations, run_expectations
     raw = A.bronze_quotes_from(_table_stream(spark, d, "orders"))
-    rules = quality.load_rules("quote")
-    typed = quality.observe_rules(SV.typed_quote(raw), rules, "quote_dq")
     path = scratch_path(spark, "c6_stream")
-    q = (typed.writeStream.format("noop").option("checkpointLocation", f"{path}/ck")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    totals: dict[str, int] = {}
-    for p in q.recentProgress:
-        for k, v in (p.observedMetrics.get("quote_dq") or {}).asDict().items():
-            totals[k] = totals.get(k, 0) + int(v or 0)
-    rows = [(r["severity"], r["rule"], r["passed"], r["failed"], r["unknown"])
-            for r in quality.observed_to_rows(rules, totals)]
-    return spark.createDataFrame(rows, "severity string, rule string, passed bigint, "
-                                       "failed bigint, unknown bigint")
+    run_expectations(SV.typed_quote(raw), quality.load_rules("quote"), f"{path}/counts", f"{path}/ck")
+    return read_expectations(spark, f"{path}/counts")
+
+
+# ------------------------------ critical and warn rules of the other datasets
+@query("c6_counts_profile")
+def c6_profile(spark, d):
+    return quality.expectation_counts(A.profile_changes(spark, d), PROFILE_RULES)
+
+
+@query("c6_counts_metric_snapshot")
+def c6_snapshot(spark, d):
+    return quality.expectation_counts(SV.silver_metric_snapshot(A.bronze_metric_snapshots(spark, d)),
+                                      SNAPSHOT_RULES)
+
+
+@query("c6_counts_recommendation")
+def c6_recommendation(spark, d):
+    return quality.expectation_counts(SV.flagged_recommendation(A.bronze_recommendations(spark, d)), REC_RULES)
+
+
+@query("c6_counts_metric_annual")
+def c6_annual(spark, d):
+    return quality.expectation_counts(SV.metric_series(A.metric_bronze(spark, d), "annual"),
+                                      quality.load_rules("metric_annual"))
+
+
+@query("c6_counts_metric_quarterly")
+def c6_quarterly(spark, d):
+    return quality.expectation_counts(SV.metric_series(A.metric_bronze(spark, d), "quarterly"),
+                                      quality.load_rules("metric_quarterly"))
+
+
+@query("c6_counts_financials")
+def c6_financials(spark, d):
+    return quality.expectation_counts(SV.financial_items(A.filings(spark, d)),
+                                      quality.load_rules("financials_reported"))
+
+
+def _kafka_trades(spark, d):
+    """Trades as decoded Kafka rows (the shape of the live bronze table)."""
+    t = A.trades(spark, d).withColumn("ms", F.unix_millis(F.col("timestamp").cast("timestamp")))
+    p = kafka.to_kafka_payload(t.withColumn("volume", F.col("volume").cast("double")), "event_id",
+                               ["symbol", "price", "volume", "conditions", "ms"], rename={"ms": "timestamp"})
+    return p.select(F.col("value").alias("value_str"), F.lit("2024-05-01").cast("timestamp").alias("timestamp"))
+
+
+@query("s2_silver_trades_decoded")
+def s2d(spark, d):
+    """S2 from decoded Kafka rows: parsed (volumes written with a fraction), enriched, flagged."""
+    q = SV.quote_tables(A.bronze_quotes(spark, d)).valid
+    t = SV.silver_trades(_kafka_trades(spark, d), q, validate=True)
+    return _ntz(t, "timestamp").drop("ingest_timestamp")
+
+
+@query("c6_counts_trades")
+def c6_trades(spark, d):
+    q = SV.quote_tables(A.bronze_quotes(spark, d)).valid
+    return quality.expectation_counts(SV.silver_trades(_kafka_trades(spark, d), q), quality.load_rules("quote_eh"))
+
+
+@query("s8_silver_profile")
+def s8p(spark, d):
+    """S8 from bronze: one load per symbol and day, text numbers, flagged, SCD2."""
+    p = windows.latest_per_key(A.profile_changes(spark, d), ["symbol", "ingest_timestamp"], ["load_id"])
+    bronze = p.drop("load_id").withColumns({c: F.col(c).cast("string") for c in ("marketCapitalization", "shareOutstanding")})
+    return SV.silver_profile(SV.flagged_profile(bronze)).drop("phone", "weburl", "estimateCurrency")
+
+
+@query("a8_normalize_trades")
+def a8(spark, d):
+    """Trade envelopes (several trades a message, other message types between) -> published events -> parsed trades."""
+    t = A.trades(spark, d)
+    one = F.struct(F.col("symbol").cast("string").alias("s"), F.col("price").alias("p"), F.col("volume").cast("double").alias("v"),
+                   F.col("conditions").alias("c"), F.unix_millis(F.col("timestamp").cast("timestamp")).alias("t"))
+    kind = F.when(F.col("event_id") % 10 == 0, "ping").otherwise("trade")
+    text = F.to_json(F.struct(kind.alias("type"), F.array(one, one).alias("data")))
+    rows = kafka.normalize_trades(t.select(text.alias("value_str")))
+    sent = kafka.to_kafka_payload(rows, "symbol", ["symbol", "price", "volume", "conditions", "timestamp"])
+    got = kafka.parse_trades(sent.select(F.col("value").alias("value_str"), F.lit(None).cast("timestamp").alias("timestamp")))
+    return _ntz(got, "timestamp").drop("ingest_timestamp")
+
+
+@query("a2_nested_json_stream")
+def a2(spark, d):
+    """Filings landed as nested JSON, streamed with the explicit schema, flattened."""
+    from bourse.plans.flows import FINANCIALS_SCHEMA
+    from bourse.session import scratch_path
+    from bourse.sources.files import read_files_stream
+    from bourse.streaming.runners import run_append
+    path = scratch_path(spark, "a2_json")
+    A.filings(spark, d).drop("ingest_timestamp").write.json(f"{path}/landing")
+    run_append(read_files_stream(spark, f"{path}/landing", "json", schema=FINANCIALS_SCHEMA), f"{path}/bronze", f"{path}/ck")
+    items = SV.financial_items(spark.read.parquet(f"{path}/bronze"))
+    return items.select("symbol", "cik", "accessNumber", "year", "quarter", "statement", "concept", "value")
+
+
+@query("a10_stream_table")
+def a10(spark, d):
+    """An append-only table of quotes read as a stream, by path."""
+    from bourse.session import scratch_path
+    from bourse.sources.files import stream_table
+    from bourse.streaming.runners import run_append
+    path = scratch_path(spark, "a10_table")
+    A.quotes(spark, d).write.parquet(f"{path}/table")
+    run_append(stream_table(spark, f"{path}/table"), f"{path}/out", f"{path}/ck")
+    return spark.read.parquet(f"{path}/out").select("seq", "symbol", "close_price", "event_timestamp")
+
+
+@query("a11_read_table")
+def a11(spark, d):
+    from bourse.sources.files import read_table
+    return read_table(spark, f"{d}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@query("k5_stream_dedup")
+def k5(spark, d):
+    """First row per (user, event type) of a stream; the keys that came through, once each."""
+    from bourse.session import scratch_path
+    from bourse.streaming.runners import run_append
+    path = scratch_path(spark, "k5_dedup")
+    run_append(cdc.dedup_first(_table_stream(spark, d, "events"), ["user_id", "event_type"]), f"{path}/out", f"{path}/ck")
+    return spark.read.parquet(f"{path}/out").select("user_id", "event_type")
+
+
+@query("c4_quarantine_quotes")
+def c4q(spark, d):
+    f = quality.apply_rules(A.quotes(spark, d), QUOTE_RULES, null_policy="fail")
+    return quality.split(f).quarantine.select("seq", "symbol", "close_price", "is_quarantined", "quarantine_reason")
+
+
+@query("d1_scd1_tied")
+def d1t(spark, d):
+    """Many changes of one key share a sequence (the day): the greatest tie-break is kept."""
+    return cdc.scd1(A.changes(spark, d).withColumn("day", F.floor(F.col("seq") / 1000)), ["symbol"], "day", ["amount", "seq"])
+
+
+@query("k6_enrich_each_batch")
+def k6b(spark, d):
+    """Trades streamed in, each micro-batch joined to the reference as it is then (reloaded per batch)."""
+    from bourse.session import scratch_path
+    from bourse.streaming.runners import run_each
+    t = A.trades_from(_table_stream(spark, d, "events"))
+    path = scratch_path(spark, "k6_each")
+    run_each(t, lambda b: enrich_latest(b, silver_quote(spark, d), "symbol", "symbol", ["event_timestamp", "seq"],
+                                        ["previous_close_price"]), f"{path}/out", f"{path}/ck")
+    return spark.read.parquet(f"{path}/out").drop("batch_id", "event_id")

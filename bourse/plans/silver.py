@@ -47,8 +47,9 @@ def quote_tables(bronze: DataFrame, null_policy: str = "fail") -> quality.Split:
 def silver_trades(bronze_eh: DataFrame, silver_quote: DataFrame, validate: bool = False) -> DataFrame:
     """Decoded Kafka rows -> typed trades with the latest quote's previous close."""
     t = parse_trades(bronze_eh)
-    t = enrich_latest(t, silver_quote, "symbol", "symbol", ["event_timestamp"],
-                      ["previous_close_price"])
+    # quotes of one moment: the later load, then the greater value, so the result is the same on every run
+    order = [c for c in ("event_timestamp", "ingest_timestamp", "previous_close_price") if c in silver_quote.columns]
+    t = enrich_latest(t, silver_quote, "symbol", "symbol", order, ["previous_close_price"])
     t = t.withColumn("previous_close_price", F.col("previous_close_price").cast("double"))
     if validate:
         t = quality.apply_rules(t, quality.load_rules("quote_eh"), "is_critical", "critical_reason")
@@ -76,6 +77,7 @@ def silver_candles(valid_log: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- S4, X3
+# FIXED VALUES: key columns of the published financials table.
 FIN_KEYS = ("symbol", "cik", "accessNumber", "year", "quarter", "concept")
 
 
@@ -125,7 +127,7 @@ def flagged_metric_series(bronze_metric: DataFrame, freq: str = "annual",
 def silver_metric_series(flagged_log: DataFrame,
                          keys: Sequence[str] = ("symbol", "metric_type", "period")) -> DataFrame:
     """Latest value per (symbol, metric_type, period)."""
-    return cdc.scd1(flagged_log, list(keys), "ingest_timestamp", ["v"])
+    return cdc.scd1(flagged_log, list(keys), "ingest_timestamp", ["v"], keep_null_keys=True)
 
 
 # ---------------------------------------------------------------------- S7
@@ -144,15 +146,17 @@ def silver_metric_snapshot(bronze_metric: DataFrame, zone: str = NEW_YORK,
     explicit record schema would make them."""
     m = bronze_metric.select("metric.*", "symbol",
                              F.to_date(utc_to_zone(F.col("timestamp"), zone)).alias("metric_date"),
-                             "ingest_timestamp")
+                             "ingest_timestamp", F.col("timestamp").alias("__at"))
     m = m.withColumns({c: F.lit(None).cast("double") for c in SNAPSHOT_FIELDS
                        if c not in m.columns})
-    m = cdc.dedup_first(m, ["symbol", "metric_date"], None if m.isStreaming else ["ingest_timestamp"])
+    m = cdc.dedup_first(m, ["symbol", "metric_date"], None if m.isStreaming else ["ingest_timestamp", "__at"],
+                        keep_null_keys=not m.isStreaming).drop("__at")
     return quality.apply_rules(m, quality.load_rules("metric_snapshot"), "is_critical",
                                "critical_reason", null_policy)
 
 
 # ---------------------------------------------------------------------- S8
+# FIXED VALUES: columns of the published profile table, in its order.
 PROFILE_COLS = ("country", "currency", "exchange", "finnhubIndustry", "ipo", "marketCapitalization",
                 "phone", "shareOutstanding", "ticker", "weburl", "name", "symbol",
                 "estimateCurrency", "ingest_timestamp")

@@ -2,8 +2,8 @@
 
 The library never creates a session behind the caller's back; ``build_session``
 is for scripts, tests and the bench.  ``checkpoint_dir`` reads the shared folder
-named by ``spark.checkpoint.dir`` and only falls back to a local folder when
-the setting is absent (tests on one machine).
+named by ``spark.checkpoint.dir``; only on a local master does it fall back to a local
+folder, on a cluster a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -47,15 +47,15 @@ def build_session(master: str | None = None, app: str = "bourse",
 
 
 def scale_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024,
-               min_partitions: int = 200, max_partitions: int = 100_000) -> dict[str, str]:
+               min_partitions: int = 200) -> dict[str, str]:
     """Partition sizing for a cluster run over ``input_bytes`` of input.
 
     Scan splits and shuffle partitions both target ``partition_bytes`` so a
     task's working set fits executor memory (sorts and aggregates spill beyond
     it); AQE then coalesces small shuffle partitions and splits skewed ones.
-    At 100 TB and 256 MiB this asks for the 100,000-partition cap.
+    At 100 TB and 256 MiB this asks for about 370,000 shuffle partitions.
     """
-    n = max(min_partitions, min(max_partitions, -(-input_bytes // partition_bytes)))
+    n = max(min_partitions, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(n),
@@ -67,11 +67,14 @@ def scale_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one; otherwise (tests)
-    sets a local default once.
+    Uses ``spark.checkpoint.dir`` when the cluster names one.  Without it a local
+    master gets a local default once; elsewhere each executor would write to its
+    own disk, so that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = os.environ.get("BOURSE_CHECKPOINT_DIR") or "/tmp/bourse-checkpoints"
         spark.conf.set("spark.checkpoint.dir", d)
     sc = spark.sparkContext

@@ -45,9 +45,13 @@ def read_files_stream(spark: SparkSession, path: str, fmt: str,
                       max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming read of new files under ``path`` (A1-A3).
 
-    rescue=True (JSON only): lines are parsed with ``schema`` and any field the
-    schema does not name is kept as JSON text in ``_rescued_data`` (A4), so
-    an unexpected field never fails the load.
+    rescue=True.  JSON: lines are parsed with ``schema``; what the schema does
+    not name or cannot hold, and malformed lines, are kept in ``_rescued_data``
+    (A4), so nothing unexpected fails the load or gets lost.  CSV: lines with
+    too many or too few fields are kept whole in ``_rescued_data``.
+
+    CSV columns are bound by position, so a file whose header differs from the
+    schema in names or order fails the load instead of swapping values.
     """
     opts = dict(options or {})
     if max_files_per_trigger:
@@ -56,13 +60,15 @@ def read_files_stream(spark: SparkSession, path: str, fmt: str,
         schema = infer_schema(spark, path, fmt, options)
     if fmt == "json" and rescue:
         raw = spark.readStream.options(**opts).text(path)
-        df = raw.select(F.from_json(F.col("value"), schema).alias("__r"),
-                        rescued_column(F.col("value"), schema).alias("_rescued_data"),
-                        F.col("_metadata"))
-        df = df.select("__r.*", "_rescued_data", "_metadata")
+        df = raw.select("value", F.from_json(F.col("value"), schema).alias("__r"), F.col("_metadata"))
+        df = df.select("__r.*", rescued_column(F.col("value"), schema, F.col("__r")).alias("_rescued_data"), "_metadata")
     else:
         if fmt == "csv":
             opts.setdefault("header", "true")
+            opts.setdefault("enforceSchema", "false")
+            if rescue:
+                opts["columnNameOfCorruptRecord"] = "_rescued_data"
+                schema = T.StructType([*schema.fields, T.StructField("_rescued_data", T.StringType())])
         df = spark.readStream.schema(schema).options(**opts).format(fmt).load(path)
     if lineage:
         df = with_lineage(df)
@@ -77,6 +83,7 @@ def read_files(spark: SparkSession, path: str, fmt: str, schema: T.StructType |
     opts = dict(options or {})
     if fmt == "csv":
         opts.setdefault("header", "true")
+        opts.setdefault("enforceSchema", "false")
         if schema is None:
             schema = infer_schema(spark, path, fmt, options)
     r = spark.read.options(**opts)

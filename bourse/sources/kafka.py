@@ -111,7 +111,8 @@ def kafka_sink(df: DataFrame, cfg: KafkaConfig, checkpoint: str, key: str | None
 
 TRADE_SCHEMA = T.StructType([
     T.StructField("symbol", T.StringType()), T.StructField("price", T.DoubleType()),
-    T.StructField("volume", T.LongType()),
+    # normalised trades write volumes with a fraction ("100.0"): exact text to decimal, cast afterwards
+    T.StructField("volume", T.DecimalType(38, 6)),
     T.StructField("conditions", T.ArrayType(T.StringType())),
     T.StructField("timestamp", T.LongType()),
 ])
@@ -124,5 +125,7 @@ def parse_trades(df: DataFrame, text_col: str = "value_str", ingest_col: str = "
     p = df.select(F.from_json(F.col(text_col), schema).alias("__v"),
                   F.col(ingest_col).alias("ingest_timestamp"))
     p = p.select("__v.*", "ingest_timestamp")
+    if dict(p.dtypes).get("volume", "").startswith("decimal"):
+        p = p.withColumn("volume", F.col("volume").cast("bigint"))
     return (p.withColumn("timestamp", F.timestamp_millis(F.col("timestamp")))
              .withColumn("session_date", F.to_date(F.col("timestamp"))))

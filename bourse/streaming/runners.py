@@ -11,8 +11,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from bourse.operators.quality import RuleSet, expectation_counts
+
 
 def _trigger(w, trigger: str | None):
     if trigger in (None, "availableNow"):
@@ -82,6 +85,34 @@ def run_branches(stream: DataFrame, branches: Mapping[str, Callable[[DataFrame],
     return q
 
 
+def run_each(stream: DataFrame, fn: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
+             trigger: str | None = "availableNow", wait: bool = True) -> StreamingQuery:
+    """Writes ``fn(micro-batch)`` to ``<path>/batch_id=<n>`` (overwritten, so replays
+    are idempotent).  ``fn`` runs anew for each micro-batch: a reference table that
+    it reads is listed again each time and so is never older than the batch."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        fn(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    q = _trigger(stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), trigger).start()
+    if wait and trigger in (None, "availableNow", "once"):
+        q.awaitTermination()
+    return q
+
+
+def run_expectations(stream: DataFrame, rules: RuleSet, path: str, checkpoint: str,
+                     trigger: str | None = "availableNow", wait: bool = True) -> StreamingQuery:
+    """Counts the rules of every micro-batch (C6) into a table keyed by batch id;
+    unlike progress reports, which keep only the newest batches, none is lost."""
+    none = stream.sparkSession.createDataFrame([], stream.schema)
+    expectation_counts(none, rules).write.mode("overwrite").parquet(f"{path}/batch_id=-1")
+    return run_each(stream, lambda batch: expectation_counts(batch, rules), path, checkpoint, trigger, wait)
+
+
+def read_expectations(spark: SparkSession, path: str) -> DataFrame:
+    """The counts of all micro-batches of ``run_expectations``, one row per rule."""
+    return spark.read.parquet(path).groupBy("severity", "rule").agg(
+        *[F.sum(c).alias(c) for c in ("passed", "failed", "unknown")])
+
+
 def read_branch(spark: SparkSession, base_path: str, name: str) -> DataFrame:
     """All micro-batches written for one branch."""
     return spark.read.parquet(f"{base_path}/{name}")

@@ -73,12 +73,10 @@ def test_scd2_plans_one_exchange(spark):
     assert "SortAggregate" not in p and "HashAggregate" not in p
 
 
-def test_rank_within_joins_offsets_map_side(spark):
+def test_rank_within_counts_values_first(spark):
     from bourse.operators.ranking import rank_within
     df = spark.range(0, 5000).select((F.col("id") % 3).alias("p"), (F.col("id") * 7 % 101).alias("v"))
-    r = rank_within(df, ["p"], "v", "rk", num_ranges=4)
-    p = plan(r)
-    # the counted offset table is broadcast; the checkpointed ranked rows are
-    # not shuffled again for the join
-    assert "BroadcastHashJoin" in p
-    assert "SortMergeJoin" not in p and "ShuffledHashJoin" not in p
+    p = plan(rank_within(df, ["p"], "v", "rk"))
+    # rows are counted map-side before any window; no Python, no range sampling
+    assert "partial_count(1)" in p and "rangepartitioning" not in p
+    assert "MapInPandas" not in p and "Python" not in p

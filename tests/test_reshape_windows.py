@@ -106,8 +106,7 @@ def test_growth_requires_exact_prior_period(spark):
 def test_rank_within_matches_sql_rank(spark, rows):
     df = spark.createDataFrame([(i, p, None if v is None else float(v)) for i, (p, v) in enumerate(rows)],
                                "id int, p string, v double")
-    got = {r.id: (r.rk, r.pr) for r in rank_within(df, ["p"], "v", "rk", pct_out="pr",
-                                                    num_ranges=3).collect()}
+    got = {r.id: (r.rk, r.pr) for r in rank_within(df, ["p"], "v", "rk", pct_out="pr").collect()}
     pdf = pd.DataFrame(rows, columns=["p", "v"]).fillna({"p": "<null>"})
     pdf["v"] = pdf["v"].fillna(float("-inf"))  # NULLs last in a descending order
     pdf["rk"] = pdf.groupby("p")["v"].rank(method="min", ascending=False).astype(int)

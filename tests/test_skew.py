@@ -38,13 +38,39 @@ def test_segmented_lag_equals_plain_with_hot_key(spark):
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
-def test_rank_with_hot_partition_uses_many_ranges(spark):
-    df = _feed(spark).withColumn("score", (F.col("seq") * 7919 % 1000).cast("double"))
-    r = rank_within(df, ["k"], "score", "rk", num_ranges=8)
-    hot = r.filter(F.col("k") == "HOT")
+def _same_as_window(df, part, value, desc):
     from pyspark.sql import Window
-    w = Window.partitionBy("k").orderBy(F.col("score").desc())
-    exp = df.withColumn("rk2", F.rank().over(w))
-    j = r.join(exp, ["k", "seq"])
-    assert j.filter(F.col("rk") != F.col("rk2")).count() == 0
-    assert hot.count() == 1000
+    o = F.col(value).desc_nulls_last() if desc else F.col(value).asc_nulls_last()
+    w = Window.partitionBy(*part).orderBy(o)
+    want = df.withColumns({"rk": F.rank().over(w).cast("long"), "pr": F.percent_rank().over(w)})
+    got = rank_within(df, part, value, "rk", desc=desc, pct_out="pr")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_rank_equals_window_with_hot_partition_and_value(spark):
+    df = _feed(spark).withColumn("score", (F.col("seq") * 7919 % 1000).cast("double"))
+    df = df.withColumn("score", F.when(F.col("seq") % 10 > 0, 0.0).when(F.col("seq") % 70 == 0, None)
+                       .when(F.col("seq") % 110 == 0, float("nan")).when(F.col("seq") % 130 == 0, float("-inf"))
+                       .otherwise(F.col("score") - 300))
+    for part in (["k"], []):
+        for desc in (True, False):
+            _same_as_window(df, part, "score", desc)
+
+
+def test_rank_keeps_bigints_and_other_types_exact(spark):
+    rows = [(None, 9007199254740993, "b", None), ("a", 9007199254740992, "a", 1.5), ("a", None, None, float("nan")),
+            ("a", 9007199254740993, "b", -1.5), (None, -5, "ab", float("nan")), ("a", 9007199254740993, "c", 0.0)]
+    df = spark.createDataFrame(rows, "k string, n bigint, s string, x double") \
+        .withColumns({"d": F.date_add(F.lit("1969-12-30").cast("date"), (F.col("n") % 5).cast("int")),
+                      "t": F.timestamp_seconds(F.col("n") % 100000), "m": F.col("n").cast("decimal(38,2)")})
+    for value in ("n", "s", "x", "d", "t", "m"):
+        _same_as_window(df, ["k"], value, True)
+        _same_as_window(df, [], value, False)
+
+
+def test_rank_excludes_nulls_and_plans_lazily(spark):
+    df = spark.createDataFrame([(1, None), (2, 5), (3, 7), (4, 5)], "id int, v int")
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup()
+    r = rank_within(df, [], "v", "rk", desc=False, pct_out="pr", nulls="exclude")
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup()) == list(before)
+    assert sorted(map(tuple, r.collect())) == [(1, None, None, None), (2, 5, 1, 0.0), (3, 7, 3, 1.0), (4, 5, 1, 0.0)]
