@@ -115,20 +115,63 @@ def scd2(changes: DataFrame, keys: Sequence[str], seq: str,
         F.xxhash64(*[F.col(c) for c in others]).desc())
     df = df.withColumn("__d", F.row_number().over(wd)).filter("__d = 1").drop("__d")
 
-    tstruct = F.struct(*[F.col(c) for c in tracked])
-    df = S.seg_lag(df, keys, order_cols, tstruct, "__prev", segmented)
-    df = df.withColumn("__new", ~tstruct.eqNullSafe(F.col("__prev"))).drop("__prev")
-    df = S.seg_running_max(df, keys, order_cols,
-                           F.when(F.col("__new"), F.col(seq)), "__run", segmented)
+    df = df.withColumn("__t", F.struct(*[F.col(c) for c in tracked]))
+    df = _runs_by_segment(df, keys, order_cols, seq) if segmented else _runs(df, keys, order_cols, seq)
     # a version is kept as the last row of its run: the next row opens the next
     # version (or there is none), and its sequence is this version's end
-    df = S.seg_lead(df, keys, order_cols,
-                    F.struct(F.col("__new").alias("n"), F.col(seq).alias("s")), "__next", segmented)
     versions = df.filter(F.col("__next").isNull() | F.col("__next.n"))
     return versions.select(*cols, F.col("__run").alias(start_col),
                            F.col("__next.s").alias(end_col))
 
 
+def _runs(df: DataFrame, keys: list[str], order: list[str], seq: str) -> DataFrame:
+    """Adds ``__run``, the first sequence of a row's run of equal ``__t``, and
+    ``__next``, whether the next row opens a run (n) and its sequence (s)."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    df = df.withColumn("__new", ~F.col("__t").eqNullSafe(F.lag("__t").over(w)))
+    df = df.withColumn("__run", F.max(F.when(F.col("__new"), F.col(seq))).over(upto))
+    return df.withColumn("__next", F.lead(F.struct(F.col("__new").alias("n"), F.col(seq).alias("s"))).over(w))
+
+
+def _runs_by_segment(df: DataFrame, keys: list[str], order: list[str], seq: str) -> DataFrame:
+    """The same where a key's rows are spread over segments.
+
+    All windows over rows stay inside (key, segment).  One summary row per
+    segment (its first and last ``__t``, first sequence, last run start) is
+    scanned per key, which settles whether a segment's first row opens a run,
+    which run is open when it begins, and what follows its last row; the summary
+    is joined back once.
+    """
+    part = [*keys, S.SEG]
+    w = Window.partitionBy(*part).orderBy(*order)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first_row = F.col("__i") == 1
+    rows = df.withColumns({"__i": F.row_number().over(w), "__before": F.lag("__t").over(w)})
+    rows = rows.withColumn("__new", ~first_row & ~F.col("__t").eqNullSafe(F.col("__before"))).drop("__before")
+    rows = rows.withColumns({
+        "__run_in": F.max(F.when(F.col("__new"), F.col(seq))).over(upto),
+        "__next_in": F.lead(F.struct(F.col("__new").alias("n"), F.col(seq).alias("s"))).over(w)})
+    at = F.struct(*[F.col(c) for c in order])
+    summary = rows.groupBy(*part).agg(
+        F.min_by("__t", at).alias("__t0"), F.max_by("__t", at).alias("__t1"), F.min_by(seq, at).alias("__s0"),
+        F.max(F.when(F.col("__new"), F.col(seq))).alias("__start_in"))
+    by_key = Window.partitionBy(*keys).orderBy(S.SEG)
+    summary = summary.withColumn("__opens", ~F.col("__t0").eqNullSafe(F.lag("__t1").over(by_key)))
+    start = F.coalesce("__start_in", F.when(F.col("__opens"), F.col("__s0")))
+    summary = summary.select(
+        *[F.col(c).alias(f"__on_{c}") for c in part], "__opens", "__s0",
+        F.last(start, ignorenulls=True).over(by_key.rowsBetween(Window.unboundedPreceding, -1)).alias("__open_run"),
+        F.lead(F.struct(F.col("__opens").alias("n"), F.col("__s0").alias("s"))).over(by_key).alias("__after"))
+    on = F.lit(True)
+    for c in part:  # rows without a key or sequence are not placed, so none of these is NULL
+        on = on & (F.col(c) == F.col(f"__on_{c}"))
+    j = rows.join(summary, on)
+    return j.withColumns({
+        "__run": F.coalesce("__run_in", F.when(F.col("__opens"), F.col("__s0")), "__open_run"),
+        "__next": F.coalesce("__next_in", "__after")})
+
+
 def unplaced(changes: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     """Change rows that ``scd2`` cannot place (NULL key or NULL sequence), so
     they can be quarantined instead of vanishing."""

@@ -74,46 +74,3 @@ def seg_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return (j.withColumn(out, F.when(F.col("__rn") == 1, F.col("__carry"))
                                 .otherwise(F.col("__prev_local")))
              .drop("__v", "__rn", "__prev_local", "__carry"))
-
-
-def seg_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-             value: Column, out: str, segmented: bool) -> DataFrame:
-    """``out`` = ``value`` of the next row within ``keys`` by ``order``."""
-    keys = list(keys)
-    w = Window.partitionBy(*part_cols(keys, segmented)).orderBy(*order)
-    wr = Window.partitionBy(*part_cols(keys, segmented)).orderBy(*[F.col(c).desc() for c in order])
-    local = df.withColumn("__v", value).withColumn("__next_local", F.lead("__v").over(w))
-    if not segmented:
-        return local.withColumnRenamed("__next_local", out).drop("__v")
-    local = local.withColumn("__rn_rev", F.row_number().over(wr))
-    first = (df.withColumn("__v", value)
-               .groupBy(*keys, SEG)
-               .agg(F.min_by("__v", _order_struct(order)).alias("__first")))
-    wb = Window.partitionBy(*keys).orderBy(SEG)
-    carry = first.select(*keys, SEG, F.lead("__first").over(wb).alias("__carry"))
-    j = _join_back(local, carry, keys)
-    return (j.withColumn(out, F.when(F.col("__rn_rev") == 1, F.col("__carry"))
-                                .otherwise(F.col("__next_local")))
-             .drop("__v", "__rn_rev", "__next_local", "__carry"))
-
-
-def seg_running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                    value: Column, out: str, segmented: bool) -> DataFrame:
-    """``out`` = max of ``value`` over all rows up to and including this one.
-
-    Used with a value that is non-decreasing along the order (a version start),
-    so it reads "the latest value seen so far".
-    """
-    keys = list(keys)
-    w = (Window.partitionBy(*part_cols(keys, segmented)).orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = df.withColumn("__v", value).withColumn("__run_local", F.max("__v").over(w))
-    if not segmented:
-        return local.withColumnRenamed("__run_local", out).drop("__v")
-    seg_max = local.groupBy(*keys, SEG).agg(F.max("__v").alias("__segmax"))
-    wb = (Window.partitionBy(*keys).orderBy(SEG)
-          .rowsBetween(Window.unboundedPreceding, -1))
-    carry = seg_max.select(*keys, SEG, F.max("__segmax").over(wb).alias("__carry"))
-    j = _join_back(local, carry, keys)
-    return (j.withColumn(out, F.greatest(F.col("__run_local"), F.col("__carry")))
-             .drop("__v", "__run_local", "__carry"))

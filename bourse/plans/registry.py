@@ -54,6 +54,11 @@ ITEM_SPEC = {
 ITEM_KEYS = ["symbol", "year", "quarter"]
 
 
+def BY_SEQ(s):
+    """Segments of a whole-number sequence: a key's rows are spread over its ranges."""
+    return F.floor(s / F.lit(50000))
+
+
 def _flag_candles(spark, d):
     return quality.apply_rules(A.candles(spark, d), CANDLE_RULES)
 
@@ -106,14 +111,14 @@ def d1(spark, d):
 @query("d2_scd2_history")
 def d2(spark, d):
     ch = A.changes(spark, d).select("symbol", "seq", "status")
-    return cdc.scd2(ch, ["symbol"], "seq")
+    return cdc.scd2(ch, ["symbol"], "seq", segment=BY_SEQ)
 
 
 @query("d3_scd2_except_segmented")
 def d3(spark, d):
     ch = A.changes(spark, d).select("symbol", "seq", "status", "amount")
     return cdc.scd2(ch, ["symbol"], "seq", except_cols=["amount"],
-                    segment=lambda s: F.floor(s / F.lit(50000)))
+                    segment=BY_SEQ)
 
 
 @query("d4_dedup_first")
@@ -152,7 +157,8 @@ def f1(spark, d):
 @query("h1_lag_default")
 def h1(spark, d):
     c = A.candles(spark, d).select("symbol", "date", "close")
-    return windows.lag_default(c, "close", ["symbol"], ["date"], 0, out="previous_close_price")
+    return windows.lag_default(c, "close", ["symbol"], ["date"], 0, out="previous_close_price",
+                               segment=lambda c: F.trunc(c, "year"))
 
 
 @query("h2_latest_per_key")
@@ -304,7 +310,7 @@ def silver_profile(spark, d):
     p = quality.apply_rules(A.profile_changes(spark, d), PROFILE_RULES, "is_critical",
                             "critical_reason")
     return cdc.scd2(p, ["symbol"], "ingest_timestamp",
-                    except_cols=["ingest_timestamp", "load_id"], tie_break=["load_id"])
+                    except_cols=["ingest_timestamp", "load_id"], tie_break=["load_id"], segment=SV.by_month)
 
 
 def gold_dim(spark, d):
@@ -369,7 +375,7 @@ def g5(spark, d):
 def silver_recommendation(spark, d):
     """Ratings flagged (kept), SCD2 on (symbol, period)."""
     r = quality.apply_rules(A.ratings(spark, d), REC_RULES, "is_critical", "critical_reason")
-    return cdc.scd2(r, ["symbol", "period"], "ingest_timestamp", except_cols=["ingest_timestamp"])
+    return cdc.scd2(r, ["symbol", "period"], "ingest_timestamp", except_cols=["ingest_timestamp"], segment=SV.by_month)
 
 
 def gold_analyst(spark, d):
@@ -516,7 +522,8 @@ def k9(spark, d):
     ch = o.select(F.col("o_custkey").alias("symbol"), F.col("o_orderkey").alias("seq"),
                   F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("amount"))
     path = scratch_path(spark, "k9_scd2")
-    history = scd2_stream(ch, ["symbol"], "seq", f"{path}/log", f"{path}/ck", except_cols=["amount"])
+    history = scd2_stream(ch, ["symbol"], "seq", f"{path}/log", f"{path}/ck", except_cols=["amount"],
+                          segment=BY_SEQ)
     return history()
 
 

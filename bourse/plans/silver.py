@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bourse.functions.scalars import epoch_to_local, to_date_safe, to_number, utc_to_zone
@@ -172,10 +172,15 @@ def flagged_profile(bronze: DataFrame, null_policy: str = "fail") -> DataFrame:
                                null_policy)
 
 
-def silver_profile(flagged_log: DataFrame) -> DataFrame:
+def by_month(load_time: Column) -> Column:
+    """Segments of a key's change log: one task holds a month of a key at most."""
+    return F.date_trunc("month", load_time)
+
+
+def silver_profile(flagged_log: DataFrame, segment=by_month) -> DataFrame:
     """Profile history per symbol; a reload changing only the load time
     opens no version."""
-    return cdc.scd2(flagged_log, ["symbol"], "ingest_timestamp", except_cols=["ingest_timestamp"])
+    return cdc.scd2(flagged_log, ["symbol"], "ingest_timestamp", except_cols=["ingest_timestamp"], segment=segment)
 
 
 # ---------------------------------------------------------------------- S9
@@ -189,7 +194,7 @@ def flagged_recommendation(bronze: DataFrame, null_policy: str = "fail") -> Data
                                "critical_reason", null_policy)
 
 
-def silver_recommendation(flagged_log: DataFrame) -> DataFrame:
+def silver_recommendation(flagged_log: DataFrame, segment=by_month) -> DataFrame:
     """Recommendation history per (symbol, period)."""
     return cdc.scd2(flagged_log, ["symbol", "period"], "ingest_timestamp",
-                    except_cols=["ingest_timestamp"])
+                    except_cols=["ingest_timestamp"], segment=segment)
