@@ -25,6 +25,8 @@ columns are ignored.
 
 from __future__ import annotations
 
+import itertools
+import unicodedata
 import zlib
 
 import numpy as np
@@ -39,9 +41,15 @@ from bourse.session import scratch_path
 END = 2
 SHARD_IDS = 1 << 20
 PART_BYTES = 32 << 20      # text bytes per part of the order, about
-WORD_CACHE = 300_000
+WORD_CACHE = 700_000
+MARKS = ".,;:!?"           # closing marks that a word is read without
 JOINED = 2_000             # words that the tokenizer reads as one text
-LEVELS = [1 << k for k in range(12, 3, -1)]   # least frequencies of a round's pairs, in a shard of SHARD_IDS
+LEVELS = [1024, 256, 64, 16]   # least frequencies of a round's pairs, in a shard of SHARD_IDS
+
+
+#: The letter that stands for each byte in byte-level vocabularies: visible Latin-1 characters for themselves, the others from 256 on.
+_VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {b: chr(b) for b in _VISIBLE} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 
 
 # --- grammar ---------------------------------------------------------------
@@ -62,8 +70,14 @@ def repair(ids: np.ndarray, last: np.ndarray, vocab: int):
         chosen = code[first[count >= least]]
         if not len(chosen):
             continue
-        at = np.minimum(np.searchsorted(chosen, pair), len(chosen) - 1)
-        hit = (chosen[at] == pair) & ~last[:-1]
+        # first by the two symbols alone, then exactly
+        begins, follows = np.zeros(size, bool), np.zeros(size, bool)
+        begins[chosen // size], follows[chosen % size] = True, True
+        maybe = np.flatnonzero(begins[s[:-1]] & follows[s[1:]] & ~last[:-1])
+        found = np.minimum(np.searchsorted(chosen, pair[maybe]), len(chosen) - 1)
+        exact = chosen[found] == pair[maybe]
+        at, hit = np.zeros(len(pair), np.int64), np.zeros(len(pair), bool)
+        at[maybe[exact]], hit[maybe[exact]] = found[exact], True
         # of pairs that overlap in a row, every other one from the left
         place = np.arange(len(hit))
         run_start = np.maximum.accumulate(np.where(hit & ~np.r_[False, hit[:-1]], place, 0))
@@ -118,8 +132,19 @@ def small(a: np.ndarray) -> np.ndarray:
 
 # --- encoding --------------------------------------------------------------
 
+def gather(flat: np.ndarray, size: np.ndarray, seq: np.ndarray) -> np.ndarray:
+    """The stretches of flat that seq names, one after another; size: length of each stretch."""
+    begin, n = np.cumsum(size) - size, size[seq]
+    return flat[np.repeat(begin[seq] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+
+
 class WordIds:
-    """Numbers words and keeps each word's ids as a stretch of one flat array; word 0 is the end id."""
+    """Numbers words and keeps each word's ids as a stretch of one flat array; word 0 is the end id.
+
+    The tokenizer itself sees each distinct core once: the word without one
+    closing mark after a letter (a piece never holds both), and in lower case
+    where it is ASCII, as the tokenizer would make it.
+    """
 
     def __init__(self, tokenizer, end: int):
         self.tokenizer, self.end = tokenizer, end
@@ -128,18 +153,72 @@ class WordIds:
     def forget(self):
         self.number: dict[bytes, int] = {b"": 0}   # no word is empty
         self.flat, self.size = [np.array([self.end], np.uint32)], [np.ones(1, np.int64)]
-
-    def learn(self, words):
-        new = [w for w in words if w not in self.number]
-        for at in range(0, len(new), JOINED):
-            part = [w.decode() for w in new[at:at + JOINED]]
+        self.core: dict[str, int] = {}
+        self.core_flat, self.core_size = [], []
+        self.marks = {m: self.core.setdefault(m, len(self.core)) for m in MARKS}
+        self.tokenize(list(MARKS))
+
+    def tokenize(self, cores: list[str]):
+        """Appends the ids of new cores.  One of letters alone is one piece and goes straight to the merges."""
+        lists: list = [None] * len(cores)
+        merges, rest = self.tokenizer.model.tokenize, []
+        for i, t in enumerate(cores):
+            if t.isalpha() and "\u03a3" not in t and "\u0130" not in t and (t.isascii() or unicodedata.is_normalized("NFC", t)):
+                low = t.lower()
+                if not low.isascii():
+                    low = low.encode().decode("latin-1").translate(BYTE_LETTERS) if unicodedata.is_normalized("NFC", low) else None
+                lists[i] = [x.id for x in merges(low)] if low is not None else None
+            if not lists[i]:
+                lists[i] = None
+                rest.append(i)
+        sizes = np.fromiter((0 if x is None else len(x) for x in lists), np.int64, len(lists))
+        own = [x for x in lists if x]
+        flat = np.fromiter(itertools.chain.from_iterable(own), np.uint32, int(sizes.sum()))
+        if rest:
+            more, more_sizes = self.tokenize_texts([cores[i] for i in rest])
+            both = np.r_[flat, more]
+            stretch = np.r_[sizes[sizes > 0], more_sizes]
+            place = np.empty(len(cores), np.int64)
+            place[np.flatnonzero(sizes > 0)] = np.arange(int((sizes > 0).sum()))
+            place[rest] = int((sizes > 0).sum()) + np.arange(len(rest))
+            flat, sizes = gather(both, stretch, place), stretch[place]
+        self.core_flat.append(flat)
+        self.core_size.append(sizes)
+
+    def tokenize_texts(self, cores: list[str]):
+        flats, counts = [], []
+        for at in range(0, len(cores), JOINED):
+            part = cores[at:at + JOINED]
             e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
             starts = np.cumsum([0] + [len(w) + 1 for w in part[:-1]])
             owner = np.searchsorted(starts, np.array([o[0] for o in e.offsets], np.int64), side="right") - 1
-            self.flat.append(np.array(e.ids, np.uint32))
-            self.size.append(np.bincount(owner, minlength=len(part)))
-            for w in new[at:at + JOINED]:
-                self.number[w] = len(self.number)
+            flats.append(np.array(e.ids, np.uint32))
+            counts.append(np.bincount(owner, minlength=len(part)))
+        return np.concatenate(flats), np.concatenate(counts)
+
+    def learn(self, words):
+        new = [w for w in words if w not in self.number]
+        if not new:
+            return
+        units, fresh, core = np.full((len(new), 2), -1, np.int64), [], self.core
+        for i, w in enumerate(new):
+            t = w.decode()
+            if len(t) > 1 and t[-1] in self.marks and t[-2].isalpha():
+                units[i, 1] = self.marks[t[-1]]
+                t = t[:-1]
+            if t.isascii():
+                t = t.lower()
+            k = core.get(t)
+            if k is None:
+                k = core[t] = len(core)
+                fresh.append(t)
+            units[i, 0] = k
+            self.number[w] = len(self.number)
+        self.tokenize(fresh)
+        self.core_flat, self.core_size = [np.concatenate(self.core_flat)], [np.concatenate(self.core_size)]
+        size = self.core_size[0]
+        self.flat.append(gather(self.core_flat[0], size, units[units >= 0]))
+        self.size.append(size[units[:, 0]] + np.where(units[:, 1] >= 0, size[units[:, 1]], 0))
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each with its end id, and the number of ids per text."""
@@ -149,15 +228,26 @@ class WordIds:
         self.learn(dict.fromkeys(w for x in words for w in x))
         self.flat, self.size = [np.concatenate(self.flat)], [np.concatenate(self.size)]
         flat, size = self.flat[0], self.size[0]
-        begin = np.cumsum(size) - size
         counts = np.array([len(x) + 1 for x in words], np.int64)
         seq = np.zeros(int(counts.sum()), np.int64)
         inner = np.ones(len(seq), bool)
         inner[np.cumsum(counts) - 1] = False       # the end id's places
         seq[inner] = np.fromiter((self.number[w] for x in words for w in x), np.int64, int(inner.sum()))
-        n = size[seq]
-        ids = flat[np.repeat(begin[seq] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
-        return ids, np.add.reduceat(n, np.cumsum(counts) - counts) if len(counts) else counts
+        return gather(flat, size, seq), np.add.reduceat(size[seq], np.cumsum(counts) - counts) if len(counts) else counts
+
+
+_WORDS: dict = {}    # of this Python process: tokenizer configuration -> its words, kept from task to task
+
+
+def words_of(config: str, end: int) -> WordIds:
+    key = hash((config, end))
+    if key not in _WORDS:
+        from tokenizers import Tokenizer
+        tokenizer = Tokenizer.from_str(config)
+        tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
+        _WORDS.clear()
+        _WORDS[key] = WordIds(tokenizer, end)
+    return _WORDS[key]
 
 
 def shard_row(part: int, shard: int, doc_ids: list, ids: np.ndarray, tokens: np.ndarray, vocab: int) -> dict:
@@ -190,10 +280,10 @@ def write(docs: DataFrame, path: str, tokenizer_file: str, end: int = END, shard
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
-        tokenizer = Tokenizer.from_str(config.value)
-        tokenizer.encode_special_tokens = True                 # their strings in a text are ordinary text
-        encode, vocab, part = WordIds(tokenizer, end), tokenizer.get_vocab_size(), TaskContext.get().partitionId()
+
+        from bourse.llm import token_files
+        encode = token_files.words_of(config.value, end)
+        vocab, part = encode.tokenizer.get_vocab_size(), TaskContext.get().partitionId()
         doc_ids, ids, tokens, held, shard = [], [], [], 0, 0
 
         def row():
