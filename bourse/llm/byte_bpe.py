@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bourse.llm.blobs import from_ipc, pack, unpack
+from bourse.llm.blobs import from_ipc, gather, pack, unpack
 from bourse.llm.common import input_bytes, table
 from bourse.llm.dictionary import (ANSWER_DDL, ANSWER_SCHEMA, REQUEST_DDL, REQUEST_SCHEMA, batches, by_bucket, cut, pack_strings,
                                    requests, rows, unpack_strings)
@@ -210,18 +210,39 @@ def _distinct(key: tuple, t: pa.Table) -> pa.Table:
     return pa.table({"bucket": pa.array([key[0].as_py()] * len(words), pa.int32()), "word": pa.array(sorted(words), pa.binary())})
 
 
-def _answer(key: tuple, coded: pa.Table, asked: pa.Table) -> pa.Table:
-    words = coded.column("word").to_pylist()
-    place = {w: i for i, w in enumerate(words)}
-    ids, decoded = coded.column("ids").to_pylist(), coded.column("decoded").to_pylist()
-    out = []
-    for batch, blob in zip(asked.column("batch").to_pylist(), asked.column("data").to_pylist()):
-        at = [place[w] for w in cut(*unpack(blob))]
-        sizes = np.array([len(ids[i]) for i in at], np.uint16)
-        flat = np.array([x for i in at for x in ids[i]], np.uint32)
-        back = [decoded[i] for i in at]
-        out.append((batch, key[0].as_py(), pack(sizes, flat, np.array([len(x) for x in back], np.uint16), np.frombuffer(b"".join(back), np.uint8))))
-    return rows(ANSWER_SCHEMA, out)
+def ragged(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(values, lengths) of a column of lists or of bytes without NULLs."""
+    values, sizes = [], []
+    for c in column.chunks:
+        if pa.types.is_list(c.type):
+            values.append(c.flatten().to_numpy(zero_copy_only=False))
+            ends = c.offsets.to_numpy()
+        else:
+            ends = np.frombuffer(c.buffers()[1], np.int32)[c.offset:c.offset + len(c) + 1]
+            values.append(np.frombuffer(c.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]])
+        sizes.append(np.diff(ends).astype(np.int64))
+    none = np.zeros(0, np.int64)
+    return np.concatenate(values or [none]), np.concatenate(sizes or [none])
+
+
+def _answer(with_ids: bool):
+    """Per request: number of ids, the ids as decimal text, the decoded bytes (and the ids)."""
+    def run(key: tuple, coded: pa.Table, asked: pa.Table) -> pa.Table:
+        place = {w: i for i, w in enumerate(coded.column("word").to_pylist())}
+        ids, id_sizes = ragged(coded.column("ids"))
+        texts = [ragged(coded.column(c)) for c in ("text", "decoded")]
+        out = []
+        for batch, blob in zip(asked.column("batch").to_pylist(), asked.column("data").to_pylist()):
+            words = cut(*unpack(blob))
+            at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+            arrays = [id_sizes[at].astype(np.uint16)]
+            for values, sizes in texts:
+                arrays += [sizes[at].astype(np.uint16), gather(values, sizes, at).astype(np.uint8)]
+            if with_ids:
+                arrays.append(gather(ids, id_sizes, at).astype(np.uint32))
+            out.append((batch, key[0].as_py(), pack(*arrays)))
+        return rows(ANSWER_SCHEMA, out)
+    return run
 
 
 def encode(docs: DataFrame, ranks_file: str, pattern: str, carry: list[str] | None = None, ids: bool = False) -> DataFrame:
@@ -245,8 +266,9 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, carry: list[str] | No
     if int(spark.conf.get("spark.sql.maxPlanStringLength", str(2 ** 31 - 16)).rstrip("bB")) > PLAN_TEXT:
         spark.conf.set("spark.sql.maxPlanStringLength", str(PLAN_TEXT))
     lit = literals(ranks)
-    coded = words.withColumn("ids", encode_word(F.col("word"), lit)).withColumn("decoded", decode_ids(F.col("ids"), lit))
-    answers = coded.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_answer, ANSWER_DDL)
+    coded = words.withColumn("ids", encode_word(F.col("word"), lit)).withColumn("decoded", decode_ids(F.col("ids"), lit)) \
+        .withColumn("text", F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"))
+    answers = coded.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_answer(ids), ANSWER_DDL)
     ddl = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, token_ids array<int>"
     if carry:
         ddl += f", carried {docs.select(*carry).schema.simpleString()}"
@@ -255,50 +277,59 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, carry: list[str] | No
         r = {c: left.column(c)[0].as_py() for c in left.column_names}
         splitter = Splitter(pattern)
         chunks = unpack_strings(r["words"])
-        number = distinct_pieces(splitter, chunks)
-        parts = sorted(zip(right.column("bucket").to_pylist(), right.column("data").to_pylist()))
-        order, _ = by_bucket(list(number), n)
-        word_ids: list = [None] * len(number)
-        word_bytes: list = [None] * len(number)
-        at = 0
-        for _, blob in parts:
-            sizes, flat, lengths, back = unpack(blob)
-            end = np.cumsum(sizes.astype(np.int64))
-            listed = flat.tolist()
-            for a, e, decoded in zip((end - sizes).tolist(), end.tolist(), cut(lengths.astype(np.uint32), back)):
-                word_ids[order[at]], word_bytes[order[at]] = listed[a:e], decoded
-                at += 1
-        by_id = None
-        chunk_ids, chunk_text, chunk_bytes = [], [], []
+        # pieces of each chunk as numbers; very long ones get numbers after all others
+        number, long, units, counts = {}, {}, [], []
         for c in chunks:
-            got, raw = [], []
-            for p in splitter.pieces(c):
-                if p in number:
-                    got += word_ids[number[p]]
-                    raw.append(word_bytes[number[p]])
-                else:
-                    by_id = by_id or {v: k for k, v in known.value.items()}
-                    own = heap_merge(p, known.value)
-                    got += own
-                    raw.append(b"".join(map(by_id.__getitem__, own)))
-            chunk_ids.append(got)
-            chunk_text.append(b",".join(b"%d" % x for x in got))
-            chunk_bytes.append(b"".join(raw))
-        sizes = np.array([len(x) for x in chunk_ids], np.int64)
+            pieces = splitter.pieces(c)
+            counts.append(len(pieces))
+            for p in pieces:
+                units.append(number.setdefault(p, len(number)) if len(p) <= LONG else -1 - long.setdefault(p, len(long)))
+        parts = [unpack(blob) for _, blob in sorted(zip(right.column("bucket").to_pylist(), right.column("data").to_pylist()))]
+        order, _ = by_bucket(list(number), n)
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))                   # place of each piece in the answers
+        piece_n = np.concatenate([x[0] for x in parts] or [np.zeros(0, np.uint16)]).astype(np.int64)[back]
+        text, decoded = ([w for x in parts for w in cut(x[i].astype(np.uint32), x[i + 1])] for i in (1, 3))
+        text, decoded = ([w[i] for i in back.tolist()] for w in (text, decoded))
+        long_ids = [heap_merge(p, known.value) for p in long]
+        if long:
+            by_id = {v: k for k, v in known.value.items()}
+            text += [b",".join(b"%d" % x for x in own) for own in long_ids]
+            decoded += [b"".join(map(by_id.__getitem__, own)) for own in long_ids]
+            piece_n = np.r_[piece_n, [len(own) for own in long_ids]]
+        units, counts = np.array(units, np.int64), np.array(counts, np.int64)
+        units[units < 0] = len(number) - 1 - units[units < 0]
+        first = np.cumsum(counts) - counts
+        sizes = np.add.reduceat(piece_n[units], first) if len(first) else first
+        listed_units, chunk_text, chunk_bytes = units.tolist(), [], []
+        for a, k in zip(first.tolist(), counts.tolist()):
+            if k == 1:
+                chunk_text.append(text[listed_units[a]])
+                chunk_bytes.append(decoded[listed_units[a]])
+            else:
+                own = listed_units[a:a + k]
+                chunk_text.append(b",".join([text[x] for x in own]))
+                chunk_bytes.append(b"".join([decoded[x] for x in own]))
         tokens = unpack(r["tokens"])[0]
         end = np.cumsum(unpack(r["counts"])[0].astype(np.int64))
-        total_ids = np.r_[0, np.cumsum(sizes[tokens])] if len(tokens) else np.zeros(1, np.int64)
+        before = np.r_[0, np.cumsum(sizes[tokens])] if len(tokens) else np.zeros(1, np.int64)
         begin = np.r_[0, end[:-1]] if len(end) else end
-        n_tokens, ids_sha, text_sha, listed = (total_ids[end] - total_ids[begin]), [], [], []
+        n_tokens, ids_sha, text_sha = before[end] - before[begin], [], []
         for a, e in zip(begin.tolist(), end.tolist()):
             own = tokens[a:e].tolist()
             ids_sha.append(hashlib.sha256(b",".join([chunk_text[x] for x in own])).hexdigest())
             text_sha.append(hashlib.sha256(b"".join([chunk_bytes[x] for x in own])).hexdigest())
-            listed.append([y for x in own for y in chunk_ids[x]] if ids else None)
+        listed = pa.nulls(len(end), pa.list_(pa.int32()))
+        if ids:
+            in_order = np.concatenate([x[5] for x in parts] + [np.zeros(0, np.uint32)]).astype(np.int64)
+            asked_n = np.concatenate([x[0] for x in parts] or [np.zeros(0, np.uint16)]).astype(np.int64)
+            flat = np.r_[gather(in_order, asked_n, back), np.array([x for own in long_ids for x in own], np.int64)]
+            all_units = gather(units, counts, tokens.astype(np.int64))
+            listed = pa.ListArray.from_arrays(pa.array(np.r_[0, before[end]], pa.int32()), pa.array(gather(flat, piece_n, all_units), pa.int32()))
         nulls = np.frombuffer(r["nulls"], bool)
         out = {"doc_id": pa.array(unpack(r["ids"])[0], pa.int64(), mask=nulls), "n_tokens": pa.array(n_tokens, pa.int64()),
                "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string()),
-               "token_ids": pa.array(listed, pa.list_(pa.int32()))}
+               "token_ids": listed}
         if carry:
             out["carried"] = from_ipc(r["rest"]).to_struct_array()
         return pa.table(out)

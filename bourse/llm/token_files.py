@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bourse.llm.blobs import pack, unpack
+from bourse.llm.blobs import gather, pack, unpack
 from bourse.llm.common import NULL_ID, input_bytes, small_arrow_batches, table
 from bourse.session import scratch_path
 
@@ -132,12 +132,6 @@ def small(a: np.ndarray) -> np.ndarray:
 
 # --- encoding --------------------------------------------------------------
 
-def gather(flat: np.ndarray, size: np.ndarray, seq: np.ndarray) -> np.ndarray:
-    """The stretches of flat that seq names, one after another; size: length of each stretch."""
-    begin, n = np.cumsum(size) - size, size[seq]
-    return flat[np.repeat(begin[seq] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
-
-
 class WordIds:
     """Numbers words and keeps each word's ids as a stretch of one flat array; word 0 is the end id.
 
