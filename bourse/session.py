@@ -28,6 +28,9 @@ DEFAULT_CONF = {
 }
 
 
+_scratch: list[str] = []
+
+
 def build_session(master: str | None = None, app: str = "bourse",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
@@ -85,4 +88,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Deletes the scratch folders that this process has handed out; for when no
+    DataFrame that reads them is needed any more.  Returns their number."""
+    n = len(_scratch)
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
