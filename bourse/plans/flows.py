@@ -18,9 +18,10 @@ from pyspark.sql import types as T
 from bourse.operators import quality
 from bourse.plans import gold as G
 from bourse.plans import silver as S
-from bourse.sources.files import read_files_stream
+from bourse.operators.cdc import unplaced
+from bourse.sources.files import read_files_stream, stream_table
 from bourse.streaming import runners
-from bourse.streaming.cdc import append_change_log, read_change_log
+from bourse.streaming.cdc import read_change_log
 
 
 @dataclass(frozen=True)
@@ -34,6 +35,28 @@ class Layout:
         return f"{self.root}/_checkpoints/{name}"
 
 
+#: Files that one micro-batch takes at most: bounds the first batch of a backlog, which a branching stream persists.
+FILES_PER_BATCH = 1000
+
+
+def _bronze(spark: SparkSession, landing: str, lay: Layout, name: str, fmt: str, **kw) -> DataFrame:
+    """Landing files -> the append-only bronze table; returns a stream over that table."""
+    files = read_files_stream(spark, landing, fmt, max_files_per_trigger=FILES_PER_BATCH, **kw)
+    runners.run_append(files, lay.table("bronze", name), lay.ckpt(f"bronze_{name}"))
+    return stream_table(spark, lay.table("bronze", name), max_files_per_trigger=FILES_PER_BATCH)
+
+
+def _counted(dataset: str):
+    """A branch that counts every rule of a dataset, critical and warn, per micro-batch."""
+    rules = quality.load_rules(dataset)
+    return lambda batch: quality.expectation_counts(batch, rules)
+
+
+def expectations(spark: SparkSession, lay: Layout, base: str) -> DataFrame:
+    """Counts per rule over all micro-batches of a branching stream."""
+    return runners.read_expectations(spark, f"{lay.table('silver', base)}/expectations")
+
+
 QUOTE_FIELDS = ("symbol", "c", "d", "dp", "h", "l", "o", "pc", "t")
 QUOTE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in QUOTE_FIELDS])
 
@@ -41,10 +64,7 @@ QUOTE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in QUOTE_FIE
 def quote_flow(spark: SparkSession, landing: str, lay: Layout,
                null_policy: str = "fail") -> dict[str, DataFrame]:
     """Quote JSON -> bronze (lineage + rescue) -> silver quote / quarantine."""
-    bronze = read_files_stream(spark, landing, "json", schema=QUOTE_SCHEMA, rescue=True)
-    runners.run_append(bronze, lay.table("bronze", "quote"), lay.ckpt("bronze_quote"))
-    src = spark.readStream.schema(spark.read.parquet(lay.table("bronze", "quote")).schema) \
-        .parquet(lay.table("bronze", "quote"))
+    src = _bronze(spark, landing, lay, "quote", "json", schema=QUOTE_SCHEMA, rescue=True)
 
     # rules applied once on the stream; each persisted micro-batch feeds both tables
     flagged = quality.apply_rules(S.typed_quote(src), quality.load_rules("quote"), "is_quarantine",
@@ -52,6 +72,7 @@ def quote_flow(spark: SparkSession, landing: str, lay: Layout,
     runners.run_branches(flagged, {
         "silver_quote": lambda b: quality.split(b, "is_quarantine", "quarantine_reason").valid,
         "quarantine_quote": lambda b: quality.split(b, "is_quarantine", "quarantine_reason").quarantine,
+        "expectations": _counted("quote"),
     }, lay.table("silver", "quote_branches"), lay.ckpt("silver_quote"))
     base = lay.table("silver", "quote_branches")
     return {"silver_quote": runners.read_branch(spark, base, "silver_quote").drop("batch_id"),
@@ -62,20 +83,18 @@ def candle_flow(spark: SparkSession, landing: str, lay: Layout,
                 null_policy: str = "fail") -> dict[str, DataFrame]:
     """Candle CSV -> bronze -> valid change log + quarantine -> silver (SCD1)
     -> gold candles with previous close (refreshed)."""
-    bronze = read_files_stream(spark, landing, "csv")
-    runners.run_append(bronze, lay.table("bronze", "candles"), lay.ckpt("bronze_candles"))
-    b = lay.table("bronze", "candles")
-    src = spark.readStream.schema(spark.read.parquet(b).schema).parquet(b)
+    src = _bronze(spark, landing, lay, "candles", "csv", rescue=True)
     # CSV headers are capitalised; the typed columns are lower case
-    lower = {c: c.lower() for c in spark.read.parquet(b).columns}
+    lower = {c: c.lower() for c in src.columns}
     flagged = quality.apply_rules(S.typed_candles(src.withColumnsRenamed(lower)),
                                   quality.load_rules("stock_candles"), null_policy=null_policy)
     runners.run_branches(flagged, {
         "valid_log": lambda x: quality.split(x).valid,
         "quarantine_candles": lambda x: quality.split(x).quarantine,
+        "expectations": _counted("stock_candles"),
     }, lay.table("silver", "candle_branches"), lay.ckpt("silver_candles"))
     base = lay.table("silver", "candle_branches")
-    silver = S.silver_candles(read_change_log(spark, f"{base}/valid_log"))
+    silver = _published(spark, lay, "candles", S.silver_candles(read_change_log(spark, f"{base}/valid_log")))
     gold = G.stock_candles(silver)
     runners.run_refresh(gold, lay.table("gold", "stock_candles"))
     return {"silver_candles": silver,
@@ -84,6 +103,12 @@ def candle_flow(spark: SparkSession, landing: str, lay: Layout,
             "gold_stock_candles": spark.read.parquet(lay.table("gold", "stock_candles"))}
 
 
+def _published(spark: SparkSession, lay: Layout, name: str, table: DataFrame) -> DataFrame:
+    """The table of a change log, written out."""
+    runners.run_refresh(table, lay.table("silver", name))
+    return spark.read.parquet(lay.table("silver", name))
+
+
 def daily_quote_flow(spark: SparkSession, lay: Layout, silver_quote: DataFrame,
                      gold_candles: DataFrame) -> DataFrame:
     """Gold daily quote fact, fully refreshed from its two inputs."""
@@ -93,11 +118,14 @@ def daily_quote_flow(spark: SparkSession, lay: Layout, silver_quote: DataFrame,
 
 
 def profile_flow(spark: SparkSession, landing: str, lay: Layout) -> dict[str, DataFrame]:
-    """Profile JSON -> bronze -> flagged change log -> history (SCD2) -> dim."""
-    bronze = read_files_stream(spark, landing, "json", rescue=False)
-    log = lay.table("silver", "profile_log")
-    append_change_log(S.flagged_profile(bronze), log, lay.ckpt("profile_log"))
-    history = S.silver_profile(read_change_log(spark, log))
+    """Profile JSON -> bronze -> flagged change log -> history (SCD2), rows that no
+    history can place -> dim."""
+    src = _bronze(spark, landing, lay, "profile", "json")
+    base = lay.table("silver", "profile_branches")
+    runners.run_branches(S.flagged_profile(src), {"log": lambda b: b, "expectations": _counted("profile")}, base, lay.ckpt("silver_profile"))
+    log = read_change_log(spark, f"{base}/log")
+    history = _published(spark, lay, "profile", S.silver_profile(log))
+    _published(spark, lay, "profile_unplaced", unplaced(log, ["symbol"], "ingest_timestamp"))
     runners.run_refresh(G.dim_company(history), lay.table("gold", "dim_company"))
     return {"silver_profile": history,
             "gold_dim_company": spark.read.parquet(lay.table("gold", "dim_company"))}
@@ -106,10 +134,13 @@ def profile_flow(spark: SparkSession, landing: str, lay: Layout) -> dict[str, Da
 def recommendation_flow(spark: SparkSession, landing: str, lay: Layout) -> dict[str, DataFrame]:
     """Recommendation JSON -> flagged rows (kept) in a change log -> history
     (SCD2 per symbol and period) -> analyst signal (refreshed)."""
-    bronze = read_files_stream(spark, landing, "json", rescue=False)
-    log = lay.table("silver", "recommendation_log")
-    append_change_log(S.flagged_recommendation(bronze), log, lay.ckpt("recommendation_log"))
-    history = S.silver_recommendation(read_change_log(spark, log))
+    src = _bronze(spark, landing, lay, "recommendation", "json")
+    base = lay.table("silver", "recommendation_branches")
+    runners.run_branches(S.flagged_recommendation(src), {"log": lambda b: b, "expectations": _counted("recommendation")}, base,
+                         lay.ckpt("silver_recommendation"))
+    log = read_change_log(spark, f"{base}/log")
+    history = _published(spark, lay, "recommendation", S.silver_recommendation(log))
+    _published(spark, lay, "recommendation_unplaced", unplaced(log, ["symbol", "period"], "ingest_timestamp"))
     runners.run_refresh(G.fact_analyst_signal(history), lay.table("gold", "fact_analyst_signal"))
     return {"silver_recommendation": history,
             "gold_fact_analyst_signal": spark.read.parquet(lay.table("gold", "fact_analyst_signal"))}
@@ -133,15 +164,16 @@ def financials_flow(spark: SparkSession, landing: str, lay: Layout) -> dict[str,
     """Reported-financials JSON (explicit nested schema) -> one-pass flatten ->
     valid change log + quarantine -> silver (SCD1 per filing and concept) ->
     ratios, annual and quarterly growth (refreshed)."""
-    bronze = read_files_stream(spark, landing, "json", schema=FINANCIALS_SCHEMA)
-    flagged = quality.apply_rules(S.financial_items(bronze),
+    src = _bronze(spark, landing, lay, "financials", "json", schema=FINANCIALS_SCHEMA, rescue=True)
+    flagged = quality.apply_rules(S.financial_items(src),
                                   quality.load_rules("financials_reported"), null_policy="fail")
     base = lay.table("silver", "financial_branches")
     runners.run_branches(flagged, {
         "valid_log": lambda x: quality.split(x).valid,
         "quarantine_financials": lambda x: quality.split(x).quarantine,
+        "expectations": _counted("financials_reported"),
     }, base, lay.ckpt("silver_financials"))
-    silver = S.silver_financials(read_change_log(spark, f"{base}/valid_log"))
+    silver = _published(spark, lay, "financials", S.silver_financials(read_change_log(spark, f"{base}/valid_log")))
     runners.run_refresh(G.financial_ratio(silver), lay.table("gold", "financial_ratio"))
     ratio = spark.read.parquet(lay.table("gold", "financial_ratio"))
     runners.run_refresh(G.financial_annual_yoy(ratio), lay.table("gold", "financial_annual_yoy"))
@@ -160,19 +192,17 @@ def metric_flow(spark: SparkSession, landing: str, lay: Layout,
     annual / quarterly series (change logs, SCD1) -> stock metrics fact.
     ``schema`` is the metric record schema; inferred from the landed files
     when not given."""
-    bronze = read_files_stream(spark, landing, "json", schema=schema)
-    runners.run_append(bronze, lay.table("bronze", "metric"), lay.ckpt("bronze_metric"))
-    b = lay.table("bronze", "metric")
-    src = spark.readStream.schema(spark.read.parquet(b).schema).parquet(b)
-    batch = spark.read.parquet(b)
+    src = _bronze(spark, landing, lay, "metric", "json", schema=schema)
+    batch = spark.read.parquet(lay.table("bronze", "metric"))
     # first load per (symbol, metric day) is a property of all loads: computed on the table
     snap = S.silver_metric_snapshot(batch)
     runners.run_refresh(snap, lay.table("silver", "metric_snapshot"))
     out = {"silver_metric_snapshot": spark.read.parquet(lay.table("silver", "metric_snapshot"))}
     for freq in ("annual", "quarterly"):
-        log = lay.table("silver", f"metric_{freq}_log")
-        append_change_log(S.flagged_metric_series(src, freq), log, lay.ckpt(f"metric_{freq}_log"))
-        out[f"silver_metric_{freq}"] = S.silver_metric_series(read_change_log(spark, log))
+        base = lay.table("silver", f"metric_{freq}_branches")
+        runners.run_branches(S.flagged_metric_series(src, freq), {"log": lambda b: b, "expectations": _counted(f"metric_{freq}")},
+                             base, lay.ckpt(f"silver_metric_{freq}"))
+        out[f"silver_metric_{freq}"] = _published(spark, lay, f"metric_{freq}", S.silver_metric_series(read_change_log(spark, f"{base}/log")))
     runners.run_refresh(G.fact_stock_metrics(out["silver_metric_snapshot"]),
                         lay.table("gold", "fact_stock_metrics"))
     out["gold_fact_stock_metrics"] = spark.read.parquet(lay.table("gold", "fact_stock_metrics"))
@@ -180,19 +210,22 @@ def metric_flow(spark: SparkSession, landing: str, lay: Layout,
 
 
 def trades_flow(spark: SparkSession, kafka_rows: DataFrame, lay: Layout,
-                silver_quote: DataFrame, width: str = "1 minute",
+                silver_quote, width: str = "1 minute",
                 watermark: str = "30 seconds") -> dict[str, DataFrame]:
     """Kafka rows (a ``kafka_source`` stream, or any stream with the Kafka row
-    schema) -> decoded bronze -> silver trades (stream-static previous close)
-    -> watermarked bars (append)."""
+    schema) -> decoded bronze -> silver trades (previous close) -> watermarked
+    bars (append).  ``silver_quote`` is a DataFrame or a function that gives one,
+    which is then called for each micro-batch, so quotes that arrived since count."""
     from bourse.sources.kafka import decode_kafka
     runners.run_append(decode_kafka(kafka_rows), lay.table("bronze", "quote_eh"),
                        lay.ckpt("bronze_quote_eh"))
     b = lay.table("bronze", "quote_eh")
     src = spark.readStream.schema(spark.read.parquet(b).schema).parquet(b)
-    trades = S.silver_trades(src, silver_quote)
-    runners.run_append(trades, lay.table("silver", "quote_eh"), lay.ckpt("silver_quote_eh"))
     s = lay.table("silver", "quote_eh")
+    if callable(silver_quote):
+        runners.run_each(src, lambda batch: S.silver_trades(batch, silver_quote()), s, lay.ckpt("silver_quote_eh"))
+    else:
+        runners.run_append(S.silver_trades(src, silver_quote), s, lay.ckpt("silver_quote_eh"))
     sstream = spark.readStream.schema(spark.read.parquet(s).schema).parquet(s)
     runners.run_append(G.realtime_agg(sstream, width, watermark=watermark),
                        lay.table("gold", "fact_realtime_agg"), lay.ckpt("gold_realtime_agg"))

@@ -642,13 +642,9 @@ SELECT symbol, period, total_analysts, raw_score,
          AS bullish_score,
        round(try_divide(CAST(strongBuy AS DOUBLE), CAST(total_analysts AS DOUBLE)) * 100, 2)
          AS pct_strong_buy,
-       CASE WHEN bullish_score >= 4.5 THEN 'Strong buy'
-            WHEN bullish_score >= 3.5 THEN 'Buy'
-            WHEN bullish_score >= 2.5 THEN 'Hold'
-            WHEN bullish_score >= 1.5 THEN 'Sell'
-            ELSE 'Strong sell' END AS consensus_label
+       CASE {labels} ELSE '{other}' END AS consensus_label
 FROM scored
-"""
+""".format(labels=" ".join(f"WHEN bullish_score >= {t} THEN '{label}'" for t, label in G.CONSENSUS), other=G.CONSENSUS_ELSE)
 
 
 @query("a14_sql_view_analyst_signal")

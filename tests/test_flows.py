@@ -32,6 +32,8 @@ def test_candle_and_quote_flows_to_daily_fact(spark, tmp):
         {"symbol": "AAA", "c": "-1", "t": "1704380400"}]))
     qo = flows.quote_flow(spark, f"{tmp}/land/quotes", lay)
     assert qo["silver_quote"].count() == 1 and qo["quarantine_quote"].count() == 1
+    counts = {r.rule: (r.passed, r.failed, r.unknown) for r in flows.expectations(spark, lay, "quote_branches").collect()}
+    assert counts["close_price_positive"] == (1, 1, 0) and counts["open_price_positive"] == (1, 0, 1)   # a warn rule
     daily = flows.daily_quote_flow(spark, lay, qo["silver_quote"], out["gold_stock_candles"])
     assert {r.session_date.day for r in daily.collect()} == {2, 3, 4}
 
@@ -51,6 +53,11 @@ def test_profile_flow_history_and_dim(spark, tmp):
     dim = {r.symbol: r.market_cap_category for r in out["gold_dim_company"].collect()}
     assert dim == {"AAA": "Mega cap"}          # BBB is critical (negative market cap)
     assert out["silver_profile"].count() == 2
+    # the bronze table holds what landed; the histories are published, rows that none can place too
+    assert spark.read.parquet(lay.table("bronze", "profile")).count() == 2
+    assert spark.read.parquet(lay.table("silver", "profile_unplaced")).count() == 0
+    counts = {r.rule: r.passed for r in flows.expectations(spark, lay, "profile_branches").collect()}
+    assert counts["ipo_date_sane"] == 2 and counts["market_cap_positive"] == 1
 
 
 def test_recommendation_and_financials_flows(spark, tmp):
