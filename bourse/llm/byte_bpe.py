@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from bourse.llm.blobs import from_ipc, gather, pack, unpack
 from bourse.llm.common import input_bytes, table
-from bourse.llm.dictionary import (ANSWER_DDL, ANSWER_SCHEMA, REQUEST_DDL, REQUEST_SCHEMA, batches, by_bucket, cut, pack_strings,
+from bourse.llm.dictionary import (ANSWER_DDL, ANSWER_SCHEMA, REQUEST_DDL, REQUEST_SCHEMA, batches, by_bucket, cut,
                                    requests, rows, unpack_strings)
 from bourse.session import scratch_path
 
