@@ -7,6 +7,7 @@ falling frequency, pairs of neighbouring symbols that occur often are replaced b
 new symbols (non-overlapping, left to right), never across a document's end.
 Stored are the rules, the expansion length of each symbol, and where each
 document's symbols begin, so that one document decodes without the others.
+Rounds go on until no pair is left that reaches the least frequency.
 
 File format: Parquet, one file per part of the order, one row per shard:
 ``part, shard, n_ids, vocab, doc_ids, doc_symbols, doc_tokens, rules, symbols``.
@@ -44,7 +45,7 @@ PART_BYTES = 32 << 20      # text bytes per part of the order, about
 WORD_CACHE = 700_000
 MARKS = ".,;:!?"           # closing marks that a word is read without
 JOINED = 2_000             # words that the tokenizer reads as one text
-LEVELS = [1024, 256, 64, 16]   # least frequencies of a round's pairs, in a shard of SHARD_IDS
+LEVELS = [1024, 256, 64, 16]   # least frequencies of a round's pairs, in a shard of SHARD_IDS; each is repeated while it finds pairs
 
 
 #: The letter that stands for each byte in byte-level vocabularies: visible Latin-1 characters for themselves, the others from 256 on.
@@ -56,41 +57,49 @@ BYTE_LETTERS = {b: chr(b) for b in _VISIBLE} | {b: chr(256 + i) for i, b in enum
 
 def repair(ids: np.ndarray, last: np.ndarray, vocab: int):
     """(symbols, last, left, right, lengths): the grammar of an id sequence; ``last`` marks the symbols that end a document."""
-    s = ids.astype(np.int64)
+    s, last = ids.astype(np.int64), last.copy()
     left, right, lengths = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.ones(vocab, np.int64)
-    for least in LEVELS:
-        if len(s) < 2:
-            break
-        least = max(4, least * len(ids) // SHARD_IDS)
-        size = len(lengths)
-        pair = s[:-1] * size + s[1:]
-        code = np.sort(pair[~last[:-1]])
-        first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else np.zeros(0, np.int64)
-        count = np.diff(np.r_[first, len(code)])
-        chosen = code[first[count >= least]]
-        if not len(chosen):
-            continue
-        # first by the two symbols alone, then exactly
-        begins, follows = np.zeros(size, bool), np.zeros(size, bool)
-        begins[chosen // size], follows[chosen % size] = True, True
-        maybe = np.flatnonzero(begins[s[:-1]] & follows[s[1:]] & ~last[:-1])
-        found = np.minimum(np.searchsorted(chosen, pair[maybe]), len(chosen) - 1)
-        exact = chosen[found] == pair[maybe]
-        at, hit = np.zeros(len(pair), np.int64), np.zeros(len(pair), bool)
-        at[maybe[exact]], hit[maybe[exact]] = found[exact], True
-        # of pairs that overlap in a row, every other one from the left
-        place = np.arange(len(hit))
-        run_start = np.maximum.accumulate(np.where(hit & ~np.r_[False, hit[:-1]], place, 0))
-        take = hit & ((place - run_start) % 2 == 0)
-        used, rule = np.unique(at[take], return_inverse=True)
-        s[:-1][take] = size + rule
-        keep = np.r_[True, ~take]
-        last = np.where(np.r_[take, False], np.r_[last[1:], True], last)[keep]
-        s = s[keep]
-        a, b = chosen[used] // size, chosen[used] % size
-        left.append(a)
-        right.append(b)
-        lengths = np.r_[lengths, lengths[a] + lengths[b]]
+    for level in LEVELS:
+        least, known = max(4, level * len(ids) // SHARD_IDS), 0
+        # A round leaves none of its pairs in the sequence, and any other count only falls: after a level's first
+        # round, only pairs that hold a symbol of the round before can reach the least frequency.
+        while len(s) > 1:
+            size = len(lengths)
+            open_ = ~last[:-1]
+            if known:
+                fresh = s >= known
+                open_ &= fresh[:-1] | fresh[1:]
+            at = np.flatnonzero(open_)
+            pair = s[at] * size + s[at + 1]
+            code = np.sort(pair)
+            first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else np.zeros(0, np.int64)
+            count = np.diff(np.r_[first, len(code)])
+            chosen = code[first[count >= least]]
+            if not len(chosen):
+                break
+            # first by the two symbols alone, then exactly
+            begins, follows = np.zeros(size, bool), np.zeros(size, bool)
+            begins[chosen // size], follows[chosen % size] = True, True
+            maybe = np.flatnonzero(begins[s[at]] & follows[s[at + 1]])
+            found = np.minimum(np.searchsorted(chosen, pair[maybe]), len(chosen) - 1)
+            exact = chosen[found] == pair[maybe]
+            hit, found = at[maybe[exact]], found[exact]
+            # of pairs that overlap in a row, every other one from the left
+            place = np.arange(len(hit))
+            run_start = np.maximum.accumulate(np.where(np.r_[True, np.diff(hit) != 1], place, 0))
+            even = (place - run_start) % 2 == 0
+            take = hit[even]
+            used, rule = np.unique(found[even], return_inverse=True)
+            s[take] = size + rule
+            last[take] = last[take + 1]
+            keep = np.ones(len(s), bool)
+            keep[take + 1] = False
+            s, last = s[keep], last[keep]
+            a, b = chosen[used] // size, chosen[used] % size
+            left.append(a)
+            right.append(b)
+            lengths = np.r_[lengths, lengths[a] + lengths[b]]
+            known = size
     return s, last, np.concatenate(left), np.concatenate(right), lengths[vocab:]
 
 

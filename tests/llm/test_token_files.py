@@ -60,3 +60,19 @@ def test_grammar_round_trip():
         sizes = np.r_[np.ones(300, np.int64), lengths][s]
         assert np.cumsum(sizes)[ends].tolist() == (np.flatnonzero(last) + 1).tolist()   # no symbol reaches across an end
         assert n < 1000 or top > 3 or len(s) < n / 2
+
+
+def test_rounds_go_on_until_no_pair_is_frequent():
+    rng = np.random.default_rng(1)
+    passage = rng.integers(0, 200, 3000)                      # a long document, copied 40 times among others
+    parts = [x for _ in range(40) for x in (passage, rng.integers(0, 200, 50))]
+    ids = np.concatenate(parts).astype(np.uint32)
+    last = np.zeros(len(ids), bool)
+    last[np.cumsum([len(x) for x in parts]) - 1] = True
+    ends_before = last.copy()
+    s, ends, left, right, lengths = F.repair(ids, last, 300)
+    assert (last == ends_before).all() and F.expand(s, left, right, 300).tolist() == ids.tolist()
+    least = max(4, F.LEVELS[-1] * len(ids) // F.SHARD_IDS)
+    pairs = np.unique((s[:-1] * 10 ** 6 + s[1:])[~ends[:-1]], return_counts=True)[1]
+    assert not len(pairs) or pairs.max() < least
+    assert lengths.max() > 16 ** 2                            # symbols grow with the passage, not with the number of levels
