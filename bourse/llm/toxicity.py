@@ -8,9 +8,11 @@ of destroying it.  ``^`` and ``$`` mark a word's ends.
 
 Landmarks are the word stems and words that best separate toxic from clean rows
 of the training sample.  A text is described by its words' largest kernel values
-against each landmark (as cosine, and as share of the landmark found), projected
-by the inverse square root of the landmarks' kernel matrix (Nyström) and judged
-by a linear support vector machine; a logistic curve turns margins into scores.
+against each landmark (as cosine, as share of the landmark found, and as share of
+the landmark's ungapped triples that are found at any gap, which inserted
+characters do not lower; no value is too small to count), projected by the
+inverse square root of the landmarks' kernel matrix (Nyström) and judged by a
+linear support vector machine; a logistic curve turns margins into scores.
 
 The model is fitted on a documented, bounded sample (``TRAIN_ROWS`` rows a
 class, lowest hashes first); scoring reads every whole text of the table, each
@@ -38,7 +40,9 @@ from bourse.llm.common import crc_mod_col, id_text, rows_of, small_arrow_batches
 TRAIN_ROWS = 2_000   # labelled rows a class that the model is fitted on, at most
 LANDMARKS = 64
 GAP, DECAY = 2, 0.5
-FLOOR = 0.5          # similarities below count as none
+FLOOR = 0.0          # similarities below count as none; at 0 every one counts
+POWER = 4            # of the share of ungapped triples: all of them stand out from the half that other words hold
+VIEWS = 3            # values of a word against a landmark: cosine, share, ungapped triples found
 PIECE = 32           # characters of a word read at once; longer words give pieces that overlap by half
 STEMS = range(4, 9)  # stem lengths that may become landmarks
 HELD_OUT_MOD = 5
@@ -94,6 +98,16 @@ class Kernel:
         for k, c in enumerate(self.codes):
             for i, w in found[int(c)].items():
                 self.weights[k, i] = w
+        # by triple, the landmarks that hold it: which, its weight there, and its part of the landmark's triples without a gap
+        at, self.mark = np.nonzero(self.weights)
+        self.edge = np.searchsorted(at, np.arange(len(found) + 1))
+        self.entry = self.weights[at, self.mark]
+        plain = np.zeros_like(self.weights)
+        code, ok, _ = next(_triples(landmarks))
+        for i in range(len(landmarks)):
+            own = np.searchsorted(self.codes, np.unique(code[i, ok[i]]))
+            plain[own, i] = 1 / max(1, len(own))
+        self.plain = plain[at, self.mark]
         self.maybe = np.zeros(1 << self.BITS, bool)
         self.maybe[self._slot(self.codes)] = True
         self.own = np.maximum((self.weights.astype(np.float64) ** 2).sum(0), 1e-9)
@@ -103,24 +117,30 @@ class Kernel:
         return ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.BITS)).astype(np.int64)
 
     def values(self, words: list[str]) -> np.ndarray:
-        """(words, 2 * landmarks): cosine, then share of the landmark; small values are 0."""
-        n = len(self.landmarks)
-        k = np.zeros((len(words), n), np.float32)
+        """(words, 3 * landmarks): cosine, share of the landmark, and share of its ungapped triples that are found at any gap."""
+        n, size = len(self.landmarks), max(1, len(self.codes))
+        keys, weights = [], []
         for code, ok, weight in _triples(words):
-            hit = ok & self.maybe[self._slot(code)]
-            row, col = np.nonzero(hit)
+            row, col = np.nonzero(ok & self.maybe[self._slot(code)])
             c = code[row, col]
-            at = np.minimum(np.searchsorted(self.codes, c), len(self.codes) - 1)
+            at = np.minimum(np.searchsorted(self.codes, c), size - 1)
             real = self.codes[at] == c
-            row, at = row[real], at[real]
-            if len(row):
-                part = self.weights[at] * np.float32(weight)
-                starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-                k[row[starts]] += np.add.reduceat(part, starts, axis=0)
+            keys.append(row[real] * size + at[real])
+            weights.append(np.full(len(keys[-1]), weight))
+        # each triple that a word holds, once, then each landmark that holds it too
+        key, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+        weight = np.bincount(inverse, np.concatenate(weights), len(key))
+        at = key % size
+        times = self.edge[at + 1] - self.edge[at] if len(key) else at
+        entry = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times) + np.repeat(self.edge[at], times)
+        cell = np.repeat(key // size, times) * n + self.mark[entry]
+        k = np.bincount(cell, np.repeat(weight, times) * self.entry[entry], len(words) * n).reshape(-1, n)
+        found = np.bincount(cell, self.plain[entry], len(words) * n).reshape(-1, n) ** POWER
         own = np.maximum(self_weight(np.array([len(w) for w in words])), 1e-9)
-        v = np.concatenate([k / np.sqrt(own[:, None] * self.own[None, :]), k / self.own[None, :]], axis=1)
+        v = np.concatenate([k / np.sqrt(own[:, None] * self.own[None, :]), k / self.own[None, :], found], axis=1)
         v = np.minimum(v, 1.0)
-        v[v < FLOOR] = 0.0
+        if FLOOR > 0:
+            v[v < FLOOR] = 0.0
         return v.astype(np.float32)
 
 
@@ -129,32 +149,34 @@ class Describer:
 
     def __init__(self, landmarks: list[str]):
         self.kernel = Kernel(landmarks)
-        self.width = 2 * len(landmarks)
+        self.width = VIEWS * len(landmarks)
         self.forget()
 
     def forget(self):
-        self.known: dict[str, int] = {}          # word -> row of values, -1 if nothing in it
-        self.rows = [np.zeros(self.width, np.float32)]
+        self.known: dict[str, int] = {}          # word -> row of values, 0 if nothing in it
+        self.rows, self.used = np.zeros((WORD_CACHE + 4096, self.width), np.float32), 1   # untouched rows take no memory
 
     def learn(self, words):
         new = [w for w in words if w not in self.known]
         for at in range(0, len(new), 4096):
             part = new[at:at + 4096]
-            cut, of = [], []
-            for i, w in enumerate(part):
-                p = pieces(w)
-                cut += p
-                of += [i] * len(p)
-            v = self.kernel.values(cut)
+            cut, first = [], []
             for w in part:
-                self.known[w] = -1
-            for j in np.flatnonzero(v.any(axis=1)):
-                w = part[of[j]]
-                if self.known[w] < 0:
-                    self.known[w] = len(self.rows)
-                    self.rows.append(v[j])
-                else:
-                    self.rows[self.known[w]] = np.maximum(self.rows[self.known[w]], v[j])
+                first.append(len(cut))
+                cut += pieces(w)
+            v = self.kernel.values(cut)
+            if len(cut) > len(part):
+                v = np.maximum.reduceat(v, first, axis=0)
+            some = v.any(axis=1)
+            row = np.where(some, self.used + np.cumsum(some) - 1, 0)
+            end = self.used + int(some.sum())
+            if end > len(self.rows):
+                grown = np.zeros((end + WORD_CACHE // 4, self.width), np.float32)
+                grown[:self.used] = self.rows[:self.used]
+                self.rows = grown
+            self.rows[self.used:end] = v[some]
+            self.used = end
+            self.known.update(zip(part, row.tolist()))
 
     def __call__(self, texts: list[bytes]) -> np.ndarray:
         if len(self.known) > WORD_CACHE:
@@ -163,9 +185,10 @@ class Describer:
         sets = [set(t.decode().lower().split()) for t in texts]
         self.learn(set().union(*sets))
         for i, words in enumerate(sets):
-            at = [r for r in map(self.known.__getitem__, words) if r >= 0]
+            at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            at = at[at > 0]
             for k in range(0, len(at), 4096):
-                out[i] = np.maximum(out[i], np.max([self.rows[r] for r in at[k:k + 4096]], axis=0))
+                out[i] = np.maximum(out[i], self.rows[at[k:k + 4096]].max(axis=0))
         return out
 
 
@@ -262,7 +285,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> d
     gram = Kernel(chosen).gram.astype(np.float64)
     value, vector = np.linalg.eigh(gram + 1e-3 * np.eye(len(chosen)))
     root = vector @ np.diag(value ** -0.5) @ vector.T
-    project = np.kron(np.eye(2), root)
+    project = np.kron(np.eye(VIEWS), root)
     w = fit_svm(v @ project, y)
     margin = v @ project @ w[:-1] + w[-1]
     slope = 2.0 / max(1e-6, float(np.median(np.abs(margin))))

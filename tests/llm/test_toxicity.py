@@ -88,3 +88,23 @@ def test_svm_separates():
     y = (x[:, 0] + 0.5 * x[:, 1] > 0.3).astype(int)
     w = T.fit_svm(x, y)
     assert ((x @ w[:-1] + w[-1] > 0) == y).mean() > 0.97
+
+
+def test_gapped_insults_at_the_production_setting(spark, make_docs):
+    """Insults gapped throughout, or with two inserted characters, are found where no plain one stands beside them."""
+    docs, labels = rows(600, random.Random(1))
+    model = T.train(make_docs(docs), spark.createDataFrame(labels, LABELS))
+    forms = [f for x in INSULTS for f in (".".join(x), "-".join(x), x[0] + "q" + x[1:-2] + "z" + x[-2:])]
+    clean = ["ta re mi no", "selku drata mimi renosel", "dra-ta re.mi.no sel.ku.dra"]
+    got = T.scorer(model)([f"ta {f} mire selku".encode() for f in forms] + [c.encode() for c in clean])
+    assert (got[len(forms):] < 0.5).all() and got[:len(forms)].min() > got[len(forms):].max()
+    assert (got[:len(forms)] >= 0.5).sum() >= len(forms) - 1, dict(zip(forms, got))      # a learnt model: one may be missed
+
+
+def test_small_values_count():
+    marks = ["^idiot$", "^moron$", "^scum$"]
+    words = ["^i.d.i.o.t$", "^m-o-r-o-n$", "^sxcuym$"]
+    v = T.Kernel(marks).values(words)
+    for i in range(3):
+        assert 0 < v[i, i] < 0.5 and 0 < v[i, 3 + i] < 0.5 and v[i, 6 + i] == pytest.approx(1.0, abs=1e-5)
+        assert (np.delete(v[i, 6:], i) < 0.1).all()
