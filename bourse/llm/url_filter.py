@@ -6,8 +6,10 @@ first.  Urls that a rule decides are labelled urls; the trees learn block / allo
 from a bounded sample of them and judge the urls no rule fits, by lexical
 features only: lengths, depth, digit ratio, character entropy of the host,
 parameter counts, and how often labelled urls with the same host suffix, or the
-same first path segment, were blocked.  Everything is DataFrame expressions and the DataFrame-based ML
-library; no Python runs on executors.
+same first path segment, were blocked.  Those counts are over all distinct
+labelled urls; only the rows that the trees are fitted on are a sample.
+Everything is DataFrame expressions and the DataFrame-based ML library; no
+Python runs on executors.
 
 Defined cases: a NULL url or one without ``://`` has empty host and path, no rule,
 and is judged by the trees; when the labelled urls hold no or only one class,
@@ -25,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bourse.llm.common import table
+from bourse.session import scratch_path
 
 #: (host, path prefix, verdict), given
 RULES = (
@@ -71,6 +74,11 @@ def entropy(c: Column) -> Column:
         lambda acc, x: acc - (F.size(F.filter(chars, lambda y: y == x)) / n) * F.log2(F.size(F.filter(chars, lambda y: y == x)) / n))
 
 
+def keys() -> list[Column]:
+    """The columns RATED of a row with host and path."""
+    return [F.regexp_extract("host", r"([^.]*)$", 1).alias("suffix"), F.regexp_extract("path", r"^/([^/]*)", 1).alias("section")]
+
+
 def lexical(p: DataFrame) -> DataFrame:
     """Adds the features that need no labels, and the host's suffix."""
     count = lambda c, pattern: F.regexp_count(F.col(c), F.lit(pattern)).cast("double")
@@ -80,15 +88,15 @@ def lexical(p: DataFrame) -> DataFrame:
         F.length("path").cast("double").alias("path_len"), count("path", "/").alias("depth"),
         count("host", r"\.").alias("labels"), (count("url", "[0-9]") / F.greatest(length, F.lit(1.0))).alias("digit_ratio"),
         count("url", "[-_]").alias("dashes"), entropy(F.col("host")).alias("entropy"), count("url", r"[?&][^=&#]*=").alias("params"),
-        F.regexp_extract("host", r"([^.]*)$", 1).alias("suffix"), F.regexp_extract("path", r"^/([^/]*)", 1).alias("section"))
+        *keys())
 
 
 def judge(pages: DataFrame, rules=RULES, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """page_id, host, path, rule, verdict, by_rule."""
     rule, verdict = fitting_rule(rules)
     ruled = parts(pages).select("*", rule.alias("rule"), verdict.alias("rule_verdict"))
-    sample = ruled.where("rule is not null").select("url", "host", "path", "rule_verdict").distinct() \
-        .orderBy(F.xxhash64("url"), "url").limit(train_rows)  # a top-k: bounded, the same on every run
+    labelled = ruled.where("rule is not null").select("url", "host", "path", "rule_verdict").distinct()
+    sample = labelled.orderBy(F.xxhash64("url"), "url").limit(train_rows)  # a top-k: bounded, the same on every run
     train = lexical(sample).withColumn("label", (F.col("rule_verdict") == "block").cast("double")).persist()
     seen = [r["label"] for r in train.select("label").distinct().collect()]
     if len(seen) < 2:
@@ -97,17 +105,25 @@ def judge(pages: DataFrame, rules=RULES, train_rows: int = TRAIN_ROWS) -> DataFr
         return ruled.select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", other).alias("verdict"),
                             F.col("rule").isNotNull().alias("by_rule"))
 
+    # counted over all labelled urls: one row a key, as many as the data has, so written out and never forced into a broadcast
+    path = scratch_path(pages.sparkSession, "url-rates")
+    counted = labelled.select("rule_verdict", *keys()).groupBy("suffix", "section") \
+        .agg(F.sum((F.col("rule_verdict") == "block").cast("long")).alias("blocked"), F.count("*").alias("n"))
+    counted.write.parquet(f"{path}/both")
+    for key in RATED:
+        pages.sparkSession.read.parquet(f"{path}/both").groupBy(key) \
+            .agg(((F.sum("blocked") + 1) / (F.sum("n") + 2)).alias(f"{key}_rate"), F.log1p(F.sum("n")).alias(f"{key}_n")) \
+            .write.parquet(f"{path}/{key}")
+
     def featured(x: DataFrame) -> DataFrame:
-        for key in RATED:  # at most one row per sampled url, so what is broadcast is bounded by train_rows
-            stats = train.groupBy(key).agg(((F.sum("label") + 1) / (F.count("*") + 2)).alias(f"{key}_rate"),
-                                           F.log1p(F.count("*")).alias(f"{key}_n"))
-            x = x.join(F.broadcast(stats), key, "left").fillna({f"{key}_rate": 0.5, f"{key}_n": 0.0})
+        for key in RATED:
+            stats = pages.sparkSession.read.parquet(f"{path}/{key}")
+            x = x.join(stats, key, "left").fillna({f"{key}_rate": 0.5, f"{key}_n": 0.0})
         return x
 
     to_vector = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     fitted = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label", featuresCol="features",
                            predictionCol="tree_block").fit(to_vector.transform(featured(train).coalesce(1)))
-    # the statistics stay lazily readable from the persisted sample; recomputed from pages if an executor is lost
     scored = fitted.transform(to_vector.transform(featured(lexical(ruled))))
     by_trees = F.when(F.col("tree_block") > 0.5, "block").otherwise("allow")
     return scored.select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", by_trees).alias("verdict"),

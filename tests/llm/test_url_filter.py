@@ -1,3 +1,4 @@
+import math
 import re
 
 from bourse.llm import url_filter as U
@@ -48,3 +49,21 @@ def test_one_class_and_empty(spark):
 def test_no_python_in_the_plan(spark):
     plan = U.judge(table(spark, URLS))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_rates_count_all_labelled_urls(spark, monkeypatch):
+    """Rates and counts cover every labelled url, not only those the trees are fitted on."""
+    urls = [f"http://a{i}.spam/p{i % 7}/x" for i in range(90)] + [f"http://b{i}.good/q{i % 5}/x" for i in range(60)]
+    rules = (("spam", "/p", "block"), ("good", "/q", "allow"))
+    seen = []
+    fit = U.GBTClassifier.fit
+    monkeypatch.setattr(U.GBTClassifier, "fit", lambda self, x: seen.append(x.collect()) or fit(self, x))
+    assert U.judge(table(spark, urls + urls[:20]), rules, train_rows=30).count() == 170
+    (rows,) = seen
+    assert len(rows) == 30
+    for r in rows:
+        same = [u for u in urls if u.split("/")[3] == r["section"]]
+        blocked = len(same) if r["section"].startswith("p") else 0
+        assert (round(math.expm1(r["section_n"])), r["section_rate"]) == (len(same), (blocked + 1) / (len(same) + 2))
+        n, block = (90, 90) if r["suffix"] == "spam" else (60, 0)
+        assert (round(math.expm1(r["suffix_n"])), r["suffix_rate"]) == (n, (block + 1) / (n + 2))
