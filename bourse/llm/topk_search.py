@@ -131,13 +131,15 @@ def search(q_ids, q, c_ids, c, k: int = K, stats: dict | None = None):
     return top
 
 
-def _units(batches):
-    for pdf in batches:
-        for r in pdf.itertuples(index=False):
-            q_ids, q = _matrix(r.q_kind, r.q_dims, r.q_ids, r.q_data)
-            c_ids, c = _matrix(r.c_kind, r.c_dims, r.c_ids, r.c_data)
-            qi, s, ids = search(q_ids, q, c_ids, c)
-            yield pd.DataFrame({"query_id": q_ids[qi], "vec_id": ids, "score": s})
+def _units(k: int):
+    def run(batches):
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                q_ids, q = _matrix(r.q_kind, r.q_dims, r.q_ids, r.q_data)
+                c_ids, c = _matrix(r.c_kind, r.c_dims, r.c_ids, r.c_data)
+                qi, s, ids = search(q_ids, q, c_ids, c, k)
+                yield pd.DataFrame({"query_id": q_ids[qi], "vec_id": ids, "score": s})
+    return run
 
 
 def top_k(vectors: DataFrame, k: int = K) -> DataFrame:
@@ -160,7 +162,7 @@ def top_k(vectors: DataFrame, k: int = K) -> DataFrame:
     # each block travels to every block of the other side: units of work, not pairs of rows
     units = side("candidates", "c", "q", groups).join(side("queries", "q", "c", slices), ["c", "q"])
     found = units.select("q_ids", "q_kind", "q_dims", "q_data", "c_ids", "c_kind", "c_dims", "c_data") \
-        .mapInPandas(_units, "query_id long, vec_id long, score long")
+        .mapInPandas(_units(k), "query_id long, vec_id long, score long")
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")

@@ -49,3 +49,11 @@ def test_bounds_save_work_and_lose_nothing(monkeypatch):
             want = sorted(zip(-full[i], range(4000)))[:20]
             assert [(-s, j) for s, j in want] == list(zip(score[owner == i].tolist(), ids[owner == i].tolist()))
         assert stats["work"] < 0.7 * 64 * 4000 * 15
+
+
+def test_other_k(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in np.float32(rng.normal(size=8))]) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for k in (3, 35, 100):
+        assert Counter(tuple(r) for r in T.top_k(df, k).collect()) == brute(rows, k)
