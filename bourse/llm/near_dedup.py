@@ -43,7 +43,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bourse.llm.common import id_text, rows_of, small_arrow_batches, table
@@ -131,8 +131,13 @@ def parity(sets: list[np.ndarray]) -> np.ndarray:
     return np.packbits((np.bincount(place, minlength=len(sets) * BITS) & 1).astype(bool).reshape(-1, BITS), axis=1).view(np.int64)
 
 
-def sketches(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, band keys, parity bitmap; one pass over all texts."""
+def text_digest() -> Column:
+    """MD5 of a row's text; NULL counts as empty, as in the sketches."""
+    return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+
+
+def sketches(docs: DataFrame, k: int, percent: int, digests: bool = False) -> DataFrame:
+    """doc_id, n_shingles, digest of the set, band keys, parity bitmap (and the text's digest); one pass over all texts."""
     bands, rows = bands_for(percent)
 
     def run(batches):
@@ -142,15 +147,16 @@ def sketches(docs: DataFrame, k: int, percent: int) -> DataFrame:
             digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
             keys = band_keys(sketch(sets, bands * rows), bands, rows)
             bits = parity(sets)
+            own = [pa.array([hashlib.md5(t).digest() for t in texts], pa.binary())] if digests else []
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([int.from_bytes(d[:8], "little", signed=True) for d in digest], pa.int64()),
                  pa.array([int.from_bytes(d[8:], "little", signed=True) for d in digest], pa.int64()),
                  pa.array([x if len(s) else [] for x, s in zip(keys, sets)], pa.list_(pa.int64())),
-                 pa.array(list(bits), pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "d1", "d2", "keys", "bits"])
+                 pa.array(list(bits), pa.list_(pa.int64())), *own],
+                ["doc_id", "n_shingles", "d1", "d2", "keys", "bits", *["text_digest"] * digests])
 
-    return id_text(docs).mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, keys array<long>, bits array<long>")
+    return id_text(docs).mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, keys array<long>, bits array<long>" + ", text_digest binary" * digests)
 
 
 def _sets(k: int):
@@ -184,8 +190,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.select("u", "v", "a_set", "b_set").mapInArrow(run, "u long, v long")
 
 
-def link(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, class_id for every row of docs."""
+def link(docs: DataFrame, k: int = K, percent: int = PERCENT, digests: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept, class_id (and text_digest) for every row of docs."""
     spark = docs.sparkSession
     small_arrow_batches(spark)
     path = scratch_path(spark, "near")
@@ -194,7 +200,7 @@ def link(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
         df.write.parquet(f"{path}/{name}")
         return spark.read.parquet(f"{path}/{name}")
 
-    sk = kept(sketches(docs, k, percent), "sketches")
+    sk = kept(sketches(docs, k, percent, digests), "sketches")
     classes = kept(sk.where("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "classes")
     firsts = sk.where("n_shingles > 0").join(classes.select(F.col("d1").alias("c1"), F.col("d2").alias("c2"), "rep"),
                                              (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")) & (F.col("doc_id") == F.col("rep")))
@@ -252,7 +258,8 @@ def link(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
         .join(comp, F.col("rep") == F.col("node"), "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"), F.col("rep").alias("class_id"))
+                      F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"), F.col("rep").alias("class_id"),
+                      *["text_digest"] * digests)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

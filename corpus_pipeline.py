@@ -27,11 +27,14 @@ def toxic_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, the one with the least id, of each group of near copies (five words, 0.8)."""
-    verdict = near_dedup.link(docs)
-    gone = verdict.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    rest = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    return rest.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    """Keeps one document, the one with the least id, of each group of near copies (five words, 0.8).
+
+    A row goes if ``link`` rejects it: another text under the same id is judged by itself.
+    Rows without an id all stay."""
+    gone = near_dedup.link(docs, digests=True).where(~F.col("kept")) \
+        .select(F.col("doc_id").alias("_gone"), F.col("text_digest").alias("_gone_text")).distinct()
+    rest = docs.join(gone, (F.col("doc_id") == F.col("_gone")) & (near_dedup.text_digest() == F.col("_gone_text")), "left_anti")
+    return rest.where("doc_id is not null").dropDuplicates(["doc_id", "text"]).unionByName(rest.where("doc_id is null")).select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

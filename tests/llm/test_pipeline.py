@@ -74,3 +74,12 @@ def test_only_the_entry_asks_whether_the_package_is_there():
     for f in [*top.glob("bourse/**/*.py"), top / "bench.py"]:
         if "llm" not in f.relative_to(top).parts:
             assert not re.search(r"\bllm\b|corpus_pipeline", f.read_text()), f
+
+
+def test_near_duplicates_drops_exactly_the_rejected_rows(spark, make_docs):
+    """A repeated id's other text stays, and so do all rows without an id."""
+    copied, other, plain = (" ".join(f"{w}{i}" for i in range(40)) for w in ("a", "b", "c"))
+    given = [(2, copied), (5, copied + " "), (5, other), (7, plain), (7, plain), (None, plain), (None, plain), (None, None), (None, None)]
+    got = C.near_duplicates(spark, make_docs(given), "")
+    want = [(2, copied), (5, other), (7, plain), (None, plain), (None, plain), (None, None), (None, None)]
+    assert rows(got.select("doc_id", "text")) == sorted(want, key=repr)
