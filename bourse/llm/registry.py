@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bourse.llm import byte_bpe, lm_scoring, mixing, near_dedup, quality_rules, suffix_dedup, token_files, topk_search, toxicity, url_filter, vector_codes
+from bourse.llm import byte_bpe, lm_scoring, mixing, near_dedup, prefix_trie, quality_rules, suffix_dedup, token_files, topk_search, toxicity, url_filter, vector_codes
 
 QUERIES = {
     "op1_minhash_near_dedup": near_dedup.query,
@@ -16,9 +16,11 @@ QUERIES = {
     "op9_byte_bpe": byte_bpe.query,
     "op10_mixing": mixing.query,
     "op12_vector_codes": vector_codes.query,
+    "op13_prefix_trie": prefix_trie.query,
 }
 SQL = {
     "op5_exact_topk": topk_search.SQL,
     "op7_quality_rules": quality_rules.SQL,
     "op12_vector_codes": vector_codes.SQL,
+    "op13_prefix_trie": prefix_trie.SQL,
 }
