@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from bourse.llm import byte_bpe, lm_scoring, mixing, near_dedup, prefix_trie, quality_rules, suffix_dedup, token_files, topk_search, toxicity, url_filter, vector_codes
+from bourse.llm import (byte_bpe, lm_scoring, mixing, near_dedup, prefix_trie, quality_rules, suffix_dedup, token_files, topk_search, toxicity, url_filter,
+                       vector_codes, weighted_fingerprint)
 
 QUERIES = {
     "op1_minhash_near_dedup": near_dedup.query,
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_token_files": token_files.query,
     "op9_byte_bpe": byte_bpe.query,
     "op10_mixing": mixing.query,
+    "op11_weighted_fingerprint": weighted_fingerprint.query,
     "op12_vector_codes": vector_codes.query,
     "op13_prefix_trie": prefix_trie.query,
 }
