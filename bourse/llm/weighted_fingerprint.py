@@ -37,7 +37,7 @@ from bourse.llm.common import table
 from bourse.llm.ordered import in_order
 from bourse.session import scratch_path
 
-SAMPLES = 64
+SAMPLES = 48              # the 96 minima of two texts are what one generated stage holds (100 fields); a multiple of 4
 SPLIT = r"[\x20\x09-\x0D]+"
 PART_CHARS = 8 << 20      # characters of texts dealt to one task, about
 FINE = 2.0 ** 36          # steps of a least value per unit; its range is below 2**7
@@ -61,25 +61,36 @@ def sample(term: Column, k: int, logs: list[Column]) -> list[Column]:
     whole = 64 * math.log(2)
     r = F.lit(whole) - F.ln(high(first) * low(first))                    # Gamma(2, 1): minus the logarithm of two uniforms' product
     ln_c = F.ln(F.lit(whole) - F.ln(high(second) * low(second)))
-    b = high(third) / float(1 << 32)
+    b = high(third) * (1 / float(1 << 32))
+    rest = third.bitwiseAND(F.lit((1 << 32) - 1))
     out = []
     for log in logs:
         t = F.floor(log / r + b)
         least = F.floor((ln_c - r * (t + F.lit(1.0) - b)) * FINE)
-        bits = (third.bitwiseAND(F.lit((1 << 32) - 1)) + t * MOVE).bitwiseAND(F.lit(65535))
-        out.append(least * 65536 + bits)
+        out.append(F.shiftleft(least, 16).bitwiseOR((rest + t * MOVE).bitwiseAND(F.lit(65535))))
     return out
 
 
+def packed(samples: list[Column]) -> Column:
+    """array<long>: the bits of four samples each; NULL without terms."""
+    bits = [x.bitwiseAND(F.lit(65535)) for x in samples]
+    longs = [F.shiftleft(a, 48).bitwiseOR(F.shiftleft(b, 32)).bitwiseOR(F.shiftleft(c, 16)).bitwiseOR(d)
+             for a, b, c, d in zip(*(bits[i::4] for i in range(4)))]
+    return F.when(samples[0].isNotNull(), F.array(*longs))
+
+
 def fingerprint(codes: Column) -> Column:
-    """Text of an array of codes, NULL without terms."""
-    return F.coalesce(F.array_join(F.transform(codes, lambda c: F.lpad(F.lower(F.hex(c)), 4, "0")), ""), F.lit(""))
+    """Text of an array of codes, empty without terms."""
+    return F.coalesce(F.array_join(F.transform(codes, lambda c: F.lpad(F.lower(F.hex(c)), 16, "0")), ""), F.lit(""))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal samples of two arrays of codes; NULL stands for a text without words."""
-    same = F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda e: e))
-    return F.when(a.isNull() | b.isNull(), (a.isNull() & b.isNull()).cast("double")).otherwise(same / F.greatest(F.size(a), F.lit(1)))
+    def equal(x: Column) -> Column:
+        return sum(((F.shiftrightunsigned(x, 16 * i).bitwiseAND(F.lit(65535)) == 0).cast("int") for i in range(4)), F.lit(0))
+
+    same = F.aggregate(F.zip_with(a, b, lambda x, y: x.bitwiseXOR(y)), F.lit(0), lambda n, x: n + equal(x))
+    return F.when(a.isNull() | b.isNull(), (a.isNull() & b.isNull()).cast("double")).otherwise(same / F.greatest(F.size(a) * 4, F.lit(1)))
 
 
 # --- documents and their next ones ----------------------------------------------
@@ -131,7 +142,7 @@ def edited(docs: DataFrame, path: str) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
-    """One row per document: doc_id, n_chars, edited_sha256, codes, edited_codes, next_codes (arrays, NULL without words)."""
+    """One row per document: doc_id, n_chars, edited_sha256, codes, edited_codes, next_codes (packed, NULL without words)."""
     spark = docs.sparkSession
     path = scratch_path(spark, "fingerprints")
     pairs = edited(docs, path)
@@ -144,8 +155,7 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     logs = weighted.select(*group, "term", F.ln(F.col("w").cast("double")).alias("log"), F.ln(F.col("new_w").cast("double")).alias("new_log"))
     least = [sample(F.col("term"), k, [F.col("log"), F.col("new_log")]) for k in range(samples)]
     drawn = logs.groupBy(*group).agg(*(F.min(v).alias(f"{c}{k}") for k, pair in enumerate(least) for c, v in zip("ab", pair)))
-    codes = [F.when(F.col(f"{c}0").isNotNull(), F.array(*(F.col(f"{c}{k}").bitwiseAND(F.lit(65535)).cast("int") for k in range(samples)))).alias(n)
-             for c, n in zip("ab", ("codes", "edited_codes"))]
+    codes = [packed([F.col(f"{c}{k}") for k in range(samples)]).alias(n) for c, n in zip("ab", ("codes", "edited_codes"))]
     named = drawn.select(F.col("id").alias("_id"), F.col("h").alias("_h"), F.col("own").alias("_own"), *codes)
     plain = pairs.select("doc_id", *group, "times", "n", "next_id", "next_h", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
     plain.join(named, (F.col("id") == F.col("_id")) & (F.col("h") == F.col("_h")) & (F.col("own") == F.col("_own")), "left") \

@@ -42,7 +42,7 @@ def test_equals_brute_force(spark, make_docs, corpus, tmp_path, monkeypatch):
     for i, t, e, nxt in want:
         if i != 149 and WORD.findall(t) and WORD.findall(e) and WORD.findall(nxt):
             off += [by_id[i]["near_edited"] - jaccard(t, e), by_id[i]["near_next"] - jaccard(t, nxt)]
-    assert max(map(abs, off)) < 0.3 and abs(sum(off) / len(off)) < 0.015
+    assert max(map(abs, off)) < 0.35 and abs(sum(off) / len(off)) < 0.015
     assert sum(x * x for x in off) / len(off) < 1.5 * 0.25 / W.SAMPLES
     # equal texts, equal fingerprints; different ones differ
     texts = {i: t for i, t, *_ in want}
@@ -62,7 +62,8 @@ def test_weights_count(spark):
     codes = {r["doc_id"]: r["codes"] for r in W.fingerprints(docs).select("doc_id", "codes").collect()}
     for a, b in rows:
         x, y = codes[texts.index(a)], codes[texts.index(b)]
-        assert abs(sum(p == q for p, q in zip(x, y)) / W.SAMPLES - jaccard(a, b)) < 0.2
+        same = sum((p ^ q) >> (16 * i) & 65535 == 0 for p, q in zip(x, y) for i in range(4))
+        assert abs(same / W.SAMPLES - jaccard(a, b)) < 0.22
 
 
 def test_copies_clashing_ids_one_row_and_none(spark, make_docs, tmp_path):
