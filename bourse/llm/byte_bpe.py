@@ -4,12 +4,14 @@ Texts are cut by the public pattern into pieces; each distinct piece of the
 corpus is encoded once, in SQL expressions: its bytes become an array of ids, and
 ``aggregate`` folds one merge a step over it, always the lowest-ranked neighbour
 pair, leftmost first, until no pair has a rank.  Ranks come from a literal map in
-the expression, from each pair of ids to the rank of their bytes together, dealt
-over slots so that a look-up reads one slot.  Decoding looks up each id's bytes
-in a literal array and concatenates them.
-
-Encodings reach the texts through ``dictionary``: a batch asks once for each of
-its distinct pieces.  Pieces over ``LONG`` bytes, for which a fold of array copies
+the expression, from each pair of ids to the rank of their bytes together: one flat
+array with a slot per pair and one of displacements that keep slots apart, so a
+look-up reads one entry of each.  Decoding looks up each id's bytes in a literal
+array and concatenates them.  Each literal stands once in the plan.
+
+Encodings reach the texts through ``dictionary``: a batch cuts its texts into pieces
+once and asks once for each distinct one.  An answer is the piece's ids as decimal
+text; decoded bytes are sent where they differ from the piece, else one flag.  Pieces over ``LONG`` bytes, for which a fold of array copies
 would be quadratic, take the same merges from a heap in Python.
 
 Defined cases: NULL and empty texts have no ids; repeated rows are encoded one by
@@ -23,21 +25,22 @@ import hashlib
 import heapq
 import json
 import re
-import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bourse.llm.blobs import from_ipc, gather, pack, unpack
 from bourse.llm.common import input_bytes, table
 from bourse.llm.dictionary import (ANSWER_DDL, ANSWER_SCHEMA, REQUEST_DDL, REQUEST_SCHEMA, batches, by_bucket, cut,
-                                   requests, rows, unpack_strings)
+                                   requests, rows)
 from bourse.session import scratch_path
 
 LONG = 256                # bytes of a piece beyond which Python's heap merges it
-SLOTS = 1 << 16
+ID_BITS = 21              # ids are below 2**ID_BITS: two ids and a rank fit one long
 BUCKET = 32 << 20         # text bytes per bucket of words, about
 NO_RANK = 2 ** 31 - 1
 PLAN_TEXT = 20_000
@@ -76,29 +79,66 @@ def _json(value, ddl: str) -> Column:
     return F.from_json(F.lit(json.dumps(value, separators=(",", ":"))), ddl)
 
 
+def pair_key(a: int, b: int) -> int:
+    return a << ID_BITS | b
+
+
+def hash_key(key: int) -> int:
+    """xxhash64 of a long as the SQL function computes it, as an unsigned number."""
+    return xxhash.xxh64_intdigest(key.to_bytes(8, "little"), seed=42)
+
+
+def slot_of(h: int, move: int, slots: int) -> int:
+    return ((h >> 32) + move * ((h >> 16 & 0xFFFF) | 1)) & (slots - 1)
+
+
+def pair_slots(pairs: dict[int, int]) -> tuple[list[int], list[int]]:
+    """(slots, displacements): a pair with hash h stands in ``slot_of(h, displacements[h mod their number])``.
+
+    A slot holds key and rank in one number, -1 where it is empty.  Groups of pairs with one displacement are
+    placed from the largest on, each by the first displacement that finds all its slots free."""
+    slots = 1 << max(4, (len(pairs) * 5 // 4).bit_length())
+    out, moves = [-1] * slots, [0] * (slots // 4)
+    groups: dict[int, list] = {}
+    for key, rank in pairs.items():
+        h = hash_key(key)
+        groups.setdefault(h & (len(moves) - 1), []).append((h, key << ID_BITS | rank))
+    for g, members in sorted(groups.items(), key=lambda x: -len(x[1])):
+        move = 0
+        while True:
+            at = [slot_of(h, move, slots) for h, _ in members]
+            if len(set(at)) == len(at) and all(out[i] == -1 for i in at):
+                break
+            move += 1
+        moves[g] = move
+        for i, (_, entry) in zip(at, members):
+            out[i] = entry
+    return out, moves
+
+
 def literals(ranks: dict[bytes, int]) -> dict[str, Column]:
     """The rank map as constants of the expression.
 
-    pairs: slot (31 a + b) mod SLOTS holds, for each two ids a, b whose bytes
-    together have a rank, b and that rank (a follows from slot and b).
-    whole: slot crc32(hex) mod SLOTS holds pieces in hexadecimal and their ranks.
+    slots, moves: ``pair_slots`` of the pairs of ids whose bytes together have a rank.
+    whole: pieces, in hexadecimal, that have a rank which merges do not reach.
     bytes: id of each byte; text: bytes of each id.
     """
-    pairs = [{"k": [], "v": []} for _ in range(SLOTS)]
-    whole: list[dict] = [{} for _ in range(SLOTS)]
-    text: list = [""] * (max(ranks.values(), default=-1) + 1)
+    top = max(ranks.values(), default=-1) + 1
+    if top > 1 << ID_BITS:
+        raise ValueError(f"ids must be below {1 << ID_BITS}")
+    pairs = {pair_key(ranks[p[:i]], ranks[p[i:]]): rank
+             for p, rank in ranks.items() for i in range(1, len(p)) if p[:i] in ranks and p[i:] in ranks}
+    slots, moves = pair_slots(pairs)
+    out = {"slots": _json(slots, "array<bigint>"), "moves": _json(moves, "array<int>")}
+    del pairs, slots, moves
+    unreached = {p.hex(): rank for p, rank in ranks.items() if len(p) > 1 and heap_merge(p, ranks, whole=False) != [rank]}
+    out["whole"] = _json(unreached, "map<string,int>") if unreached else None
+    out["bytes"] = _json([ranks.get(bytes([i]), -1) for i in range(256)], "array<int>")
+    text: list = [""] * top
     for piece, rank in ranks.items():
-        h = piece.hex()
-        whole[zlib.crc32(h.encode()) % SLOTS][h] = rank
         text[rank] = base64.b64encode(piece).decode()
-        for i in range(1, len(piece)):
-            a, b = ranks.get(piece[:i]), ranks.get(piece[i:])
-            if a is not None and b is not None:
-                slot = pairs[(31 * a + b) % SLOTS]
-                slot["k"].append(b)
-                slot["v"].append(rank)
-    return {"pairs": _json(pairs, "array<struct<k:array<int>,v:array<int>>>"), "whole": _json(whole, "array<map<string,int>>"),
-            "bytes": _json([ranks.get(bytes([i]), -1) for i in range(256)], "array<int>"), "text": _json(text, "array<binary>")}
+    out["text"] = _json(text, "array<binary>")
+    return out
 
 
 def let(value: Column, body) -> Column:
@@ -107,24 +147,35 @@ def let(value: Column, body) -> Column:
 
 
 def encode_word(word: Column, lit: dict[str, Column]) -> Column:
-    """array<int>: the ids of one piece (binary, not empty).
+    """array<int>: the ids of one piece (binary, not empty)."""
+    folded = let(lit["slots"], lambda slots: let(lit["moves"], lambda moves: _fold(word, slots, moves, lit["bytes"])))
+    if lit["whole"] is None:
+        return folded
+    return let(F.try_element_at(lit["whole"], F.lower(F.hex(word))), lambda w: F.when(w.isNotNull(), F.array(w)).otherwise(folded))
 
-    State of the fold: p, the ids of the parts, and r, the rank of each
-    neighbour pair (an id is its rank) between two entries that stand for the ends.
-    """
+
+def _fold(word: Column, slots: Column, moves: Column, of_bytes: Column) -> Column:
+    """State of the fold: p, the ids of the parts, and r, the rank of each neighbour
+    pair (an id is its rank) between two entries that stand for the ends."""
     count = F.length(word)
 
-    def rank_of(pair: Column) -> Column:
-        slot = F.get(lit["pairs"], (pair["a"] * 31 + pair["b"]).bitwiseAND(F.lit(SLOTS - 1)))
-        return let(slot, lambda s: F.coalesce(F.get(s["v"], (F.array_position(s["k"], pair["b"]) - 1).cast("int")), F.lit(NO_RANK)))
+    def entry_at(h: Column, key: Column) -> Column:
+        move = F.get(moves, F.pmod(h, F.size(moves)).cast("int"))
+        place = F.shiftrightunsigned(h, 32) + move * F.shiftrightunsigned(h, 16).bitwiseAND(F.lit(0xFFFF)).bitwiseOR(F.lit(1))
+        return let(F.get(slots, F.pmod(place, F.size(slots)).cast("int")), lambda e: F.when(
+            F.shiftright(e, ID_BITS) == key, e.bitwiseAND(F.lit((1 << ID_BITS) - 1)).cast("int")).otherwise(F.lit(NO_RANK)))
+
+    def rank_of(key: Column) -> Column:
+        """NULL, where a neighbour is missing, has no rank."""
+        return F.when(key.isNull(), F.lit(NO_RANK)).otherwise(let(F.xxhash64(key), lambda h: entry_at(h, key)))
 
     def pair_of(a: Column, b: Column) -> Column:
-        return F.struct(a.alias("a"), b.alias("b"))
+        return F.shiftleft(a.cast("long"), ID_BITS).bitwiseOR(b.cast("long"))
 
-    letters = let(F.decode(word, "ISO-8859-1"), lambda s: F.transform(
-        F.sequence(F.lit(1), count), lambda i: F.get(lit["bytes"], F.ascii(F.substring(s, i, 1)))))
-    start = let(letters, lambda p: F.struct(p.alias("p"), F.transform(
-        F.sequence(F.lit(0), F.size(p)), lambda i: rank_of(pair_of(F.get(p, i - 1), F.get(p, i)))).alias("r")))
+    letters = let(F.decode(word, "ISO-8859-1"), lambda s: let(of_bytes, lambda known: F.transform(
+        F.sequence(F.lit(1), count), lambda i: F.get(known, F.ascii(F.substring(s, i, 1))))))
+    start = let(letters, lambda p: F.struct(p.alias("p"), F.transform(F.transform(
+        F.sequence(F.lit(0), F.size(p)), lambda i: pair_of(F.get(p, i - 1), F.get(p, i))), rank_of).alias("r")))
 
     def step(acc, _):
         """One merge: the leftmost pair of the least rank becomes one part; the ranks beside it are looked up."""
@@ -141,10 +192,7 @@ def encode_word(word: Column, lit: dict[str, Column]) -> Column:
             let(F.array_position(r, best).cast("int"), merge)))
 
     steps = F.when(count > 1, F.sequence(F.lit(1), count - 1)).otherwise(F.array().cast("array<int>"))
-    folded = F.aggregate(steps, start, step, lambda acc: acc["p"])
-    whole = let(F.lower(F.hex(word)), lambda h: F.try_element_at(
-        F.get(lit["whole"], F.pmod(F.crc32(h.cast("binary")), F.lit(SLOTS)).cast("int")), h))
-    return let(whole, lambda w: F.when(w.isNotNull(), F.array(w)).otherwise(folded))
+    return F.aggregate(steps, start, step, lambda acc: acc["p"])
 
 
 def decode_ids(ids: Column, lit: dict[str, Column]) -> Column:
@@ -152,9 +200,9 @@ def decode_ids(ids: Column, lit: dict[str, Column]) -> Column:
     return F.aggregate(ids, F.lit(b""), lambda acc, i: F.concat(acc, F.get(lit["text"], i)))
 
 
-def heap_merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The same merges for a very long piece, in n log n steps."""
-    if word in ranks:
+def heap_merge(word: bytes, ranks: dict[bytes, int], whole: bool = True) -> list[int]:
+    """The same merges for a very long piece, in n log n steps; whole: a piece with a rank of its own needs none."""
+    if whole and word in ranks:
         return [ranks[word]]
     n = len(word)
     end, nxt, prev = [i + 1 for i in range(n)], [i + 1 for i in range(n)], [i - 1 for i in range(n)]
@@ -181,28 +229,42 @@ def heap_merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 # --- the job ------------------------------------------------------------------
 
-def _ask(splitter_of, n: int):
+def cut_chunks(splitter_of) -> Callable[[list[bytes]], bytes]:
+    """How a batch keeps its distinct chunks: distinct pieces, and the pieces of each chunk by number.
+
+    Pieces over LONG bytes are numbered after all others; only the others are asked for."""
+    def stored(chunks: list[bytes]) -> bytes:
+        splitter, number, long, units, counts = splitter_of(), {}, {}, [], []
+        for c in chunks:
+            pieces = splitter.pieces(c)
+            counts.append(len(pieces))
+            for p in pieces:
+                units.append(number.setdefault(p, len(number)) if len(p) <= LONG else -1 - long.setdefault(p, len(long)))
+        at = np.array(units, np.int64)
+        at = np.where(at < 0, len(number) - 1 - at, at).astype(np.uint32)
+        names = [*number, *long]
+        return pack(np.array([len(number)], np.uint32), np.fromiter(map(len, names), np.uint32, len(names)), np.frombuffer(b"".join(names), np.uint8),
+                    np.array(counts, np.uint32), at)
+    return stored
+
+
+def stored_pieces(blob: bytes) -> tuple[list[bytes], list[bytes], np.ndarray, np.ndarray]:
+    """(pieces that are asked for, very long ones, pieces a chunk, their numbers)."""
+    n, sizes, data, counts, units = unpack(blob)
+    names, n = cut(sizes, data), int(n[0])
+    return names[:n], names[n:], counts.astype(np.int64), units.astype(np.int64)
+
+
+def _ask(n: int):
     def run(arrow):
-        splitter = splitter_of()
         for b in arrow:
             for batch, words in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                pieces = distinct_pieces(splitter, unpack_strings(words))
-                asked = [(k, batch, blob) for k, blob in requests(list(pieces), n)]
+                asked = [(k, batch, blob) for k, blob in requests(stored_pieces(words)[0], n)]
                 if asked:
                     yield from rows(REQUEST_SCHEMA, asked).to_batches()
     return run
 
 
-def distinct_pieces(splitter: Splitter, chunks: list[bytes]) -> dict[bytes, int]:
-    """The pieces that are asked for (all but very long ones), numbered."""
-    out: dict[bytes, int] = {}
-    for c in chunks:
-        for p in splitter.pieces(c):
-            if len(p) <= LONG:
-                out.setdefault(p, len(out))
-    return out
-
-
 def _distinct(key: tuple, t: pa.Table) -> pa.Table:
     words = set()
     for blob in t.column("data").to_pylist():
@@ -210,39 +272,30 @@ def _distinct(key: tuple, t: pa.Table) -> pa.Table:
     return pa.table({"bucket": pa.array([key[0].as_py()] * len(words), pa.int32()), "word": pa.array(sorted(words), pa.binary())})
 
 
-def ragged(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """(values, lengths) of a column of lists or of bytes without NULLs."""
-    values, sizes = [], []
+def flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, lengths) of a binary column; NULL is empty."""
+    values, sizes = [np.zeros(0, np.uint8)], [np.zeros(0, np.int64)]
     for c in column.chunks:
-        if pa.types.is_list(c.type):
-            values.append(c.flatten().to_numpy(zero_copy_only=False))
-            ends = c.offsets.to_numpy()
-        else:
-            ends = np.frombuffer(c.buffers()[1], np.int32)[c.offset:c.offset + len(c) + 1]
-            values.append(np.frombuffer(c.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]])
+        ends = np.frombuffer(c.buffers()[1], np.int32)[c.offset:c.offset + len(c) + 1]
+        values.append(np.frombuffer(c.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]])
         sizes.append(np.diff(ends).astype(np.int64))
-    none = np.zeros(0, np.int64)
-    return np.concatenate(values or [none]), np.concatenate(sizes or [none])
-
-
-def _answer(with_ids: bool):
-    """Per request: number of ids, the ids as decimal text, the decoded bytes (and the ids)."""
-    def run(key: tuple, coded: pa.Table, asked: pa.Table) -> pa.Table:
-        place = {w: i for i, w in enumerate(coded.column("word").to_pylist())}
-        ids, id_sizes = ragged(coded.column("ids"))
-        texts = [ragged(coded.column(c)) for c in ("text", "decoded")]
-        out = []
-        for batch, blob in zip(asked.column("batch").to_pylist(), asked.column("data").to_pylist()):
-            words = cut(*unpack(blob))
-            at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-            arrays = [id_sizes[at].astype(np.uint16)]
-            for values, sizes in texts:
-                arrays += [sizes[at].astype(np.uint16), gather(values, sizes, at).astype(np.uint8)]
-            if with_ids:
-                arrays.append(gather(ids, id_sizes, at).astype(np.uint32))
-            out.append((batch, key[0].as_py(), pack(*arrays)))
-        return rows(ANSWER_SCHEMA, out)
-    return run
+    return np.concatenate(values), np.concatenate(sizes)
+
+
+def _answer(key: tuple, coded: pa.Table, asked: pa.Table) -> pa.Table:
+    """Per request: the ids as decimal text; which pieces decode to other bytes, and to which."""
+    place = {w: i for i, w in enumerate(coded.column("word").to_pylist())}
+    ids, id_sizes = flat(coded.column("text"))
+    other, other_sizes = flat(coded.column("other"))
+    differs = coded.column("other").is_valid().to_numpy()
+    out = []
+    for batch, blob in zip(asked.column("batch").to_pylist(), asked.column("data").to_pylist()):
+        words = cut(*unpack(blob))
+        at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+        odd = at[differs[at]]
+        out.append((batch, key[0].as_py(), pack(id_sizes[at].astype(np.uint16), gather(ids, id_sizes, at), np.flatnonzero(differs[at]).astype(np.uint32),
+                                                other_sizes[odd].astype(np.uint32), gather(other, other_sizes, odd))))
+    return rows(ANSWER_SCHEMA, out)
 
 
 def encode(docs: DataFrame, ranks_file: str, pattern: str, carry: list[str] | None = None, ids: bool = False) -> DataFrame:
@@ -258,47 +311,45 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, carry: list[str] | No
     known = spark.sparkContext.broadcast(ranks)             # a vocabulary: its size does not depend on the data
     total = input_bytes(docs)
     n, files = max(1, -(-total // BUCKET)), max(1, -(-total // BUCKET))
-    t = batches(docs, _chunker(pattern), f"{path}/texts", files, carry)
-    t.select("batch", "words").mapInArrow(_ask(lambda: Splitter(pattern), n), REQUEST_DDL).write.parquet(f"{path}/requests")
-    asked = spark.read.parquet(f"{path}/requests").repartition(n, "bucket")
+    splitter = _splitter(pattern)
+    t = batches(docs, lambda text: splitter().chunks(text), f"{path}/texts", files, carry, stored=cut_chunks(splitter))
+    asked = t.select("batch", "words").mapInArrow(_ask(n), REQUEST_DDL).repartition(n, "bucket")
     words = asked.groupBy("bucket").applyInArrow(_distinct, "bucket int, word binary")
     # the literals are megabytes of text in every printed plan: keep printed plans short in this session
     if int(spark.conf.get("spark.sql.maxPlanStringLength", str(2 ** 31 - 16)).rstrip("bB")) > PLAN_TEXT:
         spark.conf.set("spark.sql.maxPlanStringLength", str(PLAN_TEXT))
     lit = literals(ranks)
     coded = words.withColumn("ids", encode_word(F.col("word"), lit)).withColumn("decoded", decode_ids(F.col("ids"), lit)) \
-        .withColumn("text", F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"))
-    answers = coded.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_answer(ids), ANSWER_DDL)
+        .select("bucket", "word", F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary").alias("text"),
+                F.when(F.col("decoded") != F.col("word"), F.col("decoded")).alias("other"))
+    del ranks, lit
+    answers = coded.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_answer, ANSWER_DDL)
     ddl = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, token_ids array<int>"
     if carry:
         ddl += f", carried {docs.select(*carry).schema.simpleString()}"
 
     def finish(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         r = {c: left.column(c)[0].as_py() for c in left.column_names}
-        splitter = Splitter(pattern)
-        chunks = unpack_strings(r["words"])
-        # pieces of each chunk as numbers; very long ones get numbers after all others
-        number, long, units, counts = {}, {}, [], []
-        for c in chunks:
-            pieces = splitter.pieces(c)
-            counts.append(len(pieces))
-            for p in pieces:
-                units.append(number.setdefault(p, len(number)) if len(p) <= LONG else -1 - long.setdefault(p, len(long)))
+        asked_for, long, counts, units = stored_pieces(r["words"])
         parts = [unpack(blob) for _, blob in sorted(zip(right.column("bucket").to_pylist(), right.column("data").to_pylist()))]
-        order, _ = by_bucket(list(number), n)
-        back = np.empty(len(order), np.int64)
-        back[order] = np.arange(len(order))                   # place of each piece in the answers
-        piece_n = np.concatenate([x[0] for x in parts] or [np.zeros(0, np.uint16)]).astype(np.int64)[back]
-        text, decoded = ([w for x in parts for w in cut(x[i].astype(np.uint32), x[i + 1])] for i in (1, 3))
-        text, decoded = ([w[i] for i in back.tolist()] for w in (text, decoded))
-        long_ids = [heap_merge(p, known.value) for p in long]
+        order, _ = by_bucket(asked_for, n)
+        order = order.tolist()                                # the answers come in this order
+        text: list = [b""] * len(order)
+        decoded = list(asked_for)
+        at = 0
+        for sizes, data, odd, odd_sizes, odd_data in parts:
+            for k, w in zip(order[at:at + len(sizes)], cut(sizes.astype(np.uint32), data)):
+                text[k] = w
+            for k, w in zip(odd.tolist(), cut(odd_sizes, odd_data)):
+                decoded[order[at + k]] = w
+            at += len(sizes)
         if long:
             by_id = {v: k for k, v in known.value.items()}
-            text += [b",".join(b"%d" % x for x in own) for own in long_ids]
-            decoded += [b"".join(map(by_id.__getitem__, own)) for own in long_ids]
-            piece_n = np.r_[piece_n, [len(own) for own in long_ids]]
-        units, counts = np.array(units, np.int64), np.array(counts, np.int64)
-        units[units < 0] = len(number) - 1 - units[units < 0]
+            for p in long:
+                own = heap_merge(p, known.value)
+                text.append(b",".join([b"%d" % x for x in own]))
+                decoded.append(b"".join(map(by_id.__getitem__, own)))
+        piece_n = np.fromiter((w.count(b",") + 1 for w in text), np.int64, len(text))
         first = np.cumsum(counts) - counts
         sizes = np.add.reduceat(piece_n[units], first) if len(first) else first
         listed_units, chunk_text, chunk_bytes = units.tolist(), [], []
@@ -321,11 +372,9 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, carry: list[str] | No
             text_sha.append(hashlib.sha256(b"".join([chunk_bytes[x] for x in own])).hexdigest())
         listed = pa.nulls(len(end), pa.list_(pa.int32()))
         if ids:
-            in_order = np.concatenate([x[5] for x in parts] + [np.zeros(0, np.uint32)]).astype(np.int64)
-            asked_n = np.concatenate([x[0] for x in parts] or [np.zeros(0, np.uint16)]).astype(np.int64)
-            flat = np.r_[gather(in_order, asked_n, back), np.array([x for own in long_ids for x in own], np.int64)]
+            numbers = np.array(b",".join(text).split(b","), dtype="S").astype(np.int64) if text else np.zeros(0, np.int64)
             all_units = gather(units, counts, tokens.astype(np.int64))
-            listed = pa.ListArray.from_arrays(pa.array(np.r_[0, before[end]], pa.int32()), pa.array(gather(flat, piece_n, all_units), pa.int32()))
+            listed = pa.ListArray.from_arrays(pa.array(np.r_[0, before[end]], pa.int32()), pa.array(gather(numbers, piece_n, all_units), pa.int32()))
         nulls = np.frombuffer(r["nulls"], bool)
         out = {"doc_id": pa.array(unpack(r["ids"])[0], pa.int64(), mask=nulls), "n_tokens": pa.array(n_tokens, pa.int64()),
                "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string()),
@@ -338,14 +387,15 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, carry: list[str] | No
     return out if ids else out.drop("token_ids")
 
 
-def _chunker(pattern: str):
+def _splitter(pattern: str):
+    """Gives the worker's one Splitter."""
     made: list = []
 
-    def split(text: bytes) -> list[str]:
+    def get() -> Splitter:
         if not made:
             made.append(Splitter(pattern))
-        return made[0].chunks(text)
-    return split
+        return made[0]
+    return get
 
 
 def query(spark, sf_dir: str) -> DataFrame:

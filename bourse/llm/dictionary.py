@@ -49,8 +49,10 @@ class Numbers(dict):
 
 
 def batches(docs: DataFrame, split: Callable[[bytes], list], path: str, files: int, carry: list[str] | None = None,
-            batch_bytes: int = BATCH) -> DataFrame:
-    """One row per batch of texts (``SCHEMA``), written to ``path`` in buckets of the batch number."""
+            batch_bytes: int = BATCH, stored: Callable[[list[bytes]], bytes] = pack_strings) -> DataFrame:
+    """One row per batch of texts (``SCHEMA``), written to ``path`` in buckets of the batch number.
+
+    stored: how the batch's distinct words are kept."""
     small_arrow_batches(docs.sparkSession)
     carry = carry or []
 
@@ -60,7 +62,7 @@ def batches(docs: DataFrame, split: Callable[[bytes], list], path: str, files: i
         def row():
             words = [w if isinstance(w, bytes) else w.encode() for w in number]
             return [pack(np.array([NULL_ID if i is None else i for i in ids], np.int64)), np.array([i is None for i in ids], bool).tobytes(),
-                    pack(np.array(counts, np.uint32)), pack(np.concatenate(tokens)), pack_strings(words),
+                    pack(np.array(counts, np.uint32)), pack(np.concatenate(tokens)), stored(words),
                     to_ipc(pa.Table.from_batches(rest)) if carry else None]
 
         for b in arrow:

@@ -52,3 +52,38 @@ def test_chunks_are_cut_where_pieces_end():
     for _ in range(300):
         t = "".join(rng.choice(["a", "Bc", "1", " ", "  ", "\n", "\t", "'s", "!", "　", "é", "\x1c"]) for _ in range(rng.randrange(12)))
         assert [p for c in s.chunks(t.encode()) for p in s.pieces(c.encode())] == [p.encode() for p in whole(t)], repr(t)
+
+
+def test_slots_find_every_pair_and_no_other():
+    rng = random.Random(5)
+    pairs = {B.pair_key(rng.randrange(1 << 20), rng.randrange(1 << 20)): rng.randrange(1 << 20) for _ in range(3000)}
+    slots, moves = B.pair_slots(pairs)
+    for key, rank in pairs.items():
+        h = B.hash_key(key)
+        assert slots[B.slot_of(h, moves[h & (len(moves) - 1)], len(slots))] == key << B.ID_BITS | rank
+    assert sum(e >= 0 for e in slots) == len(pairs)
+
+
+def test_ids_beyond_two_bytes_and_ranks_no_merge_reaches(make_docs, tmp_path):
+    """Ids far apart that agree in their lower bits, and a piece that has a rank but no pair of parts."""
+    import base64
+    import tiktoken
+    own = {bytes([i]): i for i in range(256)}
+    for k, w in enumerate([b"ab", b"cd", b"abcd", b"ef", b"efab", b"xy"]):
+        own[w] = 256 + k + 65536 * (k % 3)
+    own |= {b"cdef": 70_000, b"qrstu": 131_072 + 300}
+    file = tmp_path / "own.tiktoken"
+    file.write_bytes(b"".join(base64.b64encode(k) + b" %d\n" % v for k, v in own.items()))
+    theirs = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=own, special_tokens={})
+    rng = random.Random(6)
+    texts = ["qrstu", "xqrstu qrstu", *(" ".join("".join(rng.choice(["ab", "cd", "ef", "xy", "q"]) for _ in range(rng.randrange(1, 8))) for _ in range(6))
+                                        for _ in range(20))]
+    got = {r["doc_id"]: r["token_ids"] for r in B.encode(make_docs(list(enumerate(texts))), str(file), P.PATTERN, ids=True).collect()}
+    assert got == {i: theirs.encode_ordinary(t) for i, t in enumerate(texts)}
+
+
+def test_each_literal_stands_once_in_the_expression(spark):
+    from pyspark.sql import functions as F
+    lit = B.literals({bytes([i]): i for i in range(256)} | {b"ab": 256})
+    word = str(B.encode_word(F.col("word"), lit))
+    assert word.count("from_json") == 3 and str(B.decode_ids(F.col("ids"), lit)).count("from_json") == 1
