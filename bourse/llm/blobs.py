@@ -16,24 +16,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 _ZSTD = pa.Codec("zstd", compression_level=1)
+_DENSE = pa.Codec("zstd", compression_level=3)
 
 
-def squeeze(raw: bytes) -> bytes:
-    return len(raw).to_bytes(8, "little") + _ZSTD.compress(raw, asbytes=True)
+def squeeze(raw: bytes, dense: bool = False) -> bytes:
+    return len(raw).to_bytes(8, "little") + (_DENSE if dense else _ZSTD).compress(raw, asbytes=True)
 
 
 def unsqueeze(blob: bytes) -> bytes:
     return _ZSTD.decompress(blob[8:], decompressed_size=int.from_bytes(blob[:8], "little"), asbytes=True)
 
 
-def pack(*arrays: np.ndarray) -> bytes:
+def pack(*arrays: np.ndarray, dense: bool = False) -> bytes:
     """Arrays as one compressed blob.  Each is stored byte plane by byte plane, which suits small numbers."""
     out = io.BytesIO()
     for a in arrays:
         a = np.ascontiguousarray(a)
         out.write(len(a).to_bytes(8, "little") + a.dtype.str.encode().ljust(4))
         out.write(a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes() if a.itemsize > 1 else a.tobytes())
-    return squeeze(out.getvalue())
+    return squeeze(out.getvalue(), dense)
 
 
 def unpack(blob: bytes) -> list[np.ndarray]:

@@ -42,7 +42,8 @@ from bourse.session import scratch_path
 LONG = 256                # bytes of a piece beyond which Python's heap merges it
 ID_BITS = 21              # ids are below 2**ID_BITS: two ids and a rank fit one long
 BUCKET = 32 << 20         # text bytes per bucket of words, about
-NO_RANK = 2 ** 31 - 1
+NO_PAIR = 2 ** 63 - 1     # in an empty slot
+KNOWN = 200_000           # chunks whose pieces a worker remembers
 PLAN_TEXT = 20_000
 #: The pattern's white space, spelled out: the same characters whichever library reads it.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -64,12 +65,18 @@ class Splitter:
         import regex
         self.piece = regex.compile(spelled_out(pattern)).findall
         self.chunk = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+").findall
+        self.known: dict[bytes, list[bytes]] = {}
 
     def chunks(self, text: bytes) -> list[str]:
         return self.chunk(text.decode())
 
     def pieces(self, chunk: bytes) -> list[bytes]:
-        return [p.encode() for p in self.piece(chunk.decode())]
+        found = self.known.get(chunk)
+        if found is None:
+            if len(self.known) >= KNOWN:
+                self.known.clear()
+            found = self.known[chunk] = [p.encode() for p in self.piece(chunk.decode())]
+        return found
 
 
 # --- merges in SQL expressions ----------------------------------------------
@@ -95,10 +102,10 @@ def slot_of(h: int, move: int, slots: int) -> int:
 def pair_slots(pairs: dict[int, int]) -> tuple[list[int], list[int]]:
     """(slots, displacements): a pair with hash h stands in ``slot_of(h, displacements[h mod their number])``.
 
-    A slot holds key and rank in one number, -1 where it is empty.  Groups of pairs with one displacement are
+    A slot holds key and rank in one number, ``NO_PAIR`` where it is empty.  Groups of pairs with one displacement are
     placed from the largest on, each by the first displacement that finds all its slots free."""
     slots = 1 << max(4, (len(pairs) * 5 // 4).bit_length())
-    out, moves = [-1] * slots, [0] * (slots // 4)
+    out, moves = [NO_PAIR] * slots, [0] * (slots // 4)
     groups: dict[int, list] = {}
     for key, rank in pairs.items():
         h = hash_key(key)
@@ -107,7 +114,7 @@ def pair_slots(pairs: dict[int, int]) -> tuple[list[int], list[int]]:
         move = 0
         while True:
             at = [slot_of(h, move, slots) for h, _ in members]
-            if len(set(at)) == len(at) and all(out[i] == -1 for i in at):
+            if len(set(at)) == len(at) and all(out[i] == NO_PAIR for i in at):
                 break
             move += 1
         moves[g] = move
@@ -116,7 +123,7 @@ def pair_slots(pairs: dict[int, int]) -> tuple[list[int], list[int]]:
     return out, moves
 
 
-def literals(ranks: dict[bytes, int]) -> dict[str, Column]:
+def literals(ranks: dict[bytes, int]) -> dict:
     """The rank map as constants of the expression.
 
     slots, moves: ``pair_slots`` of the pairs of ids whose bytes together have a rank.
@@ -124,12 +131,12 @@ def literals(ranks: dict[bytes, int]) -> dict[str, Column]:
     bytes: id of each byte; text: bytes of each id.
     """
     top = max(ranks.values(), default=-1) + 1
-    if top > 1 << ID_BITS:
-        raise ValueError(f"ids must be below {1 << ID_BITS}")
+    if top >= 1 << ID_BITS:
+        raise ValueError(f"ids must be below {(1 << ID_BITS) - 1}")
     pairs = {pair_key(ranks[p[:i]], ranks[p[i:]]): rank
              for p, rank in ranks.items() for i in range(1, len(p)) if p[:i] in ranks and p[i:] in ranks}
     slots, moves = pair_slots(pairs)
-    out = {"slots": _json(slots, "array<bigint>"), "moves": _json(moves, "array<int>")}
+    out = {"slots": _json(slots, "array<bigint>"), "moves": _json(moves, "array<int>"), "n_slots": len(slots), "n_moves": len(moves)}
     del pairs, slots, moves
     unreached = {p.hex(): rank for p, rank in ranks.items() if len(p) > 1 and heap_merge(p, ranks, whole=False) != [rank]}
     out["whole"] = _json(unreached, "map<string,int>") if unreached else None
@@ -146,33 +153,31 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def encode_word(word: Column, lit: dict[str, Column]) -> Column:
+def encode_word(word: Column, lit: dict) -> Column:
     """array<int>: the ids of one piece (binary, not empty)."""
-    folded = let(lit["slots"], lambda slots: let(lit["moves"], lambda moves: _fold(word, slots, moves, lit["bytes"])))
+    folded = let(lit["slots"], lambda slots: let(lit["moves"], lambda moves: _fold(word, slots, moves, lit)))
     if lit["whole"] is None:
         return folded
     return let(F.try_element_at(lit["whole"], F.lower(F.hex(word))), lambda w: F.when(w.isNotNull(), F.array(w)).otherwise(folded))
 
 
-def _fold(word: Column, slots: Column, moves: Column, of_bytes: Column) -> Column:
-    """State of the fold: p, the ids of the parts, and r, the rank of each neighbour
-    pair (an id is its rank) between two entries that stand for the ends."""
+def _fold(word: Column, slots: Column, moves: Column, lit: dict) -> Column:
+    """State of the fold: p, the ids of the parts, and r, the rank of each neighbour pair (an id is its rank)
+    between NULLs that stand for the ends; a pair without a rank has a number beyond all ids."""
     count = F.length(word)
 
-    def entry_at(h: Column, key: Column) -> Column:
-        move = F.get(moves, F.pmod(h, F.size(moves)).cast("int"))
-        place = F.shiftrightunsigned(h, 32) + move * F.shiftrightunsigned(h, 16).bitwiseAND(F.lit(0xFFFF)).bitwiseOR(F.lit(1))
-        return let(F.get(slots, F.pmod(place, F.size(slots)).cast("int")), lambda e: F.when(
-            F.shiftright(e, ID_BITS) == key, e.bitwiseAND(F.lit((1 << ID_BITS) - 1)).cast("int")).otherwise(F.lit(NO_RANK)))
-
     def rank_of(key: Column) -> Column:
-        """NULL, where a neighbour is missing, has no rank."""
-        return F.when(key.isNull(), F.lit(NO_RANK)).otherwise(let(F.xxhash64(key), lambda h: entry_at(h, key)))
+        """What is left of the pair's slot without its key: the rank, if the slot is the pair's own."""
+        def slot(h: Column) -> Column:
+            move = F.get(moves, h.bitwiseAND(F.lit(lit["n_moves"] - 1)).cast("int"))
+            place = F.shiftrightunsigned(h, 32) + move * F.shiftrightunsigned(h, 16).bitwiseAND(F.lit(0xFFFF)).bitwiseOR(F.lit(1))
+            return F.get(slots, place.bitwiseAND(F.lit(lit["n_slots"] - 1)).cast("int"))
+        return let(F.xxhash64(key), slot).bitwiseXOR(F.shiftleft(key, ID_BITS))
 
     def pair_of(a: Column, b: Column) -> Column:
         return F.shiftleft(a.cast("long"), ID_BITS).bitwiseOR(b.cast("long"))
 
-    letters = let(F.decode(word, "ISO-8859-1"), lambda s: let(of_bytes, lambda known: F.transform(
+    letters = let(F.decode(word, "ISO-8859-1"), lambda s: let(lit["bytes"], lambda known: F.transform(
         F.sequence(F.lit(1), count), lambda i: F.get(known, F.ascii(F.substring(s, i, 1))))))
     start = let(letters, lambda p: F.struct(p.alias("p"), F.transform(F.transform(
         F.sequence(F.lit(0), F.size(p)), lambda i: pair_of(F.get(p, i - 1), F.get(p, i))), rank_of).alias("r")))
@@ -182,20 +187,20 @@ def _fold(word: Column, slots: Column, moves: Column, of_bytes: Column) -> Colum
         p, r = acc["p"], acc["r"]
 
         def merge(at):  # place of the pair in r, from 1; it joins p[at - 2] and p[at - 1]
-            one = F.get(r, at - 1)
+            one = F.get(r, at - 1).cast("int")
             beside = F.array(pair_of(F.get(p, at - 3), one), pair_of(one, F.get(p, at)))
             return F.struct(
                 F.concat(F.slice(p, F.lit(1), at - 2), F.array(one), F.slice(p, at + 1, F.size(p))).alias("p"),
                 F.concat(F.slice(r, F.lit(1), at - 2), F.transform(beside, rank_of), F.slice(r, at + 2, F.size(r))).alias("r"))
 
-        return let(F.array_min(r), lambda best: F.when(best == NO_RANK, acc).otherwise(
-            let(F.array_position(r, best).cast("int"), merge)))
+        return let(F.array_min(r), lambda best: F.when(
+            best < F.lit(1 << ID_BITS), let(F.array_position(r, best).cast("int"), merge)).otherwise(acc))
 
     steps = F.when(count > 1, F.sequence(F.lit(1), count - 1)).otherwise(F.array().cast("array<int>"))
     return F.aggregate(steps, start, step, lambda acc: acc["p"])
 
 
-def decode_ids(ids: Column, lit: dict[str, Column]) -> Column:
+def decode_ids(ids: Column, lit: dict) -> Column:
     """binary: the concatenated bytes of an array of ids."""
     return F.aggregate(ids, F.lit(b""), lambda acc, i: F.concat(acc, F.get(lit["text"], i)))
 
@@ -229,12 +234,12 @@ def heap_merge(word: bytes, ranks: dict[bytes, int], whole: bool = True) -> list
 
 # --- the job ------------------------------------------------------------------
 
-def cut_chunks(splitter_of) -> Callable[[list[bytes]], bytes]:
+def cut_chunks(pattern: str) -> Callable[[list[bytes]], bytes]:
     """How a batch keeps its distinct chunks: distinct pieces, and the pieces of each chunk by number.
 
     Pieces over LONG bytes are numbered after all others; only the others are asked for."""
     def stored(chunks: list[bytes]) -> bytes:
-        splitter, number, long, units, counts = splitter_of(), {}, {}, [], []
+        splitter, number, long, units, counts = splitter_of(pattern), {}, {}, [], []
         for c in chunks:
             pieces = splitter.pieces(c)
             counts.append(len(pieces))
@@ -244,7 +249,7 @@ def cut_chunks(splitter_of) -> Callable[[list[bytes]], bytes]:
         at = np.where(at < 0, len(number) - 1 - at, at).astype(np.uint32)
         names = [*number, *long]
         return pack(np.array([len(number)], np.uint32), np.fromiter(map(len, names), np.uint32, len(names)), np.frombuffer(b"".join(names), np.uint8),
-                    np.array(counts, np.uint32), at)
+                    np.array(counts, np.uint32), at, dense=True)
     return stored
 
 
@@ -259,7 +264,7 @@ def _ask(n: int):
     def run(arrow):
         for b in arrow:
             for batch, words in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                asked = [(k, batch, blob) for k, blob in requests(stored_pieces(words)[0], n)]
+                asked = [(k, batch, blob) for k, blob in requests(stored_pieces(words)[0], n, dense=True)]
                 if asked:
                     yield from rows(REQUEST_SCHEMA, asked).to_batches()
     return run
@@ -294,7 +299,7 @@ def _answer(key: tuple, coded: pa.Table, asked: pa.Table) -> pa.Table:
         at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
         odd = at[differs[at]]
         out.append((batch, key[0].as_py(), pack(id_sizes[at].astype(np.uint16), gather(ids, id_sizes, at), np.flatnonzero(differs[at]).astype(np.uint32),
-                                                other_sizes[odd].astype(np.uint32), gather(other, other_sizes, odd))))
+                                                other_sizes[odd].astype(np.uint32), gather(other, other_sizes, odd), dense=True)))
     return rows(ANSWER_SCHEMA, out)
 
 
@@ -311,8 +316,7 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, carry: list[str] | No
     known = spark.sparkContext.broadcast(ranks)             # a vocabulary: its size does not depend on the data
     total = input_bytes(docs)
     n, files = max(1, -(-total // BUCKET)), max(1, -(-total // BUCKET))
-    splitter = _splitter(pattern)
-    t = batches(docs, lambda text: splitter().chunks(text), f"{path}/texts", files, carry, stored=cut_chunks(splitter))
+    t = batches(docs, lambda text: splitter_of(pattern).chunks(text), f"{path}/texts", files, carry, stored=cut_chunks(pattern), dense=True)
     asked = t.select("batch", "words").mapInArrow(_ask(n), REQUEST_DDL).repartition(n, "bucket")
     words = asked.groupBy("bucket").applyInArrow(_distinct, "bucket int, word binary")
     # the literals are megabytes of text in every printed plan: keep printed plans short in this session
@@ -387,15 +391,14 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, carry: list[str] | No
     return out if ids else out.drop("token_ids")
 
 
-def _splitter(pattern: str):
-    """Gives the worker's one Splitter."""
-    made: list = []
+_splitters: dict[str, Splitter] = {}
+
 
-    def get() -> Splitter:
-        if not made:
-            made.append(Splitter(pattern))
-        return made[0]
-    return get
+def splitter_of(pattern: str) -> Splitter:
+    """The Python worker's one Splitter of a pattern."""
+    if pattern not in _splitters:
+        _splitters[pattern] = Splitter(pattern)
+    return _splitters[pattern]
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -49,10 +49,11 @@ class Numbers(dict):
 
 
 def batches(docs: DataFrame, split: Callable[[bytes], list], path: str, files: int, carry: list[str] | None = None,
-            batch_bytes: int = BATCH, stored: Callable[[list[bytes]], bytes] = pack_strings) -> DataFrame:
+            batch_bytes: int = BATCH, stored: Callable[[list[bytes]], bytes] = pack_strings,
+            dense: bool = False) -> DataFrame:
     """One row per batch of texts (``SCHEMA``), written to ``path`` in buckets of the batch number.
 
-    stored: how the batch's distinct words are kept."""
+    stored: how the batch's distinct words are kept; dense: compress the texts' numbers harder."""
     small_arrow_batches(docs.sparkSession)
     carry = carry or []
 
@@ -62,7 +63,7 @@ def batches(docs: DataFrame, split: Callable[[bytes], list], path: str, files: i
         def row():
             words = [w if isinstance(w, bytes) else w.encode() for w in number]
             return [pack(np.array([NULL_ID if i is None else i for i in ids], np.int64)), np.array([i is None for i in ids], bool).tobytes(),
-                    pack(np.array(counts, np.uint32)), pack(np.concatenate(tokens)), stored(words),
+                    pack(np.array(counts, np.uint32)), pack(np.concatenate(tokens), dense=dense), stored(words),
                     to_ipc(pa.Table.from_batches(rest)) if carry else None]
 
         for b in arrow:
@@ -97,14 +98,14 @@ def by_bucket(words: list[bytes], n: int):
     return order, bucket[order]
 
 
-def requests(words: list[bytes], n: int, extra: Callable[[np.ndarray], list[np.ndarray]] = lambda at: []):
+def requests(words: list[bytes], n: int, extra: Callable[[np.ndarray], list[np.ndarray]] = lambda at: [], dense: bool = False):
     """Yields (bucket, blob of its words and extra arrays)."""
     order, bucket = by_bucket(words, n)
     edges = np.searchsorted(bucket, np.arange(n + 1))
     for k in np.flatnonzero(np.diff(edges)):
         at = order[edges[k]:edges[k + 1]]
         own = [words[i] for i in at]
-        yield int(k), pack(np.fromiter(map(len, own), np.uint32, len(own)), np.frombuffer(b"".join(own), np.uint8), *extra(at))
+        yield int(k), pack(np.fromiter(map(len, own), np.uint32, len(own)), np.frombuffer(b"".join(own), np.uint8), *extra(at), dense=dense)
 
 
 REQUEST_SCHEMA = pa.schema([("bucket", pa.int32()), ("batch", pa.int64()), ("data", pa.binary())])
