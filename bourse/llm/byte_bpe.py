@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from bourse.llm.blobs import from_ipc, gather, pack, unpack
 from bourse.llm.common import input_bytes, table
-from bourse.llm.dictionary import (ANSWER_DDL, ANSWER_SCHEMA, REQUEST_DDL, REQUEST_SCHEMA, batches, by_bucket, cut,
+from bourse.llm.dictionary import (ANSWER_DDL, ANSWER_SCHEMA, REQUEST_DDL, REQUEST_SCHEMA, Numbers, batches, by_bucket, cut,
                                    requests, rows)
 from bourse.session import scratch_path
 
@@ -43,7 +43,6 @@ LONG = 256                # bytes of a piece beyond which Python's heap merges i
 ID_BITS = 21              # ids are below 2**ID_BITS: two ids and a rank fit one long
 BUCKET = 32 << 20         # text bytes per bucket of words, about
 NO_PAIR = 2 ** 63 - 1     # in an empty slot
-KNOWN = 200_000           # chunks whose pieces a worker remembers
 PLAN_TEXT = 20_000
 #: The pattern's white space, spelled out: the same characters whichever library reads it.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -65,18 +64,32 @@ class Splitter:
         import regex
         self.piece = regex.compile(spelled_out(pattern)).findall
         self.chunk = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+").findall
-        self.known: dict[bytes, list[bytes]] = {}
+        self.space = re.compile(f"[{SPACE}]").match
 
     def chunks(self, text: bytes) -> list[str]:
         return self.chunk(text.decode())
 
-    def pieces(self, chunk: bytes) -> list[bytes]:
-        found = self.known.get(chunk)
-        if found is None:
-            if len(self.known) >= KNOWN:
-                self.known.clear()
-            found = self.known[chunk] = [p.encode() for p in self.piece(chunk.decode())]
-        return found
+    def pieces(self, chunks: list[str]) -> tuple[list[str], np.ndarray]:
+        """(pieces of all chunks, their number by chunk), from one pass of the pattern over the chunks put together.
+
+        White space ends a piece, so a chunk that begins with it can follow a chunk that does not end with it."""
+        together, apart = [], []
+        for i, c in enumerate(chunks):
+            (together if self.space(c[0]) and not self.space(c[-1]) else apart).append(i)
+        found = [self.piece(chunks[i]) for i in apart]
+        whole = self.piece("".join([chunks[i] for i in together]))
+        ends = np.cumsum(np.fromiter(map(len, whole), np.int64, len(whole)))
+        edges = np.searchsorted(ends, np.cumsum(np.array([len(chunks[i]) for i in together], np.int64))) + 1
+        counts = np.zeros(len(chunks), np.int64)
+        counts[together], counts[apart] = np.diff(np.r_[0, edges]), [len(x) for x in found]
+        out = np.empty(int(counts.sum()), object)
+        first = np.cumsum(counts) - counts
+        own = np.zeros(len(out), bool)
+        for i, x in zip(apart, found):
+            out[first[i]:first[i] + len(x)] = x
+            own[first[i]:first[i] + len(x)] = True
+        out[~own] = whole
+        return out.tolist(), counts
 
 
 # --- merges in SQL expressions ----------------------------------------------
@@ -234,22 +247,21 @@ def heap_merge(word: bytes, ranks: dict[bytes, int], whole: bool = True) -> list
 
 # --- the job ------------------------------------------------------------------
 
-def cut_chunks(pattern: str) -> Callable[[list[bytes]], bytes]:
+def cut_chunks(pattern: str) -> Callable[[list[str]], bytes]:
     """How a batch keeps its distinct chunks: distinct pieces, and the pieces of each chunk by number.
 
     Pieces over LONG bytes are numbered after all others; only the others are asked for."""
-    def stored(chunks: list[bytes]) -> bytes:
-        splitter, number, long, units, counts = splitter_of(pattern), {}, {}, [], []
-        for c in chunks:
-            pieces = splitter.pieces(c)
-            counts.append(len(pieces))
-            for p in pieces:
-                units.append(number.setdefault(p, len(number)) if len(p) <= LONG else -1 - long.setdefault(p, len(long)))
-        at = np.array(units, np.int64)
-        at = np.where(at < 0, len(number) - 1 - at, at).astype(np.uint32)
-        names = [*number, *long]
-        return pack(np.array([len(number)], np.uint32), np.fromiter(map(len, names), np.uint32, len(names)), np.frombuffer(b"".join(names), np.uint8),
-                    np.array(counts, np.uint32), at, dense=True)
+    def stored(chunks: list[str]) -> bytes:
+        pieces, counts = splitter_of(pattern).pieces(chunks)
+        every = Numbers()
+        units = np.fromiter(map(every.__getitem__, pieces), np.int64, len(pieces))
+        names = [p.encode() for p in every]
+        sizes = np.fromiter(map(len, names), np.uint32, len(names))
+        order = np.argsort(sizes > LONG, kind="stable")             # long ones last
+        place = np.empty(len(order), np.uint32)
+        place[order] = np.arange(len(order))
+        return pack(np.array([(sizes <= LONG).sum()], np.uint32), sizes[order], np.frombuffer(b"".join([names[i] for i in order.tolist()]), np.uint8),
+                    counts.astype(np.uint32), place[units], dense=True)
     return stored
 
 

@@ -49,11 +49,11 @@ class Numbers(dict):
 
 
 def batches(docs: DataFrame, split: Callable[[bytes], list], path: str, files: int, carry: list[str] | None = None,
-            batch_bytes: int = BATCH, stored: Callable[[list[bytes]], bytes] = pack_strings,
+            batch_bytes: int = BATCH, stored: Callable[[list], bytes] = pack_strings,
             dense: bool = False) -> DataFrame:
     """One row per batch of texts (``SCHEMA``), written to ``path`` in buckets of the batch number.
 
-    stored: how the batch's distinct words are kept; dense: compress the texts' numbers harder."""
+    stored: how the batch's distinct words, as split gives them, are kept; dense: compress the texts' numbers harder."""
     small_arrow_batches(docs.sparkSession)
     carry = carry or []
 
@@ -61,9 +61,8 @@ def batches(docs: DataFrame, split: Callable[[bytes], list], path: str, files: i
         ids, counts, tokens, rest, size, number = [], [], [], [], 0, Numbers()
 
         def row():
-            words = [w if isinstance(w, bytes) else w.encode() for w in number]
             return [pack(np.array([NULL_ID if i is None else i for i in ids], np.int64)), np.array([i is None for i in ids], bool).tobytes(),
-                    pack(np.array(counts, np.uint32)), pack(np.concatenate(tokens), dense=dense), stored(words),
+                    pack(np.array(counts, np.uint32)), pack(np.concatenate(tokens), dense=dense), stored(list(number)),
                     to_ipc(pa.Table.from_batches(rest)) if carry else None]
 
         for b in arrow:

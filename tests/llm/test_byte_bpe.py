@@ -51,7 +51,9 @@ def test_chunks_are_cut_where_pieces_end():
     rng = random.Random(4)
     for _ in range(300):
         t = "".join(rng.choice(["a", "Bc", "1", " ", "  ", "\n", "\t", "'s", "!", "　", "é", "\x1c"]) for _ in range(rng.randrange(12)))
-        assert [p for c in s.chunks(t.encode()) for p in s.pieces(c.encode())] == [p.encode() for p in whole(t)], repr(t)
+        chunks = s.chunks(t.encode())
+        pieces, counts = s.pieces(chunks)
+        assert pieces == whole(t) and [whole(c) for c in chunks] == [pieces[e - n:e] for n, e in zip(counts, counts.cumsum())], repr(t)
 
 
 def test_slots_find_every_pair_and_no_other():
