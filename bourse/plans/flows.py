@@ -22,6 +22,7 @@ from bourse.operators.cdc import unplaced
 from bourse.sources.files import read_files_stream, stream_table
 from bourse.streaming import runners
 from bourse.streaming.cdc import read_change_log
+from bourse.streaming.keyed import HistoryTable, LatestTable
 
 
 @dataclass(frozen=True)
@@ -84,6 +85,7 @@ def candle_flow(spark: SparkSession, landing: str, lay: Layout,
     """Candle CSV -> bronze -> valid change log + quarantine -> silver (SCD1)
     -> gold candles with previous close (refreshed)."""
     src = _bronze(spark, landing, lay, "candles", "csv", rescue=True)
+    table = LatestTable(spark, lay.table("silver", "candles"), S.CANDLE_KEYS, "ingest_timestamp")
     # CSV headers are capitalised; the typed columns are lower case
     lower = {c: c.lower() for c in src.columns}
     flagged = quality.apply_rules(S.typed_candles(src.withColumnsRenamed(lower)),
@@ -92,9 +94,9 @@ def candle_flow(spark: SparkSession, landing: str, lay: Layout,
         "valid_log": lambda x: quality.split(x).valid,
         "quarantine_candles": lambda x: quality.split(x).quarantine,
         "expectations": _counted("stock_candles"),
-    }, lay.table("silver", "candle_branches"), lay.ckpt("silver_candles"))
+    }, lay.table("silver", "candle_branches"), lay.ckpt("silver_candles"), merges=[lambda x, i: table.merge(quality.split(x).valid, i)])
     base = lay.table("silver", "candle_branches")
-    silver = _published(spark, lay, "candles", S.silver_candles(read_change_log(spark, f"{base}/valid_log")))
+    silver = table.read(read_change_log(spark, f"{base}/valid_log").schema)
     gold = G.stock_candles(silver)
     runners.run_refresh(gold, lay.table("gold", "stock_candles"))
     return {"silver_candles": silver,
@@ -109,6 +111,11 @@ def _published(spark: SparkSession, lay: Layout, name: str, table: DataFrame) ->
     return spark.read.parquet(lay.table("silver", name))
 
 
+def _history(spark: SparkSession, lay: Layout, name: str, keys) -> HistoryTable:
+    """A history by load time, kept in place: a batch rewrites the months and buckets that it touches."""
+    return HistoryTable(spark, lay.table("silver", name), keys, "ingest_timestamp", S.by_month, except_cols=["ingest_timestamp"])
+
+
 def daily_quote_flow(spark: SparkSession, lay: Layout, silver_quote: DataFrame,
                      gold_candles: DataFrame) -> DataFrame:
     """Gold daily quote fact, fully refreshed from its two inputs."""
@@ -122,9 +129,11 @@ def profile_flow(spark: SparkSession, landing: str, lay: Layout) -> dict[str, Da
     history can place -> dim."""
     src = _bronze(spark, landing, lay, "profile", "json")
     base = lay.table("silver", "profile_branches")
-    runners.run_branches(S.flagged_profile(src), {"log": lambda b: b, "expectations": _counted("profile")}, base, lay.ckpt("silver_profile"))
+    table = _history(spark, lay, "profile", S.PROFILE_KEYS)
+    runners.run_branches(S.flagged_profile(src), {"log": lambda b: b, "expectations": _counted("profile")}, base, lay.ckpt("silver_profile"),
+                         merges=[table.merge])
     log = read_change_log(spark, f"{base}/log")
-    history = _published(spark, lay, "profile", S.silver_profile(log))
+    history = table.read(log.schema)
     _published(spark, lay, "profile_unplaced", unplaced(log, ["symbol"], "ingest_timestamp"))
     runners.run_refresh(G.dim_company(history), lay.table("gold", "dim_company"))
     return {"silver_profile": history,
@@ -136,10 +145,11 @@ def recommendation_flow(spark: SparkSession, landing: str, lay: Layout) -> dict[
     (SCD2 per symbol and period) -> analyst signal (refreshed)."""
     src = _bronze(spark, landing, lay, "recommendation", "json")
     base = lay.table("silver", "recommendation_branches")
+    table = _history(spark, lay, "recommendation", S.RECOMMENDATION_KEYS)
     runners.run_branches(S.flagged_recommendation(src), {"log": lambda b: b, "expectations": _counted("recommendation")}, base,
-                         lay.ckpt("silver_recommendation"))
+                         lay.ckpt("silver_recommendation"), merges=[table.merge])
     log = read_change_log(spark, f"{base}/log")
-    history = _published(spark, lay, "recommendation", S.silver_recommendation(log))
+    history = table.read(log.schema)
     _published(spark, lay, "recommendation_unplaced", unplaced(log, ["symbol", "period"], "ingest_timestamp"))
     runners.run_refresh(G.fact_analyst_signal(history), lay.table("gold", "fact_analyst_signal"))
     return {"silver_recommendation": history,

@@ -646,6 +646,8 @@ select symbol, cast(window_start as date) as session_date, window_start,
 from b where window_start + interval '1 minute' <= (select max(ts) from events) - interval '30 seconds'"""
 
 SQL["k9_stream_scd2_change_log"] = SQL["d3_scd2_except_segmented"]
+SQL["k9_latest_in_place"] = SQL["d1_scd1_latest"]
+SQL["k9_history_in_place"] = SQL["d3_scd2_except_segmented"]
 SQL["k8_stream_quote_branches"] = SQL["s1_silver_quote"]
 
 SQL["k6_stream_enriched_bars"] = ("select * from (" + SQL["g7_realtime_agg"] + ") g "

@@ -71,9 +71,14 @@ def candle_tables(bronze: DataFrame, null_policy: str = "fail") -> quality.Split
     return quality.split(f)
 
 
+CANDLE_KEYS = ("symbol", "date")
+PROFILE_KEYS = ("symbol",)
+RECOMMENDATION_KEYS = ("symbol", "period")
+
+
 def silver_candles(valid_log: DataFrame) -> DataFrame:
     """S3: latest candle per (symbol, date) by load time."""
-    return cdc.scd1(valid_log, ["symbol", "date"], "ingest_timestamp")
+    return cdc.scd1(valid_log, CANDLE_KEYS, "ingest_timestamp")
 
 
 # ---------------------------------------------------------------- S4, X3
@@ -180,7 +185,7 @@ def by_month(load_time: Column) -> Column:
 def silver_profile(flagged_log: DataFrame, segment=by_month) -> DataFrame:
     """Profile history per symbol; a reload changing only the load time
     opens no version."""
-    return cdc.scd2(flagged_log, ["symbol"], "ingest_timestamp", except_cols=["ingest_timestamp"], segment=segment)
+    return cdc.scd2(flagged_log, PROFILE_KEYS, "ingest_timestamp", except_cols=["ingest_timestamp"], segment=segment)
 
 
 # ---------------------------------------------------------------------- S9
@@ -196,5 +201,5 @@ def flagged_recommendation(bronze: DataFrame, null_policy: str = "fail") -> Data
 
 def silver_recommendation(flagged_log: DataFrame, segment=by_month) -> DataFrame:
     """Recommendation history per (symbol, period)."""
-    return cdc.scd2(flagged_log, ["symbol", "period"], "ingest_timestamp",
+    return cdc.scd2(flagged_log, RECOMMENDATION_KEYS, "ingest_timestamp",
                     except_cols=["ingest_timestamp"], segment=segment)

@@ -150,7 +150,8 @@ class HistoryTable:
         return [c for c in columns if c not in self.keys and c != self.seq and c not in self.except_cols]
 
     def _celled(self, changes: DataFrame) -> DataFrame:
-        return changes.withColumns({BUCKET: bucket_of(self.keys, self.buckets), SEG: self.segment(F.col(self.seq)).cast("string")})
+        seg = F.regexp_replace(self.segment(F.col(self.seq)).cast("string"), "[^0-9A-Za-z.-]", "_")      # the name of a folder
+        return changes.withColumns({BUCKET: bucket_of(self.keys, self.buckets), SEG: seg})
 
     def _write(self, rows: DataFrame, schema: T.StructType, batch_id: int) -> int:
         """rows: whole new content of their cells.  Returns the number of runs read for the versions."""

@@ -8,7 +8,7 @@ output by batch id and overwrite it, so a replayed micro-batch is idempotent.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,18 +64,20 @@ def temp_view(df: DataFrame, name: str) -> DataFrame:
 
 def run_branches(stream: DataFrame, branches: Mapping[str, Callable[[DataFrame], DataFrame]],
                  base_path: str, checkpoint: str, trigger: str | None = "availableNow",
-                 wait: bool = True) -> StreamingQuery:
+                 wait: bool = True, merges: Sequence[Callable[[DataFrame, int], object]] = ()) -> StreamingQuery:
     """One streaming query feeding several tables (K8): each micro-batch is
     persisted once and every branch (valid, quarantine, ...) is written from it,
     instead of one scan of the source per branch.  Output is keyed by batch id
     (``<base>/<branch>/batch_id=<n>``) and overwritten, so replays are
-    idempotent."""
+    idempotent.  ``merges`` take the same batch, with its id, into tables that are kept in place."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             for name, fn in branches.items():
                 (fn(batch).write.mode("overwrite")
                  .parquet(f"{base_path}/{name}/batch_id={batch_id}"))
+            for merge in merges:
+                merge(batch, batch_id)
         finally:
             batch.unpersist()
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
