@@ -1,7 +1,9 @@
 """A hot key holding a third of the rows: same results, spread over tasks."""
 
+import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from bourse.operators import cdc, segmented as S, windows
@@ -74,3 +76,21 @@ def test_rank_excludes_nulls_and_plans_lazily(spark):
     r = rank_within(df, [], "v", "rk", desc=False, pct_out="pr", nulls="exclude")
     assert list(spark.sparkContext.statusTracker().getJobIdsForGroup()) == list(before)
     assert sorted(map(tuple, r.collect())) == [(1, None, None, None), (2, 5, 1, 0.0), (3, 7, 3, 1.0), (4, 5, 1, 0.0)]
+
+
+@pytest.mark.parametrize("what, value", [
+    ("narrow doubles", lambda i: 100.0 + i / 20_000.0),
+    ("timestamps of a year", lambda i: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i * 1500)),
+    ("strings with one beginning", lambda i: f"Customer#{i * 37:09d}"),
+    ("doubles with one outlier", lambda i: 1e300 if i == 0 else 5.0 + i / 1e6),
+    ("short and long strings", lambda i: "x" * (i % 5) + str(i))])
+def test_ranks_spread_over_tasks_whatever_the_values(spark, what, value):
+    from bourse.operators.ranking import value_buckets
+    n = 20_000
+    rng = random.Random(3)
+    order = list(range(n))
+    rng.shuffle(order)
+    df = spark.createDataFrame([(i % 2, value(i)) for i in order] + [(0, None), (1, value(5))], ["p", "v"])
+    sizes = [r["count"] for r in value_buckets(df, [], "v").groupBy("__rk_b").count().collect()]
+    assert len(sizes) >= 32 and max(sizes) <= n / 8
+    _same_as_window(df, ["p"], "v", desc=False)
