@@ -19,7 +19,7 @@ from bourse.operators import quality
 from bourse.plans import gold as G
 from bourse.plans import silver as S
 from bourse.operators.cdc import unplaced
-from bourse.sources.files import read_files_stream, stream_table
+from bourse.sources.files import read_files_stream, stored_schema, stream_table
 from bourse.streaming import runners
 from bourse.streaming.cdc import read_change_log
 from bourse.streaming.keyed import HistoryTable, LatestTable
@@ -42,9 +42,17 @@ FILES_PER_BATCH = 1000
 
 def _bronze(spark: SparkSession, landing: str, lay: Layout, name: str, fmt: str, **kw) -> DataFrame:
     """Landing files -> the append-only bronze table; returns a stream over that table."""
+    runners.make_folder(spark, landing)
     files = read_files_stream(spark, landing, fmt, max_files_per_trigger=FILES_PER_BATCH, **kw)
     runners.run_append(files, lay.table("bronze", name), lay.ckpt(f"bronze_{name}"))
-    return stream_table(spark, lay.table("bronze", name), max_files_per_trigger=FILES_PER_BATCH)
+    runners.make_folder(spark, lay.table("bronze", name))
+    return stream_table(spark, lay.table("bronze", name), files.schema, max_files_per_trigger=FILES_PER_BATCH)
+
+
+def _landed(spark: SparkSession, landing: str, lay: Layout, name: str, fallback: T.StructType | None = None, numbers: bool = False) -> DataFrame:
+    """``_bronze`` of a JSON source without a schema of its own: the first load's is kept, all else is rescued."""
+    schema = stored_schema(spark, landing, f"{lay.root}/_schemas/{name}", numbers, fallback)
+    return _bronze(spark, landing, lay, name, "json", schema=schema, rescue=True)
 
 
 def _counted(dataset: str):
@@ -124,10 +132,26 @@ def daily_quote_flow(spark: SparkSession, lay: Layout, silver_quote: DataFrame,
     return spark.read.parquet(lay.table("gold", "fact_daily_quote"))
 
 
+def _texts(names) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in names])
+
+
+# Schemas of sources without one, for a start before anything has landed.
+PROFILE_SCHEMA = _texts(c for c in S.PROFILE_COLS if c != "ingest_timestamp")
+RECOMMENDATION_SCHEMA = T.StructType([
+    T.StructField("symbol", T.StringType()),
+    T.StructField("data", T.ArrayType(_texts(("period", "buy", "sell", "hold", "strongBuy", "strongSell"))))])
+_SERIES = T.StructType([T.StructField("eps", T.ArrayType(T.StructType([T.StructField("period", T.StringType()), T.StructField("v", T.DoubleType())])))])
+METRIC_SCHEMA = T.StructType([
+    T.StructField("symbol", T.StringType()), T.StructField("timestamp", T.StringType()),
+    T.StructField("metric", T.StructType([T.StructField(c, T.DoubleType()) for c in S.SNAPSHOT_FIELDS])),
+    T.StructField("series", T.StructType([T.StructField("annual", _SERIES), T.StructField("quarterly", _SERIES)]))])
+
+
 def profile_flow(spark: SparkSession, landing: str, lay: Layout) -> dict[str, DataFrame]:
     """Profile JSON -> bronze -> flagged change log -> history (SCD2), rows that no
     history can place -> dim."""
-    src = _bronze(spark, landing, lay, "profile", "json")
+    src = _landed(spark, landing, lay, "profile", PROFILE_SCHEMA)
     base = lay.table("silver", "profile_branches")
     table = _history(spark, lay, "profile", S.PROFILE_KEYS)
     runners.run_branches(S.flagged_profile(src), {"log": lambda b: b, "expectations": _counted("profile")}, base, lay.ckpt("silver_profile"),
@@ -143,7 +167,7 @@ def profile_flow(spark: SparkSession, landing: str, lay: Layout) -> dict[str, Da
 def recommendation_flow(spark: SparkSession, landing: str, lay: Layout) -> dict[str, DataFrame]:
     """Recommendation JSON -> flagged rows (kept) in a change log -> history
     (SCD2 per symbol and period) -> analyst signal (refreshed)."""
-    src = _bronze(spark, landing, lay, "recommendation", "json")
+    src = _landed(spark, landing, lay, "recommendation", RECOMMENDATION_SCHEMA)
     base = lay.table("silver", "recommendation_branches")
     table = _history(spark, lay, "recommendation", S.RECOMMENDATION_KEYS)
     runners.run_branches(S.flagged_recommendation(src), {"log": lambda b: b, "expectations": _counted("recommendation")}, base,
@@ -201,12 +225,17 @@ def metric_flow(spark: SparkSession, landing: str, lay: Layout,
     """Metric JSON -> snapshot (first load per symbol and day, flagged) and
     annual / quarterly series (change logs, SCD1) -> stock metrics fact.
     ``schema`` is the metric record schema; inferred from the landed files
-    when not given."""
-    src = _bronze(spark, landing, lay, "metric", "json", schema=schema)
-    batch = spark.read.parquet(lay.table("bronze", "metric"))
+    by the first load when not given."""
+    if schema is None:
+        src = _landed(spark, landing, lay, "metric", METRIC_SCHEMA, numbers=True)
+    else:
+        src = _bronze(spark, landing, lay, "metric", "json", schema=schema, rescue=True)
+    batch = spark.read.schema(src.schema).parquet(lay.table("bronze", "metric"))
     # first load per (symbol, metric day) is a property of all loads: computed on the table
     snap = S.silver_metric_snapshot(batch)
     runners.run_refresh(snap, lay.table("silver", "metric_snapshot"))
+    runners.run_refresh(_counted("metric_snapshot")(spark.read.parquet(lay.table("silver", "metric_snapshot"))),
+                        f"{lay.table('silver', 'metric_snapshot_branches')}/expectations")
     out = {"silver_metric_snapshot": spark.read.parquet(lay.table("silver", "metric_snapshot"))}
     for freq in ("annual", "quarterly"):
         base = lay.table("silver", f"metric_{freq}_branches")

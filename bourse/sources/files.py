@@ -7,6 +7,7 @@ from the files present when none is given, like a loader's schema location).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +39,40 @@ def infer_schema(spark: SparkSession, path: str, fmt: str,
     return spark.read.options(**opts).format(fmt).load(path).schema
 
 
+def _as_landed(kind: T.DataType, numbers: bool) -> T.DataType:
+    """An inferred type loosened so that later files fit: scalars as text, or, with ``numbers``, whole numbers as doubles."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_landed(f.dataType, numbers)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_as_landed(kind.elementType, numbers))
+    if numbers:
+        return T.DoubleType() if isinstance(kind, T.LongType) else kind
+    return T.StringType()
+
+
+def stored_schema(spark: SparkSession, landing: str, store: str, numbers: bool = False,
+                  fallback: T.StructType | None = None) -> T.StructType:
+    """The schema of a JSON source (A1): inferred from the files of the first load, loosened, and kept in ``store``.
+
+    Later loads take the kept one, so a file that would be inferred otherwise changes no table's columns: what the schema
+    does not name or cannot hold is rescued.  Nothing landed yet: ``fallback``, which is not kept."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    kept = fs_path(store)
+    if kept.getFileSystem(conf).exists(kept):
+        return T.StructType.fromJson(json.loads(spark.read.text(store).first()["value"]))
+    folder = fs_path(landing)
+    fs = folder.getFileSystem(conf)
+    if not (fs.exists(folder) and any(True for _ in fs.listStatus(folder))):
+        if fallback is None:
+            raise ValueError(f"nothing has landed in {landing} yet and no schema is given")
+        return fallback
+    found = infer_schema(spark, landing, "json")
+    found = _as_landed(T.StructType([f for f in found.fields if f.name != "_corrupt_record"]), numbers)
+    spark.createDataFrame([(json.dumps(found.jsonValue()),)], "value string").coalesce(1).write.mode("overwrite").text(store)
+    return found
+
+
 def read_files_stream(spark: SparkSession, path: str, fmt: str,
                       schema: T.StructType | None = None,
                       options: Mapping[str, str] | None = None,

@@ -17,6 +17,16 @@ from pyspark.sql.streaming import StreamingQuery
 from bourse.operators.quality import RuleSet, expectation_counts
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 def _trigger(w, trigger: str | None):
     if trigger in (None, "availableNow"):
         return w.trigger(availableNow=True)
@@ -69,7 +79,14 @@ def run_branches(stream: DataFrame, branches: Mapping[str, Callable[[DataFrame],
     persisted once and every branch (valid, quarantine, ...) is written from it,
     instead of one scan of the source per branch.  Output is keyed by batch id
     (``<base>/<branch>/batch_id=<n>``) and overwritten, so replays are
-    idempotent.  ``merges`` take the same batch, with its id, into tables that are kept in place."""
+    idempotent.  ``merges`` take the same batch, with its id, into tables that are kept in place.
+    Every branch has a table, though nothing may have arrived yet."""
+    spark = stream.sparkSession
+    none = spark.createDataFrame([], stream.schema)
+    for name, fn in branches.items():
+        if not exists(spark, f"{base_path}/{name}"):
+            fn(none).write.mode("overwrite").parquet(f"{base_path}/{name}/batch_id=-1")
+
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:

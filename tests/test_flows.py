@@ -127,3 +127,57 @@ def test_metric_flow_snapshot_and_series(spark, tmp):
     ann = {(r.metric_type, r.period): r.v for r in out["silver_metric_annual"].collect()}
     assert ann[("pe", "2023-12-31")] == 15.0 and ("eps", "2023-12-31") in ann
     assert out["silver_metric_quarterly"].count() == 1
+
+
+def _twice(spark, tmp, name, flow, first, second):
+    """Runs a flow over a first file, then over a second one with a mistyped value, a new field and a broken line."""
+    lay = flows.Layout(f"{tmp}/lake")
+    _write(f"{tmp}/land/{name}", "a.json", json.dumps(first))
+    flow(spark, f"{tmp}/land/{name}", lay)
+    kept = spark.read.parquet(lay.table("bronze", name)).schema
+    _write(f"{tmp}/land/{name}", "b.json", json.dumps(second) + "\n{broken")
+    out = flow(spark, f"{tmp}/land/{name}", lay)
+    bronze = spark.read.parquet(lay.table("bronze", name))
+    assert bronze.schema == kept and bronze.count() == 3
+    rescued = [json.loads(r[0]) for r in bronze.where("_rescued_data is not null").select("_rescued_data").collect()]
+    assert {"_corrupt_record": "{broken"} in rescued
+    return out, rescued
+
+
+def test_profile_flow_with_a_file_of_another_shape(spark, tmp):
+    row = {"symbol": "AAA", "ticker": "AAA", "name": "A", "marketCapitalization": 5, "shareOutstanding": 1.5, "country": "US",
+           "exchange": "X", "ipo": "2000-01-01"}
+    out, rescued = _twice(spark, tmp, "profile", flows.profile_flow, row, row | {"symbol": "BBB", "marketCapitalization": "n/a", "new": [1]})
+    assert {"new": "[1]"} in rescued
+    assert {(r.symbol, r.marketCapitalization, r.is_critical) for r in out["silver_profile"].collect() if r.symbol} == {("AAA", 5.0, False), ("BBB", None, True)}
+
+
+def test_recommendation_flow_with_a_file_of_another_shape(spark, tmp):
+    item = {"period": "2024-01-01", "buy": 2, "hold": 1, "sell": 0, "strongBuy": 1, "strongSell": 0}
+    out, rescued = _twice(spark, tmp, "recommendation", flows.recommendation_flow, {"symbol": "AAA", "data": [item]},
+                          {"symbol": "BBB", "data": [item | {"buy": "many", "new": 1}], "extra": True})
+    assert any("extra" in r and "new" in r.get("data", "") for r in rescued)
+    assert {(r.symbol, r.buy, r.is_critical) for r in out["silver_recommendation"].collect()} == {("AAA", 2, False), ("BBB", None, True)}
+
+
+def test_metric_flow_with_a_file_of_another_shape(spark, tmp):
+    row = {"symbol": "AAA", "timestamp": "2024-01-02T15:00:00Z", "metric": {"beta": 1, "marketCapitalization": 10.0},
+           "series": {"annual": {"eps": [{"period": "2023-12-31", "v": 4}]}, "quarterly": {"eps": [{"period": "2023-12-31", "v": 1.5}]}}}
+    out, rescued = _twice(spark, tmp, "metric", flows.metric_flow, row,
+                          row | {"symbol": "BBB", "metric": {"beta": "high", "marketCapitalization": 2.5}, "new": 1})
+    assert any("new" in r and "high" in r.get("metric", "") for r in rescued)
+    assert {(r.symbol, r.beta) for r in out["silver_metric_snapshot"].collect() if r.symbol} == {("AAA", 1.0), ("BBB", None)}
+    lay = flows.Layout(f"{tmp}/lake")
+    counts = flows.expectations(spark, lay, "metric_snapshot_branches").collect()
+    assert counts and all(r.passed + r.failed + r.unknown == 3 for r in counts)
+
+
+def test_flows_before_anything_has_landed(spark, tmp):
+    lay = flows.Layout(f"{tmp}/lake")
+    for name, flow in (("quote", flows.quote_flow), ("profile", flows.profile_flow), ("recommendation", flows.recommendation_flow),
+                       ("financials", flows.financials_flow), ("metric", flows.metric_flow)):
+        out = flow(spark, f"{tmp}/land/{name}", lay)
+        assert all(df.count() == 0 for df in out.values()), name
+    _write(f"{tmp}/land/quote", "q.json", json.dumps({"symbol": "AAA", "c": "12", "d": "1", "dp": "9", "h": "13", "l": "11", "o": "11.5",
+                                                      "pc": "11", "t": "1704380400"}))
+    assert flows.quote_flow(spark, f"{tmp}/land/quote", lay)["silver_quote"].count() == 1
