@@ -47,6 +47,7 @@ PIECE = 32           # characters of a word read at once; longer words give piec
 STEMS = range(4, 9)  # stem lengths that may become landmarks
 HELD_OUT_MOD = 5
 WORD_CACHE = 300_000
+STEPS = 65535        # kernel values are remembered as multiples of 1 / STEPS, in two bytes
 _EDGE = ".,;:!?\"'()[]{}<>|*#$%&-_+=/\\~`"
 
 
@@ -154,7 +155,7 @@ class Describer:
 
     def forget(self):
         self.known: dict[str, int] = {}          # word -> row of values, 0 if nothing in it
-        self.rows, self.used = np.zeros((WORD_CACHE + 4096, self.width), np.float32), 1   # untouched rows take no memory
+        self.rows, self.used = np.zeros((WORD_CACHE + 4096, self.width), np.uint16), 1    # in steps of 1 / STEPS; untouched rows take no memory
 
     def learn(self, words):
         new = [w for w in words if w not in self.known]
@@ -167,11 +168,12 @@ class Describer:
             v = self.kernel.values(cut)
             if len(cut) > len(part):
                 v = np.maximum.reduceat(v, first, axis=0)
+            v = np.rint(v * STEPS).astype(np.uint16)
             some = v.any(axis=1)
             row = np.where(some, self.used + np.cumsum(some) - 1, 0)
             end = self.used + int(some.sum())
             if end > len(self.rows):
-                grown = np.zeros((end + WORD_CACHE // 4, self.width), np.float32)
+                grown = np.zeros((end + WORD_CACHE // 4, self.width), np.uint16)
                 grown[:self.used] = self.rows[:self.used]
                 self.rows = grown
             self.rows[self.used:end] = v[some]
@@ -181,7 +183,7 @@ class Describer:
     def __call__(self, texts: list[bytes]) -> np.ndarray:
         if len(self.known) > WORD_CACHE:
             self.forget()
-        out = np.zeros((len(texts), self.width), np.float32)
+        out = np.zeros((len(texts), self.width), np.uint16)
         sets = [set(t.decode().lower().split()) for t in texts]
         self.learn(set().union(*sets))
         for i, words in enumerate(sets):
@@ -189,7 +191,7 @@ class Describer:
             at = at[at > 0]
             for k in range(0, len(at), 4096):
                 out[i] = np.maximum(out[i], self.rows[at[k:k + 4096]].max(axis=0))
-        return out
+        return out.astype(np.float32) / np.float32(STEPS)
 
 
 def candidates(text: bytes) -> set[str]:
