@@ -141,17 +141,33 @@ def small(a: np.ndarray) -> np.ndarray:
 
 # --- encoding --------------------------------------------------------------
 
+def ends_in_letter(text: str) -> bool:
+    """The tokenizer sees the text composed and in lower case: U+0130 then ends in a mark, not in a letter."""
+    return text[-1].isalpha() and (text[-1].isascii() or unicodedata.normalize("NFC", text).lower()[-1].isalpha())
+
+
+def words_apart(tokenizer) -> bool:
+    """Whether the tokenizer lower-cases and reads words one by one, whatever white space is between them."""
+    def ids(text: str) -> list[int]:
+        return tokenizer.encode(text, add_special_tokens=False).ids
+    texts = ("Hello World", "a  b\n c", "x\ty.", " Lead", "trail ", "ONE-two 3,5")
+    return all(ids(t) == [x for w in t.split() for x in ids(w.lower())] for t in texts)
+
+
 class WordIds:
     """Numbers words and keeps each word's ids as a stretch of one flat array; word 0 is the end id.
 
     The tokenizer itself sees each distinct core once: the word without one
     closing mark after a letter (a piece never holds both), and in lower case
-    where it is ASCII, as the tokenizer would make it.
+    where it is ASCII, as the tokenizer would make it.  A tokenizer that does not
+    read words one by one in lower case gets whole texts instead.
     """
 
     def __init__(self, tokenizer, end: int):
         self.tokenizer, self.end = tokenizer, end
-        self.forget()
+        self.apart = words_apart(tokenizer)        # else whole texts are encoded
+        if self.apart:
+            self.forget()
 
     def forget(self):
         self.number: dict[bytes, int] = {b"": 0}   # no word is empty
@@ -206,7 +222,7 @@ class WordIds:
         units, fresh, core = np.full((len(new), 2), -1, np.int64), [], self.core
         for i, w in enumerate(new):
             t = w.decode()
-            if len(t) > 1 and t[-1] in self.marks and t[-2].isalpha():
+            if len(t) > 1 and t[-1] in self.marks and ends_in_letter(t[:-1]):
                 units[i, 1] = self.marks[t[-1]]
                 t = t[:-1]
             if t.isascii():
@@ -225,6 +241,10 @@ class WordIds:
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each with its end id, and the number of ids per text."""
+        if not self.apart:
+            found = self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)
+            rows = [np.array([*e.ids, self.end], np.uint32) for e in found]
+            return np.concatenate(rows or [np.zeros(0, np.uint32)]), np.array([len(r) for r in rows], np.int64)
         if len(self.number) > WORD_CACHE:
             self.forget()
         words = [t.split() for t in texts]

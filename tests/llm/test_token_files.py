@@ -76,3 +76,22 @@ def test_rounds_go_on_until_no_pair_is_frequent():
     pairs = np.unique((s[:-1] * 10 ** 6 + s[1:])[~ends[:-1]], return_counts=True)[1]
     assert not len(pairs) or pairs.max() < least
     assert lengths.max() > 16 ** 2                            # symbols grow with the passage, not with the number of levels
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_of_odd_texts_equal_the_library_for_either_file(name):
+    """Letters that change their form, marks, white space, digits and scripts in any order."""
+    from tokenizers import Tokenizer
+    import random
+    config = open(P.path(name), encoding="utf-8").read()
+    library = Tokenizer.from_str(config)
+    library.encode_special_tokens = True
+    rng = random.Random(7)
+    signs = ["İ", "ı", "Σ", "ς", "é", "e\u0301", "\u0307", "ß", "K", "Ω", "Å", "x", "Ab", "don't", "1", "23", ".", "!", ",", ";", ":", "?", "..", " ", "  ",
+             "\n", "\t", "日", "ا", "😀", "\u00a0", "-", "'s", "ﬁ", "Ǆ", "ͅ"]
+    texts = ["İ!", "x İ. y", "DİYARBAKIRİ.", "", " "] + ["".join(rng.choice(signs) for _ in range(rng.randrange(1, 9))) for _ in range(15_000)]
+    flat, counts = F.words_of(config, 2)([t.encode() for t in texts])
+    want = [[*e.ids, 2] for e in library.encode_batch(texts, add_special_tokens=False)]
+    got = [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])]
+    wrong = [(t, g, w) for t, g, w in zip(texts, got, want) if g != w]
+    assert not wrong, (len(wrong), wrong[:5])
