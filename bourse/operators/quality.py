@@ -164,3 +164,78 @@ def observed_to_rows(rules: RuleSet, metrics: dict) -> list[dict]:
         out.append({"severity": sev, "rule": n, "passed": metrics.get(f"p{i}"),
                     "failed": metrics.get(f"f{i}"), "unknown": metrics.get(f"u{i}")})
     return out
+
+
+# --- one evaluation per rule ---------------------------------------------------
+
+VERDICT = "rule_verdicts"
+PER_WORD = 31                   # rules in one long, two bits each
+PASSED, FAILED, UNKNOWN = 0, 1, 2
+
+
+def judge(df: DataFrame, rules: RuleSet, out: str = VERDICT) -> DataFrame:
+    """Evaluates every rule, critical and warn, once; adds what came out as bits (C1, C2, C6 in one pass).
+
+    ``out`` is an array of longs with two bits a rule, in the order of ``all_rules``:
+    passed 0, failed 1, unknown 2, so a row that passes everything holds zeros.  Flag,
+    reason, split and counts are read from the bits; a table that stores the column
+    needs no rule again.  ``null`` never stands in it; without rules it is empty.
+    """
+    codes = [F.coalesce((~_rule(s)).cast("long"), F.lit(UNKNOWN).cast("long")) for _, _, s in rules.all_rules()]
+    words = []
+    for at in range(0, len(codes), PER_WORD):
+        word = None
+        for i, code in enumerate(codes[at:at + PER_WORD]):
+            bits = F.shiftleft(code, 2 * i) if i else code
+            word = bits if word is None else word.bitwiseOR(bits)
+        words.append(word)
+    return df.withColumn(out, F.array(*words) if words else F.array().cast("array<bigint>"))
+
+
+def _code(i: int, verdict: str) -> Column:
+    return F.shiftright(F.get(verdict, F.lit(i // PER_WORD)), 2 * (i % PER_WORD)).bitwiseAND(F.lit(3))
+
+
+def _any_critical(rules: RuleSet, verdict: str, code: int) -> Column:
+    """Whether a critical rule came out as ``code``: one mask and compare per word."""
+    found = F.lit(False)
+    n = len(rules.critical)
+    for w in range(-(-n // PER_WORD)):
+        mask = sum(code << 2 * i for i in range(min(PER_WORD, n - w * PER_WORD)))
+        found = found | (F.get(verdict, F.lit(w)).bitwiseAND(F.lit(mask).cast("long")) != 0)
+    return found
+
+
+def judged_flag(rules: RuleSet, null_policy: str = "sql", verdict: str = VERDICT) -> Column:
+    """``flag_column`` from the bits."""
+    failed, unknown = _any_critical(rules, verdict, FAILED), _any_critical(rules, verdict, UNKNOWN)
+    if null_policy == "fail":
+        return failed | unknown
+    if null_policy == "sql":
+        return F.when(failed, F.lit(True)).when(unknown, F.lit(None).cast("boolean")).otherwise(F.lit(False))
+    raise ValueError(f"null_policy must be 'sql' or 'fail', not {null_policy!r}")
+
+
+def judged_reason(rules: RuleSet, null_policy: str = "sql", verdict: str = VERDICT) -> Column:
+    """``reason_column`` from the bits."""
+    parts = []
+    for i, (name, _) in enumerate(rules.critical):
+        failed = _code(i, verdict) == FAILED if null_policy == "sql" else _code(i, verdict) != PASSED
+        parts.append(F.when(failed, F.lit(f"{name} has failed")))
+    return F.concat_ws(", ", *parts) if parts else F.lit("")
+
+
+def apply_verdicts(judged: DataFrame, rules: RuleSet, flag_col: str = "is_quarantined", reason_col: str = "quarantine_reason",
+                   null_policy: str = "sql", verdict: str = VERDICT) -> DataFrame:
+    """``apply_rules`` of a judged table; its bits are dropped."""
+    return judged.withColumns({flag_col: judged_flag(rules, null_policy, verdict),
+                               reason_col: judged_reason(rules, null_policy, verdict)}).drop(verdict)
+
+
+def verdict_counts(judged: DataFrame, rules: RuleSet, verdict: str = VERDICT) -> DataFrame:
+    """``expectation_counts`` of a judged table: the same rows, from the bits alone."""
+    rows = rules.all_rules()
+    aggs = [F.count_if(_code(i, verdict) == code).alias(f"{c}{i}")
+            for i in range(len(rows)) for c, code in (("p", PASSED), ("f", FAILED), ("u", UNKNOWN))]
+    stack = ", ".join(f"'{sev}', '{name}', p{i}, f{i}, u{i}" for i, (sev, name, _) in enumerate(rows))
+    return judged.agg(*aggs).selectExpr(f"stack({len(rows)}, {stack}) as (severity, rule, passed, failed, unknown)")

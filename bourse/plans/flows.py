@@ -61,6 +61,14 @@ def _counted(dataset: str):
     return lambda batch: quality.expectation_counts(batch, rules)
 
 
+def _judged(rules: quality.RuleSet, flag: str, reason: str, null_policy: str, valid: str, bad: str):
+    """(valid, bad and counting branches) of a judged stream: all read the bits of the persisted micro-batch, no rule runs again."""
+    def flagged(batch: DataFrame) -> quality.Split:
+        return quality.split(quality.apply_verdicts(batch, rules, flag, reason, null_policy), flag, reason)
+    return {valid: lambda b: flagged(b).valid, bad: lambda b: flagged(b).quarantine,
+            "expectations": lambda b: quality.verdict_counts(b, rules)}
+
+
 def expectations(spark: SparkSession, lay: Layout, base: str) -> DataFrame:
     """Counts per rule over all micro-batches of a branching stream."""
     return runners.read_expectations(spark, f"{lay.table('silver', base)}/expectations")
@@ -75,14 +83,11 @@ def quote_flow(spark: SparkSession, landing: str, lay: Layout,
     """Quote JSON -> bronze (lineage + rescue) -> silver quote / quarantine."""
     src = _bronze(spark, landing, lay, "quote", "json", schema=QUOTE_SCHEMA, rescue=True)
 
-    # rules applied once on the stream; each persisted micro-batch feeds both tables
-    flagged = quality.apply_rules(S.typed_quote(src), quality.load_rules("quote"), "is_quarantine",
-                                  "quarantine_reason", null_policy)
-    runners.run_branches(flagged, {
-        "silver_quote": lambda b: quality.split(b, "is_quarantine", "quarantine_reason").valid,
-        "quarantine_quote": lambda b: quality.split(b, "is_quarantine", "quarantine_reason").quarantine,
-        "expectations": _counted("quote"),
-    }, lay.table("silver", "quote_branches"), lay.ckpt("silver_quote"))
+    # every rule evaluated once on the stream; each persisted micro-batch feeds all tables
+    rules = quality.load_rules("quote")
+    runners.run_branches(quality.judge(S.typed_quote(src), rules),
+                         _judged(rules, "is_quarantine", "quarantine_reason", null_policy, "silver_quote", "quarantine_quote"),
+                         lay.table("silver", "quote_branches"), lay.ckpt("silver_quote"))
     base = lay.table("silver", "quote_branches")
     return {"silver_quote": runners.read_branch(spark, base, "silver_quote").drop("batch_id"),
             "quarantine_quote": runners.read_branch(spark, base, "quarantine_quote").drop("batch_id")}
@@ -96,13 +101,11 @@ def candle_flow(spark: SparkSession, landing: str, lay: Layout,
     table = LatestTable(spark, lay.table("silver", "candles"), S.CANDLE_KEYS, "ingest_timestamp")
     # CSV headers are capitalised; the typed columns are lower case
     lower = {c: c.lower() for c in src.columns}
-    flagged = quality.apply_rules(S.typed_candles(src.withColumnsRenamed(lower)),
-                                  quality.load_rules("stock_candles"), null_policy=null_policy)
-    runners.run_branches(flagged, {
-        "valid_log": lambda x: quality.split(x).valid,
-        "quarantine_candles": lambda x: quality.split(x).quarantine,
-        "expectations": _counted("stock_candles"),
-    }, lay.table("silver", "candle_branches"), lay.ckpt("silver_candles"), merges=[lambda x, i: table.merge(quality.split(x).valid, i)])
+    rules = quality.load_rules("stock_candles")
+    branches = _judged(rules, "is_quarantined", "quarantine_reason", null_policy, "valid_log", "quarantine_candles")
+    runners.run_branches(quality.judge(S.typed_candles(src.withColumnsRenamed(lower)), rules), branches,
+                         lay.table("silver", "candle_branches"), lay.ckpt("silver_candles"),
+                         merges=[lambda x, i: table.merge(branches["valid_log"](x), i)])
     base = lay.table("silver", "candle_branches")
     silver = table.read(read_change_log(spark, f"{base}/valid_log").schema)
     gold = G.stock_candles(silver)
@@ -199,14 +202,11 @@ def financials_flow(spark: SparkSession, landing: str, lay: Layout) -> dict[str,
     valid change log + quarantine -> silver (SCD1 per filing and concept) ->
     ratios, annual and quarterly growth (refreshed)."""
     src = _bronze(spark, landing, lay, "financials", "json", schema=FINANCIALS_SCHEMA, rescue=True)
-    flagged = quality.apply_rules(S.financial_items(src),
-                                  quality.load_rules("financials_reported"), null_policy="fail")
+    rules = quality.load_rules("financials_reported")
     base = lay.table("silver", "financial_branches")
-    runners.run_branches(flagged, {
-        "valid_log": lambda x: quality.split(x).valid,
-        "quarantine_financials": lambda x: quality.split(x).quarantine,
-        "expectations": _counted("financials_reported"),
-    }, base, lay.ckpt("silver_financials"))
+    runners.run_branches(quality.judge(S.financial_items(src), rules),
+                         _judged(rules, "is_quarantined", "quarantine_reason", "fail", "valid_log", "quarantine_financials"),
+                         base, lay.ckpt("silver_financials"))
     silver = _published(spark, lay, "financials", S.silver_financials(read_change_log(spark, f"{base}/valid_log")))
     runners.run_refresh(G.financial_ratio(silver), lay.table("gold", "financial_ratio"))
     ratio = spark.read.parquet(lay.table("gold", "financial_ratio"))

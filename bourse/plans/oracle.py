@@ -746,3 +746,10 @@ SQL["d1_scd1_tied"] = with_(CHANGES) + """
 select *, cast(floor(seq / 1000) as bigint) as day from changes
 qualify row_number() over (partition by symbol order by floor(seq / 1000) desc, amount desc, seq desc) = 1"""
 SQL["k6_enrich_each_batch"] = SQL["s2_silver_trades"]
+SQL["c1_judged_candles"] = SQL["c1_flag_candles"]
+SQL["c6_counts_judged_quotes"] = counts_sql(with_(QUOTES) + "select * from quotes", QR)
+SQL["a1_inferred"] = """
+select event_id, user_id, event_type, case when event_id % 2 = 0 or event_id % 5 <> 0 then value end as value,
+       event_id % 2 = 1 and event_id % 5 = 0 as is_text, case when event_id % 2 = 1 then event_id % 7 end as venue
+from events"""
+SQL["e4_variant_series"] = "select * exclude (ingest_timestamp) from (" + SQL["e4_unpivot_series"] + ") e"

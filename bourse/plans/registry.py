@@ -833,3 +833,49 @@ def k6b(spark, d):
     run_each(t, lambda b: enrich_latest(b, silver_quote(spark, d), "symbol", "symbol", ["event_timestamp", "seq"],
                                         ["previous_close_price"]), f"{path}/out", f"{path}/ck")
     return spark.read.parquet(f"{path}/out").drop("batch_id", "event_id")
+
+
+# ------------------------------------------------- one evaluation per rule
+@query("c1_judged_candles")
+def c1_judged(spark, d):
+    """Flag and reason read from the bits of one evaluation per rule: equals c1."""
+    judged = quality.judge(A.candles(spark, d), CANDLE_RULES)
+    return quality.apply_verdicts(judged, CANDLE_RULES).select("symbol", "date", "open", "close", "is_quarantined", "quarantine_reason")
+
+
+@query("c6_counts_judged_quotes")
+def c6_judged(spark, d):
+    """Counts read from the bits of one evaluation per rule."""
+    return quality.verdict_counts(quality.judge(A.quotes(spark, d), QUOTE_RULES), QUOTE_RULES)
+
+
+# ---------------------------------------------------------------- VARIANT sources
+@query("a1_inferred")
+def a1_inferred(spark, d):
+    """Events landed as JSON without a schema, in two loads: the second writes some values as text and has a new
+    field.  Bronze keeps both whole, the kept schema widens, and the table is read through it."""
+    from bourse.session import scratch_path
+    from bourse.sources import variants
+    from bourse.streaming.runners import run_append
+    path = scratch_path(spark, "a1_inferred")
+    ev = A.read(spark, d, "events").select("event_id", "user_id", "event_type", "value")
+    odd = ev.where("event_id % 2 = 1")
+    text = odd.where("event_id % 5 = 0").withColumn("value", F.concat(F.lit("about "), F.col("value").cast("string")))
+    loads = [[ev.where("event_id % 2 = 0")], [x.withColumn("venue", F.col("event_id") % 7) for x in (odd.where("event_id % 5 <> 0"), text)]]
+    for load in loads:
+        for part in load:
+            part.write.mode("append").json(f"{path}/landing")
+        run_append(variants.read_variant_stream(spark, f"{path}/landing"), f"{path}/bronze", f"{path}/ck")
+        bronze = spark.read.parquet(f"{path}/bronze")
+        schema = variants.evolve(spark, variants.schema_of_records(bronze), f"{path}/schema")
+    t = variants.typed(bronze, schema)
+    number = F.try_variant_get(F.col("value"), "$", "double") if schema["value"].dataType == T.VariantType() else F.col("value")
+    return t.select("event_id", "user_id", "event_type", number.alias("value"), (number.isNull() & F.col("value").isNotNull()).alias("is_text"), "venue")
+
+
+@query("e4_variant_series")
+def e4_variant(spark, d):
+    """Every metric series of the records, found in each record itself: equals e4 without a list of metrics."""
+    from bourse.sources.variants import unpivot_variant
+    m = A.metric_bronze(spark, d).select("symbol", F.parse_json(F.to_json("series.annual")).alias("annual"))
+    return unpivot_variant(m, ["symbol"], "annual", {"period": "string", "v": "double"})

@@ -111,3 +111,35 @@ def test_scale_conf_bounds():
     big = scale_conf(100 * 10**12)
     assert int(big["spark.sql.shuffle.partitions"]) * int(big["spark.sql.files.maxPartitionBytes"]) >= 100 * 10**12
     assert scale_conf(10**9)["spark.sql.shuffle.partitions"] == "200"
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.floats(-5, 200, allow_nan=False)),
+                          st.one_of(st.none(), st.just("x"))), max_size=25))
+def test_verdict_bits_give_flag_reason_and_counts(spark, rows):
+    df = _rows(spark, [(i, a, b) for i, (a, b) in enumerate(rows)])
+    judged = quality.judge(df, RULES)
+    for policy in ("sql", "fail"):
+        def key(t):
+            return sorted(map(tuple, t.collect()))
+        assert key(quality.apply_verdicts(judged, RULES, null_policy=policy)) == key(quality.apply_rules(df, RULES, null_policy=policy))
+    assert quality.verdict_counts(judged, RULES).collect() == quality.expectation_counts(df, RULES).collect()
+
+
+def test_verdict_bits_of_more_rules_than_one_word(spark):
+    many = quality.RuleSet("t", tuple((f"r{i}", f"a > {i}") for i in range(70)), (("w", "b IS NOT NULL"),))
+    df = _rows(spark, [(1, 100.0, "x"), (2, 64.5, None), (3, None, "x"), (4, 30.0, "x")])
+    judged = quality.judge(df, many)
+    for policy in ("sql", "fail"):
+        assert quality.apply_verdicts(judged, many, null_policy=policy).collect() == quality.apply_rules(df, many, null_policy=policy).collect()
+    assert quality.verdict_counts(judged, many).collect() == quality.expectation_counts(df, many).collect()
+    none = quality.RuleSet("t", ())
+    assert quality.apply_verdicts(quality.judge(df, none), none).collect() == quality.apply_rules(df, none).collect()
+
+
+def test_each_rule_stands_once_in_the_plan(spark):
+    rules = quality.RuleSet("t", (("even", "a % 4321 = 0"), ("b_set", "length(b) < 8765")), (("small", "a + 9876 < 1"),))
+    df = spark.range(10).selectExpr("cast(id as double) a", "cast(id as string) b")
+    out = quality.apply_verdicts(quality.judge(df, rules), rules)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert [plan.count(x) for x in ("4321", "8765")] == [1, 1]
