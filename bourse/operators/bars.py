@@ -76,3 +76,38 @@ def bars(df: DataFrame, width: str = "1 minute", **kw) -> DataFrame:
     drift_limit = kw.pop("drift_limit", 3.0)
     key = kw.get("key", "symbol")
     return bar_metrics(window_aggregate(df, width=width, **kw), key=key, drift_limit=drift_limit)
+
+
+# --- bars in parts that merge ----------------------------------------------------
+
+def bar_partials(df: DataFrame, key: str = "symbol", ts: str = "timestamp", price: str = "price", volume: str = "volume",
+                 conditions: str | None = "conditions", ref_close: str = "previous_close_price", width: str = "1 minute",
+                 tie_break: str | None = None, excluded: Iterable[str] = EXCLUDED_CONDITIONS) -> DataFrame:
+    """One row per key and window that holds all ``window_aggregate`` needs of these rows: partials of any division of
+    the rows, put together by ``merge_partials`` in any order, finish as the bars of all rows.  Without a tie-break the
+    content of a row decides between trades of equal time."""
+    order = F.struct(F.col(ts), F.col(tie_break) if tie_break else F.xxhash64(price, ref_close))
+    valid = excludes_any(conditions, excluded) if conditions else F.lit(True)
+    ref_at = F.when(F.col(ref_close).isNotNull(), order)
+    return df.groupBy(F.col(key), F.window(F.col(ts), width).alias("window")).agg(
+        F.min(order).alias("open_at"), F.min_by(price, order).alias("open_price"),
+        F.max(order).alias("close_at"), F.max_by(price, order).alias("close_price"),
+        F.min(ref_at).alias("ref_at"), F.min_by(ref_close, ref_at).alias("ref_close"),
+        F.sum(volume).alias("volume"), min_when(valid, price).alias("low_price"), max_when(valid, price).alias("high_price"),
+        F.count(key).alias("snapshot_count"), F.count("*").alias("n_rows"))
+
+
+def merge_partials(partials: DataFrame, key: str = "symbol") -> DataFrame:
+    """Partials of one key and window become one; associative and commutative."""
+    return partials.groupBy(F.col(key), F.col("window")).agg(
+        F.min("open_at").alias("open_at"), F.min_by("open_price", "open_at").alias("open_price"),
+        F.max("close_at").alias("close_at"), F.max_by("close_price", "close_at").alias("close_price"),
+        F.min("ref_at").alias("ref_at"), F.min_by("ref_close", "ref_at").alias("ref_close"),
+        F.sum("volume").alias("volume"), F.min("low_price").alias("low_price"), F.max("high_price").alias("high_price"),
+        F.sum("snapshot_count").alias("snapshot_count"), F.sum("n_rows").alias("n_rows"))
+
+
+def finish_partials(partials: DataFrame, key: str = "symbol") -> DataFrame:
+    """The columns of ``window_aggregate``."""
+    return partials.select(F.col(key), "window", "open_price", "close_price", "volume", "low_price", "high_price",
+                           F.col("ref_close").alias("previous_close_price"), "snapshot_count")

@@ -22,7 +22,8 @@ from bourse.operators.cdc import unplaced
 from bourse.sources.files import read_files_stream, stored_schema, stream_table
 from bourse.streaming import runners
 from bourse.streaming.cdc import read_change_log
-from bourse.streaming.keyed import HistoryTable, LatestTable
+from bourse.streaming.keyed import HistoryTable, LatestTable, merge_stream
+from bourse.streaming.late import BarTable
 
 
 @dataclass(frozen=True)
@@ -250,11 +251,12 @@ def metric_flow(spark: SparkSession, landing: str, lay: Layout,
 
 def trades_flow(spark: SparkSession, kafka_rows: DataFrame, lay: Layout,
                 silver_quote, width: str = "1 minute",
-                watermark: str = "30 seconds") -> dict[str, DataFrame]:
+                watermark: str = "30 seconds", keep_late: bool = False) -> dict[str, DataFrame]:
     """Kafka rows (a ``kafka_source`` stream, or any stream with the Kafka row
     schema) -> decoded bronze -> silver trades (previous close) -> watermarked
     bars (append).  ``silver_quote`` is a DataFrame or a function that gives one,
-    which is then called for each micro-batch, so quotes that arrived since count."""
+    which is then called for each micro-batch, so quotes that arrived since count.
+    ``keep_late``: bars are kept in parts, rows behind the watermark go to a table of their own and into corrected bars."""
     from bourse.sources.kafka import decode_kafka
     runners.run_append(decode_kafka(kafka_rows), lay.table("bronze", "quote_eh"),
                        lay.ckpt("bronze_quote_eh"))
@@ -266,6 +268,11 @@ def trades_flow(spark: SparkSession, kafka_rows: DataFrame, lay: Layout,
     else:
         runners.run_append(S.silver_trades(src, silver_quote), s, lay.ckpt("silver_quote_eh"))
     sstream = spark.readStream.schema(spark.read.parquet(s).schema).parquet(s)
+    if keep_late:
+        table = BarTable(spark, lay.table("gold", "realtime_parts"), sstream.schema, width, watermark)
+        merge_stream(sstream, table, lay.ckpt("gold_realtime_parts"))
+        return {"silver_quote_eh": spark.read.parquet(s), "gold_fact_realtime_agg": table.bars(),
+                "gold_realtime_corrected": table.bars(open_too=True, corrected=True), "late_trades": table.late()}
     runners.run_append(G.realtime_agg(sstream, width, watermark=watermark),
                        lay.table("gold", "fact_realtime_agg"), lay.ckpt("gold_realtime_agg"))
     return {"silver_quote_eh": spark.read.parquet(s),

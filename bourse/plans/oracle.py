@@ -753,3 +753,12 @@ select event_id, user_id, event_type, case when event_id % 2 = 0 or event_id % 5
        event_id % 2 = 1 and event_id % 5 = 0 as is_text, case when event_id % 2 = 1 then event_id % 7 end as venue
 from events"""
 SQL["e4_variant_series"] = "select * exclude (ingest_timestamp) from (" + SQL["e4_unpivot_series"] + ") e"
+SQL["k4_late_rows_corrected"] = SQL["k2_stream_bars"].replace("[event_type] as conditions", "['1'] as conditions").split("from b where window_start")[0] + "from b"
+SQL["k4_late_rows_kept"] = """
+with tops as (select event_id % 3 as part, max(ts) as top from events group by 1)
+select event_id, user_id as symbol, value as price, ts as timestamp from events e
+where time_bucket(interval '1 minute', ts) + interval '1 minute'
+      <= (select max(top) from tops where part < e.event_id % 3) - interval '30 seconds'"""
+SQL["k5_first_arrivals"] = """
+select user_id, event_type, event_id, value from events
+qualify row_number() over (partition by user_id, event_type order by event_id % 3, event_id) = 1"""

@@ -879,3 +879,40 @@ def e4_variant(spark, d):
     from bourse.sources.variants import unpivot_variant
     m = A.metric_bronze(spark, d).select("symbol", F.parse_json(F.to_json("series.annual")).alias("annual"))
     return unpivot_variant(m, ["symbol"], "annual", {"period": "string", "v": "double"})
+
+
+# ------------------------------------------------- late rows and first arrivals
+def _late_bars(spark, d, name):
+    """Trades in three batches, each over the whole time range, so most of the second and third come late."""
+    from bourse.session import scratch_path
+    from bourse.streaming.late import BarTable
+    t = A.trades(spark, d).withColumns({"timestamp": F.col("timestamp").cast("timestamp"), "conditions": F.array(F.lit("1")),
+                                        "previous_close_price": F.lit(None).cast("double")})
+    table = BarTable(spark, scratch_path(spark, name), t.schema, tie_break="event_id")
+    for i in range(3):
+        table.merge(t.where(F.pmod("event_id", F.lit(3)) == i), i)
+    return table
+
+
+@query("k4_late_rows_corrected")
+def k4_corrected(spark, d):
+    """Bars of all windows, late rows put in: equals the bars of one batch."""
+    return _ntz(_late_bars(spark, d, "k4_corrected").bars(open_too=True, corrected=True), "window_start", "window_end")
+
+
+@query("k4_late_rows_kept")
+def k4_late(spark, d):
+    """The side table: rows whose window was closed when they came."""
+    return _ntz(_late_bars(spark, d, "k4_late").late().select("event_id", "symbol", "price", "timestamp"), "timestamp")
+
+
+@query("k5_first_arrivals")
+def k5_first(spark, d):
+    """First row per (user, event type) over three batches, seen keys kept in a table and not in a stream's state."""
+    from bourse.session import scratch_path
+    from bourse.streaming.arrivals import FirstArrivals
+    ev = A.read(spark, d, "events").select("user_id", "event_type", "event_id", "value")
+    store = FirstArrivals(spark, scratch_path(spark, "k5_first"), ["user_id", "event_type"], ["event_id"], buckets=16)
+    for i in range(3):
+        store.merge(ev.where(F.pmod("event_id", F.lit(3)) == i), i)
+    return store.read(ev.schema)

@@ -202,9 +202,9 @@ class HistoryTable:
         return sum(t.vacuum(keep) for t in (self.rows, self.runs, self.versions))
 
 
-def merge_stream(stream: DataFrame, table: LatestTable | HistoryTable, checkpoint: str, trigger: str | None = "availableNow",
+def merge_stream(stream: DataFrame, table, checkpoint: str, trigger: str | None = "availableNow",
                  wait: bool = True) -> StreamingQuery:
-    """Every micro-batch of changes is merged into the table; a replayed one leaves it as it was."""
+    """Every micro-batch is merged into the table (any with ``merge(batch, batch_id)``); a replayed one leaves it as it was."""
     def write(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
             table.merge(batch, batch_id)

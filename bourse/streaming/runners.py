@@ -51,11 +51,26 @@ def run_append(df: DataFrame, path: str, checkpoint: str, trigger: str | None =
 
 def run_refresh(df: DataFrame, path: str, fmt: str = "parquet",
                 partition_by: tuple[str, ...] = ()) -> None:
-    """Fully recomputed batch table."""
+    """Fully recomputed batch table.
+
+    Written beside the old one, which gives way only to a whole new table: a refresh that fails leaves what was there,
+    and one that was broken off between its two renames is put right by the next.  A table may be refreshed from itself."""
+    path = path.rstrip("/")
+    spark = df.sparkSession
+    target, beside, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}__next", f"{path}__old"))
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(old) and not fs.exists(target):
+        fs.rename(old, target)
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
+    w.save(f"{path}__next")
+    fs.delete(old, True)
+    if fs.exists(target) and not fs.rename(target, old):
+        raise OSError(f"cannot put {path} aside")
+    if not fs.rename(beside, target):
+        raise OSError(f"cannot rename {path}__next to {path}")
+    fs.delete(old, True)
 
 
 def run_sql_view(spark: SparkSession, sql: str, path: str | None = None) -> DataFrame:
