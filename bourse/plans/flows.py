@@ -22,7 +22,7 @@ from bourse.operators.cdc import unplaced
 from bourse.sources.files import read_files_stream, stored_schema, stream_table
 from bourse.streaming import runners
 from bourse.streaming.cdc import read_change_log
-from bourse.streaming.keyed import HistoryTable, LatestTable, merge_stream
+from bourse.streaming.keyed import DerivedTable, HistoryTable, LatestTable, merge_stream
 from bourse.streaming.late import BarTable
 
 
@@ -201,24 +201,28 @@ FINANCIALS_SCHEMA = T.StructType([
 def financials_flow(spark: SparkSession, landing: str, lay: Layout) -> dict[str, DataFrame]:
     """Reported-financials JSON (explicit nested schema) -> one-pass flatten ->
     valid change log + quarantine -> silver (SCD1 per filing and concept) ->
-    ratios, annual and quarterly growth (refreshed)."""
+    ratios, annual and quarterly growth (all kept in place, refreshed where filings came)."""
     src = _bronze(spark, landing, lay, "financials", "json", schema=FINANCIALS_SCHEMA, rescue=True)
     rules = quality.load_rules("financials_reported")
     base = lay.table("silver", "financial_branches")
-    runners.run_branches(quality.judge(S.financial_items(src), rules),
-                         _judged(rules, "is_quarantined", "quarantine_reason", "fail", "valid_log", "quarantine_financials"),
-                         base, lay.ckpt("silver_financials"))
-    silver = _published(spark, lay, "financials", S.silver_financials(read_change_log(spark, f"{base}/valid_log")))
-    runners.run_refresh(G.financial_ratio(silver), lay.table("gold", "financial_ratio"))
-    ratio = spark.read.parquet(lay.table("gold", "financial_ratio"))
-    runners.run_refresh(G.financial_annual_yoy(ratio), lay.table("gold", "financial_annual_yoy"))
-    runners.run_refresh(G.financial_quarterly_qoq(ratio), lay.table("gold", "financial_quarterly_qoq"))
-    return {"silver_financials": silver, "gold_financial_ratio": ratio,
-            "quarantine_financials": runners.read_branch(spark, base, "quarantine_financials")
-            .drop("batch_id"),
-            "gold_financial_annual_yoy": spark.read.parquet(lay.table("gold", "financial_annual_yoy")),
-            "gold_financial_quarterly_qoq":
-                spark.read.parquet(lay.table("gold", "financial_quarterly_qoq"))}
+    branches = _judged(rules, "is_quarantined", "quarantine_reason", "fail", "valid_log", "quarantine_financials")
+    # in buckets of symbols: ratios and growth of a symbol follow from its bucket, so a filing refreshes one bucket of each
+    table = LatestTable(spark, lay.table("silver", "financials"), S.FIN_KEYS, "ingest_timestamp", S.FIN_TIES, by=["symbol"])
+    gold = {name: DerivedTable(table, lay.table("gold", name), fn) for name, fn in (
+        ("financial_ratio", G.financial_ratio),
+        ("financial_annual_yoy", lambda r: G.financial_annual_yoy(G.financial_ratio(r))),
+        ("financial_quarterly_qoq", lambda r: G.financial_quarterly_qoq(G.financial_ratio(r))))}
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        valid = branches["valid_log"](batch)
+        table.merge(valid, batch_id)
+        for t in gold.values():
+            t.refresh(valid.schema, batch_id)
+    runners.run_branches(quality.judge(S.financial_items(src), rules), branches, base, lay.ckpt("silver_financials"), merges=[merge])
+    kind = read_change_log(spark, f"{base}/valid_log").schema
+    return {"silver_financials": table.read(kind),
+            "quarantine_financials": runners.read_branch(spark, base, "quarantine_financials").drop("batch_id"),
+            **{f"gold_{name}": t.read(kind) for name, t in gold.items()}}
 
 
 def metric_flow(spark: SparkSession, landing: str, lay: Layout,

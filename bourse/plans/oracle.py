@@ -762,3 +762,4 @@ where time_bucket(interval '1 minute', ts) + interval '1 minute'
 SQL["k5_first_arrivals"] = """
 select user_id, event_type, event_id, value from events
 qualify row_number() over (partition by user_id, event_type order by event_id % 3, event_id) = 1"""
+SQL["g4_incremental_refresh"] = SQL["g4_financial_ratio_filings"]

@@ -916,3 +916,18 @@ def k5_first(spark, d):
     for i in range(3):
         store.merge(ev.where(F.pmod("event_id", F.lit(3)) == i), i)
     return store.read(ev.schema)
+
+
+@query("g4_incremental_refresh")
+def g4_incremental(spark, d):
+    """Ratios kept in place: filings come in two batches, each refreshes the buckets it touches; equals the full refresh."""
+    from bourse.session import scratch_path
+    from bourse.streaming.keyed import DerivedTable, LatestTable
+    valid = SV.financial_tables(A.filings(spark, d)).valid
+    path = scratch_path(spark, "g4_incremental")
+    silver = LatestTable(spark, f"{path}/silver", SV.FIN_KEYS, "ingest_timestamp", SV.FIN_TIES, buckets=16, by=["symbol"])
+    ratio = DerivedTable(silver, f"{path}/ratio", G.financial_ratio)
+    for i in range(2):
+        silver.merge(valid.where(F.pmod(F.xxhash64("accessNumber"), F.lit(2)) == i), i)
+        ratio.refresh(valid.schema, i)
+    return ratio.read(valid.schema)

@@ -83,6 +83,7 @@ def silver_candles(valid_log: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- S4, X3
 # FIXED VALUES: key columns of the published financials table.
+FIN_TIES = ("statement_priority", "value")
 FIN_KEYS = ("symbol", "cik", "accessNumber", "year", "quarter", "concept")
 
 
@@ -103,15 +104,9 @@ def financial_tables(bronze: DataFrame, null_policy: str = "fail") -> quality.Sp
 def silver_financials(valid_log: DataFrame, keys: Sequence[str] = FIN_KEYS) -> DataFrame:
     """One row per (filing, concept): latest load, then statement priority,
     then value.  Replaces a stateful first-arrival dedup, so a restated value
-    does reach the table.
-
-    The rows are hash-partitioned on the filing identity (the keys without
-    ``concept``): that one exchange satisfies the per-key window here and the
-    per-filing pivot of the ratio table downstream.  A filing holds a bounded
-    number of concepts, so the coarser key cannot pile up."""
-    filing = [k for k in keys if k != "concept"]
-    return cdc.scd1(valid_log.repartition(*filing), list(keys), "ingest_timestamp",
-                    ["statement_priority", "value"])
+    does reach the table.  No exchange stands before the per-key limit, so a filing
+    that is loaded again and again is cut to one row a concept in each map task."""
+    return cdc.scd1(valid_log, list(keys), "ingest_timestamp", list(FIN_TIES))
 
 
 # ---------------------------------------------------------------- S5, S6

@@ -7,7 +7,8 @@ that is recorded.  So a batch that fails or runs twice changes nothing: it reads
 was recorded before it and overwrites its own folder only.  The driver handles names
 of cells, never rows.
 
-``LatestTable`` (SCD1) holds one row per key in buckets of the key's hash.
+``LatestTable`` (SCD1) holds one row per key in buckets of the key's hash; a
+``DerivedTable`` follows it bucket by bucket.
 
 ``HistoryTable`` (SCD2) holds, in cells of key bucket and sequence segment:
   rows      every placed change, equal (key, seq) reduced to one;
@@ -67,13 +68,13 @@ class CellTable:
     def read(self, schema: T.StructType, cells: DataFrame | None = None, before: int | None = None) -> tuple[DataFrame, int]:
         """(rows of the newest state of all or some cells, their number by the records); without cell columns."""
         found = self.newest(cells, before).collect()        # names of cells
-        paths = [f"{self.path}/data/batch_id={r['batch_id']}/" + "/".join(f"{c}={r[c]}" for c in self.cell) for r in found]
+        paths = [f"{self.path}/data/batch_id={r['batch_id']}/" + "/".join(f"{c}={r[c]}" for c in self.cell) for r in found if r["n_rows"]]
         if not paths:
             return self.spark.createDataFrame([], schema), 0
         return self.spark.read.schema(schema).parquet(*paths), sum(r["n_rows"] for r in found)
 
-    def write(self, rows: DataFrame, batch_id: int) -> DataFrame:
-        """The cells of ``rows`` (with their cell columns) become these rows; returns the cells."""
+    def write(self, rows: DataFrame, batch_id: int, cells: DataFrame | None = None) -> DataFrame:
+        """The cells of ``rows`` (with their cell columns) become these rows, other ``cells`` become empty; returns the cells."""
         own = f"{self.path}/data/batch_id={batch_id}"
         rows.repartition(*self.cell).write.mode("overwrite").partitionBy(*self.cell).parquet(own)
         fs, p = _files(self.spark, own)
@@ -82,6 +83,9 @@ class CellTable:
             counted = self.spark.read.schema(kind).parquet(own).groupBy(*self.cell).agg(F.count("*").alias("n_rows"))
         else:
             counted = self.spark.createDataFrame([], kind).withColumn("n_rows", F.lit(0).cast("long"))
+        if cells is not None:
+            names = cells.select(*(F.col(c).cast("string").alias(c) for c in self.cell)).distinct()
+            counted = counted.unionByName(names.join(counted, self.cell, "left_anti").withColumn("n_rows", F.lit(0).cast("long")))
         target = f"{self.path}/commits/batch_id={batch_id}"
         counted.coalesce(1).write.mode("overwrite").parquet(target)
         return self.spark.read.schema(T.StructType([*kind, T.StructField("n_rows", T.LongType())])).parquet(target)
@@ -105,24 +109,50 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
 
 
 class LatestTable:
-    """SCD1 in place: the newest row per key, as ``cdc.scd1`` of all changes gives it."""
+    """SCD1 in place: the newest row per key, as ``cdc.scd1`` of all changes gives it.
+
+    ``by`` names the keys that choose a row's bucket (else all), for tables derived by bucket."""
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], seq: str, tie_break: Sequence[str] = (), buckets: int = 64):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], seq: str, tie_break: Sequence[str] = (), buckets: int = 64,
+                 by: Sequence[str] = ()):
         self.table, self.keys, self.seq, self.tie_break, self.buckets = CellTable(spark, path, [BUCKET]), list(keys), seq, list(tie_break), buckets
+        self.by = list(by) or self.keys
 
     def merge(self, changes: DataFrame, batch_id: int) -> int:
         """Takes a batch of changes in; returns the number of stored rows it read."""
         newest = cdc.scd1(changes, self.keys, self.seq, self.tie_break)        # what a batch holds of a key goes on as one row
-        new = newest.withColumn(BUCKET, bucket_of(self.keys, self.buckets))
+        new = newest.withColumn(BUCKET, bucket_of(self.by, self.buckets))
         old, read = self.table.read(changes.schema, new.select(BUCKET), before=batch_id)
         whole = cdc.scd1(old.unionByName(newest), self.keys, self.seq, self.tie_break)
-        self.table.write(whole.withColumn(BUCKET, bucket_of(self.keys, self.buckets)), batch_id)
+        self.table.write(whole.withColumn(BUCKET, bucket_of(self.by, self.buckets)), batch_id)
         return read
 
     def read(self, schema: T.StructType) -> DataFrame:
         return self.table.read(schema)[0]
 
 
+class DerivedTable:
+    """A table computed from a ``LatestTable``, refreshed where that changed.
+
+    ``fn`` maps rows to rows and treats each value of the source's ``by`` columns, which its result keeps, by itself
+    (any grouping, join or window whose keys hold them); so a bucket's result follows from that bucket alone and equals
+    ``fn`` of the whole source.  A bucket that ends without rows is recorded as empty."""
+
+    def __init__(self, source: LatestTable, path: str, fn: Callable[[DataFrame], DataFrame]):
+        self.source, self.fn, self.table = source, fn, CellTable(source.table.spark, path, [BUCKET])
+
+    def refresh(self, schema: T.StructType, batch_id: int) -> int:
+        """Computes the buckets anew that this batch of the source wrote; returns the number of source rows read."""
+        cells = self.source.table.commits(batch_id + 1).where(F.col("batch_id") == batch_id).select(BUCKET)
+        rows, read = self.source.table.read(schema, cells, before=batch_id + 1)
+        self.table.write(self.fn(rows).withColumn(BUCKET, bucket_of(self.source.by, self.source.buckets)), batch_id, cells)
+        return read
+
+    def read(self, schema: T.StructType) -> DataFrame:
+        """The derived rows; ``schema`` is that of the source."""
+        return self.table.read(self.fn(self.table.spark.createDataFrame([], schema)).schema)[0]
+
+
 def ends_of_runs(rows: DataFrame, part: Sequence[str], seq: str, tracked: Sequence[str]) -> DataFrame:
     """The first and the last row of each run of equal tracked values, in order of ``seq`` within ``part``."""
     w = Window.partitionBy(*part).orderBy(seq)
