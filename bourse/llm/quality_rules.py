@@ -5,32 +5,47 @@ and one failure bit per rule; a policy is a versioned bit mask over the rules,
 so changing policy, or asking what one rule costs, never reads a text again:
 
 * ``ledger``     documents -> measurements + ``fail_bits``
+* ``store`` / ``open_ledger``  the ledger as a table, with a table of its rules beside it: bit,
+  name, version, predicate.  A ledger stored under other rules is brought up to
+  date from its measurements: only bits of new or changed rules are computed
 * ``apply_policy`` ledger -> ``base_failed``, ``kept`` by a mask comparison
 * ``ablations``  ledger -> per rule: documents failing it, failing it alone, and
   kept if it were dropped, all from one histogram of distinct bit patterns
 
+A rule's bit is part of its definition and never given to another rule, so order
+and additions do not touch what is stored; a changed predicate gets a new version.
+
 Defined cases: a NULL text has no words and fails ``few_words``; repeated rows
-are judged one by one; an empty table gives an empty ledger; other columns of
-the input are ignored, whatever their names.
+are judged one by one; an empty table gives an empty ledger; a very long text is
+measured whole, in memory of a few times its size; other columns of the input are
+ignored, whatever their names; bits of rules that are no longer known are cleared.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bourse.llm.common import id_text, rows_of, small_arrow_batches
+from bourse.llm.common import id_text, rows_of, small_arrow_batches, table
+from bourse.session import scratch_path
+
+class Rule(NamedTuple):
+    bit: int
+    version: int
+    predicate: str      # SQL over the measurements that is TRUE when a document fails
+
 
-#: rule -> SQL predicate over the measurements that is TRUE when a document fails; the order fixes the bits.
 RULES = {
-    "few_words": "n_words < 50",
-    "repeated_words": "100 * n_repeat_words > 50 * n_words",
-    "symbols": "10 * n_symbols > 3 * n_words",
-    "duplicate_lines": "100 * n_dup_lines > 50 * n_lines",
-    "short_words": "word_chars < 2 * n_words",
-    "long_words": "word_chars > 15 * n_words",
+    "few_words": Rule(0, 1, "n_words < 50"),
+    "repeated_words": Rule(1, 1, "100 * n_repeat_words > 50 * n_words"),
+    "symbols": Rule(2, 1, "10 * n_symbols > 3 * n_words"),
+    "duplicate_lines": Rule(3, 1, "100 * n_dup_lines > 50 * n_lines"),
+    "short_words": Rule(4, 1, "word_chars < 2 * n_words"),
+    "long_words": Rule(5, 1, "word_chars > 15 * n_words"),
 }
 #: version -> rules whose failure rejects a document
 POLICIES = {
@@ -74,19 +89,43 @@ def _measure(batches):
                                           "n_dup_lines", "n_repeat_words"])
 
 
-def mask_of(rules) -> int:
-    names = list(RULES)
-    return sum(1 << names.index(r) for r in rules)
+def mask_of(rules, known=RULES) -> int:
+    return sum(1 << known[r].bit for r in rules)
 
 
-def ledger(docs: DataFrame) -> DataFrame:
-    """doc_id, measurements and ``fail_bits`` (bit i set: rule i failed)."""
-    small_arrow_batches(docs.sparkSession)
-    m = id_text(docs).mapInArrow(_measure, f"doc_id long, {MEASURES}")
+def _bits(rules: dict[str, Rule]) -> Column:
     bits = F.lit(0).cast("long")
-    for i, predicate in enumerate(RULES.values()):
-        bits = bits.bitwiseOR(F.when(F.expr(predicate), F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")))
-    return m.withColumn("fail_bits", bits)
+    for r in rules.values():
+        bits = bits.bitwiseOR(F.when(F.expr(r.predicate), F.lit(1 << r.bit).cast("long")).otherwise(F.lit(0).cast("long")))
+    return bits
+
+
+def ledger(docs: DataFrame, rules: dict[str, Rule] = RULES) -> DataFrame:
+    """doc_id, measurements and ``fail_bits`` (a rule's bit is set: it failed)."""
+    small_arrow_batches(docs.sparkSession)
+    return id_text(docs).mapInArrow(_measure, f"doc_id long, {MEASURES}").withColumn("fail_bits", _bits(rules))
+
+
+def store(led: DataFrame, path: str, rules: dict[str, Rule] = RULES) -> None:
+    """Writes the ledger and, beside it, what its bits mean."""
+    if len({r.bit for r in rules.values()}) < len(rules) or any(not 0 <= r.bit < 63 for r in rules.values()):
+        raise ValueError("every rule needs a bit of its own, from 0 to 62")
+    led.write.mode("overwrite").parquet(f"{path}/ledger")
+    led.sparkSession.createDataFrame([(n, *r) for n, r in rules.items()], "rule string, bit int, version int, predicate string") \
+        .coalesce(1).write.mode("overwrite").parquet(f"{path}/rules")
+
+
+def open_ledger(spark, path: str, rules: dict[str, Rule] = RULES) -> DataFrame:
+    """A stored ledger with the bits of ``rules``; those stored under the same name, version and bit are taken as they are."""
+    led = spark.read.parquet(f"{path}/ledger")
+    stored = {r["rule"]: Rule(r["bit"], r["version"], r["predicate"]) for r in spark.read.parquet(f"{path}/rules").collect()}
+    same = [n for n, r in rules.items() if n in stored and stored[n][:2] == r[:2]]
+    for n in same:
+        if stored[n].predicate != rules[n].predicate:
+            raise ValueError(f"rule {n} was stored as {stored[n].predicate!r} under the same version")
+    new = {n: r for n, r in rules.items() if n not in same}
+    bits = F.col("fail_bits").bitwiseAND(F.lit(mask_of(same, rules)).cast("long"))
+    return led.withColumn("fail_bits", bits.bitwiseOR(_bits(new)) if new else bits)
 
 
 def apply_policy(led: DataFrame, version: str = "v1") -> DataFrame:
@@ -104,8 +143,7 @@ def ablations(led: DataFrame, version: str = "v1") -> DataFrame:
     """
     mask = mask_of(POLICIES[version])
     hist = led.groupBy(F.col("fail_bits").bitwiseAND(F.lit(mask).cast("long")).alias("bits")).agg(F.count("*").alias("n"))
-    names = list(RULES)
-    each = F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), F.lit(1 << names.index(r)).cast("long").alias("bit"))
+    each = F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), F.lit(1 << RULES[r].bit).cast("long").alias("bit"))
                                for r in POLICIES[version])))
     x = hist.select("bits", "n", each.alias("r")).select("bits", "n", "r.*")
     rest = F.col("bits").bitwiseAND(F.bitwise_not("bit"))
@@ -116,9 +154,11 @@ def ablations(led: DataFrame, version: str = "v1") -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    from bourse.llm.common import table
-    return apply_policy(ledger(table(spark, sf_dir, "documents"))).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    """The ledger is stored once; the policy is applied to what is read back."""
+    path = scratch_path(spark, "quality-ledger")
+    store(ledger(table(spark, sf_dir, "documents")), path)
+    return apply_policy(open_ledger(spark, path)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
 
 
 _W = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -138,5 +178,9 @@ m as (select l.*, len(ls) as n_lines, len(ls) - len(list_distinct(ls)) as n_dup_
 j as (select *, (n_words < 50 or 100 * n_repeat_words > 50 * n_words) as base_failed from m)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        not base_failed and not (10 * n_symbols > 3 * n_words or 100 * n_dup_lines > 50 * n_lines
-                                or word_chars < 2 * n_words or word_chars > 15 * n_words) as kept
+                                or word_chars < 2 * n_words or word_chars > 15 * n_words) as kept,
+       cast(case when n_words < 50 then 1 else 0 end + case when 100 * n_repeat_words > 50 * n_words then 2 else 0 end
+            + case when 10 * n_symbols > 3 * n_words then 4 else 0 end + case when 100 * n_dup_lines > 50 * n_lines then 8 else 0 end
+            + case when word_chars < 2 * n_words then 16 else 0 end + case when word_chars > 15 * n_words then 32 else 0 end
+            as bigint) as fail_bits
 from j"""

@@ -1,6 +1,8 @@
 import re
 from collections import Counter
 
+import pytest
+
 from bourse.llm import quality_rules as Q
 
 
@@ -45,9 +47,33 @@ def test_sql_on_the_same_rows(make_docs, corpus):
     con = duckdb.connect()
     con.register("documents", docs.select("doc_id", "text").toArrow())
     want = Counter(tuple(r) for r in con.execute(Q.SQL).fetchall())
-    got = Q.apply_policy(Q.ledger(docs)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    got = Q.apply_policy(Q.ledger(docs)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
     assert Counter(tuple(r) for r in got.collect()) == want
 
 
 def test_empty_table(make_docs):
     assert Q.apply_policy(Q.ledger(make_docs([]))).count() == 0
+
+
+def test_a_stored_ledger_survives_new_changed_and_dropped_rules(spark, make_docs, corpus, tmp_path):
+    path = str(tmp_path / "l")
+    old = {"gone": Q.Rule(9, 1, "n_words > 3"), "symbols": Q.Rule(2, 1, "n_symbols > 0"), "few_words": Q.RULES["few_words"]}
+    Q.store(Q.ledger(make_docs(corpus), old), path, old)
+    # the stored bits are taken: the texts are not there any more, and one row's bit is set by hand
+    led = spark.read.parquet(f"{path}/ledger").collect()
+    now = {"few_words": Q.RULES["few_words"], "symbols": Q.Rule(2, 2, "n_symbols > 1"), "long": Q.Rule(9, 1, "n_words > 100")}
+    got = {tuple(r[:7]): r["fail_bits"] for r in Q.open_ledger(spark, path, now).collect()}
+    for r in led:
+        want = (r["fail_bits"] & 1) | (4 if r["n_symbols"] > 1 else 0) | (512 if r["n_words"] > 100 else 0)
+        assert got[tuple(r[:7])] == want
+    with pytest.raises(ValueError, match="same version"):
+        Q.open_ledger(spark, path, {"symbols": Q.Rule(2, 1, "n_symbols > 5")})
+    with pytest.raises(ValueError, match="bit of its own"):
+        Q.store(Q.ledger(make_docs(corpus)), path, {"a": Q.Rule(1, 1, "true"), "b": Q.Rule(1, 1, "true")})
+
+
+def test_stored_ledger_gives_the_same_verdicts(spark, make_docs, corpus, tmp_path):
+    led = Q.ledger(make_docs(corpus))
+    Q.store(led, str(tmp_path / "l"))
+    read = Q.apply_policy(Q.open_ledger(spark, str(tmp_path / "l")))
+    assert Counter(map(tuple, read.collect())) == Counter(map(tuple, Q.apply_policy(led).collect()))
