@@ -67,3 +67,14 @@ def test_rates_count_all_labelled_urls(spark, monkeypatch):
         assert (round(math.expm1(r["section_n"])), r["section_rate"]) == (len(same), (blocked + 1) / (len(same) + 2))
         n, block = (90, 90) if r["suffix"] == "spam" else (60, 0)
         assert (round(math.expm1(r["suffix_n"])), r["suffix_rate"]) == (n, (block + 1) / (n + 2))
+
+
+def test_rates_leave_the_own_url_out_and_held_out_hosts_are_judged(spark):
+    rows = [(i, f"https://h{i % 40}.example.{'net' if i % 2 else 'org'}/{'fr' if i % 2 == 0 else 'en'}/p{i}.html") for i in range(400)]
+    pages = spark.createDataFrame([*rows, (900, "https://only.example.com/de/x")], "page_id long, url string")
+    got = {(r["rule_verdict"], r["tree_verdict"]): r["n"] for r in U.held_out(pages).collect()}
+    right = sum(n for (a, b), n in got.items() if a == b)
+    assert sum(got.values()) > 0 and right >= 0.9 * sum(got.values())
+    # the one url of its suffix and section has no count of its own
+    alone = U._scored(pages).where("page_id = 900").first()
+    assert tuple(alone[c] for c in ("suffix_n_others", "suffix_rate_others", "section_n_others", "section_rate_others")) == (0.0, 0.5, 0.0, 0.5)
