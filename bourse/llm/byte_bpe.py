@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bourse.llm.blobs import from_ipc, gather, pack, unpack
-from bourse.llm.common import input_bytes, table
+from bourse.llm.common import give_back, input_bytes, table
 from bourse.llm.dictionary import (ANSWER_DDL, ANSWER_SCHEMA, REQUEST_DDL, REQUEST_SCHEMA, Numbers, batches, by_bucket, cut,
                                    requests, rows)
 from bourse.session import scratch_path
@@ -345,6 +345,11 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, carry: list[str] | No
         ddl += f", carried {docs.select(*carry).schema.simpleString()}"
 
     def finish(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        out = finished(left, right)
+        give_back()
+        return out
+
+    def finished(left: pa.Table, right: pa.Table) -> pa.Table:
         r = {c: left.column(c)[0].as_py() for c in left.column_names}
         asked_for, long, counts, units = stored_pieces(r["words"])
         parts = [unpack(blob) for _, blob in sorted(zip(right.column("bucket").to_pylist(), right.column("data").to_pylist()))]

@@ -7,6 +7,8 @@ changes A-Z and nothing else; the Python stages therefore work on bytes.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -32,6 +34,16 @@ def small_arrow_batches(spark: SparkSession, size: int = ARROW_BYTES) -> None:
         spark.conf.set(key, str(size))
 
 
+def give_back() -> None:
+    """Returns memory that this Python worker no longer uses: the worker stays for later tasks, and would keep it beside theirs."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):       # another C library
+        pass
+
+
 def id_text(docs: DataFrame) -> DataFrame:
     """doc_id and the whole text as UTF-8 bytes (NULL text: empty), nothing else."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),

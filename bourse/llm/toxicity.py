@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bourse.llm.common import crc_mod_col, id_text, rows_of, small_arrow_batches, table
+from bourse.llm.common import crc_mod_col, give_back, id_text, rows_of, small_arrow_batches, table
 
 TRAIN_ROWS = 2_000   # labelled rows a class that the model is fitted on, at most
 LANDMARKS = 64
@@ -47,6 +47,7 @@ PIECE = 32           # characters of a word read at once; longer words give piec
 STEMS = range(4, 9)  # stem lengths that may become landmarks
 HELD_OUT_MOD = 5
 WORD_CACHE = 300_000
+GROUP = 1 << 20      # text bytes whose words are held at once, about
 STEPS = 65535        # kernel values are remembered as multiples of 1 / STEPS, in two bytes
 _EDGE = ".,;:!?\"'()[]{}<>|*#$%&-_+=/\\~`"
 
@@ -146,7 +147,9 @@ class Kernel:
 
 
 class Describer:
-    """Texts to pooled kernel values; remembers distinct words, up to a bound."""
+    """Texts to pooled kernel values; remembers distinct words, up to a bound.
+
+    A word shares triples with few landmarks: only the values that are not 0 are kept, each with its place."""
 
     def __init__(self, landmarks: list[str]):
         self.kernel = Kernel(landmarks)
@@ -154,8 +157,10 @@ class Describer:
         self.forget()
 
     def forget(self):
-        self.known: dict[str, int] = {}          # word -> row of values, 0 if nothing in it
-        self.rows, self.used = np.zeros((WORD_CACHE + 4096, self.width), np.uint16), 1    # in steps of 1 / STEPS; untouched rows take no memory
+        self.known: dict[str, int] = {}          # word -> its number, 0 if nothing in it
+        self.edge, self.used = np.zeros(1 << 12, np.int64), 1       # word k's values lie from edge[k] to edge[k + 1]
+        kind = np.uint8 if self.width <= 256 else np.uint16
+        self.place, self.value = np.zeros(1 << 14, kind), np.zeros(1 << 14, np.uint16)    # values in steps of 1 / STEPS
 
     def learn(self, words):
         new = [w for w in words if w not in self.known]
@@ -169,18 +174,28 @@ class Describer:
             if len(cut) > len(part):
                 v = np.maximum.reduceat(v, first, axis=0)
             v = np.rint(v * STEPS).astype(np.uint16)
-            some = v.any(axis=1)
-            row = np.where(some, self.used + np.cumsum(some) - 1, 0)
-            end = self.used + int(some.sum())
-            if end > len(self.rows):
-                grown = np.zeros((end + WORD_CACHE // 4, self.width), np.uint16)
-                grown[:self.used] = self.rows[:self.used]
-                self.rows = grown
-            self.rows[self.used:end] = v[some]
+            row, place = np.nonzero(v)
+            count = np.bincount(row, minlength=len(part))
+            some = count > 0
+            number = np.where(some, self.used + np.cumsum(some) - 1, 0)
+            begin, end = int(self.edge[self.used]), self.used + int(some.sum())
+            self.edge = roomy(self.edge, end + 1)
+            self.edge[self.used + 1:end + 1] = begin + np.cumsum(count[some])
+            self.place, self.value = roomy(self.place, begin + len(row)), roomy(self.value, begin + len(row))
+            self.place[begin:begin + len(row)], self.value[begin:begin + len(row)] = place, v[row, place]
             self.used = end
-            self.known.update(zip(part, row.tolist()))
+            self.known.update(zip(part, number.tolist()))
 
     def __call__(self, texts: list[bytes]) -> np.ndarray:
+        out, at, size = [np.zeros((0, self.width), np.float32)], 0, 0
+        for i, t in enumerate(texts):
+            size += len(t)
+            if size >= GROUP or i + 1 == len(texts):
+                out.append(self.describe(texts[at:i + 1]))
+                at, size = i + 1, 0
+        return np.concatenate(out)
+
+    def describe(self, texts: list[bytes]) -> np.ndarray:
         if len(self.known) > WORD_CACHE:
             self.forget()
         out = np.zeros((len(texts), self.width), np.uint16)
@@ -190,10 +205,22 @@ class Describer:
             at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
             at = at[at > 0]
             for k in range(0, len(at), 4096):
-                out[i] = np.maximum(out[i], self.rows[at[k:k + 4096]].max(axis=0))
+                begin = self.edge[at[k:k + 4096]]
+                n = self.edge[at[k:k + 4096] + 1] - begin
+                here = np.arange(int(n.sum())) + np.repeat(begin - (np.cumsum(n) - n), n)
+                np.maximum.at(out[i], self.place[here], self.value[here])
         return out.astype(np.float32) / np.float32(STEPS)
 
 
+def roomy(a: np.ndarray, n: int) -> np.ndarray:
+    """a, with room for n entries."""
+    if n <= len(a):
+        return a
+    out = np.zeros(n + n // 4, a.dtype)
+    out[:len(a)] = a
+    return out
+
+
 def candidates(text: bytes) -> set[str]:
     """Marked words of a text and their stems."""
     out = set()
@@ -311,6 +338,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     small_arrow_batches(docs.sparkSession)
 
     def run(batches):
+        give_back()
         judge = scorer(model)
         for ids, texts in rows_of(batches):
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(judge(texts), pa.float64())], ["doc_id", "score"])
@@ -326,6 +354,7 @@ def keep_clean(docs: DataFrame, model: dict) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches):
+        give_back()
         judge = scorer(model)
         for b in batches:
             if b.num_rows:

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -108,3 +109,21 @@ def test_small_values_count():
     for i in range(3):
         assert 0 < v[i, i] < 0.5 and 0 < v[i, 3 + i] < 0.5 and v[i, 6 + i] == pytest.approx(1.0, abs=1e-5)
         assert (np.delete(v[i, 6:], i) < 0.1).all()
+
+
+def test_a_worker_holds_what_its_words_need():
+    """Values that are not 0, and the words of a stretch of texts: not a full row for each word that may come."""
+    rng = random.Random(4)
+    marks = [f"^{x}$" for x in INSULTS] + [f"^q{i}zx" for i in range(T.LANDMARKS - len(INSULTS))]
+    texts = [" ".join("".join(rng.choice("abcdeilnorstu") for _ in range(7)) for _ in range(200)).encode() for _ in range(150)]
+    tracemalloc.start()
+    together = T.Describer(marks)(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20
+    alone = T.Describer(marks)
+    assert (together == np.concatenate([alone([t]) for t in texts])).all() and together.any()
+    words = [set(t.decode().split()) for t in texts[:5]]
+    for got, own in zip(together, words):
+        want = T.Kernel(marks).values([f"^{w}$" for w in sorted(own)]).max(axis=0)
+        assert np.abs(got - want).max() <= 1 / T.STEPS
