@@ -34,9 +34,12 @@ def first_non_null(value, order) -> Column:
 
 
 def priority_first(name_col, value_col, names: Sequence[str], default=0) -> Column:
-    """COALESCE(first value of names[0], first of names[1], ..., default)."""
+    """COALESCE(first value of names[0], first of names[1], ..., default).
+
+    One value and its name's place are held a group, however many names there are."""
     n, v = _c(name_col), _c(value_col)
-    parts = [first_when(n == F.lit(x), v) for x in names]
-    if default is not None:
-        parts.append(F.lit(default).cast("double"))
-    return F.coalesce(*parts) if len(parts) > 1 else parts[0]
+    place = None
+    for i, x in enumerate(names):
+        place = F.when(n == F.lit(x), F.lit(i)) if place is None else place.when(n == F.lit(x), F.lit(i))
+    best = F.min_by(v, F.when(v.isNotNull(), place))
+    return best if default is None else F.coalesce(best, F.lit(default).cast("double"))

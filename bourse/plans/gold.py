@@ -117,8 +117,11 @@ def fact_daily_quote(silver_quote: DataFrame, gold_candles: DataFrame,
 
 def financial_ratio(silver_financials: DataFrame, spec: Mapping[str, Sequence[str]] = FINANCIAL_CONCEPTS,
                     keys: Sequence[str] = FILING_KEYS) -> DataFrame:
-    """Priority pivot of line items per filing, then ratios."""
-    p = priority_pivot(silver_financials, keys, "concept", "value", spec, default=0)
+    """Priority pivot of line items per filing, then ratios.
+
+    The silver table holds one row per filing and concept, so its rows are dealt out by filing as they are: a wide
+    partial result for nearly every row would take several times their memory."""
+    p = priority_pivot(silver_financials.repartition(*keys), keys, "concept", "value", spec, default=0)
     fcf = F.col("operating_cash_flow") - F.abs(F.col("capex"))
     p = p.withColumn("free_cash_flow", fcf)
     return p.withColumns({

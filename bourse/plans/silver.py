@@ -84,7 +84,8 @@ def silver_candles(valid_log: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- S4, X3
 # FIXED VALUES: key columns of the published financials table.
 FIN_TIES = ("statement_priority", "value")
-FIN_KEYS = ("symbol", "cik", "accessNumber", "year", "quarter", "concept")
+# The key that tells most rows apart stands first: sorts then rarely compare a second one.
+FIN_KEYS = ("accessNumber", "symbol", "cik", "year", "quarter", "concept")
 
 
 def financial_items(bronze: DataFrame) -> DataFrame:

@@ -122,3 +122,16 @@ def test_financials_restated_value_wins_and_priority(spark):
     assert len(rows) == 1 and rows[0].statement == "bs" and rows[0].value == 1.0
     ratio = G.financial_ratio(silver).collect()[0]
     assert ratio.revenue == 1.0 and ratio.net_income == 0 and ratio.period_label == "Q2-2024"
+
+
+def test_pivot_holds_one_value_an_output_and_filings_are_dealt_out_first(spark):
+    rows = [("1", "AAA", "cik", 2024, 1, c, v) for c, v in (("us-gaap_Revenues", None), ("SalesRevenueGoodsNet", 7.0), ("ProfitLoss", 2.0), ("other", 1.0))]
+    rows += [("2", "AAA", "cik", 2024, 1, "other", 5.0), ("3", None, None, None, None, "us-gaap_Revenues", 3.0)]
+    df = spark.createDataFrame(rows, "accessNumber string, symbol string, cik string, year long, quarter long, concept string, value double") \
+        .withColumns({c: F.lit("2024-01-01") for c in ("startDate", "endDate", "filedDate")})
+    out = G.financial_ratio(df)
+    got = {r["accessNumber"]: (r["revenue"], r["net_income"], r["assets"]) for r in out.collect()}
+    assert got == {"1": (7.0, 2.0, 0.0), "2": (0.0, 0.0, 0.0), "3": (3.0, 0.0, 0.0)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    aggregate = next(x for x in plan.split("\n") if "Aggregate" in x)
+    assert aggregate.count("min_by(") == len(G.FINANCIAL_CONCEPTS) and "first(" not in aggregate and "RepartitionByExpression" in plan
