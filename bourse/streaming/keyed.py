@@ -67,6 +67,9 @@ class CellTable:
 
     def read(self, schema: T.StructType, cells: DataFrame | None = None, before: int | None = None) -> tuple[DataFrame, int]:
         """(rows of the newest state of all or some cells, their number by the records); without cell columns."""
+        fs, p = _files(self.spark, f"{self.path}/commits")
+        if not fs.exists(p):                                # nothing recorded: no need to find out which cells are asked for
+            return self.spark.createDataFrame([], schema), 0
         found = self.newest(cells, before).collect()        # names of cells
         paths = [f"{self.path}/data/batch_id={r['batch_id']}/" + "/".join(f"{c}={r[c]}" for c in self.cell) for r in found if r["n_rows"]]
         if not paths:
@@ -76,7 +79,8 @@ class CellTable:
     def write(self, rows: DataFrame, batch_id: int, cells: DataFrame | None = None) -> DataFrame:
         """The cells of ``rows`` (with their cell columns) become these rows, other ``cells`` become empty; returns the cells."""
         own = f"{self.path}/data/batch_id={batch_id}"
-        rows.repartition(*self.cell).write.mode("overwrite").partitionBy(*self.cell).parquet(own)
+        # large cells are split and small ones put together by their real sizes, so a cell may have several files
+        rows.hint("rebalance", *self.cell).write.mode("overwrite").partitionBy(*self.cell).parquet(own)
         fs, p = _files(self.spark, own)
         kind = T.StructType([T.StructField(c, T.StringType()) for c in self.cell])
         if any(s.isDirectory() for s in fs.listStatus(p)):
@@ -120,10 +124,9 @@ class LatestTable:
 
     def merge(self, changes: DataFrame, batch_id: int) -> int:
         """Takes a batch of changes in; returns the number of stored rows it read."""
-        newest = cdc.scd1(changes, self.keys, self.seq, self.tie_break)        # what a batch holds of a key goes on as one row
-        new = newest.withColumn(BUCKET, bucket_of(self.by, self.buckets))
-        old, read = self.table.read(changes.schema, new.select(BUCKET), before=batch_id)
-        whole = cdc.scd1(old.unionByName(newest), self.keys, self.seq, self.tie_break)
+        # a key's bucket follows from the key alone: the batch need not be reduced to know what it touches
+        old, read = self.table.read(changes.schema, changes.select(bucket_of(self.by, self.buckets).alias(BUCKET)), before=batch_id)
+        whole = cdc.scd1(old.unionByName(changes) if read else changes, self.keys, self.seq, self.tie_break)
         self.table.write(whole.withColumn(BUCKET, bucket_of(self.by, self.buckets)), batch_id)
         return read
 

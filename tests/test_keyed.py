@@ -44,6 +44,20 @@ def test_latest_equals_scd1_and_leaves_other_buckets_alone(spark, tmp):
     assert files(f"{tmp}/t/data") < before
 
 
+def test_a_first_batch_is_computed_once(spark, tmp):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    batch = changes(random.Random(3), 200)
+    table = K.LatestTable(spark, f"{tmp}/t", ["k"], "seq", buckets=4)
+    assert table.merge(spark.createDataFrame(batch, SCHEMA).mapInArrow(counted, SCHEMA), 0) == 0
+    assert seen.value == 200
+    assert rows(table.read(spark.createDataFrame([], SCHEMA).schema)) == rows(cdc.scd1(spark.createDataFrame(batch, SCHEMA), ["k"], "seq"))
+
+
 def test_a_replayed_or_failed_batch_changes_nothing(spark, tmp):
     schema = spark.createDataFrame([], SCHEMA).schema
     table = K.LatestTable(spark, f"{tmp}/t", ["k"], "seq", buckets=4)
