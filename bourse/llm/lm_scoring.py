@@ -44,6 +44,7 @@ CLASSES, TOP_WORDS = 48, 11
 END_CLASS, UNKNOWN = 0, CLASSES - 1
 ENDINGS = 4096                       # hashed word endings that mass is counted by
 ROWS = (1 << 13, 1 << 13, 1 << 14)   # weight rows of each feature kind
+FIRST_ROWS = (0, ROWS[0], ROWS[0] + ROWS[1])
 BLOCKS = 16                          # parts that the weight table is averaged in
 CHUNK = 1 << 14                      # tokens of a gradient step
 RATE = 0.25
@@ -223,14 +224,16 @@ class Learner:
         self.steps = np.zeros(n, np.float32)
 
     def step(self, features: np.ndarray, target: np.ndarray):
-        g = np.exp(log_softmax(self.w, self.bias, features))
+        g = log_softmax(self.w, self.bias, features)
+        np.exp(g, out=g)
         g[np.arange(len(target)), target] -= 1
-        for f in features:
-            order = np.argsort(f, kind="stable")
+        for f, base in zip(features, FIRST_ROWS):
+            order = np.argsort((f - base).astype(np.uint16), kind="stable")      # a kind's rows fit 16 bits, which are sorted by radix
             first = np.flatnonzero(np.r_[True, np.diff(f[order]) != 0])
             row, total = f[order[first]], np.add.reduceat(g[order], first, axis=0)
-            self.sq[row] += total * total
-            self.w[row] -= RATE * total / np.sqrt(self.sq[row])
+            sq = self.sq[row] + total * total
+            self.sq[row] = sq
+            self.w[row] -= RATE * total / np.sqrt(sq)
             self.steps[row] += np.diff(np.r_[first, len(f)])
 
 

@@ -64,3 +64,26 @@ def test_no_training_text_and_empty_table(make_docs):
     r = L.score(make_docs([(only, "some words here")])).first()
     assert (r["n_known"], r["train_tokens"], r["base_score"], r["score"]) == (0, 0, 0.0, 0.0)
     assert L.score(make_docs([])).count() == 0
+
+
+def test_a_step_sorts_short_numbers_and_follows_the_gradient(monkeypatch):
+    """Rows of a feature kind are sorted as 16-bit numbers; each moves by the sum of its tokens' gradients."""
+    import numpy as np
+
+    from bourse.llm import lm_scoring as L
+    rng = np.random.default_rng(2)
+    n = 500
+    features = np.stack([rng.integers(0, 40, n) + sum(L.ROWS[:i]) + (L.ROWS[i] - 40) * (i == 2) for i in range(3)]).astype(np.int32)
+    target = rng.integers(0, L.CLASSES, n).astype(np.uint8)
+    sorted_sizes, plain = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda a, **k: (sorted_sizes.append(a.dtype.itemsize), plain(a, **k))[1])
+    learner = L.Learner(np.zeros(L.CLASSES, np.float32))
+    learner.step(features, target)
+    assert sorted_sizes == [2, 2, 2]
+    g = np.full((n, L.CLASSES), 1 / L.CLASSES)
+    g[np.arange(n), target] -= 1
+    for f in features:
+        for row in np.unique(f):
+            total = g[f == row].sum(axis=0)
+            assert np.allclose(learner.w[row], -L.RATE * total / np.sqrt(1e-2 + total ** 2), atol=1e-4)
+            assert learner.steps[row] == (f == row).sum()
