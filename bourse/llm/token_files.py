@@ -248,14 +248,14 @@ class WordIds:
         if len(self.number) > WORD_CACHE:
             self.forget()
         words = [t.split() for t in texts]
-        self.learn(dict.fromkeys(w for x in words for w in x))
+        self.learn(dict.fromkeys(itertools.chain.from_iterable(words)))
         self.flat, self.size = [np.concatenate(self.flat)], [np.concatenate(self.size)]
         flat, size = self.flat[0], self.size[0]
         counts = np.array([len(x) + 1 for x in words], np.int64)
         seq = np.zeros(int(counts.sum()), np.int64)
         inner = np.ones(len(seq), bool)
         inner[np.cumsum(counts) - 1] = False       # the end id's places
-        seq[inner] = np.fromiter((self.number[w] for x in words for w in x), np.int64, int(inner.sum()))
+        seq[inner] = np.fromiter(map(self.number.__getitem__, itertools.chain.from_iterable(words)), np.int64, int(inner.sum()))
         return gather(flat, size, seq), np.add.reduceat(size[seq], np.cumsum(counts) - counts) if len(counts) else counts
 
 
