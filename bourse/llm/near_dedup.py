@@ -47,14 +47,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bourse.llm.common import id_text, rows_of, small_arrow_batches, table
-from bourse.llm.components import connected
+from bourse.llm.components import broadcast_few, connected
 from bourse.session import scratch_path
 
 K, PERCENT = 5, 80          # words a shingle, least similarity in percent: the defaults of near-duplicate work
 MISS = 1e-8
 BITS = 1024                 # of a representative's parity bitmap
 WORD_CACHE = 300_000
-PIVOTS, PIVOT_GROWTH = 8, 8  # pivots of a bucket in the first round, and the growth of their number
+PIVOTS, PIVOT_GROWTH = 8, 64  # pivots of a bucket in the first round, and the growth of their number
 SALTS = 16
 
 
@@ -223,9 +223,11 @@ def link(docs: DataFrame, k: int = K, percent: int = PERCENT, digests: bool = Fa
     done, width = 0, PIVOTS
     tested = spark.createDataFrame([], "u long, v long")
     comp = kept(connected(links), "components")
+    n_comp = comp.count()
     while True:
         now = members.where(F.col("m") > done) \
-            .join(comp, F.col("rep") == F.col("node"), "left").select("key", "rep", "crowd", F.coalesce("component", "rep").alias("comp"))
+            .join(broadcast_few(comp, n_comp), F.col("rep") == F.col("node"), "left") \
+            .select("key", "rep", "crowd", F.coalesce("component", "rep").alias("comp"))
         open_keys = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                            F.max(F.struct("crowd", -F.col("rep"), "comp")).alias("top")).where("lo < hi") \
             .select(F.col("key").alias("k2"), F.col("top.comp").alias("hub_comp"))
@@ -253,9 +255,10 @@ def link(docs: DataFrame, k: int = K, percent: int = PERCENT, digests: bool = Fa
         new = kept(confirmed(pairs, sets, percent), f"links-{done}")
         if not new.isEmpty():
             comp = kept(connected(new.union(comp.select("node", "component"))), f"components-{done}")
+            n_comp = comp.count()
     out = sk.join(classes.select(F.col("d1").alias("c1"), F.col("d2").alias("c2"), "rep"),
                   (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")) & (F.col("n_shingles") > 0), "left") \
-        .join(comp, F.col("rep") == F.col("node"), "left")
+        .join(broadcast_few(comp, n_comp), F.col("rep") == F.col("node"), "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"),
                       F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"), F.col("rep").alias("class_id"),

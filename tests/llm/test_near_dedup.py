@@ -93,3 +93,23 @@ def test_connected_matches_union_find(spark):
         least[max(x, y)] = min(x, y)
     got = {r["node"]: r["component"] for r in connected(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {x: root(x) for u, v in edges for x in (u, v) if u != v}
+
+
+def test_settled_edges_take_no_iteration_and_few_edges_no_shuffle_join(spark, monkeypatch):
+    """Stars are seen to be settled without another iteration; the joins of a few edges are by broadcast, whatever Spark would choose."""
+    import bourse.llm.components as C
+    monkeypatch.setattr(C, "MAX_ITERATIONS", 2)
+    stars = spark.createDataFrame([(5, 1), (1, 6), (9, 2), (9, 2), (7, 7)], "u long, v long")
+    assert sorted(map(tuple, connected(stars).collect())) == [(1, 1), (2, 2), (5, 1), (6, 1), (9, 2)]
+    with pytest.raises(RuntimeError):
+        connected(spark.createDataFrame([(1, 2), (2, 3), (3, 4)], "u long, v long"))
+    assert "broadcast" in C.broadcast_few(stars, 5)._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" not in C.broadcast_few(stars, C.FEW + 1)._jdf.queryExecution().logical().toString().lower()
+
+
+@pytest.mark.parametrize("few", [0, 50_000])
+def test_components_are_the_same_with_and_without_broadcasts(spark, monkeypatch, few):
+    import bourse.llm.components as C
+    monkeypatch.setattr(C, "FEW", few)
+    edges = [(i, i + 1) for i in range(20)] + [(100, i) for i in range(40, 60)] + [(59, 20)]
+    assert {tuple(r) for r in connected(spark.createDataFrame(edges, "u long, v long")).collect()} == {(i, 0) for i in [*range(21), *range(40, 60), 100]}
