@@ -47,6 +47,8 @@ ROWS = (1 << 13, 1 << 13, 1 << 14)   # weight rows of each feature kind
 FIRST_ROWS = (0, ROWS[0], ROWS[0] + ROWS[1])
 BLOCKS = 16                          # parts that the weight table is averaged in
 CHUNK = 1 << 14                      # tokens of a gradient step
+BLOCK = 1 << 10                      # tokens whose probabilities are computed at a time
+SHORT = 6                            # rows of a stretch that is added row by row
 RATE = 0.25
 BUCKET = 32 << 20
 END_HASH = np.uint64(0x5BD1E9955BD1E995)
@@ -200,14 +202,51 @@ class Tokens:
             self.features[i] = (x % np.uint64(ROWS[i])).astype(np.int32) + sum(ROWS[:i])
 
 
-def log_softmax(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
-    z = weights[features[0]]
-    for f in features[1:]:
-        z += weights[f]
-    z += bias
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-    return z
+def _row_max(z: np.ndarray) -> np.ndarray:
+    while z.shape[1] % 2 == 0:
+        half = z.shape[1] // 2
+        z = np.maximum(z[:, :half], z[:, half:])
+    out = z[:, :1]
+    for j in range(1, z.shape[1]):
+        out = np.maximum(out, z[:, j:j + 1])
+    return out
+
+
+def log_softmax(weights: np.ndarray, bias: np.ndarray, features: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    """Log probability of each class; a few rows at a time, in memory that stays: large arrays made anew cost more than the sums."""
+    n = features.shape[1]
+    out = np.empty((n, CLASSES), np.float32) if out is None else out[:n]
+    spare = np.empty((min(n, BLOCK), CLASSES), np.float32)
+    for a in range(0, n, BLOCK):
+        z = out[a:a + BLOCK]
+        t = spare[:len(z)]
+        np.take(weights, features[0, a:a + BLOCK], axis=0, out=z, mode="clip")
+        for f in features[1:]:
+            z += np.take(weights, f[a:a + BLOCK], axis=0, out=t, mode="clip")
+        z += bias
+        z -= _row_max(z)
+        z -= np.log(np.exp(z, out=t).sum(axis=1, keepdims=True))
+    return out
+
+
+def stretch_sums(g: np.ndarray, order: np.ndarray, first: np.ndarray, spare: np.ndarray) -> np.ndarray:
+    """Sums of the stretches of ``g[order]`` that begin at ``first``, as ``np.add.reduceat`` adds them up.
+
+    Most stretches are short: those up to SHORT rows are added row by row for all of them at once, the others by reduceat."""
+    sizes = np.diff(np.r_[first, len(order)])
+    total = np.take(g, order[first], axis=0, mode="clip")
+    for size in range(2, SHORT + 1):
+        at = np.flatnonzero(sizes == size)
+        if len(at):
+            rest = np.take(g, order[first[at] + 1], axis=0)     # reduceat adds a stretch's first row to the sum of the others
+            for j in range(2, size):
+                rest += np.take(g, order[first[at] + j], axis=0)
+            total[at] += rest
+    long = sizes > SHORT
+    if long.any():
+        rows = order[np.repeat(long, sizes)]
+        total[long] = np.add.reduceat(np.take(g, rows, axis=0, out=spare[:len(rows)], mode="clip"), np.cumsum(sizes[long]) - sizes[long], axis=0)
+    return total
 
 
 def start_bias(classes: Classes) -> np.ndarray:
@@ -222,18 +261,22 @@ class Learner:
         self.bias = bias
         self.w, self.sq = np.zeros((n, CLASSES), np.float32), np.full((n, CLASSES), 1e-2, np.float32)
         self.steps = np.zeros(n, np.float32)
+        self.g, self.spare = np.empty((2, CHUNK, CLASSES), np.float32)
 
     def step(self, features: np.ndarray, target: np.ndarray):
-        g = log_softmax(self.w, self.bias, features)
+        g = log_softmax(self.w, self.bias, features, self.g)
         np.exp(g, out=g)
         g[np.arange(len(target)), target] -= 1
         for f, base in zip(features, FIRST_ROWS):
             order = np.argsort((f - base).astype(np.uint16), kind="stable")      # a kind's rows fit 16 bits, which are sorted by radix
             first = np.flatnonzero(np.r_[True, np.diff(f[order]) != 0])
-            row, total = f[order[first]], np.add.reduceat(g[order], first, axis=0)
-            sq = self.sq[row] + total * total
+            row, total = f[order[first]], stretch_sums(g, order, first, self.spare)
+            sq = total * total
+            sq += np.take(self.sq, row, axis=0)
             self.sq[row] = sq
-            self.w[row] -= RATE * total / np.sqrt(sq)
+            total *= RATE
+            total /= np.sqrt(sq, out=sq)
+            self.w[row] = np.subtract(np.take(self.w, row, axis=0), total, out=total)
             self.steps[row] += np.diff(np.r_[first, len(f)])
 
 
@@ -277,6 +320,7 @@ def _score(classes: Classes, weights):
     scale = math.log10(classes.tokens + classes.types + 1)
 
     def run(arrow):
+        spare = np.empty((CHUNK, CLASSES), np.float32)
         for b in arrow:
             for r in b.to_pylist():
                 x = Tokens(r, classes)
@@ -286,7 +330,7 @@ def _score(classes: Classes, weights):
                     if weights is None:
                         ln[s] = 0.0
                         continue
-                    z = log_softmax(weights.value, bias, x.features[:, s])
+                    z = log_softmax(weights.value, bias, x.features[:, s], spare)
                     ln[s] = z[np.arange(len(z)), x.k[s]].astype(np.float64) + x.share[s]
                 base = np.log10(x.c + 1.0) - scale
                 nulls = np.frombuffer(r["nulls"], bool)

@@ -87,3 +87,26 @@ def test_a_step_sorts_short_numbers_and_follows_the_gradient(monkeypatch):
             total = g[f == row].sum(axis=0)
             assert np.allclose(learner.w[row], -L.RATE * total / np.sqrt(1e-2 + total ** 2), atol=1e-4)
             assert learner.steps[row] == (f == row).sum()
+
+
+def test_short_and_long_stretches_are_summed_as_reduceat_does():
+    rng = np.random.default_rng(3)
+    sizes = np.r_[rng.integers(1, 2 * L.SHORT + 2, 400), 900, 1, 1]
+    order, first = rng.permutation(int(sizes.sum())), np.cumsum(sizes) - sizes
+    g = rng.normal(size=(len(order), L.CLASSES)).astype(np.float32)
+    got = L.stretch_sums(g, order, first, np.empty_like(g))
+    assert (got == np.add.reduceat(g[order], first, axis=0)).all()
+    assert (L.stretch_sums(g[:5], np.arange(5), np.arange(5), g) == g[:5]).all()
+
+
+def test_probabilities_do_not_depend_on_the_rows_computed_at_a_time():
+    rng = np.random.default_rng(4)
+    w, bias = rng.normal(size=(sum(L.ROWS), L.CLASSES)).astype(np.float32), rng.normal(size=L.CLASSES).astype(np.float32)
+    f = rng.integers(0, sum(L.ROWS), (3, 2 * L.BLOCK + 7))
+    z = w[f[0]] + w[f[1]]
+    z += w[f[2]]
+    z += bias
+    z -= z.max(axis=1, keepdims=True)
+    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+    assert (L.log_softmax(w, bias, f) == z).all()
+    assert (L.log_softmax(w, bias, f, np.empty((L.CHUNK, L.CLASSES), np.float32)) == z).all() and L.log_softmax(w, bias, f[:, :0]).shape == (0, L.CLASSES)
