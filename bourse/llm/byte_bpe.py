@@ -4,9 +4,9 @@ Texts are cut by the public pattern into pieces; each distinct piece of the
 corpus is encoded once, in SQL expressions: its bytes become an array of ids, and
 ``aggregate`` folds one merge a step over it, always the lowest-ranked neighbour
 pair, leftmost first, until no pair has a rank.  Ranks come from a literal map in
-the expression, from each pair of ids to the rank of their bytes together: one flat
-array with a slot per pair and one of displacements that keep slots apart, so a
-look-up reads one entry of each.  Decoding looks up each id's bytes in a literal
+the expression, from the one pair of ids that merges can make a rank of to that
+rank: one flat array with a slot per pair and one of displacements that keep slots
+apart, so a look-up reads one entry of each.  Decoding looks up each id's bytes in a literal
 array and concatenates them.  Each literal stands once in the plan.
 
 Encodings reach the texts through ``dictionary``: a batch cuts its texts into pieces
@@ -42,7 +42,8 @@ from bourse.session import scratch_path
 LONG = 256                # bytes of a piece beyond which Python's heap merges it
 ID_BITS = 21              # ids are below 2**ID_BITS: two ids and a rank fit one long
 BUCKET = 32 << 20         # text bytes per bucket of words, about
-NO_PAIR = 2 ** 63 - 1     # in an empty slot
+NO_ID = (1 << ID_BITS) - 1
+NO_PAIR = NO_ID           # in an empty slot: no pair's, and short in printed plans
 PLAN_TEXT = 20_000
 #: The pattern's white space, spelled out: the same characters whichever library reads it.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -136,24 +137,45 @@ def pair_slots(pairs: dict[int, int]) -> tuple[list[int], list[int]]:
     return out, moves
 
 
+def halves(piece: bytes, ranks: dict[bytes, int]) -> tuple[bytes, bytes] | None:
+    """The two parts that the merges of a ranked piece come to before the last; None if they stop earlier.
+
+    No other two parts of it ever stand side by side, in whatever text: until they are merged, the merges inside
+    them are those of the piece alone, in the same order."""
+    parts = [piece[i:i + 1] for i in range(len(piece))]
+    while len(parts) > 2:
+        known = [ranks.get(a + b, NO_ID) for a, b in zip(parts, parts[1:])]
+        best = min(known)
+        if best == NO_ID:
+            return None
+        i = known.index(best)
+        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+    return (parts[0], parts[1]) if parts[0] in ranks and parts[1] in ranks else None
+
+
 def literals(ranks: dict[bytes, int]) -> dict:
     """The rank map as constants of the expression.
 
-    slots, moves: ``pair_slots`` of the pairs of ids whose bytes together have a rank.
+    slots, moves: ``pair_slots`` of the pairs of ids that merges can make a rank of (``halves``), one a rank.
     whole: pieces, in hexadecimal, that have a rank which merges do not reach.
-    bytes: id of each byte; text: bytes of each id.
+    bytes: id of each byte; gaps: whether a byte has none, then -1 stands for it; text: bytes of each id.
     """
     top = max(ranks.values(), default=-1) + 1
     if top >= 1 << ID_BITS:
         raise ValueError(f"ids must be below {(1 << ID_BITS) - 1}")
-    pairs = {pair_key(ranks[p[:i]], ranks[p[i:]]): rank
-             for p, rank in ranks.items() for i in range(1, len(p)) if p[:i] in ranks and p[i:] in ranks}
+    pairs, unreached = {}, {}
+    for p, rank in ranks.items():
+        last = halves(p, ranks) if len(p) > 1 else None
+        if last:
+            pairs[pair_key(ranks[last[0]], ranks[last[1]])] = rank
+        elif len(p) > 1:
+            unreached[p.hex()] = rank
     slots, moves = pair_slots(pairs)
     out = {"slots": _json(slots, "array<bigint>"), "moves": _json(moves, "array<int>"), "n_slots": len(slots), "n_moves": len(moves)}
-    del pairs, slots, moves
-    unreached = {p.hex(): rank for p, rank in ranks.items() if len(p) > 1 and heap_merge(p, ranks, whole=False) != [rank]}
     out["whole"] = _json(unreached, "map<string,int>") if unreached else None
-    out["bytes"] = _json([ranks.get(bytes([i]), -1) for i in range(256)], "array<int>")
+    del pairs, slots, moves
+    known = [ranks.get(bytes([i])) for i in range(256)]
+    out["bytes"], out["gaps"] = _json(known, "array<int>"), None in known
     text: list = [""] * top
     for piece, rank in ranks.items():
         text[rank] = base64.b64encode(piece).decode()
@@ -175,42 +197,46 @@ def encode_word(word: Column, lit: dict) -> Column:
 
 
 def _fold(word: Column, slots: Column, moves: Column, lit: dict) -> Column:
-    """State of the fold: p, the ids of the parts, and r, the rank of each neighbour pair (an id is its rank)
-    between NULLs that stand for the ends; a pair without a rank has a number beyond all ids."""
-    count = F.length(word)
+    """State of the fold: one long for each neighbour pair of parts, its rank above the two ids, so that the least long is
+    the pair to merge and parts need no array beside it; ``NO_ID`` stands beyond both ends, ``NO_ID`` as a rank for no rank.
 
-    def rank_of(key: Column) -> Column:
-        """What is left of the pair's slot without its key: the rank, if the slot is the pair's own."""
+    Pairs of one rank are equal (``halves``), so the first of them is the leftmost."""
+    count, mask = F.length(word), F.lit(NO_ID)
+
+    def pair_of(a: Column, b: Column) -> Column:
+        return F.shiftleft(a, ID_BITS).bitwiseOR(b)
+
+    def ranked(key: Column) -> Column:
+        """The pair under its rank.  Its slot without its key is the rank, if the slot is the pair's own; else more than any."""
         def slot(h: Column) -> Column:
             move = F.get(moves, h.bitwiseAND(F.lit(lit["n_moves"] - 1)).cast("int"))
             place = F.shiftrightunsigned(h, 32) + move * F.shiftrightunsigned(h, 16).bitwiseAND(F.lit(0xFFFF)).bitwiseOR(F.lit(1))
             return F.get(slots, place.bitwiseAND(F.lit(lit["n_slots"] - 1)).cast("int"))
-        return let(F.xxhash64(key), slot).bitwiseXOR(F.shiftleft(key, ID_BITS))
-
-    def pair_of(a: Column, b: Column) -> Column:
-        return F.shiftleft(a.cast("long"), ID_BITS).bitwiseOR(b.cast("long"))
+        rank = F.least(let(F.xxhash64(key), slot).bitwiseXOR(F.shiftleft(key, ID_BITS)), mask)
+        return F.shiftleft(rank, 2 * ID_BITS).bitwiseOR(key)
 
     letters = let(F.decode(word, "ISO-8859-1"), lambda s: let(lit["bytes"], lambda known: F.transform(
         F.sequence(F.lit(1), count), lambda i: F.get(known, F.ascii(F.substring(s, i, 1))))))
-    start = let(letters, lambda p: F.struct(p.alias("p"), F.transform(F.transform(
-        F.sequence(F.lit(0), F.size(p)), lambda i: pair_of(F.get(p, i - 1), F.get(p, i))), rank_of).alias("r")))
+    start = let(letters, lambda p: F.transform(F.transform(F.sequence(F.lit(0), count), lambda i: pair_of(
+        F.coalesce(F.get(p, i - 1).cast("long"), mask), F.coalesce(F.get(p, i).cast("long"), mask))), ranked))
 
-    def step(acc, _):
-        """One merge: the leftmost pair of the least rank becomes one part; the ranks beside it are looked up."""
-        p, r = acc["p"], acc["r"]
+    def step(pairs, _):
+        """One merge: the leftmost pair of the least rank becomes one part; the pairs beside it are looked up."""
+        def merge(best, at):  # at: place of the pair, from 1
+            one = F.shiftright(best, 2 * ID_BITS)
+            before = F.shiftright(F.get(pairs, at - 2), ID_BITS).bitwiseAND(mask)
+            beside = F.array(pair_of(before, one), pair_of(one, F.get(pairs, at).bitwiseAND(mask)))
+            return F.concat(F.slice(pairs, F.lit(1), at - 2), F.transform(beside, ranked), F.slice(pairs, at + 2, count))
 
-        def merge(at):  # place of the pair in r, from 1; it joins p[at - 2] and p[at - 1]
-            one = F.get(r, at - 1).cast("int")
-            beside = F.array(pair_of(F.get(p, at - 3), one), pair_of(one, F.get(p, at)))
-            return F.struct(
-                F.concat(F.slice(p, F.lit(1), at - 2), F.array(one), F.slice(p, at + 1, F.size(p))).alias("p"),
-                F.concat(F.slice(r, F.lit(1), at - 2), F.transform(beside, rank_of), F.slice(r, at + 2, F.size(r))).alias("r"))
+        return let(F.array_min(pairs), lambda best: F.when(best < F.lit(NO_ID << 2 * ID_BITS), let(
+            F.array_position(pairs, best).cast("int"), lambda at: merge(best, at))).otherwise(pairs))
 
-        return let(F.array_min(r), lambda best: F.when(
-            best < F.lit(1 << ID_BITS), let(F.array_position(r, best).cast("int"), merge)).otherwise(acc))
+    def first_part(pair: Column) -> Column:
+        part = F.shiftright(pair, ID_BITS).bitwiseAND(mask).cast("int")
+        return F.when(part < mask, part).otherwise(F.lit(-1)) if lit["gaps"] else part
 
     steps = F.when(count > 1, F.sequence(F.lit(1), count - 1)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(steps, start, step, lambda acc: acc["p"])
+    return F.aggregate(steps, start, step, lambda pairs: F.transform(F.slice(pairs, F.lit(2), count), first_part))
 
 
 def decode_ids(ids: Column, lit: dict) -> Column:
@@ -218,9 +244,9 @@ def decode_ids(ids: Column, lit: dict) -> Column:
     return F.aggregate(ids, F.lit(b""), lambda acc, i: F.concat(acc, F.get(lit["text"], i)))
 
 
-def heap_merge(word: bytes, ranks: dict[bytes, int], whole: bool = True) -> list[int]:
-    """The same merges for a very long piece, in n log n steps; whole: a piece with a rank of its own needs none."""
-    if whole and word in ranks:
+def heap_merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same merges for a very long piece, in n log n steps."""
+    if word in ranks:
         return [ranks[word]]
     n = len(word)
     end, nxt, prev = [i + 1 for i in range(n)], [i + 1 for i in range(n)], [i - 1 for i in range(n)]
@@ -339,6 +365,7 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, carry: list[str] | No
         .select("bucket", "word", F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary").alias("text"),
                 F.when(F.col("decoded") != F.col("word"), F.col("decoded")).alias("other"))
     del ranks, lit
+    give_back()
     answers = coded.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_answer, ANSWER_DDL)
     ddl = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, token_ids array<int>"
     if carry:

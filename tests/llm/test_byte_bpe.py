@@ -89,3 +89,30 @@ def test_each_literal_stands_once_in_the_expression(spark):
     lit = B.literals({bytes([i]): i for i in range(256)} | {b"ab": 256})
     word = str(B.encode_word(F.col("word"), lit))
     assert word.count("from_json") == 3 and str(B.decode_ids(F.col("ids"), lit)).count("from_json") == 1
+
+
+def test_one_pair_a_rank_gives_the_merges_of_the_library(spark, reference):
+    """The literal map holds one pair a rank: half the slots, and as many characters, that printed plans had."""
+    from pyspark.sql import functions as F
+    ranks = B.load_ranks(FILE)
+    lit = B.literals(ranks)
+    assert lit["n_slots"] <= 1 << 16 and lit["whole"] is None
+    rng = random.Random(8)
+    parts = sorted(ranks)
+    words = {b"".join(rng.choice(parts) for _ in range(rng.randrange(1, 5))) for _ in range(1500)}
+    words |= {bytes(rng.choice(b"aab th\xc3\xa9") for _ in range(rng.randrange(1, 40))) for _ in range(1500)} | {b"a" * n for n in range(1, 40)}
+    got = spark.createDataFrame([(bytearray(w),) for w in sorted(words)], "word binary").select("word", B.encode_word(F.col("word"), lit).alias("ids")).collect()
+    wrong = [(bytes(r["word"]), r["ids"]) for r in got if r["ids"] != reference._encode_single_piece(bytes(r["word"]))]
+    assert len(got) == len(words) and not wrong, wrong[:5]
+
+
+def test_ties_of_a_rank_and_bytes_without_an_id(spark):
+    """aaa is aa + a in any text, never a + aa; a byte that the vocabulary lacks is -1."""
+    from pyspark.sql import functions as F
+    ranks = {b"a": 0, b"b": 1, b"aa": 2, b"aaa": 3, b"ab": 4, b"aab": 5}
+    assert B.halves(b"aaa", ranks) == (b"aa", b"a") and B.halves(b"aab", ranks) == (b"aa", b"b")
+    lit = B.literals(ranks)
+    rng = random.Random(9)
+    words = sorted({bytes(rng.choice(b"aab") for _ in range(rng.randrange(1, 12))) for _ in range(400)})
+    got = spark.createDataFrame([(bytearray(w),) for w in [*words, b"axb"]], "word binary").select("word", B.encode_word(F.col("word"), lit).alias("ids")).collect()
+    assert {bytes(r["word"]): r["ids"] for r in got} == {w: B.heap_merge(w, ranks) for w in words} | {b"axb": [0, -1, 1]}
