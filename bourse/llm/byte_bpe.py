@@ -3,11 +3,12 @@ r"""Operator 9: byte-level BPE encoding and decoding with Spark's higher-order f
 Texts are cut by the public pattern into pieces; each distinct piece of the
 corpus is encoded once, in SQL expressions: its bytes become an array of ids, and
 ``aggregate`` folds one merge a step over it, always the lowest-ranked neighbour
-pair, leftmost first, until no pair has a rank.  Ranks come from a literal map in
-the expression, from the one pair of ids that merges can make a rank of to that
+pair, leftmost first, until no pair has a rank.  Ranks come from a map,
+from the one pair of ids that merges can make a rank of to that
 rank: one flat array with a slot per pair and one of displacements that keep slots
-apart, so a look-up reads one entry of each.  Decoding looks up each id's bytes in a literal
-array and concatenates them.  Each literal stands once in the plan.
+apart, so a look-up reads one entry of each.  Decoding looks up each id's bytes in an
+array and concatenates them.  These arrays stand in the rows, beside ``ROW_WORDS`` pieces
+each, and not in the plan, of which the driver keeps and prints many copies.
 
 Encodings reach the texts through ``dictionary``: a batch cuts its texts into pieces
 once and asks once for each distinct one.  An answer is the piece's ids as decimal
@@ -44,7 +45,7 @@ ID_BITS = 21              # ids are below 2**ID_BITS: two ids and a rank fit one
 BUCKET = 32 << 20         # text bytes per bucket of words, about
 NO_ID = (1 << ID_BITS) - 1
 NO_PAIR = NO_ID           # in an empty slot: no pair's, and short in printed plans
-PLAN_TEXT = 20_000
+ROW_WORDS = 1 << 15       # pieces of a row, beside which the vocabulary's arrays stand once
 #: The pattern's white space, spelled out: the same characters whichever library reads it.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
@@ -153,12 +154,12 @@ def halves(piece: bytes, ranks: dict[bytes, int]) -> tuple[bytes, bytes] | None:
     return (parts[0], parts[1]) if parts[0] in ranks and parts[1] in ranks else None
 
 
-def literals(ranks: dict[bytes, int]) -> dict:
-    """The rank map as constants of the expression.
+def tables(ranks: dict[bytes, int]) -> dict:
+    """The rank map as arrays.
 
     slots, moves: ``pair_slots`` of the pairs of ids that merges can make a rank of (``halves``), one a rank.
     whole: pieces, in hexadecimal, that have a rank which merges do not reach.
-    bytes: id of each byte; gaps: whether a byte has none, then -1 stands for it; text: bytes of each id.
+    known: id of each byte, None where it has none; text: bytes of each id, empty where there is none.
     """
     top = max(ranks.values(), default=-1) + 1
     if top >= 1 << ID_BITS:
@@ -171,16 +172,24 @@ def literals(ranks: dict[bytes, int]) -> dict:
         elif len(p) > 1:
             unreached[p.hex()] = rank
     slots, moves = pair_slots(pairs)
-    out = {"slots": _json(slots, "array<bigint>"), "moves": _json(moves, "array<int>"), "n_slots": len(slots), "n_moves": len(moves)}
-    out["whole"] = _json(unreached, "map<string,int>") if unreached else None
-    del pairs, slots, moves
-    known = [ranks.get(bytes([i])) for i in range(256)]
-    out["bytes"], out["gaps"] = _json(known, "array<int>"), None in known
-    text: list = [""] * top
+    text = [b""] * top
     for piece, rank in ranks.items():
-        text[rank] = base64.b64encode(piece).decode()
-    out["text"] = _json(text, "array<binary>")
-    return out
+        text[rank] = piece
+    return {"slots": np.array(slots, np.int64), "moves": np.array(moves, np.int32), "whole": unreached,
+            "known": [ranks.get(bytes([i])) for i in range(256)], "text": text}
+
+
+def expressions(t: dict, slots: Column, moves: Column, text: Column) -> dict:
+    """What ``encode_word`` and ``decode_ids`` need of ``tables``: three large arrays as the columns given, the rest as constants."""
+    return {"slots": slots, "moves": moves, "text": text, "n_slots": len(t["slots"]), "n_moves": len(t["moves"]),
+            "whole": _json(t["whole"], "map<string,int>") if t["whole"] else None, "bytes": _json(t["known"], "array<int>"), "gaps": None in t["known"]}
+
+
+def literals(ranks: dict[bytes, int]) -> dict:
+    """The rank map as constants of the expression: megabytes of plan."""
+    t = tables(ranks)
+    return expressions(t, _json(t["slots"].tolist(), "array<bigint>"), _json(t["moves"].tolist(), "array<int>"),
+                       _json([base64.b64encode(x).decode() for x in t["text"]], "array<binary>"))
 
 
 def let(value: Column, body) -> Column:
@@ -308,11 +317,25 @@ def _ask(n: int):
     return run
 
 
-def _distinct(key: tuple, t: pa.Table) -> pa.Table:
-    words = set()
-    for blob in t.column("data").to_pylist():
-        words.update(cut(*unpack(blob)))
-    return pa.table({"bucket": pa.array([key[0].as_py()] * len(words), pa.int32()), "word": pa.array(sorted(words), pa.binary())})
+def one_list(values: pa.Array, times: int) -> pa.Array:
+    """The list of all values, the given times."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values).take(pa.array([0] * times, pa.int32()))
+
+
+def _distinct(vocabulary, row_words: int):
+    """vocabulary: the broadcast (slots, moves, text) of ``tables``, which stand in each row."""
+    def run(key: tuple, t: pa.Table) -> pa.Table:
+        found = set()
+        for blob in t.column("data").to_pylist():
+            found.update(cut(*unpack(blob)))
+        words = sorted(found)
+        edges = [*range(0, len(words), row_words), len(words)]
+        n = len(edges) - 1
+        slots, moves, text = vocabulary.value
+        return pa.table({"bucket": pa.array([key[0].as_py()] * n, pa.int32()),
+                         "words": pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(words, pa.binary())),
+                         "slots": one_list(pa.array(slots), n), "moves": one_list(pa.array(moves), n), "texts": one_list(pa.array(text, pa.binary()), n)})
+    return run
 
 
 def flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -327,10 +350,14 @@ def flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 
 def _answer(key: tuple, coded: pa.Table, asked: pa.Table) -> pa.Table:
     """Per request: the ids as decimal text; which pieces decode to other bytes, and to which."""
-    place = {w: i for i, w in enumerate(coded.column("word").to_pylist())}
-    ids, id_sizes = flat(coded.column("text"))
-    other, other_sizes = flat(coded.column("other"))
-    differs = coded.column("other").is_valid().to_numpy()
+    def all_of(name: str) -> pa.ChunkedArray:
+        return pa.chunked_array([c.flatten() for c in coded.column(name).chunks], coded.schema.field(name).type.value_type)
+
+    place = {w: i for i, w in enumerate(all_of("words").to_pylist())}
+    text, others = all_of("coded").flatten()
+    ids, id_sizes = flat(text)
+    other, other_sizes = flat(others)
+    differs = others.is_valid().to_numpy()
     out = []
     for batch, blob in zip(asked.column("batch").to_pylist(), asked.column("data").to_pylist()):
         words = cut(*unpack(blob))
@@ -356,15 +383,18 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, carry: list[str] | No
     n, files = max(1, -(-total // BUCKET)), max(1, -(-total // BUCKET))
     t = batches(docs, lambda text: splitter_of(pattern).chunks(text), f"{path}/texts", files, carry, stored=cut_chunks(pattern), dense=True)
     asked = t.select("batch", "words").mapInArrow(_ask(n), REQUEST_DDL).repartition(n, "bucket")
-    words = asked.groupBy("bucket").applyInArrow(_distinct, "bucket int, word binary")
-    # the literals are megabytes of text in every printed plan: keep printed plans short in this session
-    if int(spark.conf.get("spark.sql.maxPlanStringLength", str(2 ** 31 - 16)).rstrip("bB")) > PLAN_TEXT:
-        spark.conf.set("spark.sql.maxPlanStringLength", str(PLAN_TEXT))
-    lit = literals(ranks)
-    coded = words.withColumn("ids", encode_word(F.col("word"), lit)).withColumn("decoded", decode_ids(F.col("ids"), lit)) \
-        .select("bucket", "word", F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary").alias("text"),
-                F.when(F.col("decoded") != F.col("word"), F.col("decoded")).alias("other"))
-    del ranks, lit
+    t_ranks = tables(ranks)
+    vocabulary = spark.sparkContext.broadcast((t_ranks["slots"], t_ranks["moves"], t_ranks["text"]))
+    words = asked.groupBy("bucket").applyInArrow(_distinct(vocabulary, ROW_WORDS),
+                                                 "bucket int, words array<binary>, slots array<bigint>, moves array<int>, texts array<binary>")
+    lit = expressions(t_ranks, F.col("slots"), F.col("moves"), F.col("texts"))
+
+    def answer(word: Column) -> Column:
+        return let(encode_word(word, lit), lambda ids: let(decode_ids(ids, lit), lambda decoded: F.struct(
+            F.array_join(ids.cast("array<string>"), ",").cast("binary").alias("text"), F.when(decoded != word, decoded).alias("other"))))
+
+    coded = words.select("bucket", "words", F.transform("words", answer).alias("coded"))
+    del ranks, t_ranks, lit
     give_back()
     answers = coded.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_answer, ANSWER_DDL)
     ddl = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, token_ids array<int>"

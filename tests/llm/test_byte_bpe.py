@@ -116,3 +116,18 @@ def test_ties_of_a_rank_and_bytes_without_an_id(spark):
     words = sorted({bytes(rng.choice(b"aab") for _ in range(rng.randrange(1, 12))) for _ in range(400)})
     got = spark.createDataFrame([(bytearray(w),) for w in [*words, b"axb"]], "word binary").select("word", B.encode_word(F.col("word"), lit).alias("ids")).collect()
     assert {bytes(r["word"]): r["ids"] for r in got} == {w: B.heap_merge(w, ranks) for w in words} | {b"axb": [0, -1, 1]}
+
+
+def test_the_plan_holds_no_vocabulary(make_docs):
+    """The driver keeps and prints many copies of a plan: the vocabulary's arrays are in rows, of which a bucket may need several."""
+    out = B.encode(make_docs([(1, "plain words, some 12345 of them"), (2, None)]), FILE, P.PATTERN)
+    assert len(out._jdf.queryExecution().optimizedPlan().toString()) < 100_000
+    assert out.count() == 2
+
+
+def test_rows_of_few_pieces_give_the_same_answers(make_docs, reference, monkeypatch):
+    rng = random.Random(10)
+    texts = [" ".join("".join(rng.choice("abcdeé中,1") for _ in range(rng.randrange(1, 9))) for _ in range(50)) for _ in range(8)]
+    monkeypatch.setattr(B, "ROW_WORDS", 7)
+    got = {r["doc_id"]: r["token_ids"] for r in B.encode(make_docs(list(enumerate(texts))), FILE, P.PATTERN, ids=True).collect()}
+    assert got == {i: reference.encode_ordinary(t) for i, t in enumerate(texts)}
