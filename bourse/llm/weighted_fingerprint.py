@@ -65,7 +65,7 @@ def sample(term: Column, k: int, logs: list[Column]) -> list[Column]:
     rest = third.bitwiseAND(F.lit((1 << 32) - 1))
     out = []
     for log in logs:
-        t = F.floor(log / r + b)
+        t = F.when(log == 0.0, F.lit(0).cast("long")).otherwise(F.floor(log / r + b))       # b is below 1; most terms occur once
         least = F.floor((ln_c - r * (t + F.lit(1.0) - b)) * FINE)
         out.append(F.shiftleft(least, 16).bitwiseOR((rest + t * MOVE).bitwiseAND(F.lit(65535))))
     return out

@@ -83,3 +83,16 @@ def test_no_python_in_the_plan(spark, make_docs, tmp_path):
     df = W.query(spark, str(tmp_path))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_terms_that_occur_once_are_drawn_without_a_division(spark):
+    """t is 0 for them, whatever was drawn: the same least value as by the formula."""
+    import math
+    from pyspark.sql import functions as F
+    df = spark.range(300).select(F.xxhash64("id").alias("term"), F.ln((F.col("id") % 3).cast("double")).alias("log"))
+    with_one, = W.sample(F.col("term"), 5, [F.col("log")])
+    plain, = W.sample(F.col("term"), 5, [F.col("log") + F.lit(1e-300)])      # never 0, and as good as 0
+    rows = df.select("log", with_one.alias("a"), plain.alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in rows) and sum(r["log"] == 0.0 for r in rows) == 100
+    assert all((r["a"] is None) == (r["log"] is None) for r in rows)
+    assert "CASE WHEN" in str(with_one)
